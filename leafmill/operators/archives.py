@@ -87,7 +87,7 @@ def judge_members(members: DataFrame, limits: Limits) -> DataFrame:
         near = near.withColumn("content_length", F.octet_length("content"))
 
     directory = F.col("kind") == "directory"
-    container = F.col("kind").isin("unreadable", "damaged")
+    container = F.col("kind").isin("unreadable", "damaged", "empty")
     rejected, failed = F.lit(fixed.INPUT_REJECTED), F.lit(fixed.PARSE_FAILED)
 
     def found(code: Column, reason: Column, place: Column, check: int) -> Column:
@@ -105,7 +105,7 @@ def judge_members(members: DataFrame, limits: Limits) -> DataFrame:
         found(rejected, F.when(~container, member_name_refusal(F.coalesce("name", F.lit("")))), here, 2),
         found(rejected, F.when(~directory & ~container,
                                member_kind_refusal(F.col("name"), F.col("kind"), F.col("format"))), here, 3),
-        found(rejected, F.when(~directory, expanded_bytes_refusal(F.col("_running"), limits)), here, 4),
+        found(rejected, F.when(~directory & ~container, expanded_bytes_refusal(F.col("_running"), limits)), here, 4),
         found(failed, F.when(~container, F.col("problem")), here, 5),
         found(rejected, actual_bytes_refusal(F.col("content_length"), limits), here, 6),
     ]

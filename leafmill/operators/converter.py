@@ -17,7 +17,7 @@ from leafmill.functions.failures import classify_failure, status_error, status_w
 from leafmill.limits import Limits
 from leafmill.operators.admission import typed_error
 from leafmill.operators.skew import join_many_to_one
-from leafmill.session import through_table
+from leafmill.session import ship_package, through_table
 
 RAW_ELEMENTS = "array<struct<id:string,category:string,text:string,pages:array<int>,level:int>>"
 # What a converter gives for one document: a mapping with any of these keys.
@@ -92,6 +92,7 @@ def run_converter(df: DataFrame, factory: Factory, *keys: str, tag: str = "") ->
                 out[column] = [row.get(column) for row in made]
             yield out
 
+    ship_package(df.sparkSession)
     return df.select(*carried, "content", "option_key").mapInPandas(convert, schema)
 
 

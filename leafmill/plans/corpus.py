@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from leafmill import fixed
 from leafmill.functions import export
-from leafmill.functions.options import option_warnings
-from leafmill.functions.paths import base_name, format_suffix
+from leafmill.functions.options import OPTIONS, option_warnings
+from leafmill.functions.paths import base_name, format_suffix, is_archive
 from leafmill.functions.text import as_text
 from leafmill.limits import Limits
 from leafmill.operators.admission import (
-    check_request, confine, decode_inline, route, size_gate, size_refusal, typed_error, with_options, with_suffix,
+    check_request, confine, decode_inline, route, size_gate, size_refusal, typed_error, with_options,
 )
 from leafmill.operators.archives import judge_members, merge_archive
 from leafmill.operators.assemble import assemble
@@ -35,7 +35,6 @@ from leafmill.sources.archives import explode_archives
 from leafmill.sources.files import write_errors, write_results
 from leafmill.session import through_table
 
-_DOCUMENT = ["request_id", "filename", "suffix", "content", "clean_options", "option_key", "error"]
 
 
 def _rejected(message: Column) -> Column:
@@ -44,43 +43,47 @@ def _rejected(message: Column) -> Column:
 
 def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str],
           resolve_links: bool = False) -> DataFrame:
-    """Requests to documents: ``_DOCUMENT`` with ``error`` set on those refused."""
-    checked = with_options(check_request(requests))
-    malformed = checked.filter(F.col("request_error").isNotNull()).select(
-        "request_id", "filename", F.lit(None).cast("string").alias("suffix"),
-        F.lit(None).cast("binary").alias("content"), "clean_options", "option_key",
-        typed_error(None, F.col("request_error")).alias("error"),
-    )
-    good = checked.filter(F.col("request_error").isNull())
-    by_path = _from_paths(good.filter(F.coalesce("path", F.lit("")) != ""), files, limits, roots, resolve_links)
-    inline = decode_inline(good.filter(F.coalesce("content_base64", F.lit("")) != ""), limits).select(
-        "request_id", F.coalesce("filename", F.lit("document.txt")).alias("filename"), "suffix", "content",
-        "clean_options", "option_key", _rejected(F.col("inline_error")).alias("error"),
-    )
-    return malformed.unionByName(by_path).unionByName(inline)
-
+    """Requests to documents: ``request_id, filename, suffix, content, option_key, error`` with ``error`` set on those refused.
 
-def _from_paths(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str],
-                resolve_links: bool) -> DataFrame:
-    """Sizes decide first, without any content read; only accepted files are opened."""
-    at = F.regexp_replace("path", r"\Afile:/+", "/").alias("resolved_path")
-    confined = confine(requests, roots, resolve_links)
-    sized = confined.join(files.select(at, F.col("length").alias("_length")), "resolved_path", "left")
-    message = (
+    Sizes decide first, without any content read; only accepted files are
+    opened.  Requests that name no file get a key of their own in the two
+    joins, so that they do not pile up in one partition.
+    """
+    checked = decode_inline(confine(check_request(with_options(requests)), roots, resolve_links), limits)
+    by_path = F.col("request_error").isNull() & (F.coalesce("path", F.lit("")) != "")
+    keyed = checked.withColumn(
+        "_file",
+        F.when(by_path & F.col("path_error").isNull(), F.col("resolved_path")).otherwise(
+            F.concat(F.lit("no file: "), F.col("request_id"))
+        ),
+    )
+    at = F.regexp_replace("path", r"\Afile:/+", "/").alias("_file")
+    sized = keyed.join(files.select(at, F.col("length").alias("_length")), "_file", "left")
+    message = F.when(
+        by_path,
         F.when(F.col("path_error").isNotNull(), F.col("path_error"))
         .when(F.col("_length").isNull(), F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`")))
-        .otherwise(size_refusal(F.col("_length"), limits))
+        .otherwise(size_refusal(F.col("_length"), limits)),
+    ).otherwise(F.col("inline_error"))
+    held = size_gate(files, limits).select(at, F.col("content").alias("_content"))
+    opened = sized.join(held, "_file", "left")
+    error = F.when(F.col("request_error").isNotNull(), typed_error(None, F.col("request_error"))).otherwise(
+        _rejected(message)
+    )
+    return opened.select(
+        "request_id",
+        F.when(by_path, base_name(F.col("resolved_path")))
+        .otherwise(F.coalesce("filename", F.lit("document.txt"))).alias("filename"),
+        F.when(by_path, format_suffix(F.col("resolved_path"))).otherwise(F.col("suffix")).alias("suffix"),
+        F.coalesce("_content", "content").alias("content"),
+        "option_key",
+        error.alias("error"),
     )
-    judged = sized.withColumn("error", _rejected(message)).withColumn("filename", base_name(F.col("resolved_path")))
-    contents = size_gate(files, limits).select(at, "content")
-    accepted = judged.filter(F.col("error").isNull()).join(contents, "resolved_path")
-    refused = judged.filter(F.col("error").isNotNull()).withColumn("content", F.lit(None).cast("binary"))
-    return with_suffix(accepted.unionByName(refused)).select(*_DOCUMENT)
 
 
 def convert_documents(df: DataFrame, limits: Limits, *keys: str, factory: Factory | None = None,
                       families: Iterable[str] = (), tag: str = "") -> DataFrame:
-    """``(keys, name, family, format_error, content, clean_options, option_key)`` to the common columns."""
+    """``(keys, name, suffix, family, format_error, content, option_key)`` to the common columns."""
     families = list(families) if factory else []
     blank = F.lit("")
     readable = F.col("family").isin(*fixed.BUILT_IN_FAMILIES)
@@ -91,7 +94,7 @@ def convert_documents(df: DataFrame, limits: Limits, *keys: str, factory: Factor
         *keys, "name", "markdown", "text",
         export.echo_elements(F.col("elements"), limits).alias("elements"),
         F.lit(None).cast("int").alias("page_count"),
-        option_warnings(F.col("clean_options"), applies=readable).alias("warnings"),
+        option_warnings(F.from_json("option_key", OPTIONS), applies=readable).alias("warnings"),
         F.when(
             ~F.coalesce(readable, F.lit(False)),
             typed_error(fixed.UNSUPPORTED_FORMAT, F.coalesce(
@@ -112,22 +115,22 @@ def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = Non
              tag: str = "") -> DataFrame:
     """Documents to ``(request_id, result, error)``."""
     hook = {"factory": factory, "families": families, "tag": tag}
-    refused = documents.filter(F.col("error").isNotNull()).select("request_id", "error")
-    routed = route(documents.filter(F.col("error").isNull()).drop("error"), families if factory else ())
-    archive = F.coalesce(F.col("family") == "archive", F.lit(False))
-
+    packs = is_archive(F.coalesce("suffix", F.lit(""))) & F.col("error").isNull()
     plain = convert_documents(
-        routed.filter(~archive).withColumnRenamed("filename", "name"), limits, "request_id", **hook
+        route(documents.filter(~packs), families if factory else ()).select(
+            "request_id", F.col("filename").alias("name"), "suffix", "family", "format_error", "option_key",
+            F.when(F.col("error").isNull(), F.col("content")).alias("content"), F.col("error").alias("refused"),
+        ),
+        limits, "request_id", "refused", **hook,
     ).select(
         "request_id", F.col("name").alias("filename"), F.array("name").alias("sources"), "markdown", "text",
-        _with_source("elements").alias("elements"), "page_count", "warnings", "error",
+        _with_source("elements").alias("elements"), "page_count", "warnings",
+        F.coalesce("refused", "error").alias("error"),
     )
-    packed = convert_archives(routed.filter(archive), limits, **hook)
-    done = plain.unionByName(packed)
-    results = assemble(done, limits, with_source=True).select(
+    done = plain.unionByName(convert_archives(documents.filter(packs), limits, **hook))
+    return assemble(done, limits, with_source=True).select(
         "request_id", F.when(F.col("error").isNull(), F.col("result")).alias("result"), "error"
     )
-    return results.unionByName(refused, allowMissingColumns=True)
 
 
 def convert_archives(documents: DataFrame, limits: Limits, factory: Factory | None = None,
@@ -136,34 +139,25 @@ def convert_archives(documents: DataFrame, limits: Limits, factory: Factory | No
 
     Members are read once; verdict and merge share the shuffle on the archive.
     """
-    archives = documents.select("request_id", "filename", "clean_options", "option_key")
     members = explode_archives(
-        documents.select(F.col("request_id").alias("archive_id"), F.col("filename").alias("name"), "content"), limits
+        documents.withColumnRenamed("request_id", "archive_id"), limits, "filename", "option_key"
     )
     judged = judge_members(members, limits).withColumn(
         "content", F.when(F.col("refusal").isNull(), F.col("content"))
     )
-    with_options_of = judged.withColumn("suffix", format_suffix(F.coalesce("name", F.lit("")))).join(
-        archives.select(F.col("request_id").alias("archive_id"), "clean_options", "option_key"), "archive_id"
-    )
-    routed = route(with_options_of, families if factory else ())
+    routed = route(judged.withColumn("suffix", format_suffix(F.coalesce("name", F.lit("")))), families if factory else ())
     # An archive inside an archive is a member nobody converts.
     converted = convert_documents(
-        routed, limits, "archive_id", "ordinal", "kind", "refusal", factory=factory, families=families, tag=tag
+        routed, limits, "archive_id", "filename", "ordinal", "kind", "refusal",
+        factory=factory, families=families, tag=tag,
     ).withColumn("error", F.col("error.error"))
     counts = F.col("refusal").isNull() & (F.col("kind") == "file")
-    merged = merge_archive(converted, limits, "refusal", counts=counts)
-    none = F.array().cast("array<string>")
-    empty = F.array().cast("array<struct<id:string,category:string,text:string,page_number:int,level:int,source:string>>")
-    return archives.join(merged.withColumnRenamed("archive_id", "request_id"), "request_id", "left").select(
-        "request_id", "filename",
-        F.coalesce("sources", none).alias("sources"),
-        F.coalesce("markdown", F.lit("")).alias("markdown"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("elements", empty).alias("elements"),
-        "page_count",
-        F.coalesce("warnings", none).alias("warnings"),
-        F.when(F.col("refusal").isNotNull(), typed_error(F.col("refusal.error_code"), F.col("refusal.error"))).alias("error"),
+    refusal = F.when(
+        F.col("refusal").isNotNull(), typed_error(F.col("refusal.error_code"), F.col("refusal.error"))
+    )
+    return merge_archive(converted, limits, "filename", "refusal", counts=counts).select(
+        F.col("archive_id").alias("request_id"), "filename", "sources", "markdown", "text", "elements", "page_count",
+        "warnings", refusal.alias("error"),
     )
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 WORK_DIR_SETTING = "spark.checkpoint.dir"
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "leafmill", **settings: str) -> SparkSession:
@@ -49,3 +52,17 @@ def through_table(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application."""
+    package = Path(__file__).resolve().parent
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or not package.is_dir():  # not a folder: it was shipped to us
+        return
+    bundle = Path(tempfile.mkdtemp(prefix="leafmill-py-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(bundle, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(bundle))
+    _SHIPPED.add(app)

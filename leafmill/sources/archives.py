@@ -16,46 +16,66 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from leafmill.limits import Limits
+from leafmill.session import ship_package
 
 MEMBERS = (
-    "archive_id string, format string, member_count int, ordinal int, name string, kind string, "
+    "format string, member_count int, ordinal int, name string, kind string, "
     "declared_size bigint, content binary, problem string"
 )
-_COLUMNS = ["archive_id", "format", "member_count", "ordinal", "name", "kind", "declared_size", "content", "problem"]
+_COLUMNS = ["format", "member_count", "ordinal", "name", "kind", "declared_size", "content", "problem"]
 _FLUSH_BYTES = 32 << 20
 
 
-def explode_archives(archives: DataFrame, limits: Limits) -> DataFrame:
-    """``(archive_id, name, content)`` to ``MEMBERS``, in stored order, ordinals from 0.
+def explode_archives(archives: DataFrame, limits: Limits, *carry: str) -> DataFrame:
+    """``(archive_id, filename, content)`` to ``MEMBERS``, in stored order, ordinals from 0.
 
+    ``carry`` names text columns of the archive that each member row repeats.
     The format is found from the bytes: zip first, then tar in any
     compression.  A container that is neither gives one row of kind
-    ``unreadable``.  Reading stops one member after the count limit, and
+    ``unreadable``, one without members a row of kind ``empty``.  Reading stops one member after the count limit, and
     contents stop once the declared sizes pass the byte limit: such an archive
     is refused whatever follows.
     """
+    heads = ["archive_id", *carry]
+    columns = [*heads, *_COLUMNS]
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         held = 0
         for batch in batches:
-            for archive_id, name, content in zip(batch["archive_id"], batch["name"], batch["content"]):
-                for row in _members(name, content, limits):
-                    rows.append((archive_id, *row))
+            sources = zip(batch[heads].itertuples(index=False, name=None), batch["filename"], batch["content"])
+            for head, filename, content in sources:
+                for row in _members(filename, content, limits):
+                    rows.append((*head, *row))
                     held += len(row[-2] or b"")
                     if held >= _FLUSH_BYTES:
-                        yield pd.DataFrame(rows, columns=_COLUMNS)
+                        yield pd.DataFrame(rows, columns=columns)
                         rows, held = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=_COLUMNS)
+            yield pd.DataFrame(rows, columns=columns)
 
-    return archives.select("archive_id", "name", "content").mapInPandas(read, MEMBERS)
+    ship_package(archives.sparkSession)
+    schema = ", ".join(f"{column} string" for column in heads) + ", " + MEMBERS
+    needed = dict.fromkeys([*heads, "filename", "content"])
+    return archives.select(*needed).mapInPandas(read, schema)
 
 
-def _unreadable(problem: str) -> tuple:
-    return (None, None, 0, None, "unreadable", 0, None, problem)
+def _container_row(kind: str, problem: str | None = None) -> tuple:
+    """A row about an archive as a whole."""
+    return (None, None, 0, None, kind, 0, None, problem)
 
 
 def _members(name: str, content: bytes, limits: Limits) -> Iterator[tuple]:
+    """Rows of one archive: its members, or one row that says why there are none."""
+    found = False
+    for row in _stored(name, content, limits):
+        found = True
+        yield row
+    if not found:
+        yield _container_row("empty")
+
+
+def _stored(name: str, content: bytes, limits: Limits) -> Iterator[tuple]:
     source = io.BytesIO(content)
     if zipfile.is_zipfile(source):
         yield from _zip_members(source, limits)
@@ -65,14 +85,14 @@ def _members(name: str, content: bytes, limits: Limits) -> Iterator[tuple]:
         with tarfile.open(fileobj=source, mode="r:*") as tar:
             yield from _tar_members(tar, limits)
     except tarfile.ReadError:
-        yield _unreadable(f"`{name}` is not a readable zip or tar archive")
+        yield _container_row("unreadable", f"`{name}` is not a readable zip or tar archive")
 
 
 def _zip_members(source: io.BytesIO, limits: Limits) -> Iterator[tuple]:
     try:
         archive = zipfile.ZipFile(source)
     except Exception as exc:  # any damage in the directory
-        yield (None, None, 0, None, "damaged", 0, None, f"{type(exc).__name__}: {exc}")
+        yield _container_row("damaged", f"{type(exc).__name__}: {exc}")
         return
     with archive:
         infos = archive.infolist()
