@@ -52,6 +52,8 @@ REPORTED_ERRORS = 4
 TITLE, SECTION_HEADER, TEXT, LIST_ITEM = "Title", "Section-header", "Text", "List-item"
 TABLE, CAPTION, PAGE_HEADER, PAGE_FOOTER = "Table", "Caption", "Page-header", "Page-footer"
 
-# The white space Python's str.strip and str.isspace know, as a
-# regular-expression class body that Java and RE2 both read.
-SPACE_CLASS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The white space Python's str.strip and str.isspace know.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)

@@ -16,7 +16,7 @@ from leafmill.functions.tables import table_markdown
 from leafmill.functions.text import let, strip, without_marks
 
 # White space inside a line.
-_GAP = r"[\t\x0b\x0c\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_GAP = r"[\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BLANK = rf"{_GAP}*+\n"
 
 # The line rules.

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leafmill.fixed import SPACE_CLASS
+from leafmill.fixed import SPACES
 
 # Noncharacters: Unicode keeps them for a program's own use, so no document
 # text is lost by reserving them as block marks.
@@ -19,32 +21,54 @@ _BYTE_ORDER_MARK = chr(0xFEFF)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` once and use it many times inside ``body``."""
+    """Bind ``value`` once and use it many times inside ``body``.
+
+    Expressions have no variables: naming a costly one twice runs it twice,
+    and twice again at each level above.
+    """
     return F.get(F.transform(F.array(value), body), 0)
 
 
 def as_text(content: Column) -> Column:
     """Bytes as text: bad UTF-8 becomes U+FFFD, a byte-order mark goes, reserved marks go."""
-    text = F.make_valid_utf8(content.cast("string"))
-    return without_marks(F.when(text.startswith(_BYTE_ORDER_MARK), F.substring(text, 2, 2147483647)).otherwise(text))
+    text = F.regexp_replace(F.make_valid_utf8(content.cast("string")), rf"\A{_BYTE_ORDER_MARK}", "")
+    return without_marks(text)
 
 
 def without_marks(text: Column) -> Column:
-    return F.translate(text, MARK + MARK_ATTR + MARK_END, "")
+    """Text without the reserved characters.  Looking for them is far cheaper than the rare removal."""
+    marks = (MARK, MARK_ATTR, MARK_END)
+
+    def removed(text: Column) -> Column:
+        found = reduce(lambda a, b: a | b, (F.contains(text, F.lit(mark)) for mark in marks))
+        return F.when(found, F.translate(text, "".join(marks), "")).otherwise(text)
+
+    return let(text, removed)
 
 
 def strip(text: Column) -> Column:
-    """Trim Unicode white space at both ends (Spark's own trim knows only the space)."""
-    return F.regexp_replace(text, rf"\A[{SPACE_CLASS}]+|[{SPACE_CLASS}]+\z", "")
+    """Trim Unicode white space at both ends; only the ends are looked at."""
+    return F.btrim(text, F.lit(SPACES))
+
+
+# Latin-1 characters listed one by one become a bit set in the regex engine;
+# the others are looked for only in texts that have something in their range.
+_LATIN_SPACE = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+_FAR_SPACE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_FAR_RANGE = r"[\x{1680}-\x{3000}]"
 
 
 def squeeze(text: Column) -> Column:
     """Each run of white space becomes one space."""
-    return F.regexp_replace(text, rf"[{SPACE_CLASS}]+", " ")
+    def squeezed(text: Column) -> Column:
+        wide = F.regexp_replace(text, f"[{_LATIN_SPACE}{_FAR_SPACE}]+", " ")
+        return F.when(text.rlike(_FAR_RANGE), wide).otherwise(F.regexp_replace(text, f"[{_LATIN_SPACE}]+", " "))
+
+    return let(text, squeezed)
 
 
 def is_blank(text: Column) -> Column:
-    return ~F.coalesce(text, F.lit("")).rlike(rf"[^{SPACE_CLASS}]")
+    return F.coalesce(strip(text), F.lit("")) == ""
 
 
 def clip_utf8(text: Column, budget: Column | int) -> Column:
@@ -94,19 +118,19 @@ def json_length(text: Column) -> Column:
 
 def _numeric_entity(body: Column) -> Column:
     """``#8364`` or ``#x20ac`` to its character; unusable code points become U+FFFD."""
-    hexadecimal = body.rlike("(?i)^#x0*[0-9a-f]{1,6}$")
-    decimal = body.rlike("^#0*[0-9]{1,7}$")
-    point = (
-        F.when(hexadecimal, F.conv(F.regexp_extract(body, "(?i)^#x0*([0-9a-f]{1,6})$", 1), 16, 10).cast("int"))
-        .when(decimal, F.regexp_extract(body, "^#0*([0-9]{1,7})$", 1).cast("int"))
-    )
-    usable = (
-        point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF) & ~point.between(0xFDD0, 0xFDEF)
-    )
-    return (
-        F.when(usable, F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32"))
-        .when(body.startswith("#"), F.lit(_REPLACEMENT))
-    )
+    digits = F.regexp_extract(body, "(?i)^#0*([0-9]{1,7})$", 1)
+    hex_digits = F.regexp_extract(body, "(?i)^#x0*([0-9a-f]{1,6})$", 1)
+    point = F.coalesce(F.nullif(digits, F.lit("")), F.conv(F.nullif(hex_digits, F.lit("")), 16, 10)).cast("int")
+
+    def character(point: Column) -> Column:
+        usable = (
+            point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF) & ~point.between(0xFDD0, 0xFDEF)
+        )
+        return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32")).otherwise(
+            _REPLACEMENT
+        )
+
+    return let(point, character)
 
 
 def decode_entities(text: Column, names: dict[str, int] | None = None) -> Column:
@@ -116,12 +140,16 @@ def decode_entities(text: Column, names: dict[str, int] | None = None) -> Column
     by default.  Unknown names stay as written.
     """
     names = {**name2codepoint, "apos": 39} if names is None else names
-    table = F.create_map(*[F.lit(part) for name, point in names.items() for part in (name, chr(point))])
+    # One literal, which the optimizer turns into a map once.
+    table = F.from_json(F.lit(json.dumps({name: chr(point) for name, point in names.items()})), "map<string,string>")
 
     def piece(p: Column) -> Column:
         body = F.substring(p, F.lit(2), F.length(p) - 2)
-        decoded = F.when(body.startswith("#"), _numeric_entity(body)).otherwise(F.try_element_at(table, body))
-        return F.when(p.startswith("&") & (F.length(p) > 1), F.coalesce(decoded, p)).otherwise(p)
+        meant = F.when(p.startswith("&#"), let(body, _numeric_entity)).otherwise(F.try_element_at(table, body))
+        return F.when(p.startswith("&") & (F.length(p) > 1), F.coalesce(meant, p)).otherwise(p)
+
+    def decoded(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit("&#?[0-9A-Za-z]+;|&|[^&]+"), F.lit(0))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
 
-    pieces = F.regexp_extract_all(text, F.lit("&#?[0-9A-Za-z]+;|&|[^&]+"), F.lit(0))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
+    return let(text, decoded)
