@@ -8,6 +8,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from leafmill import fixed
 from leafmill.functions.options import normalise_options, option_key
@@ -42,7 +43,7 @@ def check_request(requests: DataFrame) -> DataFrame:
     return requests.withColumn("request_error", request_refusal())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _real_path(paths: pd.Series) -> pd.Series:
     """Where a local path leads once links are followed."""
     return paths.map(os.path.realpath, na_action="ignore")
