@@ -1 +1,121 @@
+"""Queries for the job ledger.  A user's events stand for a job's."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.catalog.registry import query, table
+from leafmill.limits import Limits
+from leafmill.operators import ledger as jobs
+from leafmill.session import work_dir
+from leafmill.streaming.ledger import current_ledger
+from leafmill.streaming.ledger import stream_ledger as start_ledger
+
+_TYPES = {"signup": "submitted", "view": "started", "click": "cancelled", "purchase": "succeeded", "error": "failed"}
+# Of events this long ago, most jobs still run or wait, so each rule has cases.
+_NOW = "2024-01-02 00:00:00"
+
+_FOLD_SQL = """
+WITH ends AS (
+  SELECT user_id, arg_min(event_type, (ts, event_id)) AS kind, min(ts) AS ts, min((ts, event_id)) AS place
+  FROM {events} WHERE event_type IN ('click', 'purchase', 'error') GROUP BY user_id
+), begins AS (
+  SELECT user_id, min((ts, event_id)) AS place, min(ts) AS ts FROM {events} WHERE event_type = 'view' GROUP BY user_id
+), submits AS (
+  SELECT user_id, min(ts) AS ts FROM {events} WHERE event_type = 'signup' GROUP BY user_id
+), folded AS (
+  SELECT u.user_id AS job_id, s.ts AS created_at, CASE WHEN e.place IS NULL OR b.place < e.place THEN b.ts END AS started_at,
+    e.ts AS finished_at, e.kind
+  FROM (SELECT DISTINCT user_id FROM {events}) u LEFT JOIN ends e USING (user_id) LEFT JOIN begins b USING (user_id)
+    LEFT JOIN submits s USING (user_id)
+), jobs AS (
+  SELECT *, CASE kind WHEN 'click' THEN 'cancelled' WHEN 'purchase' THEN 'succeeded' WHEN 'error' THEN 'failed'
+    ELSE CASE WHEN started_at IS NOT NULL THEN 'running' ELSE 'queued' END END AS status
+  FROM folded
+)
+"""
+_ALL_SQL = _FOLD_SQL.format(events="events")
+# Jobs named by user and page of a shop window: many more jobs, most of them unfinished.
+_MANY = "(SELECT user_id * 100 + hour(ts) AS user_id, event_id, ts, event_type FROM events)"
+_MANY_SQL = _FOLD_SQL.format(events=_MANY)
+_SHOW = """job_id, status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us, epoch_us(finished_at) AS finished_us"""
+
+
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.event_rows(table(spark, sf, "events"), _TYPES, "user_id", "event_id", "ts", "event_type")
+
+
+def _hourly_events(spark: SparkSession, sf: str) -> DataFrame:
+    """One job per user and hour of the day."""
+    return _events(spark, sf).withColumn("job_id", F.col("job_id") * 100 + F.hour("ts"))
+
+
+def _shown(df: DataFrame, *more: str) -> DataFrame:
+    """Times as microseconds, which no time zone changes."""
+    def micros(column: str):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+
+    return df.select(
+        "job_id", "status", micros("created_at").alias("created_us"), micros("started_at").alias("started_us"),
+        micros("finished_at").alias("finished_us"), *more,
+    )
+
+
+@query(_ALL_SQL + f"SELECT {_SHOW} FROM jobs")
+def job_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    return _shown(jobs.job_snapshot(_events(spark, sf)))
+
+
+_DEADLINE_SQL = _MANY_SQL + f"""
+, marked AS (
+  SELECT *, started_at + INTERVAL 600 SECOND AS deadline,
+    coalesce(started_at + INTERVAL 600 SECOND <= TIMESTAMP '{_NOW}' AND (finished_at IS NULL OR finished_at > started_at + INTERVAL 600 SECOND), false) AS late
+  FROM jobs
+)
+"""
+
+
+@query(_DEADLINE_SQL + """
+SELECT job_id, CASE WHEN late THEN 'failed' ELSE status END AS status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us,
+  epoch_us(CASE WHEN late THEN deadline ELSE finished_at END) AS finished_us, CASE WHEN late THEN 'timeout' END AS error_code
+FROM marked
+""")
+def job_timeouts(spark: SparkSession, sf: str) -> DataFrame:
+    snapshot = jobs.job_snapshot(_hourly_events(spark, sf))
+    now = F.lit(_NOW).cast(snapshot.schema["started_at"].dataType)
+    return _shown(jobs.mark_timeouts(snapshot, now, Limits()), "error_code")
+
+
+@query(_MANY_SQL + f"SELECT {_SHOW} FROM jobs")
+def job_listing(spark: SparkSession, sf: str) -> DataFrame:
+    return _shown(jobs.list_jobs(jobs.job_snapshot(_hourly_events(spark, sf))))
+
+
+@query(_MANY_SQL + f"SELECT {_SHOW} FROM jobs WHERE job_id = (SELECT max(user_id * 100 + hour(ts)) FROM events)")
+def job_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    events = _hourly_events(spark, sf)
+    wanted = events.agg(F.max("job_id")).scalar()
+    return _shown(jobs.get_job(jobs.job_snapshot(events), wanted))
+
+
+@query(_MANY_SQL + f"""
+, counted AS (
+  SELECT *, row_number() OVER (PARTITION BY status IN ('succeeded', 'failed', 'cancelled') ORDER BY created_at NULLS FIRST, job_id) AS rn,
+    count(*) OVER () AS total FROM jobs
+)
+SELECT {_SHOW} FROM counted WHERE NOT (status IN ('succeeded', 'failed', 'cancelled') AND rn <= total - 2000)
+""")
+def job_retention(spark: SparkSession, sf: str) -> DataFrame:
+    return _shown(jobs.retain_jobs(jobs.job_snapshot(_hourly_events(spark, sf)), Limits(max_jobs=2000)))
+
+
+@query(_ALL_SQL + f"SELECT {_SHOW} FROM jobs")
+def ledger_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole event table as a stream, folded in micro-batches, then read back."""
+    source = table(spark, sf, "events")
+    arriving = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    events = jobs.event_rows(arriving, _TYPES, "user_id", "event_id", "ts", "event_type")
+    out, checkpoint = work_dir(spark, "ledger"), work_dir(spark, "ledger-checkpoint")
+    start_ledger(events, out, checkpoint, once=True).awaitTermination()
+    return _shown(current_ledger(spark, out))
