@@ -21,9 +21,6 @@ from leafmill.functions.paths import member_name, member_name_refusal
 from leafmill.functions.text import is_blank
 from leafmill.limits import Limits
 
-IN_ARCHIVE = W.partitionBy("archive_id").orderBy("ordinal").rowsBetween(W.unboundedPreceding, W.currentRow)
-WHOLE_ARCHIVE = W.partitionBy("archive_id")
-
 
 def decisive_members(members: DataFrame, limits: Limits) -> DataFrame:
     """Members that can still change the verdict on their archive."""
@@ -59,7 +56,8 @@ def member_count_refusal(limits: Limits) -> Column:
 def expanded_bytes() -> Column:
     """Declared bytes of an archive up to and with this member; directories take none."""
     size = F.when(F.col("kind") == "directory", 0).otherwise(F.col("declared_size"))
-    return F.sum(size).over(IN_ARCHIVE)
+    so_far = W.partitionBy("archive_id").orderBy("ordinal").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return F.sum(size).over(so_far)
 
 
 def expanded_bytes_refusal(running: Column, limits: Limits) -> Column:
@@ -110,7 +108,7 @@ def judge_members(members: DataFrame, limits: Limits) -> DataFrame:
         found(rejected, actual_bytes_refusal(F.col("content_length"), limits), here, 6),
     ]
     judged = near.withColumn("_running", expanded_bytes()).withColumn("_first", F.array_min(F.array(*checks)))
-    first = F.min("_first").over(WHOLE_ARCHIVE)
+    first = F.min("_first").over(W.partitionBy("archive_id"))
     return judged.withColumn("refusal", first).drop("_running", "_first")
 
 
