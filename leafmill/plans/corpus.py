@@ -74,7 +74,7 @@ def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable
         "request_id",
         F.when(by_path, base_name(F.col("resolved_path")))
         .otherwise(F.coalesce("filename", F.lit("document.txt"))).alias("filename"),
-        F.when(by_path, format_suffix(F.col("resolved_path"))).otherwise(F.col("suffix")).alias("suffix"),
+        F.when(by_path, format_suffix(F.col("resolved_path"))).otherwise(F.lower("suffix")).alias("suffix"),
         F.coalesce("_content", "content").alias("content"),
         "option_key",
         error.alias("error"),
