@@ -9,8 +9,10 @@ from leafmill.catalog.documents import PAGE_BLOCKS_SQL, PAGE_EXPORTS_SQL, extrac
 from leafmill.catalog.registry import query, table
 from leafmill.functions.export import echo_elements, element_bytes, fitting_elements
 from leafmill.functions.text import clip_utf8, fits_utf8
+from leafmill.functions.markup import html_blocks
 from leafmill.limits import Limits
 from leafmill.operators.assemble import apply_budget, assemble
+from leafmill.operators.blocks import extract
 
 _BUDGET = 12000
 
@@ -65,7 +67,7 @@ SELECT doc_id, coalesce(string_agg(ch, '' ORDER BY i) FILTER (WHERE bytes <= bud
 """)
 def utf8_clip(spark: SparkSession, sf: str) -> DataFrame:
     budget = F.expr("n_chars * 3 div 4 + 1")
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents", "doc_id", "text", "n_chars").select(
         "doc_id", clip_utf8(F.col("text"), budget).alias("clipped"), fits_utf8(F.col("text"), budget).alias("whole")
     )
 
@@ -102,10 +104,7 @@ FROM fitted f JOIN pages p ON f.page_id = p.page_id
 def result_records(spark: SparkSession, sf: str) -> DataFrame:
     names = F.concat(F.split_part("url", F.lit("/"), F.lit(3)), F.lit(".html"))
     # The names ride along with the pages: no join is needed.
-    from leafmill.functions.markup import html_blocks
-    from leafmill.operators.blocks import extract
-
-    pages = extract(table(spark, sf, "pages"), html_blocks(F.col("html"))).select(
+    pages = extract(table(spark, sf, "pages", "page_id", "url", "html"), html_blocks(F.col("html"))).select(
         "page_id", "markdown", "text", echo_elements(F.col("elements"), Limits()).alias("elements"),
         names.alias("filename"), F.array(names).alias("sources"), F.lit(None).cast("int").alias("page_count"),
         F.array().cast("array<string>").alias("warnings"),

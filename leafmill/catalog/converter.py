@@ -108,7 +108,7 @@ FROM named
 """)
 def converter_hook(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.col("doc_id")
-    named = table(spark, sf, "documents").select(
+    named = table(spark, sf, "documents", "doc_id", "text", "source").select(
         "doc_id", F.concat("source", _pick(doc, ".pdf", ".bad", ".none", ".part", ".docx", ".ocr")).alias("name"),
         F.encode("text", "UTF-8").alias("content"),
         F.when(doc % 6 == 5, '{"ocr_engine":"ocrmac"}').otherwise("{}").alias("option_key"),

@@ -68,12 +68,12 @@ PAGE_EXPORTS_SQL = PAGE_BLOCKS_SQL + r"""
 
 
 def extracted_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return extract(table(spark, sf, "pages").select("page_id", "html"), html_to_blocks(F.col("html"))).drop("html")
+    return extract(table(spark, sf, "pages", "page_id", "html"), html_to_blocks(F.col("html"))).drop("html")
 
 
 @query(PAGE_BLOCKS_SQL + "SELECT page_id, seq, '#/blocks/' || seq AS id, category, level, text FROM blocks")
 def html_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    return block_rows(table(spark, sf, "pages"), html_to_blocks(F.col("html")), "page_id")
+    return block_rows(table(spark, sf, "pages", "page_id", "html"), html_to_blocks(F.col("html")), "page_id")
 
 
 @query(PAGE_EXPORTS_SQL + "SELECT page_id, markdown FROM exports")
@@ -111,7 +111,7 @@ SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY grp) - 1)::INT A
 """)
 def text_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
     spaced = F.regexp_replace("text", "[.]\n", ".\n\n")
-    return block_rows(table(spark, sf, "documents"), text_blocks(spaced), "doc_id").select("doc_id", "seq", "text")
+    return block_rows(table(spark, sf, "documents", "doc_id", "text"), text_blocks(spaced), "doc_id").select("doc_id", "seq", "text")
 
 
 @query(r"""
@@ -171,7 +171,7 @@ def markdown_document_blocks(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(" | extra |\n```\n# no heading "), key,
         F.lit("\n\n| no | table |\n```\n```\nsecond\n```\n### end of "), key,
     )
-    blocks = block_rows(table(spark, sf, "documents"), markdown_blocks(source), "doc_id")
+    blocks = block_rows(table(spark, sf, "documents", "doc_id", "text", "source", "lang", "n_chars"), markdown_blocks(source), "doc_id")
     return blocks.select("doc_id", "seq", "category", "level", "text")
 
 
@@ -195,7 +195,7 @@ def asciidoc_document_blocks(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("\n\n* "), "p_type", F.lit("\n** size "), size, F.lit("\n. first\n- dash\n|===\n|brand |type\n\n|"), "p_brand",
         F.lit("\n|"), "p_type", F.lit("\n|x\\|y |"), size, F.lit("\n|===\n----\n= no title\n\n* no item "), key, F.lit("\n----\n"),
     )
-    blocks = block_rows(table(spark, sf, "part"), asciidoc_blocks(source), "p_partkey")
+    blocks = block_rows(table(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"), asciidoc_blocks(source), "p_partkey")
     return blocks.select("p_partkey", "seq", "category", "level", "text")
 
 
@@ -210,7 +210,7 @@ def csv_table(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('key,name,"seg, ""quoted"""\r\n'), key, F.lit(',"'), "c_name", F.lit('","'), "c_mktsegment",
         F.lit('\nline ""2"""\r\n\r\nonly '), key, F.lit('\r\na|b,5" pipe,,end'),
     )
-    blocks = block_rows(table(spark, sf, "customer"), csv_blocks(source), "c_custkey")
+    blocks = block_rows(table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment"), csv_blocks(source), "c_custkey")
     return blocks.select("c_custkey", "category", "text")
 
 
@@ -229,7 +229,7 @@ def xml_document_blocks(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("</status><priority>"), "o_orderpriority", F.lit(" &amp; &lt;urgent&gt;\n &#8364;</priority><empty/> <note><![CDATA[a < b &amp; c "),
         key, F.lit("]]></note>tail\tof "), key, F.lit("\n</order>"),
     )
-    blocks = block_rows(table(spark, sf, "orders"), xml_blocks(source), "o_orderkey")
+    blocks = block_rows(table(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderpriority"), xml_blocks(source), "o_orderkey")
     return blocks.select("o_orderkey", "seq", "text")
 
 
@@ -250,5 +250,5 @@ def table_spans(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('</td><td class="x" rowspan="2"><p>'), "p_type",
         F.lit("</p></td><td>a|b</td></tr><tr><td>c</td></tr>\n<tr><td colspan = 2>d</td></tr></table>after</body>"),
     )
-    blocks = block_rows(table(spark, sf, "part"), html_to_blocks(source), "p_partkey")
+    blocks = block_rows(table(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"), html_to_blocks(source), "p_partkey")
     return blocks.select("p_partkey", "seq", "category", "text")

@@ -106,13 +106,13 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
     doc, blank = F.col("doc_id"), F.lit(None).cast("string")
     coded = plain_base64(F.col("text"))
     path = F.concat(F.lit("/elsewhere/d"), doc.cast("string"))
-    documents = table(spark, sf, "documents").select(
+    documents = table(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), doc.cast("string")).alias("request_id"),
         _pick(doc, None, "", None, None, None, path, path).alias("path"),
         _pick(doc, coded, None, F.concat(coded, F.lit("\n")), coded, coded, coded, None).alias("content_base64"),
         _pick(doc, "a.txt", "a.txt", "a.txt", "a.pdf", "a.TEXT", "a.txt", "a.txt").alias("filename"),
     )
-    pages = table(spark, sf, "pages").select(
+    pages = table(spark, sf, "pages", "page_id", "html").select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("request_id"), blank.alias("path"),
         plain_base64(F.col("html")).alias("content_base64"), F.lit("page.html").alias("filename"),
     )
@@ -207,7 +207,7 @@ def _packed(key: pd.Series, text: pd.Series) -> pd.Series:
 
 
 def _archives(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents")
+    documents = table(spark, sf, "documents", "doc_id", "text")
     return documents.select(
         F.col("doc_id").cast("string").alias("archive_id"),
         F.when(F.col("doc_id") % 10 == 7, F.encode("text", "UTF-8")).otherwise(_packed("doc_id", "text")).alias("content"),

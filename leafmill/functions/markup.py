@@ -103,8 +103,6 @@ def _flow(text: Column) -> Column:
 
 def _table(segment: Column) -> Column:
     """One table to one block; text that stands in no cell comes first, as a caption."""
-    inner = F.regexp_replace(segment, _NOT_TABLE_PART, " ")
-
     def is_cell(piece: Column) -> Column:
         return piece.rlike(rf"(?i)\At[dh]{MARK_ATTR}")
 
@@ -113,8 +111,8 @@ def _table(segment: Column) -> Column:
 
     def span(piece: Column, name: str, most: int, zero: int) -> Column:
         digits = F.regexp_extract(piece, rf"""(?i)[\s\x{{fdd1}}"']{name}\s*=\s*["']?0*([0-9]{{1,6}})""", 1)
-        number = F.when(digits == "", F.lit(1)).otherwise(digits.cast("int"))
-        return F.least(F.when(number == 0, F.lit(zero)).otherwise(number), F.lit(most))
+        number = F.coalesce(F.nullif(digits, F.lit("")).cast("int"), F.lit(1))
+        return let(number, lambda n: F.least(F.when(n == 0, F.lit(zero)).otherwise(n), F.lit(most)))
 
     def cells(row: Column) -> Column:
         return F.transform(
@@ -126,41 +124,35 @@ def _table(segment: Column) -> Column:
             ),
         )
 
-    rows = F.transform(F.split(inner, rf"(?i){MARK}tr{MARK_ATTR}{MARK_END}"), cells)
-    # What precedes the first row mark is a row only if it holds cells.
-    real = F.filter(rows, lambda row, i: (i > 0) | (F.size(row) > 0))
-    grid = let(real, span_grid)
-    stray = F.array_join(
-        F.filter(
-            F.transform(
-                F.filter(F.split(inner, MARK), lambda piece: ~is_cell(piece)),
-                content,
-            ),
-            lambda text: text != "",
-        ),
-        " ",
-    )
-    return _with_text(
-        F.array(block(fixed.CAPTION, stray), block(fixed.TABLE, F.coalesce(table_markdown(grid), F.lit(""))))
-    )
+    def parts(inner: Column) -> Column:
+        rows = F.transform(F.split(inner, rf"(?i){MARK}tr{MARK_ATTR}{MARK_END}"), cells)
+        # What precedes the first row mark is a row only if it holds cells.
+        real = F.filter(rows, lambda row, i: (i > 0) | (F.size(row) > 0))
+        outside = F.transform(F.filter(F.split(inner, MARK), lambda piece: ~is_cell(piece)), content)
+        stray = F.array_join(F.filter(outside, lambda text: text != ""), " ")
+        table = table_markdown(let(real, span_grid))
+        return F.array(block(fixed.CAPTION, stray), block(fixed.TABLE, F.coalesce(table, F.lit(""))))
 
+    return _with_text(let(F.regexp_replace(segment, _NOT_TABLE_PART, " "), parts))
 
-_XML_TOKEN = r"(?s)<!--.*?-->|<\?.*?\?>|<!\[CDATA\[.*?\]\]>|<![^>]*>|<[^>]*>|<|[^<]+"
+
+_XML_ASIDE = r"(?s)<!--.*?-->|<\?.*?\?>|<![^>]*>"
 
 
 def xml_blocks(xml: Column) -> Column:
     """XML text to ``array<BLOCK>``: every tag ends a block, CDATA is taken as it stands."""
-    def piece(token: Column) -> Column:
-        return (
-            F.when(
-                token.startswith("<![CDATA["),
-                F.replace(F.substring(token, F.lit(10), F.length(token) - 12), F.lit("&"), F.lit("&amp;")),
-            )
-            .when(token.startswith("<!") | token.startswith("<?") | (token == "<"), "")
-            .when(token.startswith("<"), MARK)
-            .otherwise(token)
-        )
-
-    tokens = F.regexp_extract_all(without_marks(xml), F.lit(_XML_TOKEN), F.lit(0))
-    marked = squeeze(decode_entities(F.array_join(F.transform(tokens, piece), "")))
+    def escaped(section: Column) -> Column:
+        """What follows a CDATA start: the data as ordinary text, then the markup after its end."""
+        data = F.substring_index(section, "]]>", 1)
+        rest = F.substring(section, F.length(data) + 4, F.length(section))
+        safe = F.replace(F.replace(data, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.concat(safe, rest)
+
+    def plain(text: Column) -> Column:
+        sections = F.split(text, r"<!\[CDATA\[")
+        merged = F.array_join(F.transform(sections, lambda part, i: F.when(i == 0, part).otherwise(escaped(part))), "")
+        return F.when(F.contains(text, F.lit("<![CDATA[")), merged).otherwise(text)
+
+    tags = F.regexp_replace(F.regexp_replace(let(without_marks(xml), plain), _XML_ASIDE, ""), "<[^>]*>", MARK)
+    marked = squeeze(decode_entities(F.replace(tags, F.lit("<"), F.lit(""))))
     return _with_text(F.transform(F.split(marked, MARK), lambda text: block(fixed.TEXT, F.trim(text))))

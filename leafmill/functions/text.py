@@ -100,20 +100,19 @@ def fits_utf8(text: Column, budget: Column | int) -> Column:
 def json_length(text: Column) -> Column:
     """Length of a string as ASCII-escaped JSON, quotes included.
 
-    Two characters for an escape with a letter, six for a ``\\uXXXX``, twelve
-    for a surrogate pair; everything else is itself.
+    Printable ASCII is itself, a quote, a backslash and the five named controls
+    take two characters, all else six, or twelve beyond the first plane.
     """
-    def count(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern))
-
-    plain = F.length(text) + 2
-    escaped = (
-        plain
-        + count(r'["\\\n\r\t\x08\f]')
-        + count(r"[\x00-\x07\x0b\x0e-\x1f\x7f-\x{FFFF}]") * 5
-        + count(r"[\x{10000}-\x{10FFFF}]") * 11
-    )
-    return F.when(text.rlike(r'[^ !#-\[\]-~]'), escaped).otherwise(plain)
+    def measured(text: Column) -> Column:
+        special = F.regexp_count(text, F.lit(r"[^ !#-\[\]-~]"))
+        lettered = F.regexp_count(text, F.lit(r'["\\\n\r\t\x08\f]'))
+        # A character beyond the first plane takes two units in UTF-16.
+        pairs = F.octet_length(F.encode(text, "UTF-16BE")) / 2 - F.length(text)
+        return F.length(text) + 2 + let(
+            special, lambda n: F.when(n == 0, 0).otherwise(n * 5 - lettered * 4 + pairs.cast("int") * 6)
+        )
+
+    return let(text, measured)
 
 
 def _numeric_entity(body: Column) -> Column:
@@ -133,11 +132,18 @@ def _numeric_entity(body: Column) -> Column:
     return let(point, character)
 
 
+# The references nearly all texts make do with; ``amp`` has to be last.
+_COMMON = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0", "amp": "&"}
+_UNCOMMON = r"&(?:#|(?!(?:" + "|".join(_COMMON) + r");)[0-9A-Za-z]+;)"
+
+
 def decode_entities(text: Column, names: dict[str, int] | None = None) -> Column:
     """Replace character references, each once: ``&amp;lt;`` gives ``&lt;``.
 
     ``names`` maps entity names to code points; the HTML 4 set plus ``apos``
-    by default.  Unknown names stay as written.
+    by default.  Unknown names stay as written.  A text with common ones only
+    takes plain replacements, which cannot meet each other's results while
+    ``amp`` comes last.
     """
     names = {**name2codepoint, "apos": 39} if names is None else names
     # One literal, which the optimizer turns into a map once.
@@ -150,6 +156,11 @@ def decode_entities(text: Column, names: dict[str, int] | None = None) -> Column
 
     def decoded(text: Column) -> Column:
         pieces = F.regexp_extract_all(text, F.lit("&#?[0-9A-Za-z]+;|&|[^&]+"), F.lit(0))
-        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
+        common = reduce(lambda t, name: F.replace(t, F.lit(f"&{name};"), F.lit(_COMMON[name])), _COMMON, text)
+        return (
+            F.when(~F.contains(text, F.lit("&")), text)
+            .when(text.rlike(_UNCOMMON), F.array_join(F.transform(pieces, piece), ""))
+            .otherwise(common)
+        )
 
     return let(text, decoded)

@@ -45,15 +45,23 @@ def extract(df: DataFrame, blocks: Column) -> DataFrame:
     )
 
 
+def _exploded(df: DataFrame, values: Column, keys: tuple[str, ...]) -> DataFrame:
+    """One row per value, numbered from 0.
+
+    The outer form with a filter after it, since for the inner form the
+    optimizer adds a test of the array below, and makes the array twice.
+    """
+    numbered = df.select(*keys, F.posexplode_outer(values).alias("seq", "b"))
+    return numbered.filter(F.col("seq").isNotNull())
+
+
 def block_rows(df: DataFrame, blocks: Column, *keys: str) -> DataFrame:
     """One row per block, with its place in the document as ``seq``."""
-    return (
-        df.select(*keys, F.posexplode(blocks).alias("seq", "b"))
-        .select(*keys, "seq", F.concat(F.lit("#/blocks/"), F.col("seq").cast("string")).alias("id"),
-                "b.category", "b.level", "b.text")
+    return _exploded(df, blocks, keys).select(
+        *keys, "seq", F.concat(F.lit("#/blocks/"), F.col("seq").cast("string")).alias("id"), "b.category", "b.level", "b.text"
     )
 
 
 def element_rows(df: DataFrame, *keys: str) -> DataFrame:
     """One row per element of the ``elements`` column."""
-    return df.select(*keys, F.posexplode("elements").alias("seq", "e")).select(*keys, "seq", "e.*")
+    return _exploded(df, F.col("elements"), keys).select(*keys, "seq", "b.*")

@@ -81,16 +81,18 @@ def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable
     )
 
 
-def convert_documents(df: DataFrame, limits: Limits, *keys: str, factory: Factory | None = None,
+def document_blocks() -> Column:
+    """Blocks of ``_text`` by ``family``: a large expression, made once and used in both branches."""
+    return blocks_of(F.col("family"), F.coalesce("_text", F.lit("")))
+
+
+def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str, factory: Factory | None = None,
                       families: Iterable[str] = (), tag: str = "") -> DataFrame:
     """``(keys, name, suffix, family, format_error, content, option_key)`` to the common columns."""
     families = list(families) if factory else []
-    blank = F.lit("")
     readable = F.col("family").isin(*fixed.BUILT_IN_FAMILIES)
     here = df.filter(~F.coalesce(F.col("family").isin(*families), F.lit(False))) if families else df
-    built_in = extract(
-        here.withColumn("_text", as_text(F.col("content"))), blocks_of(F.col("family"), F.coalesce("_text", blank))
-    ).select(
+    built_in = extract(here.withColumn("_text", as_text(F.col("content"))), blocks).select(
         *keys, "name", "markdown", "text",
         export.echo_elements(F.col("elements"), limits).alias("elements"),
         F.lit(None).cast("int").alias("page_count"),
@@ -115,25 +117,26 @@ def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = Non
              tag: str = "") -> DataFrame:
     """Documents to ``(request_id, result, error)``."""
     hook = {"factory": factory, "families": families, "tag": tag}
+    blocks = document_blocks()
     packs = is_archive(F.coalesce("suffix", F.lit(""))) & F.col("error").isNull()
     plain = convert_documents(
         route(documents.filter(~packs), families if factory else ()).select(
             "request_id", F.col("filename").alias("name"), "suffix", "family", "format_error", "option_key",
             F.when(F.col("error").isNull(), F.col("content")).alias("content"), F.col("error").alias("refused"),
         ),
-        limits, "request_id", "refused", **hook,
+        limits, blocks, "request_id", "refused", **hook,
     ).select(
         "request_id", F.col("name").alias("filename"), F.array("name").alias("sources"), "markdown", "text",
         _with_source("elements").alias("elements"), "page_count", "warnings",
         F.coalesce("refused", "error").alias("error"),
     )
-    done = plain.unionByName(convert_archives(documents.filter(packs), limits, **hook))
+    done = plain.unionByName(convert_archives(documents.filter(packs), limits, blocks, **hook))
     return assemble(done, limits, with_source=True).select(
         "request_id", F.when(F.col("error").isNull(), F.col("result")).alias("result"), "error"
     )
 
 
-def convert_archives(documents: DataFrame, limits: Limits, factory: Factory | None = None,
+def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, factory: Factory | None = None,
                      families: Iterable[str] = (), tag: str = "") -> DataFrame:
     """Archive documents to one merged row each.
 
@@ -148,7 +151,7 @@ def convert_archives(documents: DataFrame, limits: Limits, factory: Factory | No
     routed = route(judged.withColumn("suffix", format_suffix(F.coalesce("name", F.lit("")))), families if factory else ())
     # An archive inside an archive is a member nobody converts.
     converted = convert_documents(
-        routed, limits, "archive_id", "filename", "ordinal", "kind", "refusal",
+        routed, limits, blocks, "archive_id", "filename", "ordinal", "kind", "refusal",
         factory=factory, families=families, tag=tag,
     ).withColumn("error", F.col("error.error"))
     counts = F.col("refusal").isNull() & (F.col("kind") == "file")
