@@ -86,16 +86,15 @@ def element_bytes(element: Column, with_source: bool = False) -> Column:
 
 def fitting_elements(elements: Column, budget: Column, with_source: bool = False) -> Column:
     """How many leading elements fit ``budget`` bytes; the first that does not fit ends the list."""
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("kept"), F.lit(True).alias("open"))
+    sizes = F.transform(elements, lambda element: element_bytes(element, with_source).cast("long"))
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("kept"))
 
-    def step(state: Column, element: Column) -> Column:
-        used = F.when(state["open"], state["used"] + element_bytes(element, with_source)).otherwise(state["used"])
-        fits = state["open"] & (used <= budget)
-        return F.struct(
-            used.cast("long").alias("used"), (state["kept"] + fits.cast("int")).alias("kept"), fits.alias("open")
-        )
+    def step(state: Column, size: Column) -> Column:
+        # Sizes are positive, so once over the budget the sum stays over it.
+        used = state["used"] + size
+        return F.struct(used.alias("used"), (state["kept"] + (used <= budget).cast("int")).alias("kept"))
 
-    return F.aggregate(elements, start, step, lambda state: state["kept"])
+    return F.aggregate(sizes, start, step, lambda state: state["kept"])
 
 
 def spend_markdown(markdown: Column, limits: Limits) -> Column:
