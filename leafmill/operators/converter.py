@@ -93,7 +93,8 @@ def run_converter(df: DataFrame, factory: Factory, *keys: str, tag: str = "") ->
             yield out
 
     ship_package(df.sparkSession)
-    return df.select(*carried, "content", "option_key").mapInPandas(convert, schema)
+    needed = dict.fromkeys([*carried, "content", "option_key"])
+    return df.select(*needed).mapInPandas(convert, schema)
 
 
 def map_status(converted: DataFrame, prefix: str = "converter: ") -> DataFrame:
@@ -172,9 +173,11 @@ def convert_once(df: DataFrame, convert: Callable[[DataFrame], DataFrame], row_i
     hashed = through_table(
         df.select(row_id, F.sha2("content", 256).alias("content_sha"), "suffix", "option_key"), "hashes"
     )
-    firsts = hashed.groupBy(*keys).agg(F.min(row_id).alias(row_id), F.count(F.lit(1)).alias("copies"))
+    firsts = through_table(
+        hashed.groupBy(*keys).agg(F.min(row_id).alias(row_id), F.count(F.lit(1)).alias("copies")), "firsts"
+    )
     distinct = df.drop("suffix", "option_key").join(firsts, row_id)
-    return join_many_to_one(hashed, convert(distinct).drop(row_id), keys, "copies", row_id)
+    return join_many_to_one(hashed, convert(distinct).drop(row_id), keys, firsts, "copies", row_id)
 
 
 def hash_mismatch(content: Column, claimed: Column) -> Column:

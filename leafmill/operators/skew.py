@@ -14,19 +14,19 @@ SALTS = 64
 
 
 def join_many_to_one(
-    rows: DataFrame, ones: DataFrame, on: Sequence[str], count: str, row_id: str, how: str = "inner"
+    rows: DataFrame, ones: DataFrame, on: Sequence[str], counts: DataFrame, count: str, row_id: str
 ) -> DataFrame:
-    """Join ``rows`` to ``ones``, in which each key stands once with its number of rows in ``count``.
+    """Join ``rows`` to ``ones``, in which each key stands once.
 
-    Hot keys are found from those counts.  Their list, bounded by
-    ``HOT_SHARE``, is broadcast; a hot key's rows are spread over ``SALTS``
-    partitions and its one partner is copied to each.  Cold keys, nearly all,
-    are joined as they are.
+    Hot keys are found from ``counts``, the number of rows per key, which
+    should be cheap to read twice; ``ones`` is read once.  The list of hot keys,
+    bounded by ``HOT_SHARE``, is broadcast; a hot key's rows are spread over
+    ``SALTS`` partitions and its one partner is copied to each.  Cold keys,
+    nearly all, are joined as they are.
     """
     on = list(on)
-    total = ones.agg(F.sum(count)).scalar()
-    hot = ones.filter(F.col(count) * HOT_SHARE > total).select(*on, F.lit(True).alias("_hot"))
-    # withColumns with a broadcast left join keeps both sides in place.
+    total = counts.agg(F.sum(count)).scalar()
+    hot = counts.filter(F.col(count) * HOT_SHARE > total).select(*on, F.lit(True).alias("_hot"))
     salted_rows = rows.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")).otherwise(0)
     ).drop("_hot")
@@ -34,4 +34,4 @@ def join_many_to_one(
         "_salt",
         F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))),
     ).drop("_hot")
-    return salted_rows.join(salted_ones, [*on, "_salt"], how).drop("_salt")
+    return salted_rows.join(salted_ones, [*on, "_salt"]).drop("_salt")

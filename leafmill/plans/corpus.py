@@ -1,10 +1,10 @@
 """From requests to outcomes: the corpus job.
 
-    requests --check--> path branch  --confine, join files-+
-                    \-> inline branch --decode-------------+-> route
-    route --> text families: in-row extraction        -+
-         \--> archives: members, verdict, merge       -+-> budget -> outcomes
-          \-> other families: the user's converter    -+
+    requests -> check, confine, decode -> join files -> route
+    route -> text families: in-row extraction
+          -> archives: members, verdict, merge
+          -> other families: the user's converter
+    all   -> budget -> outcomes
 
 An outcome is ``(request_id, result, error)`` with exactly one of the last two
 present.  A document is shuffled once, to meet its request; an archive's
