@@ -52,9 +52,13 @@ def _hourly_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shown(df: DataFrame, *more: str) -> DataFrame:
-    """Times as microseconds, which no time zone changes."""
+    """Wall-clock times as microseconds, whatever the session's time zone."""
     def micros(column: str):
-        return F.unix_micros(F.col(column).cast("timestamp"))
+        at = F.col(column)
+        utc = F.make_timestamp(
+            F.year(at), F.month(at), F.dayofmonth(at), F.hour(at), F.minute(at), F.extract(F.lit("SECOND"), at), F.lit("UTC")
+        )
+        return F.unix_micros(utc)
 
     return df.select(
         "job_id", "status", micros("created_at").alias("created_us"), micros("started_at").alias("started_us"),
