@@ -265,5 +265,5 @@ def archive_corpus(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("struct<error_code:string,error:string,missing_dependencies:array<string>>").alias("error"),
     )
     return outcomes(documents, Limits()).select(
-        "request_id", "result.markdown", F.size("result.metadata.sources").alias("sources"), "error.error_code"
+        "request_id", "result.markdown", F.array_size("result.metadata.sources").alias("sources"), "error.error_code"
     )

@@ -45,39 +45,46 @@ def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable
           resolve_links: bool = False) -> DataFrame:
     """Requests to documents: ``request_id, filename, suffix, content, option_key, error`` with ``error`` set on those refused.
 
+    Requests that carry their bytes meet no other row, so they are not moved.
+    """
+    checked = check_request(with_options(requests))
+    names_file = F.col("request_error").isNull() & (F.coalesce("path", F.lit("")) != "")
+    inline = decode_inline(checked.filter(~names_file), limits)
+    error = F.when(F.col("request_error").isNotNull(), typed_error(None, F.col("request_error"))).otherwise(
+        _rejected(F.col("inline_error"))
+    )
+    carried = inline.select(
+        "request_id", F.coalesce("filename", F.lit("document.txt")).alias("filename"), F.lower("suffix").alias("suffix"),
+        "content", "option_key", error.alias("error"),
+    )
+    return carried.unionByName(_opened(checked.filter(names_file), files, limits, roots, resolve_links))
+
+
+def _opened(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str], resolve_links: bool) -> DataFrame:
+    """Requests that name a file, with its content.
+
     Sizes decide first, without any content read; only accepted files are
-    opened.  Requests that name no file get a key of their own in the two
-    joins, so that they do not pile up in one partition.
+    opened.  Refused requests get a key of their own in the two joins, so that
+    they do not pile up in one partition.
     """
-    checked = decode_inline(confine(check_request(with_options(requests)), roots, resolve_links), limits)
-    by_path = F.col("request_error").isNull() & (F.coalesce("path", F.lit("")) != "")
-    keyed = checked.withColumn(
+    confined = confine(requests, roots, resolve_links)
+    keyed = confined.withColumn(
         "_file",
-        F.when(by_path & F.col("path_error").isNull(), F.col("resolved_path")).otherwise(
+        F.when(F.col("path_error").isNull(), F.col("resolved_path")).otherwise(
             F.concat(F.lit("no file: "), F.col("request_id"))
         ),
     )
     at = F.regexp_replace("path", r"\Afile:/+", "/").alias("_file")
     sized = keyed.join(files.select(at, F.col("length").alias("_length")), "_file", "left")
-    message = F.when(
-        by_path,
+    message = (
         F.when(F.col("path_error").isNotNull(), F.col("path_error"))
         .when(F.col("_length").isNull(), F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`")))
-        .otherwise(size_refusal(F.col("_length"), limits)),
-    ).otherwise(F.col("inline_error"))
-    held = size_gate(files, limits).select(at, F.col("content").alias("_content"))
-    opened = sized.join(held, "_file", "left")
-    error = F.when(F.col("request_error").isNotNull(), typed_error(None, F.col("request_error"))).otherwise(
-        _rejected(message)
+        .otherwise(size_refusal(F.col("_length"), limits))
     )
+    opened = sized.join(size_gate(files, limits).select(at, "content"), "_file", "left")
     return opened.select(
-        "request_id",
-        F.when(by_path, base_name(F.col("resolved_path")))
-        .otherwise(F.coalesce("filename", F.lit("document.txt"))).alias("filename"),
-        F.when(by_path, format_suffix(F.col("resolved_path"))).otherwise(F.lower("suffix")).alias("suffix"),
-        F.coalesce("_content", "content").alias("content"),
-        "option_key",
-        error.alias("error"),
+        "request_id", base_name(F.col("resolved_path")).alias("filename"), format_suffix(F.col("resolved_path")).alias("suffix"),
+        "content", "option_key", _rejected(message).alias("error"),
     )
 
 
