@@ -6,7 +6,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from leafmill.catalog import ORACLE, QUERIES
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -19,16 +20,16 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_its_sql(spark, con, name):
-    assert compare(spark, con, name, queries()[name], oracle_sql()[name], SF) == []
+    assert compare(spark, con, name, QUERIES[name], ORACLE[name], SF) == []
 
 
 def plan_of(df):
@@ -38,24 +39,24 @@ def plan_of(df):
 @pytest.mark.parametrize("name", ["html_markdown", "text_paragraphs", "markdown_document_blocks", "output_budget", "options_normalised", "converter_hook"])
 def test_row_work_needs_no_shuffle(spark, name):
     """But for the spreading of a small input."""
-    plan = plan_of(queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "hashpartitioning" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_query_multiplies_rows(spark, name):
     if name in ("results_sink", "errors_sink", "ledger_stream", "document_stream", "file_corpus", "file_scan", "request_load", "convert_once"):
         return  # their plans read what they wrote
-    plan = plan_of(queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_verdict_and_merge_share_one_shuffle(spark):
-    plan = plan_of(queries()["archive_scan_verdict"](spark, SF))
+    plan = plan_of(QUERIES["archive_scan_verdict"](spark, SF))
     assert plan.count("hashpartitioning(archive_id") == 1
 
 
 def test_blocks_are_made_once(spark):
-    df = queries()["element_echo"](spark, SF)
+    df = QUERIES["element_echo"](spark, SF)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?is)<!--") == 1
