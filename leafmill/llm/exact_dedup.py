@@ -54,8 +54,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows in, one row for each key out; holds one batch and one row."""
     carry = None
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if carry is None else pa.concat_tables([carry, table])
+        rows = pa.Table.from_batches([batch])
+        table = rows if carry is None else pa.concat_tables([carry.cast(rows.schema), rows])
         folded = table.group_by(KEY, use_threads=False).aggregate([("keep_id", "first"), ("group_size", "sum")])
         folded = folded.rename_columns({"keep_id_first": "keep_id", "group_size_sum": "group_size"}).select(table.column_names)
         carry = folded.slice(folded.num_rows - 1)
