@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import chat, exact_dedup, hilbert
+from leafmill.llm import chat, exact_dedup, hilbert, jaccard_join
 from leafmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies: five-word shingles, Jaccard 0.8 or more."""
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 @query("""
 SELECT doc_id::BIGINT AS doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
