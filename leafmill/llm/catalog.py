@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import chat, exact_dedup, hilbert, jaccard_join
+from leafmill.llm import chat, chunk_dedup, exact_dedup, hilbert, jaccard_join, suffix_dedup
 from leafmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,12 +61,26 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in strings of 400 bytes that start twice or more."""
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query()
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies: five-word shingles, Jaccard 0.8 or more."""
     return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+@query()
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of about 64 bytes that repeat; of each the first stays."""
+    found = chunk_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query("""
 SELECT doc_id::BIGINT AS doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
