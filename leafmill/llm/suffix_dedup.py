@@ -14,9 +14,10 @@ Equal strings then choose equally, and about one byte in a hundred is sampled.
    by the whole stretch that their strings cover.  If all suffixes of one triple
    have one such name, all those starts repeat and no more is to be done; so
    copies and the inside of long repeats end here.
-3. *Remaining suffixes.*  Where names of a triple differ, at the ends of
-   repeats, one stretch of each name is merged back into all its suffixes, cut at
-   the minimum length.
+   Where the stretches of a triple lie alike around it, they are named a third
+   time by the part that all their strings share; alone there, they end too.
+3. *Remaining suffixes.*  What is left are the ends of repeats: one stretch of
+   each name is merged back into all its suffixes, cut at the minimum length.
 4. *Adjacent prefixes.*  Those are sorted, and equal neighbours compared.
 
 Sorting is by two 64-bit digests of the bytes instead of the bytes, as only
@@ -45,8 +46,8 @@ K_GRAM = 16
 SEGMENT = 1 << 21  # starts of one text that are worked on at a time
 HOLD_BYTES = 1 << 23  # of stretches that are expanded at a time
 INDEX_BITS = np.uint64(24)
-SUFFIX = np.dtype([("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("open", "?")])
-START = np.dtype([("doc", "<i8"), ("at", "<i8")])
+SUFFIX = np.dtype([("one", "<u8"), ("two", "<u4"), ("doc", "<i8"), ("at", "<i4"), ("open", "?")])
+START = np.dtype([("doc", "<i8"), ("at", "<i4")])
 
 
 def window_of(length: int) -> int:
@@ -66,12 +67,12 @@ def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int):
-    """Runs of starts with one sample: (text number, first start, count, triple's name, stretch's name)."""
+    """Runs of starts with one sample: text number, first start, count, names of triple, stretch and shared part, and the shape."""
     width = window_of(length)
     none = np.zeros(0, np.int64)
     texts = np.flatnonzero(ends - begins >= length)
     if not len(texts):
-        return none, none, none, none, none
+        return (none,) * 7
     hashed = RangeHash(data)
     grams = mix((hashed.sums[K_GRAM:] - hashed.sums[:-K_GRAM]) * hashed.inverse[: len(data) - K_GRAM + 1])
     index = np.arange(len(grams), dtype=np.uint64)
@@ -85,15 +86,19 @@ def stretches(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: in
     first, at, who = starts[border], chosen[border], owner[border]
     block = (length - width + 1) // 3
     triple = sum(mix(hashed(at + j * block, at + (j + 1) * block) + np.uint64(j)) for j in range(3))
-    whole = RangeHash(data, 1)(first, first + many - 1 + length) ^ mix((at - first).astype(np.uint64))
-    return who, first - begins[who], many, mix(triple).view(np.int64), whole.view(np.int64)
+    second, before = RangeHash(data, 1), mix((at - first).astype(np.uint64))
+    whole = second(first, first + many - 1 + length) ^ before
+    shared = second(first + many - 1, first + length) ^ before
+    shape = (at - first) * length + many
+    return who, first - begins[who], many, mix(triple).view(np.int64), whole.view(np.int64), shared.view(np.int64), shape
 
 
 def _stretch_rows(length: int):
     def one(docs: pa.Array, data: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: int) -> pa.RecordBatch:
-        who, first, many, triple, whole = stretches(data, begins, ends, length)
-        return pa.record_batch([docs.take(pa.array(who)), pa.array(first + base), pa.array(many), pa.array(triple), pa.array(whole)],
-                               names=["doc", "at", "starts", "triple", "whole"])
+        who, first, many, triple, whole, shared, shape = stretches(data, begins, ends, length)
+        small = [pa.array(x, pa.int32()) for x in (first + base, many, shape)]
+        return pa.record_batch([docs.take(pa.array(who)), *small, pa.array(triple), pa.array(whole), pa.array(shared)],
+                               names=["doc", "at", "starts", "shape", "triple", "whole", "shared"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +160,7 @@ def _expand(length: int, width: int):
         inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         places = np.repeat(offsets, counts) + inner
         rows = np.empty(len(places), SUFFIX)
-        rows["one"], rows["two"] = RangeHash(data, 2)(places, places + length), RangeHash(data, 3)(places, places + length)
+        rows["one"], rows["two"] = RangeHash(data, 2)(places, places + length), RangeHash(data, 3)(places, places + length) >> np.uint64(32)
         rows["doc"] = np.repeat([m[0] for m in marks], counts)
         rows["at"] = np.repeat([m[1] for m in marks], counts) + inner
         rows["open"] = np.repeat([m[3] for m in marks], counts)
@@ -213,7 +218,7 @@ def _as_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (starts["doc"][1:] != starts["doc"][:-1]) | (starts["at"][1:] != starts["at"][:-1] + 1)
     begins, lengths = _runs(fresh)
-    yield pa.record_batch([pa.array(starts["doc"][begins]), pa.array(starts["at"][begins]), pa.array(lengths)], names=["doc", "at", "starts"])
+    yield pa.record_batch([pa.array(starts["doc"][begins]), pa.array(starts["at"][begins]), pa.array(lengths, pa.int32())], names=["doc", "at", "starts"])
 
 
 def merged_spans(at: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +243,7 @@ def _cut(length: int):
                     kept = text.tobytes()
                     if runs.is_valid and len(runs):
                         fields = runs.values
-                        begin, end = merged_spans(fields.field("at").to_numpy(), fields.field("starts").to_numpy(), length)
+                        begin, end = merged_spans(*(fields.field(c).to_numpy().astype(np.int64) for c in ("at", "starts")), length)
                         edges = [0, *np.column_stack([begin, end]).ravel().tolist(), len(text)]
                         kept = b"".join(kept[a:b] for a, b in zip(edges[::2], edges[1::2]))
                         spans_of = [{"start": a, "stop": b} for a, b in zip(begin.tolist(), end.tolist())]
@@ -270,23 +275,29 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(F.xxhash64(docs[id_col], text).alias("doc"), docs[id_col].alias("doc_id"), text.alias("text"))
 
-    runs = rows.select("doc", "text").mapInArrow(_stretch_rows(length), "doc long, at long, starts long, triple long, whole long")
+    runs = rows.select("doc", "text").mapInArrow(_stretch_rows(length), "doc long, at int, starts int, shape int, triple long, whole long, shared long")
     triples = runs.groupBy("triple").agg(F.count("*").alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"))
-    hits = through_table(runs.join(triples.filter("n > 1"), "triple").select(
-        "doc", "at", "starts", "triple", "whole", (F.col("least") == F.col("most")).alias("same")), "repeats")
+    same = F.col("least") == F.col("most")
+    mixed = [F.when(~same, F.col(c)).alias(c) for c in ("triple", "whole", "shared", "shape")]
+    hits = through_table(runs.join(triples.filter("n > 1"), "triple").select("doc", "at", "starts", same.alias("same"), *mixed), "repeats")
 
-    names = hits.filter("not same").groupBy("triple", "whole").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "at", "starts")).alias("one"))
+    names = through_table(hits.filter("not same").groupBy("triple", "whole").agg(
+        F.count("*").alias("n"), F.min("shared").alias("shared"), F.min("shape").alias("shape"),
+        F.min(F.struct("doc", "at", "starts")).alias("one")), "names")
     again = hits.filter("not same").join(names.filter("n > 1").select("triple", "whole"), ["triple", "whole"]).select("doc", "at", "starts")
-    to_expand = names.select("one.doc", F.struct("one.at", "one.starts", (F.col("n") == 1).alias("open")).alias("run"))
+    alike = names.groupBy("triple").agg((F.min("shape") == F.max("shape")).alias("alike"))
+    partners = names.groupBy("triple", "shared").agg(F.count("*").alias("partners"))
+    ends = names.join(alike, "triple").join(partners, ["triple", "shared"]).filter("not alike or partners > 1")
+    to_expand = ends.select("one.doc", F.struct("one.at", "one.starts", (F.col("n") == 1).alias("open")).alias("run"))
     by_doc = to_expand.groupBy("doc").agg(F.collect_list("run").alias("open_runs"))
     blob = "bucket int, kind string, data binary"
-    suffixes = rows.join(by_doc, "doc").select("doc", "text", "open_runs").mapInArrow(_expand(length, width), blob)
+    # The same columns as in the last join, so that one shuffle of the texts serves both.
+    suffixes = rows.join(by_doc, "doc").select("doc", "doc_id", "text", "open_runs").mapInArrow(_expand(length, width), blob)
     starts = suffixes.repartitionById(width, "bucket").mapInArrow(_compare(width), blob).repartitionById(width, "bucket")
-    last = starts.mapInArrow(_as_runs, "doc long, at long, starts long")
+    last = starts.mapInArrow(_as_runs, "doc long, at int, starts int")
 
     found = hits.filter("same").select("doc", "at", "starts").unionAll(again).unionAll(last)
     per_doc = found.groupBy("doc").agg(F.collect_set(F.struct("at", "starts")).alias("runs"))
     schema = ("n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept_sha256 string, kept binary")
-    return rows.join(per_doc, "doc", "left").select("doc_id", "text", "runs").mapInArrow(
+    return rows.join(per_doc, "doc", "left").select("doc", "doc_id", "text", "runs").mapInArrow(
         _cut(length), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {schema}")
