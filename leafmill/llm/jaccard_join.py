@@ -15,15 +15,18 @@ least; the rest are long lists, which only candidates are probed in.
    what they hold; of an element that many items share they send two witnesses,
    so a frequent line, or a text in a third of all rows, costs no more than
    another.  Items that only share a passage end here.
-3. *Merge.*  Lists of the remaining items' short heads give candidates: each
-   item with one pivot of its list.  Pivots are linked by exact probes.
-4. *Rest.*  Pairs that share a list but are not yet connected are probed too, so
-   no link between different components is lost while a family of thousands of
-   near copies costs one probe a member and list, not all pairs.
+3. *Order.*  Elements that more than HOT of the remaining items share move to the
+   end of the global order, so lists of a head are short unless an item consists
+   of such elements.  Items with too few shared elements go.
+4. *Merge.*  Lists of the heads give candidates: each item with one pivot of its
+   list, in rounds with other pivots; what is linked leaves the next round.  Then
+   pairs that share a list but are not yet connected.  So no link between
+   components is lost, while a family of thousands of near copies costs one probe a
+   member, list and round, not all pairs.
 5. *Components* of all links.
 
-Probing is a search of one sorted set in the other.  The global order is that
-of the hashes.  All counts are exact up to equality of 64-bit hashes.
+Probing is a search of one sorted set in the other.  Else the global order is
+that of the hashes.  All counts are exact up to equality of 64-bit hashes.
 
 Null texts and texts without words have an empty set and link with nothing.
 Rows that repeat an id are all returned.  Ids are integers; a row without one
@@ -50,6 +53,9 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 HOLD_ROWS = 1 << 21  # list entries a map task holds before it sends them
 MANY = 8  # local items from which an element counts as shared by many
+HOT = 16  # items an element of a short list has at most
+ROUNDS = 2  # of pivots
+MARK_BITS = 26  # of the bit map of chosen documents: 8 MB whatever their number
 PAIR = np.dtype([("gram", "<u8"), ("item", "<i8")])
 
 
@@ -141,17 +147,36 @@ def _sizes(n: int):
     return make
 
 
-def _sets(n: int):
+def _sets(n: int, marks):
+    """Sets of the documents in a bit map; a few others pass, which changes no result."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            place = batch.column("place").to_numpy()
+            batch = batch.filter(pa.array((marks.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
             for piece in pieces(batch):
                 grams, bounds = gram_sets(*texts_as_bytes(piece.column("text")), n)
-                blobs = pa.array([grams[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
-                yield pa.record_batch([pa.array(set_ids(grams, bounds)), blobs], names=["item", "grams"])
+                filled = np.flatnonzero(np.diff(bounds))
+                blobs = pa.array([grams[bounds[i] : bounds[i + 1]].tobytes() for i in filled], pa.binary())
+                yield pa.record_batch([pa.array(set_ids(grams, bounds)[filled]), blobs], names=["item", "grams"])
 
     return make
 
 
+def bit_map(ids: DataFrame) -> np.ndarray:
+    """Hashed ids as a bit map of fixed size, put together in blocks of 4 KB."""
+    place = ids.select(_place("doc_id").alias("place"))
+    blocks = place.groupBy((F.col("place") / 32768).cast("int").alias("block")).agg(
+        F.bitmap_construct_agg((F.col("place") % 32768).cast("long")).alias("bits")).collect()
+    found = np.zeros(1 << MARK_BITS - 3, np.uint8)
+    for block in blocks:
+        found[block["block"] * 4096 : (block["block"] + 1) * 4096] = np.frombuffer(bytes(block["bits"]), np.uint8)
+    return found
+
+
+def _place(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(1 << MARK_BITS))
+
+
 def _unique_pairs(pairs: np.ndarray) -> np.ndarray:
     pairs = pairs[np.lexsort((pairs["item"], pairs["gram"]))]
     if not len(pairs):
@@ -238,37 +263,130 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield pa.record_batch([pa.array(counts[:, 0]), pa.array(counts[:, 1])], names=["item", "times"])
 
 
-ENTRY = np.dtype([("gram", "<u8"), ("size", "<i8"), ("item", "<i8"), ("root", "<i8")])
+def _send_all(width: int):
+    """All elements of the remaining sets, to count them; those hot within a task are known at once."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column("grams")]
+            if not sets:
+                continue
+            pairs = np.empty(sum(map(len, sets)), PAIR)
+            pairs["gram"] = np.concatenate(sets)
+            pairs["item"] = np.repeat(batch.column("item").to_numpy(), [len(x) for x in sets])
+            pairs = _unique_pairs(pairs)
+            _, lengths = _runs(pairs["gram"])
+            hot = np.repeat(lengths > HOT, lengths)
+            known = np.unique(pairs["gram"][hot])
+            rows = list(_by_bucket(pairs[~hot], _bucket_of(pairs["gram"][~hot], width), "pairs"))
+            rows += _by_bucket(known, _bucket_of(known, width), "shared")
+            rows += _by_bucket(pairs[hot], _bucket_of(pairs["item"][hot].astype(np.uint64), width), "hot")
+            yield _blob_batch(rows)
+
+    return make
 
 
-def _send_lists(percent: int, width: int):
-    """The short lists of the remaining items, with each item's component so far."""
+def _mark_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one bucket: how many shared elements each item has there, and its hot ones."""
+    parts: dict[str, list[bytes]] = {"pairs": [], "shared": [], "hot": []}
+    for batch in batches:
+        for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
+            parts[kind].append(data)
+    pairs = _unique_pairs(np.frombuffer(b"".join(parts["pairs"]), PAIR))
+    known = np.isin(pairs["gram"], np.unique(np.frombuffer(b"".join(parts["shared"]), "<u8")))
+    _, lengths = _runs(pairs["gram"])
+    length = np.repeat(lengths, lengths)
+    hot = (length > HOT) | known
+    found = np.concatenate([pairs[hot], np.frombuffer(b"".join(parts["hot"]), PAIR)])
+    found = found[np.argsort(found["item"], kind="stable")]
+    starts, sizes = _runs(found["item"])
+    blobs = [found["gram"][a : a + m].tobytes() for a, m in zip(starts, sizes)]
+    cold = _counted(pairs["item"][~hot & (length > 1)])
+    yield pa.record_batch(
+        [pa.array(np.concatenate([found["item"][starts], cold[:, 0]])), pa.array(np.concatenate([sizes, cold[:, 1]])),
+         pa.array(blobs + [None] * len(cold), pa.binary())], names=["item", "times", "hot"])
+
+
+def _heads(percent: int):
+    """The head of each set, hot elements last; items with too few shared elements go."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = []
-            for item, blob, root in zip(*(batch.column(c).to_pylist() for c in ("item", "grams", "root"))):
+            items, sizes, heads = [], [], []
+            for item, blob, times, hot in zip(*(batch.column(c).to_pylist() for c in ("item", "grams", "times", "hot"))):
                 grams = np.frombuffer(blob, "<u8")
-                head = grams[: int(_head(np.array([len(grams)]), percent, 1)[0])]
-                entries = np.empty(len(head), ENTRY)
-                entries["gram"], entries["size"], entries["item"], entries["root"] = head, len(grams), item, root
-                held.append(entries)
-            if held:
-                entries = np.concatenate(held)
-                rows = list(_by_bucket(entries, _bucket_of(entries["gram"], width), "lists"))
-                if rows:
-                    yield _blob_batch(rows)
+                size = np.array([len(grams)])
+                if times < _need(size, percent)[0]:
+                    continue
+                late = np.isin(grams, np.frombuffer(b"".join(hot), "<u8"))
+                items.append(item)
+                sizes.append(len(grams))
+                heads.append(np.concatenate([grams[~late], grams[late]])[: _head(size, percent, 1)[0]].tobytes())
+            yield pa.record_batch([pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.binary())],
+                                  names=["item", "size", "head"])
+
+    return make
+
+
+ENTRY = np.dtype([("gram", "<u8"), ("size", "<i8"), ("item", "<i8"), ("root", "<i8")])
+
+
+def _rank(items: np.ndarray, turn: int) -> np.ndarray:
+    return mix(items.astype(np.uint64) ^ np.uint64(turn + 1) * BASE)
+
+
+def _sorted_runs(entries: np.ndarray, rank: np.ndarray) -> Iterator[np.ndarray]:
+    """Each list that holds several components, sorted by rank."""
+    entries = entries[np.lexsort((rank, entries["gram"]))]
+    starts, lengths = _runs(entries["gram"])
+    for a, m in zip(starts[lengths > 1], lengths[lengths > 1]):
+        found = entries[a : a + m]
+        if (found["root"] != found["root"][0]).any():
+            yield found
+
+
+def _with_pivots(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a ranked list with its first entry, and a mask of the entries whose size that one can match."""
+    sizes, pivot = entries["size"], entries[0]
+    fits = (sizes * percent <= pivot["size"] * 100) & (pivot["size"] * percent <= sizes * 100)
+    others = entries["item"][fits & (entries["root"] != pivot["root"])]
+    return np.column_stack([np.minimum(others, pivot["item"]), np.maximum(others, pivot["item"])]), fits
+
+
+def _send_lists(percent: int, width: int, turn: int | None):
+    """Entries of the heads' lists.  In a round of pivots a long list meets its own pivot here and sends that one only."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column("head")]
+            if not heads:
+                continue
+            lengths = [len(h) for h in heads]
+            entries = np.empty(sum(lengths), ENTRY)
+            entries["gram"] = np.concatenate(heads)
+            for name in ("size", "item", "root"):
+                entries[name] = np.repeat(batch.column(name).to_numpy(), lengths)
+            rows = []
+            if turn is not None:
+                entries = entries[np.lexsort((_rank(entries["item"], turn), entries["gram"]))]
+                starts, sizes = _runs(entries["gram"])
+                sent, pairs = np.ones(len(entries), bool), [np.zeros((0, 2), np.int64)]
+                for a, m in zip(starts[sizes >= MANY], sizes[sizes >= MANY]):
+                    found, fits = _with_pivots(entries[a : a + m], percent)
+                    pairs.append(found)
+                    sent[a + 1 : a + m] = ~fits[1:]
+                entries = entries[sent]
+                pairs = np.unique(np.concatenate(pairs), axis=0)
+                rows += _by_bucket(pairs, _bucket_of(pairs[:, 0].astype(np.uint64), width), "pairs")
+            rows += _by_bucket(entries, _bucket_of(entries["gram"], width), "lists")
+            yield _blob_batch(rows)
 
     return make
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """The lists of one bucket that hold several components, each sorted by size."""
-    data = b"".join(x for batch in batches for x in batch.column("data").to_pylist())
-    entries = np.frombuffer(data, ENTRY)
-    entries = entries[np.lexsort((entries["item"], entries["size"], entries["gram"]))]
-    for a, m in zip(*_runs(entries["gram"])):
-        if m > 1 and (entries["root"][a : a + m] != entries["root"][a]).any():
-            yield entries[a : a + m]
+def _received(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    parts: dict[str, list[bytes]] = {"lists": [], "pairs": []}
+    for batch in batches:
+        for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
+            parts[kind].append(data)
+    return np.frombuffer(b"".join(parts["lists"]), ENTRY), np.frombuffer(b"".join(parts["pairs"]), "<i8").reshape(-1, 2)
 
 
 def _pair_batches(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -277,26 +395,30 @@ def _pair_batches(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _pivot_pairs(percent: int):
-    """Each entry of a list with a pivot of about its size: the first entry that the last pivot could not reach."""
+def _collected(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """Distinct pairs, in portions."""
+    held, size = [], 0
+    for pairs in parts:
+        held.append(pairs)
+        size += len(pairs)
+        if size >= HOLD_ROWS:
+            yield np.unique(np.concatenate(held), axis=0)
+            held, size = [], 0
+    if held:
+        yield np.unique(np.concatenate(held), axis=0)
+
+
+def _pivot_pairs(percent: int, turn: int):
+    """Entries of a list with the entry of least rank in this round."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries, pairs = _received(batches)
+
         def found() -> Iterator[np.ndarray]:
-            held, size = [], 0
-            for entries in _lists(batches):
-                start = 0
-                while start < len(entries):
-                    stop = int(np.searchsorted(entries["size"], entries["size"][start] * 100 // percent, side="right"))
-                    others = entries["item"][start + 1 : stop]
-                    held.append(np.column_stack([np.full(len(others), entries["item"][start]), others]))
-                    size += len(others)
-                    start = stop
-                if size >= HOLD_ROWS:
-                    yield np.unique(np.concatenate(held), axis=0)
-                    held, size = [], 0
-            if held:
-                yield np.unique(np.concatenate(held), axis=0)
+            yield pairs
+            for run in _sorted_runs(entries, _rank(entries["item"], turn)):
+                yield _with_pivots(run, percent)[0]
 
-        return _pair_batches(found())
+        return _pair_batches(_collected(found()))
 
     return make
 
@@ -304,23 +426,17 @@ def _pivot_pairs(percent: int):
 def _open_pairs(percent: int):
     """Pairs of a list that are of matching size and not connected yet."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries, _ = _received(batches)
+
         def found() -> Iterator[np.ndarray]:
-            held, size = [], 0
-            for entries in _lists(batches):
-                sizes, items, roots = entries["size"], entries["item"], entries["root"]
-                for i in range(len(entries) - 1):
-                    stop = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
+            for run in _sorted_runs(entries, entries["size"]):
+                sizes, items, roots = run["size"], run["item"], run["root"]
+                stops = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+                for i, stop in enumerate(stops):
                     others = items[i + 1 : stop][roots[i + 1 : stop] != roots[i]]
-                    if len(others):
-                        held.append(np.column_stack([np.minimum(others, items[i]), np.maximum(others, items[i])]))
-                        size += len(others)
-                    if size >= HOLD_ROWS:
-                        yield np.unique(np.concatenate(held), axis=0)
-                        held, size = [], 0
-            if held:
-                yield np.unique(np.concatenate(held), axis=0)
+                    yield np.column_stack([np.minimum(others, items[i]), np.maximum(others, items[i])])
 
-        return _pair_batches(found())
+        return _pair_batches(_collected(found()))
 
     return make
 
@@ -357,23 +473,27 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
     one_each = sizes.filter("item >= 0").groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"))
     remaining = one_each.join(shared, "item").filter(
         F.col("times") >= F.greatest(F.lit(1), F.expr(f"(size * {percent} + 99) div 100 div 10")))  # the smallest partner's k
-    # An id that several rows have may bring an item twice or one too many; neither changes a link.
-    chosen = docs.join(remaining.select("doc_id"), "doc_id", "left_semi")
-    sets = through_table(chosen.mapInArrow(_sets(n), "item long, grams binary"), "gram-sets")
-
-    def lists(roots: DataFrame) -> DataFrame:
-        sent = roots.mapInArrow(_send_lists(percent, width), "bucket int, kind string, data binary")
-        return sent.repartitionById(width, "bucket")
-
-    first = lists(sets.withColumn("root", F.col("item"))).mapInArrow(_pivot_pairs(percent), "a long, b long").distinct()
-    links = through_table(_linked(first, sets, percent), "pivot-links")
-    roots = through_table(components(links), "roots")
-    labelled = sets.join(roots, sets["item"] == roots["node"], "left").select(
-        "item", "grams", F.coalesce("root", "item").alias("root")
-    )
-    rest = lists(labelled).mapInArrow(_open_pairs(percent), "a long, b long").distinct()
-    more = _linked(rest, sets, percent).unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    return components(more)
+    marks = spark.sparkContext.broadcast(bit_map(remaining.select("doc_id")))
+    marked = docs.select("text", _place("doc_id").alias("place"))
+    # An item may come twice or one too many; neither changes a link.
+    sets = through_table(marked.mapInArrow(_sets(n, marks), "item long, grams binary"), "gram-sets")
+
+    blob = "bucket int, kind string, data binary"
+    hot = sets.mapInArrow(_send_all(width), blob).repartitionById(width, "bucket").mapInArrow(_mark_hot, "item long, times long, hot binary")
+    hot = hot.groupBy("item").agg(F.sum("times").alias("times"), F.collect_list("hot").alias("hot"))
+    heads = through_table(sets.join(hot, "item").mapInArrow(_heads(percent), "item long, size long, head binary"), "gram-heads")
+
+    links = roots = None
+    for turn in (*range(ROUNDS), None):
+        root = F.lit(None).cast("long") if roots is None else F.col("root")
+        known = heads if roots is None else heads.join(roots, heads["item"] == roots["node"], "left")
+        entries = known.select("item", "size", "head", F.coalesce(root, "item").alias("root"))
+        lists = entries.mapInArrow(_send_lists(percent, width, turn), blob).repartitionById(width, "bucket")
+        pairs = lists.mapInArrow(_open_pairs(percent) if turn is None else _pivot_pairs(percent, turn), "a long, b long").distinct()
+        found = _linked(pairs, sets, percent)
+        links = through_table(found if links is None else found.unionAll(links), "links")
+        roots = through_table(components(links), "roots")
+    return roots
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
