@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.hashing import byte_table, pieces, texts_as_bytes
-from leafmill.session import ship_package
+from leafmill.session import ship_package, through_table
 
 LEAST, MOST, BORDER_BITS = 32, 256, 5  # about 64 bytes a chunk
 ROLL = 32  # bytes the hash remembers
 SEGMENT = 1 << 22
+SIZE_BITS = 16  # a chunk's place and size go in one number
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -74,35 +75,44 @@ def _chunks(least: int, most: int, bits: int):
                 found = borders(data, bits)
                 cuts = np.searchsorted(found, ends, side="right").tolist()
                 found, raw, whole = found.tolist(), data.tobytes(), ends.tolist()
-                rows, at, size, digests = [], [], [], []
+                rows, place, digests = [], [], []
                 for i, (start, end) in enumerate(zip(whole[:-1], whole[1:])):
                     begin = start
                     for stop in chunk_stops(found[cuts[i] : cuts[i + 1]], start, end, least, most):
-                        rows.append(i)
-                        at.append(begin - start)
-                        size.append(stop - begin)
-                        digests.append(hashlib.blake2b(raw[begin:stop], digest_size=16).digest())
+                        if stop - begin >= least:
+                            rows.append(i)
+                            place.append((begin - start) << SIZE_BITS | stop - begin)
+                            digests.append(hashlib.blake2b(raw[begin:stop], digest_size=16).digest())
                         begin = stop
+                halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                at = pa.array(rows, pa.int64())
                 yield pa.record_batch(
-                    [piece.column("doc").take(pa.array(rows, pa.int64())), piece.column("doc_id").take(pa.array(rows, pa.int64())),
-                     pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(digests, pa.binary())],
-                    names=["doc", "doc_id", "at", "size", "digest"])
+                    [piece.column("doc").take(at), piece.column("doc_id").take(at), pa.array(place, pa.int64()),
+                     pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["doc", "doc_id", "place", "digest", "digest2"])
 
     return make
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in pieces(batch, most=1 << 24):
-            data, ends = texts_as_bytes(piece.column("text"))
-            kept_texts = []
-            for i, spans in enumerate(piece.column("spans").to_pylist()):
-                text = data[ends[i] : ends[i + 1]].tobytes()
-                edges = [0, *(x for s in spans or () for x in (s["start"], s["stop"])), len(text)]
-                kept_texts.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            keep = piece.drop_columns(["text"])
-            digests = [hashlib.sha256(k).hexdigest() for k in kept_texts]
-            yield keep.append_column("kept_sha256", pa.array(digests, pa.string())).append_column("kept", pa.array(kept_texts, pa.binary()))
+def _cut(least: int, most: int, bits: int):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, most=1 << 22):
+                data, ends = texts_as_bytes(piece.column("text"))
+                counts, removed, digests, kept_texts = [], [], [], []
+                for i, spans in enumerate(piece.column("spans").to_pylist()):
+                    text = data[ends[i] : ends[i + 1]]
+                    counts.append(len(chunk_stops(borders(text, bits).tolist(), 0, len(text), least, most)))
+                    raw = text.tobytes()
+                    edges = [0, *(x for s in spans for x in (s["start"], s["stop"])), len(raw)]
+                    kept_texts.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                    removed.append(len(raw) - len(kept_texts[-1]))
+                    digests.append(hashlib.sha256(kept_texts[-1]).hexdigest())
+                yield pa.record_batch(
+                    [piece.column("doc_id"), pa.array(np.diff(ends)), pa.array(counts, pa.int64()), piece.column("n_repeated"),
+                     pa.array(removed, pa.int64()), piece.column("spans"), pa.array(digests, pa.string()), pa.array(kept_texts, pa.binary())],
+                    names=["doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", "spans", "kept_sha256", "kept"])
+
+    return make
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, most: int = MOST,
@@ -112,28 +122,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``n_repeated`` counts chunks that stand elsewhere too, ``n_removed`` bytes
     of chunks that stand earlier; the spans (start, stop) are those chunks.
     """
-    if not ROLL <= least <= most:
-        raise ValueError(f"{ROLL} <= least <= most")
+    if not ROLL <= least <= most < 1 << SIZE_BITS:
+        raise ValueError(f"{ROLL} <= least <= most < {1 << SIZE_BITS}")
     ship_package(docs.sparkSession)
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(F.xxhash64(docs[id_col], text).alias("doc"), docs[id_col].alias("doc_id"), text.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    chunks = rows.mapInArrow(_chunks(least, most, bits), f"doc long, doc_id {kind}, at int, size int, digest binary")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("doc"), F.col("at"))
-    groups = chunks.filter(F.col("size") >= least).groupBy("digest").agg(
-        F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
-    # Each digest stands once on the right, so a chunk that very many texts share splits on the left.
-    found = chunks.select("doc", "at", "size", "digest").join(
-        groups.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at")), "digest", "left")
-    gone = (F.col("first_doc") != F.col("doc")) | (F.col("first_at") != F.col("at"))
-    span = F.struct(F.col("at").cast("long").alias("start"), (F.col("at") + F.col("size")).cast("long").alias("stop"))
-    per_doc = found.select("doc", "at", F.col("first_doc").isNotNull().alias("again"), F.when(gone, span).alias("span")).groupBy("doc").agg(
-        F.count_distinct("at").alias("n_chunks"), F.count_distinct(F.when(F.col("again"), F.col("at"))).alias("n_repeated"),
-        F.sort_array(F.collect_set("span")).alias("spans"))
-    joined = rows.join(per_doc, "doc", "left").select(
-        "doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes"), F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
-        F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"),
-        F.aggregate(F.coalesce("spans", F.array()), F.lit(0).cast("long"), lambda t, s: t + s["stop"] - s["start"]).alias("n_removed"), "spans")
+    chunks = rows.mapInArrow(_chunks(least, most, bits), f"doc long, doc_id {kind}, place long, digest long, digest2 long")
+    key = ["digest", "digest2"]
+    # Only digests and counts meet to find repeats; each digest stands once on
+    # the right of both joins, so a chunk of very many texts splits on the left.
+    again = chunks.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key)
+    repeats = through_table(chunks.join(again, key), "repeated-chunks")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc", "place")
+    firsts = repeats.groupBy(key).agg(F.min(order).alias("first")).select(
+        *key, F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
+    start, size = F.shiftright("place", SIZE_BITS), F.col("place") % (1 << SIZE_BITS)
+    gone = (F.col("first_doc") != F.col("doc")) | (F.col("first_place") != F.col("place"))
+    per_doc = repeats.join(firsts, key).select(
+        "doc", "place", F.when(gone, F.struct(start.alias("start"), (start + size).alias("stop"))).alias("span")
+    ).groupBy("doc").agg(F.count_distinct("place").alias("n_repeated"), F.sort_array(F.collect_set("span")).alias("spans"))
     spans = "array<struct<start: long, stop: long>>"
-    return joined.mapInArrow(_cut, f"doc_id {kind}, n_bytes long, n_chunks long, n_repeated long, n_removed long, spans {spans}, "
-                                   "kept_sha256 string, kept binary")
+    joined = rows.join(per_doc, "doc", "left").select(
+        "doc_id", "text", F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"), F.coalesce("spans", F.array().cast(spans)).alias("spans"))
+    return joined.mapInArrow(
+        _cut(least, most, bits),
+        f"doc_id {kind}, n_bytes long, n_chunks long, n_repeated long, n_removed long, spans {spans}, kept_sha256 string, kept binary")
