@@ -44,7 +44,7 @@ from leafmill.session import ship_package, through_table
 
 K_GRAM = 16
 SEGMENT = 1 << 21  # starts of one text that are worked on at a time
-HOLD_BYTES = 1 << 23  # of stretches that are expanded at a time
+HOLD_BYTES = 1 << 21  # of stretches that are expanded at a time
 INDEX_BITS = np.uint64(24)
 SUFFIX = np.dtype([("one", "<u8"), ("two", "<u4"), ("doc", "<i8"), ("at", "<i4"), ("open", "?")])
 START = np.dtype([("doc", "<i8"), ("at", "<i4")])
@@ -234,7 +234,7 @@ def merged_spans(at: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.nd
 def _cut(length: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, most=1 << 24):
+            for piece in pieces(batch, most=1 << 22):
                 data, ends = texts_as_bytes(piece.column("text"))
                 sizes, removed, spans, digests, kept_texts = [], [], [], [], []
                 for i, runs in enumerate(piece.column("runs")):
