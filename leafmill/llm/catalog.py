@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import chat, chunk_dedup, exact_dedup, hilbert, jaccard_join, suffix_dedup
+from leafmill.llm import chat, chunk_dedup, exact_dedup, hilbert, jaccard_join, language, sentencepiece, suffix_dedup
 from leafmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,19 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learnable() -> Column:
+    """Rows a language may be learned from: all but those held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from two thirds of the labelled ones."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs, language.learn(docs.filter(learnable())))
+    return found.select("doc_id", F.coalesce(~learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score", "n_grams")
+
+
 @query()
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes in strings of 400 bytes that start twice or more."""
@@ -81,6 +94,18 @@ def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+@query()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as piece ids, and whether decoding gives it back."""
+    model = sentencepiece.Model.load()
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    both = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    by_byte = F.size(F.filter("ids", lambda i: i.isin(model.byte_ids.tolist())))
+    return both.select(
+        "doc_id", F.greatest(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), F.greatest(by_byte, F.lit(0)).cast("long").alias("n_byte_tokens"),
+        F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")
+
+
 @query("""
 SELECT doc_id::BIGINT AS doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
