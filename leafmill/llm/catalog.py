@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import chat, chunk_dedup, exact_dedup, hilbert, jaccard_join, language, sentencepiece, suffix_dedup
+from leafmill.llm import chat, chunk_dedup, decontaminate, exact_dedup, hilbert, jaccard_join, language, quality, sentencepiece, suffix_dedup
 from leafmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,12 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, also with other values."""
+    return decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def learnable() -> Column:
     """Rows a language may be learned from: all but those held out."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
@@ -106,6 +112,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"), "ids")
 
 
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; the host is its source, the path its source and language."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.score(docs, labels, docs["source"], F.concat_ws("/", docs["source"], docs["lang"]))
+
+
 @query("""
 SELECT doc_id::BIGINT AS doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
