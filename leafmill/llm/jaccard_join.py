@@ -18,8 +18,8 @@ least; the rest are long lists, which only candidates are probed in.
 3. *Order.*  Elements that more than HOT of the remaining items share move to the
    end of the global order, so lists of a head are short unless an item consists
    of such elements.  Items with too few shared elements go.
-4. *Merge.*  Lists of the heads give candidates: each item with one pivot of its
-   list, in rounds with other pivots; what is linked leaves the next round.  Then
+4. *Merge.*  Lists of the heads give candidates: each item with a few pivots of
+   its list, in rounds with other pivots; what is linked leaves the next round.  Then
    pairs that share a list but are not yet connected.  So no link between
    components is lost, while a family of thousands of near copies costs one probe a
    member, list and round, not all pairs.
@@ -54,7 +54,7 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 HOLD_ROWS = 1 << 21  # list entries a map task holds before it sends them
 MANY = 8  # local items from which an element counts as shared by many
 HOT = 16  # items an element of a short list has at most
-ROUNDS = 2  # of pivots
+ROUNDS, PIVOTS = 2, 3  # rounds of pivots, and pivots of a list in each
 MARK_BITS = 26  # of the bit map of chosen documents: 8 MB whatever their number
 PAIR = np.dtype([("gram", "<u8"), ("item", "<i8")])
 
@@ -285,25 +285,47 @@ def _send_all(width: int):
     return make
 
 
-def _mark_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one bucket: how many shared elements each item has there, and its hot ones."""
+def _mark_hot(width: int):
+    """Of one bucket of elements: the shared and the hot ones, sent to the bucket of their item."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, shared, done = _kinds(batches, PAIR, "<u8", PAIR)
+        pairs = _unique_pairs(pairs)
+        _, lengths = _runs(pairs["gram"])
+        length = np.repeat(lengths, lengths)
+        hot = (length > HOT) | np.isin(pairs["gram"], np.unique(shared))
+        found = np.concatenate([pairs[hot], done])
+        cold = _counted(pairs["item"][~hot & (length > 1)])
+        rows = list(_by_bucket(found, _bucket_of(found["item"].astype(np.uint64), width), "hot"))
+        rows += _by_bucket(cold, _bucket_of(cold[:, 0].astype(np.uint64), width), "counts")
+        yield _blob_batch(rows)
+
+    return make
+
+
+def _kinds(batches: Iterator[pa.RecordBatch], *types) -> list[np.ndarray]:
     parts: dict[str, list[bytes]] = {"pairs": [], "shared": [], "hot": []}
     for batch in batches:
         for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
             parts[kind].append(data)
-    pairs = _unique_pairs(np.frombuffer(b"".join(parts["pairs"]), PAIR))
-    known = np.isin(pairs["gram"], np.unique(np.frombuffer(b"".join(parts["shared"]), "<u8")))
-    _, lengths = _runs(pairs["gram"])
-    length = np.repeat(lengths, lengths)
-    hot = (length > HOT) | known
-    found = np.concatenate([pairs[hot], np.frombuffer(b"".join(parts["hot"]), PAIR)])
+    return [np.frombuffer(b"".join(parts[k]), t) for k, t in zip(parts, types)]
+
+
+def _marks_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each item of a bucket: how many shared elements it has, and its hot ones."""
+    parts: dict[str, list[bytes]] = {"hot": [], "counts": []}
+    for batch in batches:
+        for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
+            parts[kind].append(data)
+    found = np.frombuffer(b"".join(parts["hot"]), PAIR)
     found = found[np.argsort(found["item"], kind="stable")]
     starts, sizes = _runs(found["item"])
-    blobs = [found["gram"][a : a + m].tobytes() for a, m in zip(starts, sizes)]
-    cold = _counted(pairs["item"][~hot & (length > 1)])
-    yield pa.record_batch(
-        [pa.array(np.concatenate([found["item"][starts], cold[:, 0]])), pa.array(np.concatenate([sizes, cold[:, 1]])),
-         pa.array(blobs + [None] * len(cold), pa.binary())], names=["item", "times", "hot"])
+    cold = np.frombuffer(b"".join(parts["counts"]), "<i8").reshape(-1, 2)
+    items, place = np.unique(np.concatenate([found["item"], cold[:, 0]]), return_inverse=True)
+    times = np.bincount(place, weights=np.concatenate([np.ones(len(found)), cold[:, 1]]), minlength=len(items)).astype(np.int64)
+    blobs: list[bytes] = [b""] * len(items)
+    for at, a, m in zip(np.searchsorted(items, found["item"][starts]), starts, sizes):
+        blobs[at] = found["gram"][a : a + m].tobytes()
+    yield pa.record_batch([pa.array(items), pa.array(times), pa.array(blobs, pa.binary())], names=["item", "times", "hot"])
 
 
 def _heads(percent: int):
@@ -316,7 +338,7 @@ def _heads(percent: int):
                 size = np.array([len(grams)])
                 if times < _need(size, percent)[0]:
                     continue
-                late = np.isin(grams, np.frombuffer(b"".join(hot), "<u8"))
+                late = np.isin(grams, np.frombuffer(hot, "<u8"))
                 items.append(item)
                 sizes.append(len(grams))
                 heads.append(np.concatenate([grams[~late], grams[late]])[: _head(size, percent, 1)[0]].tobytes())
@@ -329,8 +351,8 @@ def _heads(percent: int):
 ENTRY = np.dtype([("gram", "<u8"), ("size", "<i8"), ("item", "<i8"), ("root", "<i8")])
 
 
-def _rank(items: np.ndarray, turn: int) -> np.ndarray:
-    return mix(items.astype(np.uint64) ^ np.uint64(turn + 1) * BASE)
+def _rank(items: np.ndarray, turn: int, pivot: int = 0) -> np.ndarray:
+    return mix(items.astype(np.uint64) ^ np.uint64(turn * PIVOTS + pivot + 1) * BASE)
 
 
 def _sorted_runs(entries: np.ndarray, rank: np.ndarray) -> Iterator[np.ndarray]:
@@ -415,8 +437,9 @@ def _pivot_pairs(percent: int, turn: int):
 
         def found() -> Iterator[np.ndarray]:
             yield pairs
-            for run in _sorted_runs(entries, _rank(entries["item"], turn)):
-                yield _with_pivots(run, percent)[0]
+            for pivot in range(PIVOTS):
+                for run in _sorted_runs(entries, _rank(entries["item"], turn, pivot)):
+                    yield _with_pivots(run, percent)[0]
 
         return _pair_batches(_collected(found()))
 
@@ -479,8 +502,8 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
     sets = through_table(marked.mapInArrow(_sets(n, marks), "item long, grams binary"), "gram-sets")
 
     blob = "bucket int, kind string, data binary"
-    hot = sets.mapInArrow(_send_all(width), blob).repartitionById(width, "bucket").mapInArrow(_mark_hot, "item long, times long, hot binary")
-    hot = hot.groupBy("item").agg(F.sum("times").alias("times"), F.collect_list("hot").alias("hot"))
+    marks_of = sets.mapInArrow(_send_all(width), blob).repartitionById(width, "bucket").mapInArrow(_mark_hot(width), blob)
+    hot = marks_of.repartitionById(width, "bucket").mapInArrow(_marks_of_items, "item long, times long, hot binary")
     heads = through_table(sets.join(hot, "item").mapInArrow(_heads(percent), "item long, size long, head binary"), "gram-heads")
 
     links = roots = None
