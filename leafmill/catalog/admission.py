@@ -85,7 +85,7 @@ def _paths(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_PATHS_SQL)
 def path_confinement(spark: SparkSession, sf: str) -> DataFrame:
-    return confine(_paths(spark, sf), _ROOTS).drop("path")
+    return confine(_paths(spark, sf), _ROOTS, resolve_links=False).drop("path")
 
 
 @query(_PATHS_SQL)

@@ -79,10 +79,10 @@ def archive_member_bound(spark: SparkSession, sf: str) -> DataFrame:
 @query(_MEMBERS_SQL + """
 SELECT archive_id, ordinal::INT AS ordinal, expanded::BIGINT AS expanded_bytes,
   CASE WHEN expanded > 3000 THEN 'archive expands past the 3000-byte limit' END AS refusal
-FROM running WHERE ordinal <= 6
+FROM running
 """)
 def archive_byte_bound(spark: SparkSession, sf: str) -> DataFrame:
-    near = rules.decisive_members(_members(spark, sf), _LIMITS).withColumn("expanded_bytes", rules.expanded_bytes())
+    near = _members(spark, sf).withColumn("expanded_bytes", rules.expanded_bytes())
     refusal = rules.expanded_bytes_refusal(F.col("expanded_bytes"), _LIMITS)
     return near.select("archive_id", "ordinal", "expanded_bytes", refusal.alias("refusal"))
 
@@ -123,11 +123,10 @@ def archive_verdict(spark: SparkSession, sf: str) -> DataFrame:
 @query(_MEMBERS_SQL + """
 SELECT archive_id, ordinal::INT AS ordinal, name,
   (row_number() OVER (PARTITION BY archive_id ORDER BY string_split(name, '/'), ordinal) - 1)::INT AS position
-FROM members WHERE ordinal <= 6
+FROM members
 """)
 def member_order(spark: SparkSession, sf: str) -> DataFrame:
-    near = rules.decisive_members(_members(spark, sf), _LIMITS)
-    return rules.order_members(near).select("archive_id", "ordinal", "name", "position")
+    return rules.order_members(_members(spark, sf)).select("archive_id", "ordinal", "name", "position")
 
 
 _MERGE_LIMITS = Limits(max_elements=5)

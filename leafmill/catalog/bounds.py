@@ -15,6 +15,7 @@ from leafmill.operators.assemble import apply_budget, assemble
 from leafmill.operators.blocks import extract
 
 _BUDGET = 12000
+_ECHO = {"max_elements": 2000, "max_element_chars": 2048}
 
 # Size of a text as ASCII JSON: by what is left after taking the plain characters out.
 _JSON_LENGTH_SQL = r"""(len(text) + 2 + len(regexp_replace(text, '[^"\\]', '', 'g'))
@@ -73,7 +74,7 @@ def utf8_clip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _shown(spark: SparkSession, sf: str) -> DataFrame:
-    return extracted_pages(spark, sf).withColumn("elements", echo_elements(F.col("elements"), Limits()))
+    return extracted_pages(spark, sf).withColumn("elements", echo_elements(F.col("elements"), Limits(**_ECHO)))
 
 
 @query(_BUDGET_SQL + """
@@ -105,7 +106,7 @@ def result_records(spark: SparkSession, sf: str) -> DataFrame:
     names = F.concat(F.split_part("url", F.lit("/"), F.lit(3)), F.lit(".html"))
     # The names ride along with the pages: no join is needed.
     pages = extract(table(spark, sf, "pages", "page_id", "url", "html"), html_blocks(F.col("html"))).select(
-        "page_id", "markdown", "text", echo_elements(F.col("elements"), Limits()).alias("elements"),
+        "page_id", "markdown", "text", echo_elements(F.col("elements"), Limits(**_ECHO)).alias("elements"),
         names.alias("filename"), F.array(names).alias("sources"), F.lit(None).cast("int").alias("page_count"),
         F.array().cast("array<string>").alias("warnings"),
     )

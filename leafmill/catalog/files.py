@@ -25,9 +25,6 @@ from leafmill.sources.files import load_requests, parse_requests, scan_documents
 from leafmill.streaming.documents import poll
 from leafmill.streaming.documents import stream_documents as start_documents
 
-# Files here hold many documents each; their results are kept whole.
-_WIDE = Limits(max_output_bytes=1 << 30, max_elements=10)
-
 
 def _document_files(spark: SparkSession, sf: str) -> str:
     """The documents as text files, a folder per source; gives the folder."""
@@ -55,7 +52,12 @@ def file_scan(spark: SparkSession, sf: str) -> DataFrame:
     return lines.groupBy("source").agg(F.sum("length").alias("bytes"), F.sum("lines").alias("lines"))
 
 
-@query(f"SELECT source, sum({_LINES_SQL})::BIGINT AS lines, 0::BIGINT AS failed FROM documents GROUP BY source")
+# A file holds the texts of one source, each with a line end; a block of text is
+# a run of lines, which a blank line ends.
+_FILE_SQL = f"SELECT source, sum({_LINES_SQL})::BIGINT AS lines, 0::BIGINT AS failed, 0::BIGINT AS cut FROM documents GROUP BY source"
+
+
+@query(_FILE_SQL)
 def file_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Path requests for each file written, through the whole job."""
     folder = _document_files(spark, sf)
@@ -65,41 +67,45 @@ def file_corpus(spark: SparkSession, sf: str) -> DataFrame:
         F.col("path").alias("request_id"), "path", empty.alias("content_base64"), empty.alias("filename"), empty.alias("options")
     )
     root = folder.removeprefix("file://")
-    made = outcomes(admit(parse_requests(requests), files, _WIDE, [root]), _WIDE)
+    made = outcomes(admit(parse_requests(requests), files, Limits(), [root]), Limits())
     return _lines_by_source(made)
 
 
 def _lines_by_source(made: DataFrame) -> DataFrame:
     return made.groupBy(_source_of("request_id").alias("source")).agg(
-        F.sum(_filled_lines(F.col("result.markdown"))).alias("lines"), F.count_if(F.col("error").isNotNull()).alias("failed")
+        F.sum(_filled_lines(F.col("result.markdown"))).alias("lines"), F.count_if(F.col("error").isNotNull()).alias("failed"),
+        F.sum((F.size("result.elements") - F.col("result.metadata.element_count") + F.col("result.metadata.cuts.elements_dropped")).cast("long")).alias("cut"),
     )
 
 
-@query(f"SELECT source, sum({_LINES_SQL})::BIGINT AS lines, 0::BIGINT AS failed FROM documents GROUP BY source")
+@query(_FILE_SQL)
 def document_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same files, taken as a stream in micro-batches and polled at the end."""
     folder = _document_files(spark, sf)
     out, checkpoint = work_dir(spark, "outcomes"), work_dir(spark, "documents-checkpoint")
-    start_documents(spark, folder, out, checkpoint, _WIDE, "*.txt", once=True).awaitTermination()
+    start_documents(spark, folder, out, checkpoint, Limits(), [folder], "*.txt", files_per_batch=8, once=True).awaitTermination()
     return _lines_by_source(poll(spark, out))
 
 
 # Requests of every outcome, one per document and per page.
 _REQUESTS_SQL = PAGE_EXPORTS_SQL + r"""
 , wanted AS (
-  SELECT 'd' || doc_id AS request_id, doc_id % 7 AS k, trim(text, E' \n') AS markdown, trim(text, E' \n') AS text, 1 AS n_blocks, strlen(text) AS size FROM documents
+  SELECT 'd' || doc_id AS request_id, doc_id % 20 AS k, trim(text, E' \n') AS markdown, trim(text, E' \n') AS text, 1 AS n_blocks, strlen(text) AS size FROM documents
   UNION ALL SELECT 'p' || e.page_id, 8, e.markdown, e.text, e.n_blocks, strlen(html) FROM exports e JOIN pages p ON e.page_id = p.page_id
 ), outcome AS (
-  SELECT request_id, CASE WHEN k IN (1, 5) THEN NULL WHEN k IN (2, 6) THEN 'input_rejected' WHEN size > 60000 THEN 'input_rejected'
+  SELECT request_id, CASE WHEN k IN (1, 5) THEN NULL WHEN k IN (2, 6) THEN 'input_rejected'
       WHEN k = 3 THEN 'unsupported_format' END AS error_code,
     CASE WHEN k IN (1, 5) THEN 'provide exactly one of `path` or `content_base64`' WHEN k = 2 THEN '`content_base64` is not valid base64'
       WHEN k = 6 THEN '`/elsewhere/' || request_id || '` resolves outside the allowed roots (/srv/docs)'
-      WHEN size > 60000 THEN 'inline input is ' || size || ' bytes, over the 60000-byte limit'
       WHEN k = 3 THEN 'no conversion is available for `.pdf`' END AS error,
     markdown, text, n_blocks FROM wanted
 )
 """
-_REQUEST_LIMITS = Limits(max_input_bytes=60000)
+_REQUEST_LIMITS = Limits()
+
+
+# Six of twenty documents are asked for in an odd way, the others plainly.
+_PLAIN = [None] * 13
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,9 +114,9 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
     path = F.concat(F.lit("/elsewhere/d"), doc.cast("string"))
     documents = table(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), doc.cast("string")).alias("request_id"),
-        _pick(doc, None, "", None, None, None, path, path).alias("path"),
-        _pick(doc, coded, None, F.concat(coded, F.lit("\n")), coded, coded, coded, None).alias("content_base64"),
-        _pick(doc, "a.txt", "a.txt", "a.txt", "a.pdf", "a.TEXT", "a.txt", "a.txt").alias("filename"),
+        _pick(doc, None, "", None, None, None, path, path, *_PLAIN).alias("path"),
+        _pick(doc, coded, None, F.concat(coded, F.lit("\n")), coded, coded, coded, None, *[coded] * len(_PLAIN)).alias("content_base64"),
+        _pick(doc, "a.txt", "a.txt", "a.txt", "a.pdf", "a.TEXT", "a.txt", "a.txt", *["a.txt"] * len(_PLAIN)).alias("filename"),
     )
     pages = table(spark, sf, "pages", "page_id", "html").select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("request_id"), blank.alias("path"),
@@ -123,7 +129,7 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _no_files(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "path string, length bigint, content binary")
+    return spark.createDataFrame([], "path string, length bigint")
 
 
 def _made(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,9 +150,9 @@ def corpus_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(r"""
-SELECT 'd' || doc_id AS request_id, CASE doc_id % 7 WHEN 1 THEN '' WHEN 5 THEN '/elsewhere/d' || doc_id WHEN 6 THEN '/elsewhere/d' || doc_id END AS path,
-  CASE doc_id % 7 WHEN 3 THEN 'a.pdf' WHEN 4 THEN 'a.TEXT' ELSE 'a.txt' END AS filename,
-  CASE WHEN doc_id % 7 IN (0, 2, 3, 4, 5) THEN strlen(to_base64(encode(text))) + CASE doc_id % 7 WHEN 2 THEN 1 ELSE 0 END END::INT AS encoded_chars,
+SELECT 'd' || doc_id AS request_id, CASE doc_id % 20 WHEN 1 THEN '' WHEN 5 THEN '/elsewhere/d' || doc_id WHEN 6 THEN '/elsewhere/d' || doc_id END AS path,
+  CASE doc_id % 20 WHEN 3 THEN 'a.pdf' WHEN 4 THEN 'a.TEXT' ELSE 'a.txt' END AS filename,
+  CASE WHEN doc_id % 20 NOT IN (1, 6) THEN strlen(to_base64(encode(text))) + CASE doc_id % 20 WHEN 2 THEN 1 ELSE 0 END END::INT AS encoded_chars,
   false AS ocr FROM documents
 UNION ALL SELECT 'p' || page_id, NULL, 'page.html', strlen(to_base64(encode(html)))::INT, false FROM pages
 """)

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.session import on_all_cores
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,8 +26,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     """A driver table.
 
-    With ``columns``, those only, spread over all cores where the table is
-    too small to be so by itself: for queries that work hard on each row.
+    With ``columns``, those only, dealt to all cores: these tables are one or
+    a few files, and such queries work hard on each row.
     """
     whole = spark.read.parquet(f"{sf}/{name}.parquet")
-    return on_all_cores(whole.select(*columns)) if columns else whole
+    return whole.select(*columns).repartition(spark.sparkContext.defaultParallelism) if columns else whole

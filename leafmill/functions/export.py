@@ -60,15 +60,33 @@ def page_count(pages: Column) -> Column:
 
 
 def echo_elements(elements: Column, limits: Limits) -> Column:
-    """Elements as a result shows them: no blank ones, texts clipped, the first ones only."""
-    if limits.max_elements <= 0:
-        return F.slice(elements, 1, 0)
-    shown = F.slice(F.filter(elements, lambda e: ~is_blank(e["text"])), 1, limits.max_elements)
+    """Elements as a result shows them: no blank ones; with bounds, texts clipped and the first ones only."""
+    shown = F.filter(elements, lambda e: ~is_blank(e["text"]))
+    if limits.max_elements is not None:
+        shown = F.slice(shown, 1, max(limits.max_elements, 0))
+    if limits.max_element_chars is None:
+        return shown
     return F.transform(
         shown, lambda e: e.withField("text", F.substring(e["text"], 1, limits.max_element_chars))
     )
 
 
+def echo_cuts(elements: Column, limits: Limits) -> Column:
+    """What the bounds of ``echo_elements`` cut: ``struct(elements_dropped, texts_clipped)``."""
+    told = F.filter(elements, lambda e: ~is_blank(e["text"]))
+    dropped, clipped, shown = F.lit(0), F.lit(0), told
+    if limits.max_elements is not None:
+        shown = F.slice(told, 1, max(limits.max_elements, 0))
+        dropped = F.greatest(F.size(told) - max(limits.max_elements, 0), F.lit(0))
+    if limits.max_element_chars is not None:
+        clipped = F.size(F.filter(shown, lambda e: F.length(e["text"]) > limits.max_element_chars))
+    return F.struct(dropped.alias("elements_dropped"), clipped.alias("texts_clipped"))
+
+
+def no_cuts() -> Column:
+    return F.struct(F.lit(0).alias("elements_dropped"), F.lit(0).alias("texts_clipped"))
+
+
 def element_bytes(element: Column, with_source: bool = False) -> Column:
     """Size of an element as ASCII JSON with ``", "`` and ``": "``, plus one for its separator."""
     def number(value: Column) -> Column:

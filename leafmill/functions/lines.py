@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from leafmill import fixed
 from leafmill.functions.markup import block, no_blocks
 from leafmill.functions.tables import table_markdown
-from leafmill.functions.text import let, strip, without_marks
+from leafmill.functions.text import let, strip
 
 # White space inside a line.
 _GAP = r"[\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -51,7 +51,7 @@ _PARAGRAPH = _run_of_none(_BLANK)
 
 
 def _unix_lines(text: Column) -> Column:
-    return F.concat(F.replace(without_marks(text), F.lit("\r\n"), F.lit("\n")), F.lit("\n"))
+    return F.concat(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\n"))
 
 
 def _matches(text: Column, pattern: str) -> Column:

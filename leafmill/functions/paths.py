@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -26,6 +27,45 @@ def allowed_roots(env: Mapping[str, str] | None = None, prefix: str = "LEAFMILL_
     return [os.path.realpath(os.path.expanduser(root.strip())) for root in listed.split(os.pathsep) if root.strip()]
 
 
+# A scheme has two letters at least, so a drive is none.  ``file:`` with or
+# without an authority is the local file system.
+_STORE = r"\A([A-Za-z][A-Za-z0-9+.-]+://[^/]*)(?=/|\z)"
+_FILE = r"\A(?i:file):(?://[^/]*)?(?=/)"
+
+
+def local_form(location: Column) -> Column:
+    """A location with its ``file:`` scheme taken off."""
+    return F.regexp_replace(location, _FILE, "")
+
+
+def store_of(location: Column) -> Column:
+    """Scheme and authority of a location in a store, in lower case; empty for a local one."""
+    return F.lower(F.regexp_extract(local_form(location), _STORE, 1))
+
+
+def fold_location(location: Column) -> Column:
+    """A path or URI folded within its store; null for a relative one."""
+    bare = local_form(location)
+    store = F.regexp_extract(bare, _STORE, 1)
+    inside = F.substring(bare, F.length(store) + 1, F.length(bare))
+    folded = fold_path(F.when((store != "") & (inside == ""), F.lit("/")).otherwise(inside))
+    return F.concat(F.lower(store), folded)
+
+
+def fold_root(root: str) -> str:
+    """A root in the form of ``fold_location``."""
+    bare = re.sub(_FILE, "", root.strip())
+    store = re.match(_STORE.replace(r"\z", r"\Z"), bare)
+    prefix = store[1].lower() if store else ""
+    kept: list[str] = []
+    for part in bare[len(prefix) :].split("/"):
+        if part == "..":
+            del kept[-1:]
+        elif part not in ("", "."):
+            kept.append(part)
+    return prefix + "/" + "/".join(kept)
+
+
 def fold_path(path: Column) -> Column:
     """An absolute path without ``.``, ``..``, doubled or trailing slashes; null for a relative one.
 
@@ -44,15 +84,14 @@ def fold_path(path: Column) -> Column:
 
 
 def within_roots(path: Column, roots: Iterable[str]) -> Column:
-    """Whether a folded path is a root or beneath one, by whole segments.
+    """Whether a folded location is a root or beneath one, in the same store and by whole segments.
 
     The roots are job settings, so they sit in the plan as literals: a filter,
     not a join.  Without roots nothing passes.
     """
     inside = F.lit(False)
-    for root in roots:
-        beneath = "/" if root == "/" else root.rstrip("/") + "/"
-        inside = inside | (path == F.lit(root)) | path.startswith(beneath)
+    for root in map(fold_root, roots):
+        inside = inside | (path == F.lit(root)) | path.startswith(root.rstrip("/") + "/")
     return F.coalesce(inside, F.lit(False))
 
 

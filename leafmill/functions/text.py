@@ -30,9 +30,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def as_text(content: Column) -> Column:
-    """Bytes as text: bad UTF-8 becomes U+FFFD, a byte-order mark goes, reserved marks go."""
-    text = F.regexp_replace(F.make_valid_utf8(content.cast("string")), rf"\A{_BYTE_ORDER_MARK}", "")
-    return without_marks(text)
+    """Bytes as text: bad UTF-8 becomes U+FFFD, a byte-order mark goes."""
+    return F.regexp_replace(F.make_valid_utf8(content.cast("string")), rf"\A{_BYTE_ORDER_MARK}", "")
 
 
 def without_marks(text: Column) -> Column:

@@ -14,7 +14,6 @@ _FLOORS = {
     "max_input_bytes": _MIB,
     "max_output_bytes": 64 * 1024,
     "timeout_secs": 10,
-    "max_workers": 1,
     "max_archive_members": 1,
     "max_archive_bytes": _MIB,
     "max_jobs": 4,
@@ -27,20 +26,22 @@ _FLOORS = {
 class Limits:
     """Immutable bounds, passed to each operator.
 
-    The constructor takes any value, so that a job can be run under tighter
+    Bounds that leave a typed error have defaults.  Those that would cut a
+    result (``max_output_bytes``, ``max_elements``, ``max_element_chars``) or
+    drop finished jobs (``max_jobs``) are off, ``None``, until a job asks for
+    them, and what they cut is counted in the result.  The constructor takes any value, so that a job can be run under tighter
     bounds than an operator's environment may ask for; ``from_env`` is the
     guarded way in.
     """
 
     max_input_bytes: int = 200 * _MIB
-    max_output_bytes: int = 8 * _MIB
+    max_output_bytes: int | None = None
     timeout_secs: int = 600
-    max_workers: int = 2  # kept for reporting: Spark's task slots do this work
     max_archive_members: int = 512
     max_archive_bytes: int = 512 * _MIB
-    max_jobs: int = 64
-    max_elements: int = 2000
-    max_element_chars: int = 2048
+    max_jobs: int | None = None
+    max_elements: int | None = None
+    max_element_chars: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, prefix: str = "LEAFMILL_") -> "Limits":

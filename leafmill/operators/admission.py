@@ -12,8 +12,9 @@ from pyspark.sql.types import StringType
 
 from leafmill import fixed
 from leafmill.functions.options import normalise_options, option_key
-from leafmill.functions.paths import clean_path, fold_path, format_suffix, inline_suffix, within_roots
+from leafmill.functions.paths import clean_path, fold_location, format_suffix, inline_suffix, local_form, store_of, within_roots
 from leafmill.functions.payload import strict_base64
+from leafmill.functions.text import let
 from leafmill.limits import Limits
 
 ERROR = "struct<error_code:string,error:string,missing_dependencies:array<string>>"
@@ -49,18 +50,21 @@ def _real_path(paths: pd.Series) -> pd.Series:
     return paths.map(os.path.realpath, na_action="ignore")
 
 
-def resolved_path(path: Column, resolve_links: bool = False) -> Column:
-    """The path a containment test looks at; a ``file:`` scheme is taken off.
+def resolved_path(path: Column, resolve_links: bool = True) -> Column:
+    """The location a containment test looks at.
 
-    With ``resolve_links`` the executors ask their file system, which only
-    helps where they share one; object stores have no links and need only the
-    folding.
+    Links of local paths are followed by the executors' file system, since a
+    folded path may lead out of a root through one; stores have no links.
     """
-    bare = F.regexp_replace(clean_path(path), r"\Afile:/+", "/")
-    return F.when(bare.startswith("/"), _real_path(bare)) if resolve_links else fold_path(bare)
+    named = clean_path(path)
+    folded = fold_location(named)
+    if not resolve_links:
+        return folded
+    # ``..`` behind a link leaves where the link leads, so links come before folding.
+    return F.when(store_of(named) == "", F.when(folded.isNotNull(), _real_path(local_form(named)))).otherwise(folded)
 
 
-def confine(df: DataFrame, roots: Iterable[str], resolve_links: bool = False) -> DataFrame:
+def confine(df: DataFrame, roots: Iterable[str], resolve_links: bool = True) -> DataFrame:
     """Add ``resolved_path`` and ``path_error``; the error is null for a path inside the roots."""
     roots = list(roots)
     shown = ", ".join(roots) or "(none)"
@@ -92,14 +96,18 @@ def size_gate(files: DataFrame, limits: Limits) -> DataFrame:
 
 def decode_inline(requests: DataFrame, limits: Limits) -> DataFrame:
     """Add ``content``, ``suffix`` and ``inline_error`` for requests that carry their bytes."""
-    raw = strict_base64(F.coalesce(F.col("content_base64"), F.lit("")))
-    decoded = requests.withColumn("content", raw).withColumn("suffix", inline_suffix(F.col("filename")))
-    return decoded.withColumn(
-        "inline_error",
-        F.when(F.col("content").isNull(), F.lit("`content_base64` is not valid base64"))
-        .when(F.octet_length("content") == 0, F.lit("`content_base64` decoded to zero bytes"))
-        .otherwise(size_refusal(F.octet_length("content"), limits, inline=True)),
-    )
+    def judged(raw: Column) -> Column:
+        message = (
+            F.when(raw.isNull(), F.lit("`content_base64` is not valid base64"))
+            .when(F.octet_length(raw) == 0, F.lit("`content_base64` decoded to zero bytes"))
+            .otherwise(size_refusal(F.octet_length(raw), limits, inline=True))
+        )
+        return F.struct(raw.alias("content"), message.alias("inline_error"))
+
+    # One struct, bound once, so that the payload is decoded in one place of the plan.
+    once = let(strict_base64(F.coalesce(F.col("content_base64"), F.lit(""))), judged)
+    decoded = requests.withColumn("_decoded", once).withColumn("suffix", inline_suffix(F.col("filename")))
+    return decoded.withColumns({"content": F.col("_decoded.content"), "inline_error": F.col("_decoded.inline_error")}).drop("_decoded")
 
 
 def formats_df(spark: SparkSession) -> DataFrame:

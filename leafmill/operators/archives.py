@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafmill import fixed
+from leafmill.functions.export import no_cuts
 from leafmill.functions.paths import member_name, member_name_refusal
 from leafmill.functions.text import is_blank
 from leafmill.limits import Limits
@@ -132,12 +133,14 @@ def order_members(members: DataFrame) -> DataFrame:
 def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Column | None = None) -> DataFrame:
     """Converted members to one row per archive, in member order.
 
-    Takes ``archive_id, ordinal, name, markdown, text, elements, warnings,
+    Takes ``archive_id, ordinal, name, markdown, text, elements, cuts, warnings,
     page_count, error``.  A failed member leaves a warning, a blank one leaves
     nothing, the rest are joined under headings with their names.  Of members
     with one name the last counts.  The groups are whole archives that passed
     the verdict, so their size has a bound.
     """
+    if "cuts" not in converted.columns:
+        converted = converted.withColumn("cuts", no_cuts())
     member = F.struct(
         F.split(member_name(F.col("name")), "/").alias("segments"),
         F.col("ordinal"),
@@ -145,6 +148,7 @@ def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Colu
         F.col("markdown"),
         F.col("text"),
         F.col("elements"),
+        F.col("cuts"),
         F.col("warnings"),
         F.col("page_count"),
         F.col("error"),
@@ -176,12 +180,23 @@ def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Colu
     pages = F.aggregate(
         "_kept", F.lit(0), lambda total, m: total + F.coalesce(m["page_count"], F.lit(0)),
     )
+    every = F.flatten(F.transform("_kept", sourced))
+
+    def total(field: str) -> Column:
+        return F.aggregate("_kept", F.lit(0), lambda sum_, m: sum_ + F.coalesce(m["cuts"][field], F.lit(0)))
+
+    elements, dropped = every, total("elements_dropped")
+    if limits.max_elements is not None:
+        elements = F.slice(every, 1, max(limits.max_elements, 0))
+        dropped = dropped + F.greatest(F.size(every) - max(limits.max_elements, 0), F.lit(0))
+    cuts = F.struct(dropped.alias("elements_dropped"), total("texts_clipped").alias("texts_clipped"))
     return kept.select(
         "archive_id",
         *keys,
         joined("markdown", "# ").alias("markdown"),
         joined("text", "").alias("text"),
-        F.slice(F.flatten(F.transform("_kept", sourced)), 1, max(limits.max_elements, 0)).alias("elements"),
+        elements.alias("elements"),
+        cuts.alias("cuts"),
         F.flatten(F.transform("_members", warnings_of)).alias("warnings"),
         F.nullif(pages, F.lit(0)).alias("page_count"),
         F.transform("_kept", lambda m: m["name"]).alias("sources"),

@@ -16,8 +16,10 @@ def apply_budget(df: DataFrame, limits: Limits, with_source: bool = False) -> Da
     """Spend one byte budget on ``markdown``, then ``text``, then ``elements``.
 
     The three columns are replaced by what fits and ``truncated`` is added.
-    It tells of bytes only, not of the element caps.
+    It tells of bytes only; ``metadata.cuts`` counts what the element bounds took.
     """
+    if limits.max_output_bytes is None:
+        return df.withColumn("truncated", F.lit(False))
     spent = (
         df.withColumn("_md", export.spend_markdown(F.col("markdown"), limits))
         .withColumn("_tx", export.spend_text(F.col("text"), F.col("_md.rest")))
@@ -47,6 +49,7 @@ def result_record(filename: Column, sources: Column) -> Column:
             F.size("elements").alias("element_count"),
             F.col("page_count"),
             sources.alias("sources"),
+            F.col("cuts").alias("cuts"),
         ).alias("metadata"),
     )
 
@@ -54,4 +57,6 @@ def result_record(filename: Column, sources: Column) -> Column:
 def assemble(df: DataFrame, limits: Limits, filename: str = "filename", sources: str = "sources",
              with_source: bool = False) -> DataFrame:
     """Budget the columns and add ``result``."""
+    if "cuts" not in df.columns:
+        df = df.withColumn("cuts", export.no_cuts())
     return apply_budget(df, limits, with_source).withColumn("result", result_record(F.col(filename), F.col(sources)))

@@ -131,7 +131,7 @@ def convert_with(df: DataFrame, factory: Factory, limits: Limits, *keys: str, ta
                  prefix: str = "converter: ") -> DataFrame:
     """Run a user's converter and bring its outcome to the common columns.
 
-    Gives ``keys, name, markdown, text, elements, page_count, warnings, error``.
+    Gives ``keys, name, markdown, text, elements, cuts, page_count, warnings, error``.
     """
     mapped = map_status(run_converter(df, factory, *keys, tag=tag), prefix)
     elements = F.transform(
@@ -151,6 +151,7 @@ def convert_with(df: DataFrame, factory: Factory, limits: Limits, *keys: str, ta
         markdown.alias("markdown"),
         export.text_or_markdown(F.col("text"), markdown).alias("text"),
         export.echo_elements(elements, limits).alias("elements"),
+        export.echo_cuts(elements, limits).alias("cuts"),
         export.page_count(F.col("pages")).alias("page_count"),
         "warnings",
         "error",
@@ -161,7 +162,8 @@ def convert_once(df: DataFrame, convert: Callable[[DataFrame], DataFrame], row_i
     """Run ``convert`` once per distinct content, suffix and options, and give every row its outcome.
 
     ``df`` has ``row_id, content, suffix, option_key`` and what ``convert``
-    reads.  ``convert`` keeps the columns ``content_sha, suffix, option_key,
+    reads; ``row_id`` is unique.  Null contents are equal to each other, and so
+    are null suffixes and option keys: such rows come back too.  ``convert`` keeps the columns ``content_sha, suffix, option_key,
     copies``.  Worth its shuffles when converting costs more than moving a
     document.
 
@@ -170,14 +172,20 @@ def convert_once(df: DataFrame, convert: Callable[[DataFrame], DataFrame], row_i
     return through a join that spreads contents with very many copies.
     """
     keys = ["content_sha", "suffix", "option_key"]
-    hashed = through_table(
-        df.select(row_id, F.sha2("content", 256).alias("content_sha"), "suffix", "option_key"), "hashes"
-    )
+    # Keys without nulls, for the joins: a value gets a mark in front, null is the empty string.
+    hashed = through_table(df.select(row_id, *[
+        F.coalesce(F.concat(F.lit("="), value), F.lit("")).alias(name)
+        for name, value in zip(keys, (F.sha2("content", 256), F.col("suffix"), F.col("option_key")))
+    ]), "hashes")
     firsts = through_table(
         hashed.groupBy(*keys).agg(F.min(row_id).alias(row_id), F.count(F.lit(1)).alias("copies")), "firsts"
     )
-    distinct = df.drop("suffix", "option_key").join(firsts, row_id)
-    return join_many_to_one(hashed, convert(distinct).drop(row_id), keys, firsts, "copies", row_id)
+    plain = [F.when(F.col(name) != "", F.substring(name, 2, 1 << 30)).alias(name) for name in keys]
+    distinct = df.drop("suffix", "option_key").join(firsts.select(row_id, *plain, "copies"), row_id)
+    marked = {name: F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("")) for name in keys}
+    made = convert(distinct).drop(row_id).withColumns(marked)
+    joined = join_many_to_one(hashed, made, keys, firsts, "copies", row_id)
+    return joined.select(*[plain[keys.index(c)] if c in keys else c for c in joined.columns])
 
 
 def hash_mismatch(content: Column, claimed: Column) -> Column:

@@ -86,20 +86,21 @@ def get_job(jobs: DataFrame, job_id: Column | str | int) -> DataFrame:
 def retain_jobs(jobs: DataFrame, limits: Limits) -> DataFrame:
     """Jobs that stay when the table holds ``max_jobs``: live ones always, the newest finished ones beside them.
 
-    Only the finished jobs still in question, at most ``max_jobs`` of them, are
-    ranked; they come from a top-k, so no task sees the whole table.
+    Without that bound all stay.  A top-k finds the border, the place in time of
+    the oldest finished job that stays; then it is a filter, and nothing is gathered.
     """
+    if limits.max_jobs is None:
+        return jobs
     finished = F.col("status").isin(*fixed.TERMINAL_STATES)
-    live = jobs.filter(~finished)
-    room = live.agg(F.greatest(F.lit(limits.max_jobs) - F.count(F.lit(1)), F.lit(0)).alias("room")).scalar()
-    newest = jobs.filter(finished).orderBy(F.desc("created_at"), F.desc("job_id")).limit(limits.max_jobs)
-    numbered = newest.groupBy().agg(
-        F.array_sort(F.collect_list(F.struct("created_at", "job_id", F.struct(*jobs.columns).alias("job")))).alias("all")
-    )
-    kept = numbered.select(
-        F.explode(F.slice(F.reverse("all"), F.lit(1), room.cast("int"))).alias("entry")
-    ).select("entry.job.*")
-    return live.unionByName(kept)
+    room = max(limits.max_jobs - jobs.filter(~finished).count(), 0)
+    place = F.struct("created_at", "job_id")
+    newest = jobs.filter(finished).select(place.alias("place")).orderBy(F.desc("place")).limit(room)
+    border = newest.agg(F.min("place").alias("place")).first()["place"]
+    if border is None:
+        return jobs.filter(~finished)
+    after = (F.col("created_at") > F.lit(border["created_at"])) | (
+        F.col("created_at").eqNullSafe(F.lit(border["created_at"])) & (F.col("job_id") >= F.lit(border["job_id"])))
+    return jobs.filter(~finished | after)
 
 
 def event_rows(df: DataFrame, types: dict[str, str], job: str, event: str, ts: str, kind: str) -> DataFrame:

@@ -21,18 +21,18 @@ from pyspark.sql import functions as F
 from leafmill import fixed
 from leafmill.functions import export
 from leafmill.functions.options import OPTIONS, option_warnings
-from leafmill.functions.paths import base_name, format_suffix, is_archive
+from leafmill.functions.paths import base_name, format_suffix, is_archive, local_form
 from leafmill.functions.text import as_text
 from leafmill.limits import Limits
 from leafmill.operators.admission import (
-    check_request, confine, decode_inline, route, size_gate, size_refusal, typed_error, with_options,
+    check_request, confine, decode_inline, route, size_refusal, typed_error, with_options,
 )
 from leafmill.operators.archives import judge_members, merge_archive
 from leafmill.operators.assemble import assemble
 from leafmill.operators.blocks import blocks_of, extract
 from leafmill.operators.converter import Factory, convert_with
 from leafmill.sources.archives import explode_archives
-from leafmill.sources.files import write_errors, write_results
+from leafmill.sources.files import read_files, write_errors, write_results
 from leafmill.session import through_table
 
 
@@ -42,7 +42,7 @@ def _rejected(message: Column) -> Column:
 
 
 def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str],
-          resolve_links: bool = False) -> DataFrame:
+          resolve_links: bool = True) -> DataFrame:
     """Requests to documents: ``request_id, filename, suffix, content, option_key, error`` with ``error`` set on those refused.
 
     Requests that carry their bytes meet no other row, so they are not moved.
@@ -63,9 +63,10 @@ def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable
 def _opened(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str], resolve_links: bool) -> DataFrame:
     """Requests that name a file, with its content.
 
-    Sizes decide first, without any content read; only accepted files are
-    opened.  Refused requests get a key of their own in the two joins, so that
-    they do not pile up in one partition.
+    ``files`` gives locations and sizes; a content it may have is not read.
+    Sizes decide, then executors open the accepted files where their rows are.
+    Refused requests get a key of their own in the join, so that they do not
+    pile up in one partition.
     """
     confined = confine(requests, roots, resolve_links)
     keyed = confined.withColumn(
@@ -74,18 +75,20 @@ def _opened(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterab
             F.concat(F.lit("no file: "), F.col("request_id"))
         ),
     )
-    at = F.regexp_replace("path", r"\Afile:/+", "/").alias("_file")
+    at = local_form(F.col("path")).alias("_file")
     sized = keyed.join(files.select(at, F.col("length").alias("_length")), "_file", "left")
     message = (
         F.when(F.col("path_error").isNotNull(), F.col("path_error"))
         .when(F.col("_length").isNull(), F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`")))
         .otherwise(size_refusal(F.col("_length"), limits))
     )
-    opened = sized.join(size_gate(files, limits).select(at, "content"), "_file", "left")
-    return opened.select(
-        "request_id", base_name(F.col("resolved_path")).alias("filename"), format_suffix(F.col("resolved_path")).alias("suffix"),
-        "content", "option_key", _rejected(message).alias("error"),
+    decided = sized.select(
+        "request_id", "path", base_name(F.col("resolved_path")).alias("filename"), format_suffix(F.col("resolved_path")).alias("suffix"),
+        "option_key", message.alias("message"), F.when(message.isNull(), F.col("_file")).alias("location"),
     )
+    unread = F.col("location").isNotNull() & F.col("content").isNull()
+    refused = F.when(unread, F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`"))).otherwise(F.col("message"))
+    return read_files(decided).select("request_id", "filename", "suffix", "content", "option_key", _rejected(refused).alias("error"))
 
 
 def document_blocks() -> Column:
@@ -102,6 +105,7 @@ def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str,
     built_in = extract(here.withColumn("_text", as_text(F.col("content"))), blocks).select(
         *keys, "name", "markdown", "text",
         export.echo_elements(F.col("elements"), limits).alias("elements"),
+        export.echo_cuts(F.col("elements"), limits).alias("cuts"),
         F.lit(None).cast("int").alias("page_count"),
         option_warnings(F.from_json("option_key", OPTIONS), applies=readable).alias("warnings"),
         F.when(
@@ -134,7 +138,7 @@ def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = Non
         limits, blocks, "request_id", "refused", **hook,
     ).select(
         "request_id", F.col("name").alias("filename"), F.array("name").alias("sources"), "markdown", "text",
-        _with_source("elements").alias("elements"), "page_count", "warnings",
+        _with_source("elements").alias("elements"), "cuts", "page_count", "warnings",
         F.coalesce("refused", "error").alias("error"),
     )
     done = plain.unionByName(convert_archives(documents.filter(packs), limits, blocks, **hook))
@@ -166,15 +170,18 @@ def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, facto
         F.col("refusal").isNotNull(), typed_error(F.col("refusal.error_code"), F.col("refusal.error"))
     )
     return merge_archive(converted, limits, "filename", "refusal", counts=counts).select(
-        F.col("archive_id").alias("request_id"), "filename", "sources", "markdown", "text", "elements", "page_count",
+        F.col("archive_id").alias("request_id"), "filename", "sources", "markdown", "text", "elements", "cuts", "page_count",
         "warnings", refusal.alias("error"),
     )
 
 
 def run_corpus(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str], results_path: str,
-               errors_path: str, run_date: str, **hook) -> DataFrame:
-    """The batch job: converts once, then writes the result and the error table.  Gives the outcomes."""
-    made = through_table(outcomes(admit(requests, files, limits, roots), limits, **hook), "outcomes")
+               errors_path: str, run_date: str, resolve_links: bool = True, **hook) -> DataFrame:
+    """The batch job: converts once, then writes the result and the error table.  Gives the outcomes.
+
+    ``resolve_links=False`` is for file systems that are known to hold none.
+    """
+    made = through_table(outcomes(admit(requests, files, limits, roots, resolve_links), limits, **hook), "outcomes")
     write_results(made, results_path, run_date)
     write_errors(made, errors_path, run_date)
     return made

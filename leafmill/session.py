@@ -31,16 +31,6 @@ def build_session(app: str = "leafmill", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def on_all_cores(df: DataFrame) -> DataFrame:
-    """Spread a small input for costly row work.
-
-    An input with fewer partitions than there are cores is small, so moving it
-    is cheap; one of any size has more partitions and stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder the cluster names.
 

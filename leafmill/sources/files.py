@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 REQUESTS = (
     "request_id string, path string, content_base64 string, filename string, mime string, "
@@ -35,25 +40,46 @@ def load_requests(spark: SparkSession, source: str, fmt: str = "json") -> DataFr
     return parse_requests(spark.read.schema(REQUESTS).format(fmt).load(source))
 
 
-def open_files(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """Path requests with ``length`` and ``content`` of their file; null where there is none.
+def read_files(df: DataFrame, location: str = "location", flush_bytes: int = 32 << 20) -> DataFrame:
+    """Add ``content`` of the file each row names, null where there is none to read.
 
-    The join is the only shuffle of the path branch.  File paths are folded
-    to the form the requests' ``resolved_path`` has.
+    Executors open the files where their rows are, so no content is moved and
+    no file opened that nobody asked for.  The location is a local path or the
+    URI of any store that Arrow reads.
     """
-    held = files.select(
-        F.regexp_replace("path", r"\Afile:/+", "/").alias("resolved_path"), "length", "content"
-    )
-    return requests.join(held, "resolved_path", "left")
+    def read(where: str | None) -> bytes | None:
+        if where is None:
+            return None
+        try:
+            store, path = (LocalFileSystem(), where) if where.startswith("/") else FileSystem.from_uri(where)
+            with store.open_input_stream(path) as stream:
+                return stream.read()
+        except OSError:
+            return None
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start, held, size = 0, [], 0
+            for i, where in enumerate(batch.column(location).to_pylist()):
+                held.append(read(where))
+                size += len(held[-1] or b"")
+                if size >= flush_bytes or i + 1 == batch.num_rows:
+                    yield batch.slice(start, len(held)).append_column("content", pa.array(held, pa.binary()))
+                    start, held, size = i + 1, [], 0
+
+    return df.mapInArrow(opened, StructType([*df.schema.fields, StructField("content", BinaryType())]))
+
+
+def _write(rows: DataFrame, path: str, run_date: Column | str) -> None:
+    dated = rows.withColumn("run_date", F.lit(run_date))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
 
 
 def write_results(outcomes: DataFrame, path: str, run_date: Column | str) -> None:
-    """Append the succeeded results, one folder per run date."""
-    done = outcomes.filter(F.col("error").isNull()).select("request_id", "result.*")
-    done.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date").parquet(path)
+    """The succeeded results, one folder per run date; a date that runs again replaces its own folder."""
+    _write(outcomes.filter(F.col("error").isNull()).select("request_id", "result.*"), path, run_date)
 
 
 def write_errors(outcomes: DataFrame, path: str, run_date: Column | str) -> None:
-    """Append the typed failures, so none is lost and none looks like an empty document."""
-    failed = outcomes.filter(F.col("error").isNotNull()).select("request_id", "error.*")
-    failed.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date").parquet(path)
+    """The typed failures in the same way, so none is lost and none looks like an empty document."""
+    _write(outcomes.filter(F.col("error").isNotNull()).select("request_id", "error.*"), path, run_date)

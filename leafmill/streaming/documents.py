@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leafmill.functions.paths import base_name
+from leafmill.functions.paths import base_name, local_form
 from leafmill.limits import Limits
-from leafmill.operators.admission import typed_error, size_refusal, with_options, with_suffix
+from leafmill.operators.admission import confine, size_refusal, typed_error, with_options, with_suffix
 from leafmill.plans.corpus import outcomes
 from leafmill.fixed import INPUT_REJECTED
+from leafmill.sources.files import read_files
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arriving_documents(files: DataFrame, limits: Limits) -> DataFrame:
-    """Files as documents under default options; the path is the request id."""
-    message = size_refusal(F.col("length"), limits)
-    taken = files.select(
-        F.col("path").alias("request_id"), base_name(F.col("path")).alias("filename"),
-        F.when(message.isNull(), F.col("content")).alias("content"),
+def arriving_documents(files: DataFrame, limits: Limits, roots: Iterable[str], resolve_links: bool = True) -> DataFrame:
+    """Files as documents under default options; the path is the request id.
+
+    The rules are those of requests that name a file: roots, links, size.
+    Refused files stay closed.
+    """
+    confined = confine(files.select("path", "length"), roots, resolve_links)
+    decided = confined.withColumn("_message", F.coalesce("path_error", size_refusal(F.col("length"), limits)))
+    opened = read_files(decided.withColumn("location", F.when(F.col("_message").isNull(), local_form(F.col("path")))))
+    unread = F.col("location").isNotNull() & F.col("content").isNull()
+    message = F.when(unread, F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`"))).otherwise(F.col("_message"))
+    taken = opened.select(
+        F.col("path").alias("request_id"), base_name(F.col("path")).alias("filename"), "content",
         F.parse_json(F.lit("{}")).alias("options"),
         F.when(message.isNotNull(), typed_error(INPUT_REJECTED, message)).alias("error"),
     )
@@ -28,7 +38,7 @@ def arriving_documents(files: DataFrame, limits: Limits) -> DataFrame:
 
 
 def stream_documents(spark: SparkSession, directory: str, out: str, checkpoint: str, limits: Limits,
-                     glob: str | None = None, files_per_batch: int = 1000, once: bool = False, **hook) -> StreamingQuery:
+                     roots: Iterable[str], glob: str | None = None, resolve_links: bool = True, files_per_batch: int = 1000, once: bool = False, **hook) -> StreamingQuery:
     """Start the stream.  Outcomes go to ``out``, a folder per micro-batch.
 
     A batch that runs again after a failure overwrites its own folder, so each
@@ -42,7 +52,7 @@ def stream_documents(spark: SparkSession, directory: str, out: str, checkpoint:
         reader = reader.option("pathGlobFilter", glob)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        made = outcomes(arriving_documents(batch, limits), limits, **hook)
+        made = outcomes(arriving_documents(batch, limits, roots, resolve_links), limits, **hook)
         made.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = reader.load(directory).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -15,7 +15,7 @@ from leafmill import Limits
 from leafmill.operators.archives import archive_verdict
 from leafmill.plans.corpus import admit, outcomes, run_corpus
 from leafmill.sources.archives import explode_archives
-from leafmill.sources.files import load_requests, scan_documents
+from leafmill.sources.files import load_requests, parse_requests, scan_documents
 from leafmill.streaming.documents import poll, stream_documents
 
 
@@ -160,7 +160,6 @@ def test_the_budget_reaches_archives(run):
 
 def test_sinks_lose_nothing(spark, tmp_path):
     rows = [("1", None, "eA==", "x.txt", None), ("2", None, "@@", "x.txt", None), ("3", None, None, None, None), ("4", None, "eA==", "x.pdf", None)]
-    from leafmill.sources.files import parse_requests
 
     requests = parse_requests(spark.createDataFrame(rows, "request_id string, path string, content_base64 string, filename string, options string"))
     files = spark.createDataFrame([], "path string, length bigint, content binary")
@@ -178,7 +177,7 @@ def test_stream_takes_files_as_they_come(spark, tmp_path):
         for i in range(3):
             (source / f"{wave}-{i}.md").write_text(f"# Doc {wave}{i}")
         (source / f"{wave}.bin").write_bytes(b"x")
-        stream_documents(spark, str(source), out, checkpoint, Limits(), files_per_batch=2, once=True).awaitTermination()
+        stream_documents(spark, str(source), out, checkpoint, Limits(), [str(source)], files_per_batch=2, once=True).awaitTermination()
     rows = poll(spark, out).collect()
     assert len(rows) == 8 and len({r.request_id for r in rows}) == 8
     assert sorted(r.result.markdown for r in rows if r.result) == [f"# Doc {w}{i}" for w in range(2) for i in range(3)]
@@ -202,3 +201,49 @@ def test_member_hook_converts_inside_archives(run):
                factory=factory, families=["pdf"], tag="t")
     assert made["a"].result.markdown == "# x.pdf\n\nM 1\n\n# y.txt\n\nt" and made["a"].result.metadata.page_count == 2
     assert made["p"].result.markdown == "M 2" and made["p"].result.text == "M 2"
+
+
+def test_a_default_job_keeps_every_element(run):
+    made = run({"long": {"path": f"{run.root}/long.txt"}}, {"long.txt": "\n\n".join(f"block {i} " + "x" * (3000 if i == 7 else 1) for i in range(5000)).encode()})
+    result = made["long"].result
+    assert len(result.elements) == 5000 and max(len(e.text) for e in result.elements) > 3000
+    assert tuple(result.metadata.cuts) == (0, 0)
+
+
+def test_only_requested_files_are_opened_and_no_content_is_moved(spark, tmp_path):
+    """An unreadable file that nobody asked for is never opened; one that was asked for has a typed error."""
+    (tmp_path / "a.md").write_text("# A")
+    (tmp_path / "gone.md").write_text("# B")
+    files = scan_documents(spark, str(tmp_path)).select("path", "length")
+    listed = spark.createDataFrame(files.collect(), files.schema)
+    (tmp_path / "gone.md").unlink()
+    rows = [(k, f"{tmp_path}/{k}.md", None, None, None) for k in ("a", "gone")]
+    requests = parse_requests(spark.createDataFrame(rows, "request_id string, path string, content_base64 string, filename string, options string"))
+    documents = admit(requests, listed, Limits(), [str(tmp_path)])
+    made = {r.request_id: r for r in documents.collect()}
+    assert bytes(made["a"].content) == b"# A" and "cannot open" in made["gone"].error.error
+    wide = admit(requests, scan_documents(spark, str(tmp_path)), Limits(), [str(tmp_path)])
+    for line in wide._jdf.queryExecution().executedPlan().toString().split("\n"):
+        if "binaryFile" in line:
+            assert "content" not in line
+
+
+def test_run_corpus_refuses_links_out_of_the_roots(spark, tmp_path):
+    root, aside = tmp_path / "root", tmp_path / "aside"
+    root.mkdir()
+    aside.mkdir()
+    (aside / "hidden.txt").write_text("private words")
+    (root / "own.txt").write_text("own words")
+    (root / "out.txt").symlink_to(aside / "hidden.txt")
+    (root / "in.txt").symlink_to(root / "own.txt")
+    rows = [(k, f"{root}/{k}.txt", None, None, None) for k in ("own", "out", "in")]
+    requests = parse_requests(spark.createDataFrame(rows, "request_id string, path string, content_base64 string, filename string, options string"))
+    results, errors = str(tmp_path / "r"), str(tmp_path / "e")
+    for _ in range(2):  # a date that runs again replaces its rows
+        run_corpus(requests, scan_documents(spark, str(root)), Limits(), [str(root)], results, errors, "2024-01-01")
+    assert sorted(r.request_id for r in spark.read.parquet(results).collect()) == ["in", "own"]
+    assert [r.request_id for r in spark.read.parquet(errors).collect()] == ["out"]
+    out, checkpoint = str(tmp_path / "s"), str(tmp_path / "c")
+    stream_documents(spark, str(root), out, checkpoint, Limits(), [str(root)], once=True).awaitTermination()
+    taken = {r.request_id.rsplit("/", 1)[1]: r for r in poll(spark, out).collect()}
+    assert "private" not in str(taken) and taken["own.txt"].result.markdown == "own words" and taken["out.txt"].error is not None

@@ -153,28 +153,31 @@ def test_element_sizes_and_prefix(spark):
 
 
 def test_one_budget_for_all_three(spark):
-    budget = Limits().max_output_bytes
+    budget = 1 << 20
     rows = [("over", "x" * (budget + 1024), "y" * 5000, 1), ("fat", "", "", 64)]
     record = "struct<id:string,category:string,text:string,page_number:int,level:int>"
     df = spark.createDataFrame(rows, "k string, markdown string, text string, n int").withColumn(
         "elements", F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.struct(
             i.cast("string").alias("id"), F.lit("").alias("category"), F.repeat(F.lit("z"), F.lit(512)).alias("text"),
             F.lit(None).cast("int").alias("page_number"), F.lit(None).cast("int").alias("level")).cast(record)))
-    over = apply_budget(df.filter("k = 'over'"), Limits()).first()
+    over = apply_budget(df.filter("k = 'over'"), Limits(max_output_bytes=budget)).first()
     assert len(over.markdown) == budget and over.text == "" and over.elements == [] and over.truncated
     fat = apply_budget(df.filter("k = 'fat'"), Limits(max_output_bytes=4096)).first()
     assert 0 < len(fat.elements) < 64 and fat.truncated
     whole = apply_budget(df.filter("k = 'fat'"), Limits()).first()
     assert len(whole.elements) == 64 and not whole.truncated
+    free = apply_budget(df, Limits()).collect()
+    assert [len(r.markdown) for r in free] == [budget + 1024, 0] and not any(r.truncated for r in free)
 
 
-def test_element_caps_do_not_count_as_truncation(spark):
+def test_element_caps_are_counted_and_are_no_truncation(spark):
     df = spark.range(1).select(F.lit("m").alias("markdown"), F.lit("t").alias("text"), F.array(F.struct(
         F.lit("1").alias("id"), F.lit("Text").alias("category"), F.lit("abc").alias("text"),
         F.lit(None).cast("int").alias("page_number"), F.lit(None).cast("int").alias("level"))).alias("elements"))
-    for limits in (Limits(max_elements=0), Limits(max_element_chars=1)):
-        row = apply_budget(df.withColumn("elements", export.echo_elements(F.col("elements"), limits)), limits).first()
-        assert row.truncated is False and len(row.elements) == limits.max_elements // 2000
+    for limits, shown, cuts in ((Limits(max_elements=0), 0, (1, 0)), (Limits(max_element_chars=1), 1, (0, 1)), (Limits(), 1, (0, 0))):
+        cut = df.withColumn("cuts", export.echo_cuts(F.col("elements"), limits))
+        row = apply_budget(cut.withColumn("elements", export.echo_elements(F.col("elements"), limits)), limits).first()
+        assert row.truncated is False and len(row.elements) == shown and tuple(row.cuts) == cuts
 
 
 T0 = dt.datetime(2024, 1, 1)
