@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from typing import Any
 
@@ -69,6 +70,8 @@ def line_converter(options: dict[str, Any]) -> Callable[[str, bytes], dict[str,
     def convert(name: str, content: bytes) -> dict[str, Any]:
         text = content.decode("utf-8")
         lines = text.split("\n")
+        if name.endswith(".slow"):
+            time.sleep(60)
         if name.endswith(".bad"):
             raise ValueError("this format is not supported")
         if name.endswith(".none"):
@@ -90,30 +93,33 @@ def line_converter(options: dict[str, Any]) -> Callable[[str, bytes], dict[str,
     return convert
 
 
+line_converter.honoured = ("ocr_engine", "ocr_languages", "table_structure")
+
+
 @query(r"""
 WITH named AS (
-  SELECT doc_id, text, source || CASE doc_id % 6 WHEN 0 THEN '.pdf' WHEN 1 THEN '.bad' WHEN 2 THEN '.none' WHEN 3 THEN '.part' WHEN 4 THEN '.docx' ELSE '.ocr' END AS name,
-    doc_id % 6 IN (0, 3, 4) AS good, string_split(text, chr(10)) AS lines FROM documents
+  SELECT doc_id, text, source || CASE WHEN doc_id % 997 = 8 THEN '.slow' ELSE CASE doc_id % 6 WHEN 0 THEN '.pdf' WHEN 1 THEN '.bad' WHEN 2 THEN '.none' WHEN 3 THEN '.part' WHEN 4 THEN '.docx' ELSE '.ocr' END END AS name,
+    doc_id % 6 IN (0, 3, 4) AND doc_id % 997 <> 8 AS good, string_split(text, chr(10)) AS lines FROM documents
 )
 SELECT doc_id, name, CASE WHEN good THEN '# ' || name || chr(10) || chr(10) || text ELSE '' END AS markdown,
   CASE WHEN NOT good THEN '' WHEN doc_id % 6 = 3 THEN '# ' || name || chr(10) || chr(10) || text ELSE text END AS text,
   CASE WHEN good THEN (len(lines) + 9) // 10 END::INT AS page_count,
   CASE WHEN good THEN least(len([l for l in lines if trim(l) <> '']), 20) ELSE 0 END::INT AS element_count,
   CASE WHEN good AND len([l for l in lines if trim(l) <> '']) >= 20 THEN 1 + (list_extract([i for i in range(len(lines)) if trim(lines[(i + 1)::INT]) <> ''], 20)) // 10 END::INT AS page_of_20,
-  CASE doc_id % 6 WHEN 3 THEN 'the conversion is partial: some pages or elements were skipped;converter: page 1 is blurred' ELSE '' END AS warnings,
-  CASE doc_id % 6 WHEN 1 THEN 'unsupported_format' WHEN 2 THEN 'parse_failed' WHEN 5 THEN 'library_missing' END AS error_code,
-  CASE doc_id % 6 WHEN 1 THEN 'the converter does not take `' || name || '`: ValueError: this format is not supported'
-    WHEN 2 THEN 'the converter returned no document for `' || name || '` (status=SKIPPED)' WHEN 5 THEN 'no module named ocrmac' END AS error
+  CASE doc_id % 6 WHEN 4 THEN 'ocr ignored: text is read as it is stored, no page image is recognised' WHEN 3 THEN 'the conversion is partial: some pages or elements were skipped;converter: page 1 is blurred' ELSE '' END AS warnings,
+  CASE WHEN doc_id % 997 = 8 THEN 'timeout' ELSE CASE doc_id % 6 WHEN 1 THEN 'unsupported_format' WHEN 2 THEN 'parse_failed' WHEN 5 THEN 'library_missing' END END AS error_code,
+  CASE WHEN doc_id % 997 = 8 THEN 'the conversion ran past the 1s limit' ELSE CASE doc_id % 6 WHEN 1 THEN 'the converter does not take `' || name || '`: ValueError: this format is not supported'
+    WHEN 2 THEN 'the converter returned no document for `' || name || '` (status=SKIPPED)' WHEN 5 THEN 'no module named ocrmac' END END AS error
 FROM named
 """)
 def converter_hook(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.col("doc_id")
     named = table(spark, sf, "documents", "doc_id", "text", "source").select(
-        "doc_id", F.concat("source", _pick(doc, ".pdf", ".bad", ".none", ".part", ".docx", ".ocr")).alias("name"),
+        "doc_id", F.concat("source", F.when(doc % 997 == 8, ".slow").otherwise(_pick(doc, ".pdf", ".bad", ".none", ".part", ".docx", ".ocr"))).alias("name"),
         F.encode("text", "UTF-8").alias("content"),
-        F.when(doc % 6 == 5, '{"ocr_engine":"ocrmac"}').otherwise("{}").alias("option_key"),
+        F.when(doc % 6 == 5, '{"ocr_engine":"ocrmac"}').when(doc % 6 == 4, '{"ocr":true}').otherwise("{}").alias("option_key"),
     )
-    done = convert_with(named, line_converter, Limits(max_elements=20), "doc_id", tag="lines")
+    done = convert_with(named, line_converter, Limits(max_elements=20, timeout_secs=1), "doc_id", tag="lines")
     return done.select(
         "doc_id", "name", "markdown", "text", "page_count", F.size("elements").alias("element_count"),
         F.get("elements", F.lit(19))["page_number"].alias("page_of_20"), F.array_join("warnings", ";").alias("warnings"),

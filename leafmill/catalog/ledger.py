@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.catalog.registry import query, table
@@ -18,15 +18,16 @@ _NOW = "2024-01-02 00:00:00"
 
 _FOLD_SQL = """
 WITH ends AS (
-  SELECT user_id, arg_min(event_type, (ts, event_id)) AS kind, min(ts) AS ts, min((ts, event_id)) AS place
+  SELECT user_id, arg_min(event_type, (ts, event_id)) AS kind, min(ts) AS ts, min((ts, event_id)) AS place, arg_min(event_id, (ts, event_id)) AS end_id
   FROM {events} WHERE event_type IN ('click', 'purchase', 'error') GROUP BY user_id
 ), begins AS (
   SELECT user_id, min((ts, event_id)) AS place, min(ts) AS ts FROM {events} WHERE event_type = 'view' GROUP BY user_id
 ), submits AS (
-  SELECT user_id, min(ts) AS ts FROM {events} WHERE event_type = 'signup' GROUP BY user_id
+  SELECT user_id, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS first_id FROM {events} WHERE event_type = 'signup' GROUP BY user_id
 ), folded AS (
   SELECT u.user_id AS job_id, s.ts AS created_at, CASE WHEN e.place IS NULL OR b.place < e.place THEN b.ts END AS started_at,
-    e.ts AS finished_at, e.kind
+    e.ts AS finished_at, e.kind, 'f' || first_id || '.pdf' AS filename, CASE WHEN kind = 'error' THEN 'parse_failed' END AS error_code,
+    CASE WHEN kind = 'error' THEN 'event ' || end_id || ' failed' END AS error, CASE WHEN kind = 'error' THEN 'tool' ELSE '' END AS missing
   FROM (SELECT DISTINCT user_id FROM {events}) u LEFT JOIN ends e USING (user_id) LEFT JOIN begins b USING (user_id)
     LEFT JOIN submits s USING (user_id)
 ), jobs AS (
@@ -39,11 +40,23 @@ _ALL_SQL = _FOLD_SQL.format(events="events")
 # Jobs named by user and page of a shop window: many more jobs, most of them unfinished.
 _MANY = "(SELECT user_id * 100 + hour(ts) AS user_id, event_id, ts, event_type FROM events)"
 _MANY_SQL = _FOLD_SQL.format(events=_MANY)
-_SHOW = """job_id, status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us, epoch_us(finished_at) AS finished_us"""
+_SHOW = """job_id, status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us, epoch_us(finished_at) AS finished_us,
+  filename, error_code, error, missing"""
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.event_rows(table(spark, sf, "events"), _TYPES, "user_id", "event_id", "ts", "event_type")
+    return jobs.event_rows(table(spark, sf, "events"), _TYPES, "user_id", "event_id", "ts", "event_type", **_details())
+
+
+def _details() -> dict[str, Column]:
+    """A submission names a file; an error tells what failed and what was missing."""
+    failed = F.col("event_type") == "error"
+    return {
+        "filename": F.when(F.col("event_type") == "signup", F.concat(F.lit("f"), F.col("event_id").cast("string"), F.lit(".pdf"))),
+        "error_code": F.when(failed, "parse_failed"),
+        "error": F.when(failed, F.concat(F.lit("event "), F.col("event_id").cast("string"), F.lit(" failed"))),
+        "missing_dependencies": F.when(failed, F.array(F.lit("tool"))),
+    }
 
 
 def _hourly_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +75,8 @@ def _shown(df: DataFrame, *more: str) -> DataFrame:
 
     return df.select(
         "job_id", "status", micros("created_at").alias("created_us"), micros("started_at").alias("started_us"),
-        micros("finished_at").alias("finished_us"), *more,
+        micros("finished_at").alias("finished_us"), *(more or ("filename", "error_code", "error")),
+        *([] if more else [F.array_join("missing_dependencies", ";").alias("missing")]),
     )
 
 
@@ -82,7 +96,7 @@ _DEADLINE_SQL = _MANY_SQL + f"""
 
 @query(_DEADLINE_SQL + """
 SELECT job_id, CASE WHEN late THEN 'failed' ELSE status END AS status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us,
-  epoch_us(CASE WHEN late THEN deadline ELSE finished_at END) AS finished_us, CASE WHEN late THEN 'timeout' END AS error_code
+  epoch_us(CASE WHEN late THEN deadline ELSE finished_at END) AS finished_us, CASE WHEN late THEN 'timeout' ELSE error_code END AS error_code
 FROM marked
 """)
 def job_timeouts(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +133,7 @@ def ledger_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The whole event table as a stream, folded in micro-batches, then read back."""
     source = table(spark, sf, "events")
     arriving = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    events = jobs.event_rows(arriving, _TYPES, "user_id", "event_id", "ts", "event_type")
+    events = jobs.event_rows(arriving, _TYPES, "user_id", "event_id", "ts", "event_type", **_details())
     out, checkpoint = work_dir(spark, "ledger"), work_dir(spark, "ledger-checkpoint")
     start_ledger(events, out, checkpoint, once=True).awaitTermination()
     return _shown(current_ledger(spark, out))

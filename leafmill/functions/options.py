@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leafmill import fixed
 
 OPTIONS = "struct<ocr:boolean,ocr_engine:string,ocr_languages:array<string>,table_structure:boolean>"
+HINTS = ("ocr", "ocr_engine", "ocr_languages", "table_structure")
 
 
 def normalise_options(options: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
@@ -14,6 +15,7 @@ from pyspark.sql.types import StructType
 from leafmill import fixed
 from leafmill.functions import export
 from leafmill.functions.failures import classify_failure, status_error, status_warnings
+from leafmill.functions.options import HINTS, OPTIONS, option_warnings
 from leafmill.limits import Limits
 from leafmill.operators.admission import typed_error
 from leafmill.operators.skew import join_many_to_one
@@ -49,7 +51,29 @@ def _failure(code: str | None, exc: Exception) -> dict[str, Any]:
     return {"failure_code": code, "failure": text, "missing": list(getattr(exc, "missing", []))}
 
 
-def _convert(factory: Factory, tag: str, key: str, name: str, content: bytes) -> dict[str, Any]:
+def _within(seconds: float | None, work: Callable[[], Any]) -> Any:
+    """The result of ``work``; a ``TimeoutError`` once the deadline is over.  The work itself is left behind in its thread."""
+    if seconds is None:
+        return work()
+    box: dict[str, Any] = {}
+
+    def run() -> None:
+        try:
+            box["made"] = work()
+        except BaseException as exc:  # raised again where it is waited for
+            box["failed"] = exc
+
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if thread.is_alive():
+        raise TimeoutError(f"the conversion ran past the {seconds:g}s limit")
+    if "failed" in box:
+        raise box["failed"]
+    return box["made"]
+
+
+def _convert(factory: Factory, tag: str, key: str, name: str, content: bytes, seconds: float | None = None) -> dict[str, Any]:
     try:
         converter = _BUILT.get((tag, key))
         if converter is None:
@@ -61,7 +85,10 @@ def _convert(factory: Factory, tag: str, key: str, name: str, content: bytes) ->
     except Exception as exc:  # a bad factory must not lose the row
         return _failure(None, exc)
     try:
-        made = converter(name, bytes(content))
+        made = _within(seconds, lambda: converter(name, bytes(content)))
+    except TimeoutError as exc:
+        _BUILT.pop((tag, key), None)  # it may still be at work on that document
+        return _failure(fixed.TIMEOUT, exc)
     except Exception as exc:  # nor may a bad document
         return _failure(None, exc)
     row = {field: made.get(field) for field in _FIELDS}
@@ -70,27 +97,39 @@ def _convert(factory: Factory, tag: str, key: str, name: str, content: bytes) ->
     return row
 
 
-def run_converter(df: DataFrame, factory: Factory, *keys: str, tag: str = "") -> DataFrame:
+def _weight(row: Mapping[str, Any]) -> int:
+    return len(row.get("markdown") or "") + len(row.get("text") or "") + sum(len(e.get("text") or "") + 100 for e in row.get("elements") or ())
+
+
+def run_converter(df: DataFrame, factory: Factory, *keys: str, tag: str = "", timeout_secs: float | None = None,
+                  flush_chars: int = 16 << 20) -> DataFrame:
     """``(keys..., name, content, option_key)`` to ``(keys..., name, CONVERTED)``.
 
     Rows stay in their partitions: option keys are few and very uneven, so a
     shuffle on them would put most documents into one task.  Each worker
-    builds a converter per option key it meets and keeps it.
+    builds a converter per option key it meets and keeps it.  A document that
+    takes longer than ``timeout_secs`` fails alone; outputs leave in portions of
+    about ``flush_chars``.
     """
     carried = [*keys, "name"]
     made_fields = StructType.fromDDL(CONVERTED)
     schema = StructType([*df.select(*carried).schema, *made_fields])
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [
-                _convert(factory, tag, key, name, content)
-                for key, name, content in zip(batch["option_key"], batch["name"], batch["content"])
-            ]
-            out = batch[carried].copy()
+        def portion(rows: pd.DataFrame, made: list[dict[str, Any]]) -> pd.DataFrame:
+            out = rows[carried].copy()
             for column in made_fields.names:
                 out[column] = [row.get(column) for row in made]
-            yield out
+            return out
+
+        for batch in batches:
+            start, made, size = 0, [], 0
+            for i, (key, name, content) in enumerate(zip(batch["option_key"], batch["name"], batch["content"])):
+                made.append(_convert(factory, tag, key, name, content, timeout_secs))
+                size += _weight(made[-1])
+                if size >= flush_chars or i + 1 == len(batch):
+                    yield portion(batch.iloc[start : i + 1], made)
+                    start, made, size = i + 1, [], 0
 
     ship_package(df.sparkSession)
     needed = dict.fromkeys([*carried, "content", "option_key"])
@@ -131,9 +170,15 @@ def convert_with(df: DataFrame, factory: Factory, limits: Limits, *keys: str, ta
                  prefix: str = "converter: ") -> DataFrame:
     """Run a user's converter and bring its outcome to the common columns.
 
+    A factory may name the hints it follows in an attribute ``honoured``; the
+    others leave a warning.  Without it, it is taken to follow all.
+
     Gives ``keys, name, markdown, text, elements, cuts, page_count, warnings, error``.
     """
-    mapped = map_status(run_converter(df, factory, *keys, tag=tag), prefix)
+    carried = dict.fromkeys([*keys, "option_key"])
+    mapped = map_status(run_converter(df, factory, *carried, tag=tag, timeout_secs=limits.timeout_secs), prefix)
+    honoured = getattr(factory, "honoured", HINTS)
+    hints = F.when(F.col("error").isNull(), option_warnings(F.from_json("option_key", OPTIONS), honoured))
     elements = F.transform(
         F.coalesce("elements", F.array().cast(RAW_ELEMENTS)),
         lambda e: F.struct(
@@ -153,7 +198,7 @@ def convert_with(df: DataFrame, factory: Factory, limits: Limits, *keys: str, ta
         export.echo_elements(elements, limits).alias("elements"),
         export.echo_cuts(elements, limits).alias("cuts"),
         export.page_count(F.col("pages")).alias("page_count"),
-        "warnings",
+        F.concat(F.coalesce(hints, F.array().cast("array<string>")), "warnings").alias("warnings"),
         "error",
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leafmill.operators.ledger import event_fold, fold_to_jobs
+from leafmill.operators.ledger import event_fold, fold_to_jobs, with_details
 
 
 def stream_ledger(events: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -18,7 +18,7 @@ def stream_ledger(events: DataFrame, out: str, checkpoint: str, once: bool = Fal
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    folded = events.groupBy("job_id").agg(*event_fold())
+    folded = with_details(events).groupBy("job_id").agg(*event_fold())
     writer = (
         folded.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     )
