@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +14,9 @@ from leafmill.functions.paths import inline_suffix, is_archive, member_name, mem
 from leafmill.limits import Limits
 from leafmill.operators.admission import check_request, confine, decode_inline, route, with_suffix
 from leafmill.sources.files import parse_requests
+from leafmill.session import work_dir
 
-_ROOTS = ["/srv/docs", "/data"]
+_ROOTS = ["/srv/docs", "/data", "s3a://own/in", "hdfs://node:8020/"]
 
 
 def _pick(number: Column, *choices: Column | str | None) -> Column:
@@ -51,16 +55,18 @@ def request_check(spark: SparkSession, sf: str) -> DataFrame:
 _PATHS_SQL = """
 WITH shaped AS (
   SELECT page_id, split_part(url, '/', 3) AS host,
-    CASE page_id % 8 WHEN 0 THEN '/srv/docs/' || split_part(url, '/', 3) || '/a.md' WHEN 1 THEN '/srv/docs/../secret/' || page_id
+    CASE page_id % 12 WHEN 0 THEN '/srv/docs/' || split_part(url, '/', 3) || '/a.md' WHEN 1 THEN '/srv/docs/../secret/' || page_id
       WHEN 2 THEN '/srv/docsx/' || page_id WHEN 3 THEN ' /srv/./docs//' || page_id || '/x/../y.html  '
-      WHEN 4 THEN 'docs/' || page_id WHEN 5 THEN '' WHEN 6 THEN 'file:///data/' || page_id || '/' ELSE '/../../srv/docs' END AS path,
-    CASE page_id % 8 WHEN 0 THEN '/srv/docs/' || split_part(url, '/', 3) || '/a.md' WHEN 1 THEN '/srv/secret/' || page_id
+      WHEN 4 THEN 'docs/' || page_id WHEN 5 THEN '' WHEN 6 THEN 'file:///data/' || page_id || '/' WHEN 7 THEN '/../../srv/docs'
+      WHEN 8 THEN 's3a://own/in/./a//' || page_id WHEN 9 THEN 's3a://own/in/../' || page_id WHEN 10 THEN 'HDFS://node:8020/x/' || page_id ELSE 's3a://other/in/' || page_id END AS path,
+    CASE page_id % 12 WHEN 0 THEN '/srv/docs/' || split_part(url, '/', 3) || '/a.md' WHEN 1 THEN '/srv/secret/' || page_id
       WHEN 2 THEN '/srv/docsx/' || page_id WHEN 3 THEN '/srv/docs/' || page_id || '/y.html'
-      WHEN 6 THEN '/data/' || page_id WHEN 7 THEN '/srv/docs' END AS resolved_path
+      WHEN 6 THEN '/data/' || page_id WHEN 7 THEN '/srv/docs'
+      WHEN 8 THEN 's3a://own/in/a/' || page_id WHEN 9 THEN 's3a://own/' || page_id WHEN 10 THEN 'hdfs://node:8020/x/' || page_id WHEN 11 THEN 's3a://other/in/' || page_id END AS resolved_path
   FROM pages
 )
-SELECT page_id, resolved_path, CASE WHEN page_id % 8 = 5 THEN 'missing `path`'
-  WHEN page_id % 8 IN (1, 2, 4) THEN '`' || path || '` resolves outside the allowed roots (/srv/docs, /data)' END AS path_error
+SELECT page_id, resolved_path, CASE WHEN page_id % 12 = 5 THEN 'missing `path`'
+  WHEN page_id % 12 IN (1, 2, 4, 9, 11) THEN '`' || path || '` resolves outside the allowed roots (/srv/docs, /data, s3a://own/in, hdfs://node:8020/)' END AS path_error
 FROM shaped
 """
 
@@ -79,6 +85,10 @@ def _paths(spark: SparkSession, sf: str) -> DataFrame:
             "",
             F.concat(F.lit("file:///data/"), text, F.lit("/")),
             "/../../srv/docs",
+            F.concat(F.lit("s3a://own/in/./a//"), text),
+            F.concat(F.lit("s3a://own/in/../"), text),
+            F.concat(F.lit("HDFS://node:8020/x/"), text),
+            F.concat(F.lit("s3a://other/in/"), text),
         ).alias("path"),
     )
 
@@ -88,9 +98,27 @@ def path_confinement(spark: SparkSession, sf: str) -> DataFrame:
     return confine(_paths(spark, sf), _ROOTS, resolve_links=False).drop("path")
 
 
-@query(_PATHS_SQL)
+@query("""
+WITH shaped AS (
+  SELECT page_id, CASE page_id % 4 WHEN 0 THEN '/root/in/' WHEN 1 THEN '/root/out/' WHEN 2 THEN '/root/docs/../out/../' ELSE '/root/docs/' END || page_id AS path,
+    CASE page_id % 4 WHEN 0 THEN '/root/docs/' WHEN 1 THEN '/aside/deep/' WHEN 2 THEN '/aside/' ELSE '/root/docs/' END || page_id AS resolved_path FROM pages
+)
+SELECT page_id, resolved_path, CASE WHEN page_id % 4 IN (1, 2) THEN '`' || path || '` resolves outside the allowed roots (/root)' END AS path_error FROM shaped
+""")
 def resolved_confinement(spark: SparkSession, sf: str) -> DataFrame:
-    return confine(_paths(spark, sf), _ROOTS, resolve_links=True).drop("path")
+    """Real links in a folder of its own: ``in`` leads to a folder inside the root, ``out`` to one beside it."""
+    folder = work_dir(spark, "links")
+    # Its name is hidden from the result; a file system that links have, as the query is about those.
+    base = Path(os.path.realpath(folder.removeprefix("file://").removeprefix("file:")))
+    (base / "root" / "docs").mkdir(parents=True)
+    (base / "aside" / "deep").mkdir(parents=True)
+    (base / "root" / "in").symlink_to(base / "root" / "docs")
+    (base / "root" / "out").symlink_to(base / "aside" / "deep")
+    text = F.col("page_id").cast("string")
+    lead = _pick(F.col("page_id"), "/root/in/", "/root/out/", "/root/docs/../out/../", "/root/docs/")
+    paths = table(spark, sf, "pages").select("page_id", F.concat(F.lit(str(base)), lead, text).alias("path"))
+    made = confine(paths, [f"{base}/root"])
+    return made.select("page_id", *[F.replace(c, F.lit(str(base)), F.lit("")).alias(c) for c in ("resolved_path", "path_error")])
 
 
 @query(r"""

@@ -60,7 +60,7 @@ def html_blocks(html: Column) -> Column:
     )
     marked = F.replace(marked, F.lit(MARK + MARK_ATTR + MARK_END), F.lit(""))
     body = F.regexp_replace(F.regexp_replace(marked, _HEAD, ""), _BREAK, " ")
-    ready = squeeze(decode_entities(body))
+    ready = _without_inner_tables(squeeze(decode_entities(body)))
 
     def by_segment(text: Column) -> Column:
         return F.flatten(
@@ -78,6 +78,40 @@ def html_blocks(html: Column) -> Column:
     )
 
 
+def _without_inner_tables(text: Column) -> Column:
+    """Tables inside a cell of another give their text to that cell."""
+    def opens(piece: Column) -> Column:
+        return piece.rlike(rf"(?i)\A{MARK}table{MARK_ATTR}")
+
+    def closes(piece: Column) -> Column:
+        return piece.rlike(rf"(?i){MARK}/table{MARK_ATTR}{MARK_END}\z")
+
+    def step(state: Column, piece: Column) -> Column:
+        depth = state["depth"] + opens(piece).cast("int")
+        inner = F.regexp_replace(piece, rf"(?i){MARK}/?t(?:able|r|d|h){MARK_ATTR}[^{MARK_END}]*{MARK_END}", " ")
+        return F.struct(
+            F.greatest(depth - closes(piece).cast("int"), F.lit(0)).alias("depth"),
+            F.array_append(state["out"], F.when(depth > 1, inner).otherwise(piece)).alias("out"),
+        )
+
+    def flat(pieces: Column) -> Column:
+        start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(pieces, start, step, lambda state: F.array_join(state["out"], ""))
+
+    def nested(pieces: Column) -> Column:
+        """Whether a table opens before the last one ended."""
+        return F.exists(
+            F.transform(pieces, lambda piece, i: opens(piece) & ~closes(piece) & F.coalesce(opens(F.get(pieces, i + 1)), F.lit(False))),
+            lambda found: found,
+        )
+
+    def resolved(text: Column) -> Column:
+        return let(F.split(text, _AROUND_TABLES), lambda pieces: F.when(nested(pieces), flat(pieces)).otherwise(text))
+
+    # Most texts have no table and are not split.
+    return let(text, lambda t: F.when(t.rlike(rf"(?i){MARK}table{MARK_ATTR}"), resolved(t)).otherwise(t))
+
+
 def _flow(text: Column) -> Column:
     """Marked text outside tables: each mark starts a block."""
     def parse(piece: Column) -> Column:

@@ -147,3 +147,10 @@ def test_csv_corner_cases(blocks):
 def test_xml_rules(blocks):
     source = '<?xml version="1.0"?><!DOCTYPE r><r a="1">\n<a>x &amp; y</a><!-- <b>no</b> --><b/><![CDATA[1 < 2 &amp; ]]>z<c>&#233;</c></r>'
     assert blocks(xml_blocks, source) == [("Text", None, "x & y"), ("Text", None, "1 < 2 &amp; z"), ("Text", None, "é")]
+
+
+def test_inner_tables_give_their_text_to_the_cell(blocks):
+    nested = "<table><tr><td>A</td><td>x<table><tr><td>in</td><td>ner</td></tr></table>y</td></tr><tr><td>B</td><td>C</td></tr></table><p>after</p>"
+    twice = "<table><tr><td>a<table><tr><td>b<table><tr><td>c</td></tr></table></td></tr></table></td><td>d</td></tr></table>"
+    assert blocks(html_blocks, nested) == [("Table", None, "| A | x in ner y |\n| --- | --- |\n| B | C |"), ("Text", None, "after")]
+    assert blocks(html_blocks, twice) == [("Table", None, "| a b c | d |\n| --- | --- |")]

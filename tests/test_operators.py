@@ -235,3 +235,13 @@ def test_ledger_stream_ends_as_the_batch_does(spark, tmp_path):
         stream_ledger(arriving, out, checkpoint, once=True).awaitTermination()
     key = lambda r: r.job_id
     assert sorted(current_ledger(spark, out).collect(), key=key) == sorted(J.job_snapshot(all_events).collect(), key=key)
+
+
+def test_convert_once_gives_back_rows_without_a_key(spark):
+    from leafmill.operators.converter import convert_once
+
+    rows = [(1, b"a", ".t", "{}"), (2, b"a", ".t", "{}"), (3, None, ".t", "{}"), (4, b"a", None, None), (5, None, None, None), (6, b"a", None, None)]
+    df = spark.createDataFrame(rows, "id int, content binary, suffix string, option_key string")
+    made = convert_once(df, lambda d: d.select("id", "content_sha", "suffix", "option_key", "copies", F.length("content").alias("n")), "id").collect()
+    assert sorted((r.id, r.copies, r.n, r.suffix) for r in made) == sorted(
+        [(1, 2, 1, ".t"), (2, 2, 1, ".t"), (3, 1, None, ".t"), (4, 2, 1, None), (5, 1, None, None), (6, 2, 1, None)])
