@@ -45,7 +45,7 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, CASE WHEN page_id % 5 IN (2, 3) THEN 'provide exactly one of `path` or `content_base64`' END AS request_error
+SELECT page_id, CASE WHEN page_id % 5 IN (2, 3) THEN 'give exactly one of the two, `path` or `content_base64`' END AS request_error
 FROM pages
 """)
 def request_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +66,7 @@ WITH shaped AS (
   FROM pages
 )
 SELECT page_id, resolved_path, CASE WHEN page_id % 12 = 5 THEN 'missing `path`'
-  WHEN page_id % 12 IN (1, 2, 4, 9, 11) THEN '`' || path || '` resolves outside the allowed roots (/srv/docs, /data, s3a://own/in, hdfs://node:8020/)' END AS path_error
+  WHEN page_id % 12 IN (1, 2, 4, 9, 11) THEN '`' || path || '` leads outside the allowed roots (/srv/docs, /data, s3a://own/in, hdfs://node:8020/)' END AS path_error
 FROM shaped
 """
 
@@ -103,7 +103,7 @@ WITH shaped AS (
   SELECT page_id, CASE page_id % 4 WHEN 0 THEN '/root/in/' WHEN 1 THEN '/root/out/' WHEN 2 THEN '/root/docs/../out/../' ELSE '/root/docs/' END || page_id AS path,
     CASE page_id % 4 WHEN 0 THEN '/root/docs/' WHEN 1 THEN '/aside/deep/' WHEN 2 THEN '/aside/' ELSE '/root/docs/' END || page_id AS resolved_path FROM pages
 )
-SELECT page_id, resolved_path, CASE WHEN page_id % 4 IN (1, 2) THEN '`' || path || '` resolves outside the allowed roots (/root)' END AS path_error FROM shaped
+SELECT page_id, resolved_path, CASE WHEN page_id % 4 IN (1, 2) THEN '`' || path || '` leads outside the allowed roots (/root)' END AS path_error FROM shaped
 """)
 def resolved_confinement(spark: SparkSession, sf: str) -> DataFrame:
     """Real links in a folder of its own: ``in`` leads to a folder inside the root, ``out`` to one beside it."""
@@ -132,8 +132,8 @@ WITH coded AS (
 ), opened AS (
   SELECT *, CASE WHEN good THEN octet_length(from_base64(b)) END AS n FROM judged
 )
-SELECT doc_id, CASE WHEN NOT good THEN '`content_base64` is not valid base64' WHEN n = 0 THEN '`content_base64` decoded to zero bytes'
-  WHEN n > 2000 THEN 'inline input is ' || n || ' bytes, over the 2000-byte limit' END AS inline_error,
+SELECT doc_id, CASE WHEN NOT good THEN '`content_base64` does not decode as base64' WHEN n = 0 THEN '`content_base64` holds no bytes'
+  WHEN n > 2000 THEN 'inline input has ' || n || ' bytes, more than the 2000 allowed' END AS inline_error,
   CASE WHEN good THEN sha256(from_base64(b)) END AS content_sha
 FROM opened
 """)
@@ -172,9 +172,9 @@ WITH named AS (
     WHEN 8 THEN 'C:\x' || page_id WHEN 9 THEN 'a..b/' || page_id || '..' WHEN 10 THEN './' ELSE 'd\' || page_id || '\e.md' END AS name
   FROM pages
 )
-SELECT page_id, CASE WHEN page_id % 12 IN (6, 7, 10) THEN 'archive member with an empty name'
-    WHEN page_id % 12 IN (2, 3, 8) THEN 'archive member `' || name || '` is an absolute path'
-    WHEN page_id % 12 IN (4, 5) THEN 'archive member `' || name || '` contains a parent-directory reference' END AS refusal,
+SELECT page_id, CASE WHEN page_id % 12 IN (6, 7, 10) THEN 'archive member has an empty name'
+    WHEN page_id % 12 IN (2, 3, 8) THEN 'archive member `' || name || '` has an absolute path'
+    WHEN page_id % 12 IN (4, 5) THEN 'archive member `' || name || '` takes a parent-directory step' END AS refusal,
   CASE page_id % 12 WHEN 0 THEN 'a/' || page_id || '.md' WHEN 1 THEN 'a/' || page_id || '/c.txt' WHEN 9 THEN 'a..b/' || page_id || '..'
     WHEN 11 THEN 'd/' || page_id || '/e.md' END AS member_path
 FROM named

@@ -58,7 +58,7 @@ def _members(spark: SparkSession, sf: str) -> DataFrame:
 @query(_MEMBERS_SQL + """
 SELECT archive_id, ordinal::INT AS ordinal, CASE WHEN kind = 'symlink' AND format = 'zip' THEN 'archive member `' || name || '` is a symlink'
   WHEN kind IN ('symlink', 'hardlink') THEN 'archive member `' || name || '` is a link'
-  WHEN kind = 'special' THEN 'archive member `' || name || '` is not a regular file' END AS refusal FROM members
+  WHEN kind = 'special' THEN 'archive member `' || name || '` is no regular file' END AS refusal FROM members
 """)
 def member_kinds(spark: SparkSession, sf: str) -> DataFrame:
     refusal = rules.member_kind_refusal(F.col("name"), F.col("kind"), F.col("format"))
@@ -66,8 +66,8 @@ def member_kinds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(_MEMBERS_SQL + """
-SELECT archive_id, CASE WHEN member_count <= 6 THEN NULL WHEN format = 'zip' THEN 'archive has ' || member_count || ' members, over the 6 limit'
-  ELSE 'archive has over 6 members' END AS refusal
+SELECT archive_id, CASE WHEN member_count <= 6 THEN NULL WHEN format = 'zip' THEN 'archive holds ' || member_count || ' members, 6 are allowed'
+  ELSE 'archive holds more than 6 members' END AS refusal
 FROM running GROUP BY archive_id, format, member_count
 """)
 def archive_member_bound(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +78,7 @@ def archive_member_bound(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_MEMBERS_SQL + """
 SELECT archive_id, ordinal::INT AS ordinal, expanded::BIGINT AS expanded_bytes,
-  CASE WHEN expanded > 3000 THEN 'archive expands past the 3000-byte limit' END AS refusal
+  CASE WHEN expanded > 3000 THEN 'archive grows beyond the 3000-byte limit' END AS refusal
 FROM running
 """)
 def archive_byte_bound(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +88,7 @@ def archive_byte_bound(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(_MEMBERS_SQL + """
-SELECT archive_id, ordinal::INT AS ordinal, CASE WHEN content_length > 1000 THEN 'archive member is larger than its declared size' END AS refusal
+SELECT archive_id, ordinal::INT AS ordinal, CASE WHEN content_length > 1000 THEN 'archive member holds more bytes than it declares' END AS refusal
 FROM members
 """)
 def archive_actual_bound(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,16 +98,16 @@ def archive_actual_bound(spark: SparkSession, sf: str) -> DataFrame:
 
 _VERDICT_SQL = _MEMBERS_SQL + """
 , refusals AS (
-  SELECT archive_id, -1 AS place, 1 AS chk, 'archive has ' || member_count || ' members, over the 6 limit' AS reason
+  SELECT archive_id, -1 AS place, 1 AS chk, 'archive holds ' || member_count || ' members, 6 are allowed' AS reason
   FROM running WHERE format = 'zip' AND member_count > 6
-  UNION ALL SELECT archive_id, ordinal, 1, 'archive has over 6 members' FROM running WHERE format = 'tar' AND ordinal >= 6
-  UNION ALL SELECT archive_id, ordinal, 2, CASE WHEN name = '' THEN 'archive member with an empty name'
-    WHEN name LIKE '/%' THEN 'archive member `' || name || '` is an absolute path'
-    ELSE 'archive member `' || name || '` contains a parent-directory reference' END FROM running WHERE name = '' OR name LIKE '/%' OR name LIKE '../%'
-  UNION ALL SELECT archive_id, ordinal, 3, 'archive member `' || name || '` is ' || CASE WHEN kind = 'special' THEN 'not a regular file'
+  UNION ALL SELECT archive_id, ordinal, 1, 'archive holds more than 6 members' FROM running WHERE format = 'tar' AND ordinal >= 6
+  UNION ALL SELECT archive_id, ordinal, 2, CASE WHEN name = '' THEN 'archive member has an empty name'
+    WHEN name LIKE '/%' THEN 'archive member `' || name || '` has an absolute path'
+    ELSE 'archive member `' || name || '` takes a parent-directory step' END FROM running WHERE name = '' OR name LIKE '/%' OR name LIKE '../%'
+  UNION ALL SELECT archive_id, ordinal, 3, 'archive member `' || name || '` is ' || CASE WHEN kind = 'special' THEN 'no regular file'
     WHEN kind = 'symlink' AND format = 'zip' THEN 'a symlink' ELSE 'a link' END FROM running WHERE kind NOT IN ('file', 'directory')
-  UNION ALL SELECT archive_id, ordinal, 4, 'archive expands past the 3000-byte limit' FROM running WHERE kind <> 'directory' AND expanded > 3000
-  UNION ALL SELECT archive_id, ordinal, 6, 'archive member is larger than its declared size' FROM running WHERE content_length > 3000
+  UNION ALL SELECT archive_id, ordinal, 4, 'archive grows beyond the 3000-byte limit' FROM running WHERE kind <> 'directory' AND expanded > 3000
+  UNION ALL SELECT archive_id, ordinal, 6, 'archive member holds more bytes than it declares' FROM running WHERE content_length > 3000
 ), verdict AS (
   SELECT a.archive_id, arg_min(reason, (place, chk)) AS error
   FROM (SELECT DISTINCT archive_id FROM members) a LEFT JOIN refusals r ON a.archive_id = r.archive_id GROUP BY a.archive_id

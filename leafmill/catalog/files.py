@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from leafmill.catalog.admission import _pick, plain_base64
+from leafmill.catalog.converter import line_converter
 from leafmill.catalog.documents import PAGE_EXPORTS_SQL
 from leafmill.catalog.registry import query, table
 from leafmill.functions.text import as_text, strip
@@ -95,8 +96,8 @@ _REQUESTS_SQL = PAGE_EXPORTS_SQL + r"""
 ), outcome AS (
   SELECT request_id, CASE WHEN k IN (1, 5) THEN NULL WHEN k IN (2, 6) THEN 'input_rejected'
       WHEN k = 3 THEN 'unsupported_format' END AS error_code,
-    CASE WHEN k IN (1, 5) THEN 'provide exactly one of `path` or `content_base64`' WHEN k = 2 THEN '`content_base64` is not valid base64'
-      WHEN k = 6 THEN '`/elsewhere/' || request_id || '` resolves outside the allowed roots (/srv/docs)'
+    CASE WHEN k IN (1, 5) THEN 'give exactly one of the two, `path` or `content_base64`' WHEN k = 2 THEN '`content_base64` does not decode as base64'
+      WHEN k = 6 THEN '`/elsewhere/' || request_id || '` leads outside the allowed roots (/srv/docs)'
       WHEN k = 3 THEN 'no conversion is available for `.pdf`' END AS error,
     markdown, text, n_blocks FROM wanted
 )
@@ -244,11 +245,11 @@ def archive_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT doc_id::VARCHAR AS archive_id, CASE WHEN reason IS NOT NULL THEN 'input_rejected' END AS error_code, reason AS error FROM (
-  SELECT doc_id, CASE WHEN doc_id % 10 = 7 THEN '`a.tgz` is not a readable zip or tar archive'
-    WHEN len(string_split(text, chr(10))) > 20 AND doc_id % 2 = 0 THEN 'archive has ' || len(string_split(text, chr(10))) || ' members, over the 20 limit'
+  SELECT doc_id, CASE WHEN doc_id % 10 = 7 THEN '`a.tgz` cannot be read as a zip or tar archive'
+    WHEN len(string_split(text, chr(10))) > 20 AND doc_id % 2 = 0 THEN 'archive holds ' || len(string_split(text, chr(10))) || ' members, 20 are allowed'
     WHEN len(string_split(text, chr(10))) > 20 THEN CASE WHEN list_sum([strlen(x) for x in string_split(text, chr(10))[1:20]]) > 3000
-      THEN 'archive expands past the 3000-byte limit' ELSE 'archive has over 20 members' END
-    WHEN strlen(replace(text, chr(10), '')) > 3000 THEN 'archive expands past the 3000-byte limit' END AS reason FROM documents)
+      THEN 'archive grows beyond the 3000-byte limit' ELSE 'archive holds more than 20 members' END
+    WHEN strlen(replace(text, chr(10), '')) > 3000 THEN 'archive grows beyond the 3000-byte limit' END AS reason FROM documents)
 """)
 def archive_scan_verdict(spark: SparkSession, sf: str) -> DataFrame:
     limits = Limits(max_archive_members=20, max_archive_bytes=3000)
@@ -273,3 +274,17 @@ def archive_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return outcomes(documents, Limits()).select(
         "request_id", "result.markdown", F.array_size("result.metadata.sources").alias("sources"), "error.error_code"
     )
+
+
+@query(r"""
+SELECT doc_id::VARCHAR AS request_id, '# a.pdf' || chr(10) || chr(10) || coalesce(text, '') AS markdown, NULL::VARCHAR AS error_code FROM documents
+""")
+def corpus_hook_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of a converter's family through the job, each distinct content converted one time."""
+    documents = table(spark, sf, "documents", "doc_id", "text").select(
+        F.col("doc_id").cast("string").alias("request_id"), F.lit("a.pdf").alias("filename"), F.lit(".pdf").alias("suffix"),
+        F.encode("text", "UTF-8").alias("content"), F.lit("{}").alias("option_key"),
+        F.lit(None).cast("struct<error_code:string,error:string,missing_dependencies:array<string>>").alias("error"),
+    )
+    made = outcomes(documents, Limits(), factory=line_converter, families=["pdf"], tag="lines", once=True)
+    return made.select("request_id", "result.markdown", "error.error_code")

@@ -132,11 +132,11 @@ def member_name_refusal(name: Column) -> Column:
     quoted = F.concat(F.lit("archive member `"), name, F.lit("`"))
     forward = F.replace(name, F.lit("\\"), F.lit("/"))
     return (
-        F.when(name.isNull() | name.isin("", ".", "./"), F.lit("archive member with an empty name"))
-        .when(forward.startswith("/") | forward.rlike(r"\A[A-Za-z]:"), F.concat(quoted, F.lit(" is an absolute path")))
+        F.when(name.isNull() | name.isin("", ".", "./"), F.lit("archive member has an empty name"))
+        .when(forward.startswith("/") | forward.rlike(r"\A[A-Za-z]:"), F.concat(quoted, F.lit(" has an absolute path")))
         .when(
             F.array_contains(F.split(forward, "/"), ".."),
-            F.concat(quoted, F.lit(" contains a parent-directory reference")),
+            F.concat(quoted, F.lit(" takes a parent-directory step")),
         )
     )
 

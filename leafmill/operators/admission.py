@@ -36,7 +36,7 @@ def request_refusal() -> Column:
     """
     given = F.coalesce(F.col("path"), F.lit("")) != ""
     inline = F.coalesce(F.col("content_base64"), F.lit("")) != ""
-    return F.when(given == inline, F.lit("provide exactly one of `path` or `content_base64`"))
+    return F.when(given == inline, F.lit("give exactly one of the two, `path` or `content_base64`"))
 
 
 def check_request(requests: DataFrame) -> DataFrame:
@@ -75,17 +75,17 @@ def confine(df: DataFrame, roots: Iterable[str], resolve_links: bool = True) ->
         F.when(named == "", F.lit("missing `path`"))
         .when(
             ~within_roots(F.col("resolved_path"), roots),
-            F.concat(F.lit("`"), named, F.lit(f"` resolves outside the allowed roots ({shown})")),
+            F.concat(F.lit("`"), named, F.lit(f"` leads outside the allowed roots ({shown})")),
         ),
     )
 
 
 def size_refusal(length: Column, limits: Limits, inline: bool = False) -> Column:
     """Message for an input over the limit, by its measured size."""
-    lead = "inline input is " if inline else "input is "
+    lead = "inline input has " if inline else "input has "
     return F.when(
         length > limits.max_input_bytes,
-        F.concat(F.lit(lead), length.cast("string"), F.lit(f" bytes, over the {limits.max_input_bytes}-byte limit")),
+        F.concat(F.lit(lead), length.cast("string"), F.lit(f" bytes, more than the {limits.max_input_bytes} allowed")),
     )
 
 
@@ -98,8 +98,8 @@ def decode_inline(requests: DataFrame, limits: Limits) -> DataFrame:
     """Add ``content``, ``suffix`` and ``inline_error`` for requests that carry their bytes."""
     def judged(raw: Column) -> Column:
         message = (
-            F.when(raw.isNull(), F.lit("`content_base64` is not valid base64"))
-            .when(F.octet_length(raw) == 0, F.lit("`content_base64` decoded to zero bytes"))
+            F.when(raw.isNull(), F.lit("`content_base64` does not decode as base64"))
+            .when(F.octet_length(raw) == 0, F.lit("`content_base64` holds no bytes"))
             .otherwise(size_refusal(F.octet_length(raw), limits, inline=True))
         )
         return F.struct(raw.alias("content"), message.alias("inline_error"))

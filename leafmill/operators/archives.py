@@ -39,7 +39,7 @@ def member_kind_refusal(name: Column, kind: Column, fmt: Column) -> Column:
     return (
         F.when((kind == "symlink") & (fmt == "zip"), F.concat(quoted, F.lit(" is a symlink")))
         .when(kind.isin("symlink", "hardlink"), F.concat(quoted, F.lit(" is a link")))
-        .when(~kind.isin("file", "directory"), F.concat(quoted, F.lit(" is not a regular file")))
+        .when(~kind.isin("file", "directory"), F.concat(quoted, F.lit(" is no regular file")))
     )
 
 
@@ -47,10 +47,10 @@ def member_count_refusal(limits: Limits) -> Column:
     """Zip tells its total first; tar is counted while walked."""
     over = limits.max_archive_members
     total = F.concat(
-        F.lit("archive has "), F.col("member_count").cast("string"), F.lit(f" members, over the {over} limit")
+        F.lit("archive holds "), F.col("member_count").cast("string"), F.lit(f" members, {over} are allowed")
     )
     return F.when(F.col("format") == "zip", F.when(F.col("member_count") > over, total)).when(
-        F.col("ordinal") >= over, F.lit(f"archive has over {over} members")
+        F.col("ordinal") >= over, F.lit(f"archive holds more than {over} members")
     )
 
 
@@ -63,12 +63,12 @@ def expanded_bytes() -> Column:
 
 def expanded_bytes_refusal(running: Column, limits: Limits) -> Column:
     over = limits.max_archive_bytes
-    return F.when(running > over, F.lit(f"archive expands past the {over}-byte limit"))
+    return F.when(running > over, F.lit(f"archive grows beyond the {over}-byte limit"))
 
 
 def actual_bytes_refusal(length: Column, limits: Limits) -> Column:
     return F.when(
-        length > limits.max_archive_bytes, F.lit("archive member is larger than its declared size")
+        length > limits.max_archive_bytes, F.lit("archive member holds more bytes than it declares")
     )
 
 
@@ -130,6 +130,36 @@ def order_members(members: DataFrame) -> DataFrame:
     return members.withColumn("position", F.row_number().over(placed) - 1)
 
 
+LEAST_ELEMENT_BYTES = 60  # of an element's record in the output budget
+
+
+def within_budget(converted: DataFrame, limits: Limits) -> DataFrame:
+    """Members with payloads emptied that lie wholly behind an asked-for output budget.
+
+    Running sums in member order decide, over the members that count, before
+    anything is gathered; so what is gathered of an archive stays near the
+    budget however large its members are.  The one that passes the budget stays
+    whole, so that the cut shows.
+    """
+    if limits.max_output_bytes is None:
+        return converted
+    name = member_name(F.col("name"))
+    place = W.partitionBy("archive_id").orderBy(F.split(name, "/"), "ordinal")
+    counts = F.col("error").isNull() & ~F.col("blank") & ~name.eqNullSafe(F.lead(name).over(place))
+    numbered = converted.withColumn("_counts", counts)
+    before = place.rowsBetween(W.unboundedPreceding, -1)
+
+    def passed(size: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_counts"), size)).over(before), F.lit(0)) > limits.max_output_bytes
+
+    full = {
+        "markdown": F.when(passed(F.octet_length("markdown")), F.lit("")).otherwise(F.col("markdown")),
+        "text": F.when(passed(F.octet_length("text")), F.lit("")).otherwise(F.col("text")),
+        "elements": F.when(passed(F.size("elements") * LEAST_ELEMENT_BYTES), F.slice("elements", 1, 0)).otherwise(F.col("elements")),
+    }
+    return numbered.withColumns(full).drop("_counts")
+
+
 def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Column | None = None) -> DataFrame:
     """Converted members to one row per archive, in member order.
 
@@ -137,14 +167,16 @@ def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Colu
     page_count, error``.  A failed member leaves a warning, a blank one leaves
     nothing, the rest are joined under headings with their names.  Of members
     with one name the last counts.  The groups are whole archives that passed
-    the verdict, so their size has a bound.
+    the verdict; with an output budget what lies behind it is not gathered.
     """
     if "cuts" not in converted.columns:
         converted = converted.withColumn("cuts", no_cuts())
+    converted = within_budget(converted.withColumn("blank", is_blank(F.col("markdown"))), limits)
     member = F.struct(
         F.split(member_name(F.col("name")), "/").alias("segments"),
         F.col("ordinal"),
         member_name(F.col("name")).alias("name"),
+        F.col("blank"),
         F.col("markdown"),
         F.col("text"),
         F.col("elements"),
@@ -160,14 +192,14 @@ def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Colu
         F.filter("_all", lambda m, i: F.coalesce(F.get(F.col("_all"), i + 1)["name"] != m["name"], F.lit(True))),
     )
     kept = latest.withColumn(
-        "_kept", F.filter("_members", lambda m: m["error"].isNull() & ~is_blank(m["markdown"]))
+        "_kept", F.filter("_members", lambda m: m["error"].isNull() & ~m["blank"])
     )
 
     def warnings_of(m: Column) -> Column:
         failed = F.array(F.concat(m["name"], F.lit(": "), m["error"]))
         own = F.transform(m["warnings"], lambda w: F.concat(m["name"], F.lit(": "), w))
         blank = F.array().cast("array<string>")
-        return F.when(m["error"].isNotNull(), failed).when(is_blank(m["markdown"]), blank).otherwise(own)
+        return F.when(m["error"].isNotNull(), failed).when(m["blank"], blank).otherwise(own)
 
     def sourced(m: Column) -> Column:
         return F.transform(m["elements"], lambda e: e.withField("source", m["name"]))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from leafmill.operators.admission import (
 from leafmill.operators.archives import judge_members, merge_archive
 from leafmill.operators.assemble import assemble
 from leafmill.operators.blocks import blocks_of, extract
-from leafmill.operators.converter import Factory, convert_with
+from leafmill.operators.converter import Factory, convert_once, convert_with
 from leafmill.sources.archives import explode_archives
 from leafmill.sources.files import read_files, write_errors, write_results
 from leafmill.session import through_table
@@ -91,13 +92,20 @@ def _opened(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterab
     return read_files(decided).select("request_id", "filename", "suffix", "content", "option_key", _rejected(refused).alias("error"))
 
 
+_MADE: dict[str, Column] = {}
+
+
 def document_blocks() -> Column:
-    """Blocks of ``_text`` by ``family``: a large expression, made once and used in both branches."""
-    return blocks_of(F.col("family"), F.coalesce("_text", F.lit("")))
+    """Blocks of ``_text`` by ``family``: a large expression, made once for an application and used by all its jobs and micro-batches."""
+    app = SparkContext.getOrCreate().applicationId
+    if app not in _MADE:
+        _MADE.clear()
+        _MADE[app] = blocks_of(F.col("family"), F.coalesce("_text", F.lit("")))
+    return _MADE[app]
 
 
 def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str, factory: Factory | None = None,
-                      families: Iterable[str] = (), tag: str = "") -> DataFrame:
+                      families: Iterable[str] = (), tag: str = "", once: bool = False) -> DataFrame:
     """``(keys, name, suffix, family, format_error, content, option_key)`` to the common columns."""
     families = list(families) if factory else []
     readable = F.col("family").isin(*fixed.BUILT_IN_FAMILIES)
@@ -116,8 +124,16 @@ def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str,
     )
     if not families:
         return built_in
-    hooked = convert_with(df.filter(F.col("family").isin(*families)), factory, limits, *keys, tag=tag)
-    return built_in.unionByName(hooked)
+    taken = df.filter(F.col("family").isin(*families))
+    if not once:
+        return built_in.unionByName(convert_with(taken, factory, limits, *keys, tag=tag))
+    row = keys[0]
+    carried = (row, "content_sha", "suffix", "option_key", "copies")
+    made = convert_once(
+        taken.select(row, "name", "content", "suffix", "option_key"),
+        lambda distinct: convert_with(distinct, factory, limits, *carried, tag=tag), row,
+    ).drop("name", "content_sha", "suffix", "option_key", "copies")
+    return built_in.unionByName(taken.select(*keys, "name").join(made, row).select(*built_in.columns))
 
 
 def _with_source(elements: str) -> Column:
@@ -125,8 +141,12 @@ def _with_source(elements: str) -> Column:
 
 
 def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = None, families: Iterable[str] = (),
-             tag: str = "") -> DataFrame:
-    """Documents to ``(request_id, result, error)``."""
+             tag: str = "", once: bool = False) -> DataFrame:
+    """Documents to ``(request_id, result, error)``.
+
+    With ``once`` the user's converter sees each distinct content, suffix and
+    options one time (archive members apart); request ids must then be unique.
+    """
     hook = {"factory": factory, "families": families, "tag": tag}
     blocks = document_blocks()
     packs = is_archive(F.coalesce("suffix", F.lit(""))) & F.col("error").isNull()
@@ -135,7 +155,7 @@ def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = Non
             "request_id", F.col("filename").alias("name"), "suffix", "family", "format_error", "option_key",
             F.when(F.col("error").isNull(), F.col("content")).alias("content"), F.col("error").alias("refused"),
         ),
-        limits, blocks, "request_id", "refused", **hook,
+        limits, blocks, "request_id", "refused", **hook, once=once,
     ).select(
         "request_id", F.col("name").alias("filename"), F.array("name").alias("sources"), "markdown", "text",
         _with_source("elements").alias("elements"), "cuts", "page_count", "warnings",

@@ -85,7 +85,7 @@ def _stored(name: str, content: bytes, limits: Limits) -> Iterator[tuple]:
         with tarfile.open(fileobj=source, mode="r:*") as tar:
             yield from _tar_members(tar, limits)
     except tarfile.ReadError:
-        yield _container_row("unreadable", f"`{name}` is not a readable zip or tar archive")
+        yield _container_row("unreadable", f"`{name}` cannot be read as a zip or tar archive")
 
 
 def _zip_members(source: io.BytesIO, limits: Limits) -> Iterator[tuple]:

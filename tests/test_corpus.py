@@ -66,24 +66,24 @@ def run(spark, tmp_path):
 
 def test_requests_of_every_kind(run):
     root = run.root
-    outside = root.parent / "outside.txt"
-    outside.write_text("secret")
+    outside = root.parent / "beside.txt"
+    outside.write_text("hidden text")
     (root / "link.txt").symlink_to(outside)
-    hello = b"# Document parsing\n\nLayout and tables.\n\n| Region | Total |\n| --- | --- |\n| EU | 12 |\n"
+    hello = b"# Field notes\n\nRain and mud.\n\n| Site | Depth |\n| --- | --- |\n| North | 4 |\n"
     coded = base64.b64encode(b"# inline\n\nbody text\n").decode()
     made = run(
         {
-            "ok": {"path": f"{root}/hello.md"}, "outside": {"path": str(outside)}, "dots": {"path": f"{root}/../outside.txt"},
+            "ok": {"path": f"{root}/notes.md"}, "outside": {"path": str(outside)}, "dots": {"path": f"{root}/../beside.txt"},
             "link": {"path": f"{root}/link.txt"}, "missing": {"path": f"{root}/nothing.md"}, "neither": {}, "blank": {"path": "", "content_base64": ""},
-            "both": {"path": f"{root}/hello.md", "content_base64": "eA=="}, "inline": {"content_base64": coded, "filename": "note.md"},
-            "hints": {"content_base64": coded, "filename": "n.md", "options": {"strategy": "hi_res", "nonsense": 42, "ocr_engine": "Tesseract"}},
+            "both": {"path": f"{root}/notes.md", "content_base64": "eA=="}, "inline": {"content_base64": coded, "filename": "note.md"},
+            "hints": {"content_base64": coded, "filename": "n.md", "options": {"speed": "slow", "unknown": 7, "ocr_engine": "Tesseract"}},
             "junk": {"content_base64": "e A==", "filename": "n.md"}, "pdf": {"content_base64": coded, "filename": "x.PDF"},
             "packed": {"content_base64": coded, "filename": "x.tar.gz"},
         },
-        {"hello.md": hello},
+        {"notes.md": hello},
     )
     result = made["ok"].result
-    assert "Layout and tables." in result.markdown and result.truncated is False and result.metadata.filename == "hello.md"
+    assert "Rain and mud." in result.markdown and result.truncated is False and result.metadata.filename == "notes.md"
     assert [e.category for e in result.elements] == ["Title", "Text", "Table"] and result.metadata.element_count == 3
     for key in ("outside", "dots", "link", "missing", "junk"):
         assert made[key].error.error_code == "input_rejected" and made[key].result is None, key
@@ -99,8 +99,8 @@ def test_requests_of_every_kind(run):
 def test_size_gate(run, spark):
     made = run({"big": {"path": f"{run.root}/big.txt"}, "inline": {"content_base64": base64.b64encode(b"x" * 11).decode()}},
                {"big.txt": b"x" * 11}, Limits(max_input_bytes=10))
-    assert made["big"].error.error == "input is 11 bytes, over the 10-byte limit"
-    assert made["inline"].error.error == "inline input is 11 bytes, over the 10-byte limit"
+    assert made["big"].error.error == "input has 11 bytes, more than the 10 allowed"
+    assert made["inline"].error.error == "inline input has 11 bytes, more than the 10 allowed"
 
 
 def test_archive_merge_isolates_orders_and_drops(run):
@@ -121,21 +121,21 @@ def test_archive_merge_isolates_orders_and_drops(run):
 
 def test_archive_refusals(spark):
     cases = {
-        "evil.zip": (zipped(("../escaped.txt", "pwned")), "parent-directory"),
-        "absolute.zip": (zipped(("/etc/passwd", "pwned")), "absolute"),
+        "upward.zip": (zipped(("../upward.txt", "left behind")), "parent-directory"),
+        "rooted.zip": (zipped(("/rooted/x", "left behind")), "absolute"),
         "link.zip": (zipped(("ok", "x"), ("l", "t"), l=0o120777), "`l` is a symlink"),
-        "fifo.zip": (zipped(("f", ""), f=0o010644), "not a regular file"),
+        "fifo.zip": (zipped(("f", ""), f=0o010644), "no regular file"),
         "link.tar": (tarred(("l", SYM, b"")), "`l` is a link"),
         "hard.tar": (tarred(("a", REG, b"x"), ("l", LNK, b"")), "`l` is a link"),
-        "fifo.tgz": (tarred(("f", FIFO, b""), mode="w:gz"), "not a regular file"),
-        "many.zip": (zipped(*[(f"{i}", "") for i in range(4)], ("../late", "")), "archive has 5 members, over the 3 limit"),
-        "many.tar": (tarred(*[(f"{i}", REG, b"") for i in range(4)]), "archive has over 3 members"),
+        "fifo.tgz": (tarred(("f", FIFO, b""), mode="w:gz"), "no regular file"),
+        "many.zip": (zipped(*[(f"{i}", "") for i in range(4)], ("../late", "")), "archive holds 5 members, 3 are allowed"),
+        "many.tar": (tarred(*[(f"{i}", REG, b"") for i in range(4)]), "archive holds more than 3 members"),
         # While a tar is walked, a bad member before the bound comes first; a zip tells its total first.
         "early.tar": (tarred(("../e", REG, b""), *[(f"{i}", REG, b"") for i in range(4)]), "parent-directory"),
-        "dirs.tar": (tarred(*[(f"d{i}", DIR, b"") for i in range(4)]), "over 3 members"),
-        "bytes.zip": (zipped(("a", "x" * 30), ("b", "x" * 30)), "past the 50-byte limit"),
-        "bytes.txz": (tarred(("a", REG, b"x" * 30), ("b", REG, b"x" * 30), mode="w:xz"), "past the 50-byte limit"),
-        "no.zip": (b"not an archive", "not a readable zip or tar archive"),
+        "dirs.tar": (tarred(*[(f"d{i}", DIR, b"") for i in range(4)]), "more than 3 members"),
+        "bytes.zip": (zipped(("a", "x" * 30), ("b", "x" * 30)), "beyond the 50-byte limit"),
+        "bytes.txz": (tarred(("a", REG, b"x" * 30), ("b", REG, b"x" * 30), mode="w:xz"), "beyond the 50-byte limit"),
+        "no.zip": (b"not an archive", "cannot be read as a zip or tar archive"),
         "good.tbz2": (tarred(("d", DIR, b""), ("d/a", REG, b"x"), mode="w:bz2"), None),
         "good.zip": (zipped(("a", "x"), ("d/", "")), None),
     }

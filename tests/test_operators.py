@@ -245,3 +245,25 @@ def test_convert_once_gives_back_rows_without_a_key(spark):
     made = convert_once(df, lambda d: d.select("id", "content_sha", "suffix", "option_key", "copies", F.length("content").alias("n")), "id").collect()
     assert sorted((r.id, r.copies, r.n, r.suffix) for r in made) == sorted(
         [(1, 2, 1, ".t"), (2, 2, 1, ".t"), (3, 1, None, ".t"), (4, 2, 1, None), (5, 1, None, None), (6, 2, 1, None)])
+
+
+def test_members_behind_the_budget_are_not_gathered(spark):
+    from leafmill import Limits
+    from leafmill.operators.archives import merge_archive, within_budget
+
+    element = "array<struct<id:string,category:string,text:string,page_number:int,level:int>>"
+    rows = spark.range(200).select(
+        F.lit("a").alias("archive_id"), F.col("id").cast("int").alias("ordinal"), F.format_string("m%03d", "id").alias("name"),
+        F.repeat(F.lit("x"), F.lit(50_000)).alias("markdown"), F.repeat(F.lit("y"), F.lit(50_000)).alias("text"),
+        F.array_repeat(F.struct(F.lit("1").alias("id"), F.lit("Text").alias("category"), F.lit("z").alias("text"),
+                                F.lit(None).cast("int").alias("page_number"), F.lit(None).cast("int").alias("level")), 100).cast(element).alias("elements"),
+        F.array().cast("array<string>").alias("warnings"), F.lit(1).alias("page_count"), F.lit(None).cast("string").alias("error"),
+    )
+    limits = Limits(max_output_bytes=120_000)
+    kept = within_budget(rows.withColumn("blank", F.lit(False)), limits)
+    size = kept.agg(F.sum(F.length("markdown")), F.sum(F.length("text")), F.sum(F.size("elements"))).first()
+    assert tuple(size) == (150_000, 150_000, 2100)
+    merged = merge_archive(rows, limits).first()
+    assert len(merged.sources) == 200 and merged.page_count == 200
+    free, bound = (apply_budget(merge_archive(rows, l), limits).first() for l in (Limits(), limits))
+    assert (free.markdown, free.text, free.elements, free.truncated) == (bound.markdown, bound.text, bound.elements, True)
