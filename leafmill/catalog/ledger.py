@@ -9,7 +9,7 @@ from leafmill.catalog.registry import query, table
 from leafmill.limits import Limits
 from leafmill.operators import ledger as jobs
 from leafmill.session import work_dir
-from leafmill.streaming.ledger import current_ledger
+from leafmill.streaming.ledger import compact_ledger, current_ledger
 from leafmill.streaming.ledger import stream_ledger as start_ledger
 
 _TYPES = {"signup": "submitted", "view": "started", "click": "cancelled", "purchase": "succeeded", "error": "failed"}
@@ -130,10 +130,12 @@ def job_retention(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_ALL_SQL + f"SELECT {_SHOW} FROM jobs")
 def ledger_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole event table as a stream, folded in micro-batches, then read back."""
-    source = table(spark, sf, "events")
-    arriving = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The whole event table as a stream of several micro-batches, of which the first two are compacted."""
+    arrived = work_dir(spark, "events")
+    table(spark, sf, "events").repartition(8, "event_id").write.parquet(arrived)
+    arriving = spark.readStream.schema(spark.read.parquet(arrived).schema).option("maxFilesPerTrigger", 2).parquet(arrived)
     events = jobs.event_rows(arriving, _TYPES, "user_id", "event_id", "ts", "event_type", **_details())
     out, checkpoint = work_dir(spark, "ledger"), work_dir(spark, "ledger-checkpoint")
     start_ledger(events, out, checkpoint, once=True).awaitTermination()
+    compact_ledger(spark, out, upto=1)
     return _shown(current_ledger(spark, out))

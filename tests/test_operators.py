@@ -15,7 +15,7 @@ from leafmill.operators import ledger as J
 from leafmill.operators.assemble import apply_budget
 from leafmill.operators.converter import MissingDependency, convert_once, convert_with
 from leafmill.operators.skew import join_many_to_one
-from leafmill.streaming.ledger import current_ledger, stream_ledger
+from leafmill.streaming.ledger import compact_ledger, current_ledger, stream_ledger
 
 
 def test_converter_outcomes(spark):
@@ -235,6 +235,10 @@ def test_ledger_stream_ends_as_the_batch_does(spark, tmp_path):
         stream_ledger(arriving, out, checkpoint, once=True).awaitTermination()
     key = lambda r: r.job_id
     assert sorted(current_ledger(spark, out).collect(), key=key) == sorted(J.job_snapshot(all_events).collect(), key=key)
+    before = sorted(current_ledger(spark, out).collect(), key=key)
+    for upto in (0, 1):
+        compact_ledger(spark, out, upto)
+        assert sorted(current_ledger(spark, out).collect(), key=key) == before
 
 
 def test_convert_once_gives_back_rows_without_a_key(spark):
