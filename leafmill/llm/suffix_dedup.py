@@ -276,17 +276,20 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     rows = docs.select(F.xxhash64(docs[id_col], text).alias("doc"), docs[id_col].alias("doc_id"), text.alias("text"))
 
     runs = rows.select("doc", "text").mapInArrow(_stretch_rows(length), "doc long, at int, starts int, shape int, triple long, whole long, shared long")
-    triples = runs.groupBy("triple").agg(F.count("*").alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"))
+    # Small sides go through tables: a join right above an aggregation on its key
+    # cannot split a key that a third of all rows have, a join of two shuffles can.
+    triples = through_table(runs.groupBy("triple").agg(
+        F.count("*").alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most")).filter("n > 1"), "triples")
     same = F.col("least") == F.col("most")
     mixed = [F.when(~same, F.col(c)).alias(c) for c in ("triple", "whole", "shared", "shape")]
-    hits = through_table(runs.join(triples.filter("n > 1"), "triple").select("doc", "at", "starts", same.alias("same"), *mixed), "repeats")
+    hits = through_table(runs.join(triples, "triple").select("doc", "at", "starts", same.alias("same"), *mixed), "repeats")
 
     names = through_table(hits.filter("not same").groupBy("triple", "whole").agg(
         F.count("*").alias("n"), F.min("shared").alias("shared"), F.min("shape").alias("shape"),
         F.min(F.struct("doc", "at", "starts")).alias("one")), "names")
     again = hits.filter("not same").join(names.filter("n > 1").select("triple", "whole"), ["triple", "whole"]).select("doc", "at", "starts")
-    alike = names.groupBy("triple").agg((F.min("shape") == F.max("shape")).alias("alike"))
-    partners = names.groupBy("triple", "shared").agg(F.count("*").alias("partners"))
+    alike = through_table(names.groupBy("triple").agg((F.min("shape") == F.max("shape")).alias("alike")), "alike")
+    partners = through_table(names.groupBy("triple", "shared").agg(F.count("*").alias("partners")), "partners")
     ends = names.join(alike, "triple").join(partners, ["triple", "shared"]).filter("not alike or partners > 1")
     to_expand = ends.select("one.doc", F.struct("one.at", "one.starts", (F.col("n") == 1).alias("open")).alias("run"))
     by_doc = to_expand.groupBy("doc").agg(F.collect_list("run").alias("open_runs"))
