@@ -132,11 +132,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key = ["digest", "digest2"]
     # Only digests and counts meet to find repeats; each digest stands once on
     # the right of both joins, so a chunk of very many texts splits on the left.
-    again = chunks.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key)
+    # The right sides are tables, as a join right above an aggregation on its key cannot split.
+    again = through_table(chunks.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key), "digests")
     repeats = through_table(chunks.join(again, key), "repeated-chunks")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc", "place")
-    firsts = repeats.groupBy(key).agg(F.min(order).alias("first")).select(
-        *key, F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place"))
+    firsts = through_table(repeats.groupBy(key).agg(F.min(order).alias("first")).select(
+        *key, F.col("first.doc").alias("first_doc"), F.col("first.place").alias("first_place")), "first-chunks")
     start, size = F.shiftright("place", SIZE_BITS), F.col("place") % (1 << SIZE_BITS)
     gone = (F.col("first_doc") != F.col("doc")) | (F.col("first_place") != F.col("place"))
     per_doc = repeats.join(firsts, key).select(
