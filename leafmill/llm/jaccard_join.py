@@ -528,7 +528,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = through_table(
         sizes.join(roots, sizes["item"] == roots["node"], "left").select(
             "doc_id", "n_shingles", "item", F.coalesce("root", "item").alias("root")), "labels")
-    least = labelled.filter("item >= 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    # A table, so that the join has a shuffle on both sides and can split a large component.
+    least = through_table(labelled.filter("item >= 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return labelled.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
