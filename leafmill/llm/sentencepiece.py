@@ -41,7 +41,7 @@ SEARCH = 1 << 10  # places of the double array that are looked at together
 def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """base, check and value of a trie: the child of state s by byte c is t = base[s] + c + 1 where check[t] = s."""
     keys = sorted(keys)
-    size = 256 * (2 + sum(len(k) for k, _ in keys))  # far more than needed, cut at the end
+    size = 1 << 16
     base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
     used = np.zeros(size, bool)
     used[0] = True
@@ -64,6 +64,9 @@ def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray,
         labels = np.array([g[0] for g in groups]) + 1
         single = len(labels) == 1
         while True:
+            if first[single] + SEARCH + 257 > len(used):
+                base, check, value = (np.concatenate([x, np.full(len(x), fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (value, -1)))
+                used = np.concatenate([used, np.zeros(len(used), bool)])
             room = ~used[first[single] + int(labels[0]) : first[single] + int(labels[0]) + SEARCH]
             for label in labels[1:].tolist():
                 room &= ~used[first[single] + label : first[single] + label + SEARCH]
@@ -77,7 +80,8 @@ def double_array(keys: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray,
             used[at + label], check[at + label] = True, state
             todo.append((at + label, i, j, depth + 1))
     end = int(np.flatnonzero(used).max()) + 258  # any byte may be looked up at any state
-    return base[:end].copy(), check[:end].copy(), value[:end].copy()
+    room = max(0, end - len(used))
+    return tuple(np.concatenate([x[:end], np.full(room, fill, np.int32)]) for x, fill in ((base, 0), (check, -1), (value, -1)))
 
 
 @dataclass
