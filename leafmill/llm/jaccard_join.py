@@ -411,10 +411,17 @@ def _received(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(b"".join(parts["lists"]), ENTRY), np.frombuffer(b"".join(parts["pairs"]), "<i8").reshape(-1, 2)
 
 
-def _pair_batches(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _pair_batches(found: Iterator[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
+    """Pairs on their way to the bucket of their first item, where they meet those found in other lists."""
     for pairs in found:
         if len(pairs):
-            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield _blob_batch(list(_by_bucket(pairs, _bucket_of(pairs[:, 0].astype(np.uint64), width), "pairs")))
+
+
+def _distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    data = b"".join(x for batch in batches for x in batch.column("data").to_pylist())
+    pairs = np.unique(np.frombuffer(data, "<i8").reshape(-1, 2), axis=0)
+    yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _collected(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
@@ -430,7 +437,7 @@ def _collected(parts: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         yield np.unique(np.concatenate(held), axis=0)
 
 
-def _pivot_pairs(percent: int, turn: int):
+def _pivot_pairs(percent: int, turn: int, width: int):
     """Entries of a list with the entry of least rank in this round."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, pairs = _received(batches)
@@ -441,12 +448,12 @@ def _pivot_pairs(percent: int, turn: int):
                 for run in _sorted_runs(entries, _rank(entries["item"], turn, pivot)):
                     yield _with_pivots(run, percent)[0]
 
-        return _pair_batches(_collected(found()))
+        return _pair_batches(_collected(found()), width)
 
     return make
 
 
-def _open_pairs(percent: int):
+def _open_pairs(percent: int, width: int):
     """Pairs of a list that are of matching size and not connected yet."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, _ = _received(batches)
@@ -459,7 +466,7 @@ def _open_pairs(percent: int):
                     others = items[i + 1 : stop][roots[i + 1 : stop] != roots[i]]
                     yield np.column_stack([np.minimum(others, items[i]), np.maximum(others, items[i])])
 
-        return _pair_batches(_collected(found()))
+        return _pair_batches(_collected(found()), width)
 
     return make
 
@@ -512,7 +519,8 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
         known = heads if roots is None else heads.join(roots, heads["item"] == roots["node"], "left")
         entries = known.select("item", "size", "head", F.coalesce(root, "item").alias("root"))
         lists = entries.mapInArrow(_send_lists(percent, width, turn), blob).repartitionById(width, "bucket")
-        pairs = lists.mapInArrow(_open_pairs(percent) if turn is None else _pivot_pairs(percent, turn), "a long, b long").distinct()
+        met = lists.mapInArrow(_open_pairs(percent, width) if turn is None else _pivot_pairs(percent, turn, width), blob)
+        pairs = met.repartitionById(width, "bucket").mapInArrow(_distinct_pairs, "a long, b long")
         found = _linked(pairs, sets, percent)
         links = through_table(found if links is None else found.unionAll(links), "links")
         roots = through_table(components(links), "roots")
