@@ -282,7 +282,7 @@ SELECT doc_id::VARCHAR AS request_id, '# a.pdf' || chr(10) || chr(10) || coalesc
 def corpus_hook_once(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of a converter's family through the job, each distinct content converted one time."""
     documents = table(spark, sf, "documents", "doc_id", "text").select(
-        F.col("doc_id").cast("string").alias("request_id"), F.lit("a.pdf").alias("filename"), F.lit(".pdf").alias("suffix"),
+        F.col("doc_id").cast("string").alias("request_id"), F.lit("a.pdf").alias("filename"), F.when(F.col("doc_id") >= 0, ".pdf").alias("suffix"),
         F.encode("text", "UTF-8").alias("content"), F.lit("{}").alias("option_key"),
         F.lit(None).cast("struct<error_code:string,error:string,missing_dependencies:array<string>>").alias("error"),
     )
