@@ -113,6 +113,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows that repeat both id and text are one row afterwards.
     """
-    gone = find_copies(docs, id_col, text_col, keep).filter("not kept").select(F.col("doc_id").alias("_gone"))
-    left = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
-    return left.dropDuplicates([id_col]) if id_col in left.columns else left
+    gone = find_copies(docs, id_col, text_col, keep).filter("not kept").select(
+        F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_gone_sha256"))
+    # Id and text together tell a row, so one that only repeats an id stays.
+    rows = docs.withColumn("_sha256", F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")), 256))
+    left = rows.join(gone, rows[id_col].eqNullSafe(gone["_gone"]) & (rows["_sha256"] == gone["_gone_sha256"]), "left_anti")
+    return left.dropDuplicates([id_col, "_sha256"]).drop("_sha256")

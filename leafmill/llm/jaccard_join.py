@@ -544,7 +544,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents with one row of each component, that of the smallest id, with all their columns."""
+    """The documents with one row of each component, that of the smallest id, with all their columns.
+
+    Rows that repeat an id share one fate; rows without an id stay.
+    """
     found = near_duplicates(docs, id_col, text_col, n, percent)
     gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

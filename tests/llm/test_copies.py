@@ -94,6 +94,9 @@ def test_dropping_copies_keeps_all_columns(spark):
     left = exact_dedup.drop_copies(spark.createDataFrame(ODD[:8], SCHEMA), keep="largest")
     assert left.columns == ["doc_id", "text", "item"]
     assert sorted(r.doc_id for r in left.collect()) == [2, 3, 4, 6, 7]
+    rows = [(1, "a", None), (1, "b", None), (None, "c", None), (None, "d", None), (2, "b", None), (1, "a", None)]
+    left = exact_dedup.drop_copies(spark.createDataFrame(rows, SCHEMA), keep="largest").collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(1, "a"), (2, "b"), (None, "c"), (None, "d")], key=str)
 
 
 @pytest.mark.parametrize("width", [1, 2, 7, 8, 9, 51, 211])
