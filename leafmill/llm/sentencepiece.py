@@ -32,7 +32,7 @@ from leafmill.session import ship_package
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 SIDE_BY_SIDE = 64  # longest word in bytes that is segmented beside others
 NOWHERE = -np.inf
 SEARCH = 1 << 10  # places of the double array that are looked at together
@@ -283,7 +283,10 @@ def decode(docs: DataFrame, model: Model, ids_col: str = "ids", to: str = "decod
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if ids is None else shared.value.decode(ids) for ids in batch.column(ids_col).to_pylist()]
+            # One text's ids at a time as Python numbers; those of a batch would take hundreds of MB.
+            column = batch.column(ids_col)
+            ends, ids, known = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False), column.is_valid().to_pylist()
+            texts = [shared.value.decode(ids[a:b].tolist()) if ok else None for a, b, ok in zip(ends[:-1], ends[1:], known)]
             yield batch.append_column(to, pa.array(texts, pa.string()))
 
     return rows.mapInArrow(make, extended(rows, f"{to} string"))
