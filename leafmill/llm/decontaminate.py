@@ -11,8 +11,12 @@ of the item's windows.
 
 A number is digits with inner points or commas; a unit is one of ``UNITS``
 behind a number; a name is a capitalised word within a sentence.  Windows with
-fewer than half plain tokens say nothing and are left out.  An item shorter
-than a window is one window of its length.
+fewer than half plain tokens are exact: hashed with their values, so only the
+very same numbers match.  The share is that of all windows or of the template
+windows alone, whichever is larger, so exact windows take nothing from an item
+with other values.  Left out are only windows of bare numbers that count in
+equal steps ('5 6 7 8', or fewer than three), which any list holds.  An item
+shorter than a window is one window of its length.
 
 Null or empty texts leak nothing; null items are left out.  Rows that repeat an
 id are judged together, and each is returned; a row without an id leaks nothing.
@@ -53,27 +57,39 @@ def _kind(token: Column) -> Column:
     return F.when(first.isin(NUMBER, UNIT, NAME), first)
 
 
-def windows(texts: DataFrame, keys: list[str], lengths: list[int], slots: bool = True) -> DataFrame:
-    """One row for each window: the keys, ``at``, ``hash`` and ``slots``; windows of mostly placeholders are left out."""
+def windows(texts: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    """One row for each window: the keys, ``at``, ``hash`` and ``slots``; of mostly placeholders, the hash is that of the values."""
     split = texts.select(*keys, tokens(F.col("text")).alias("tokens"))
-    split = split.select(*keys, "tokens", F.transform("tokens", lambda t: F.coalesce(_kind(t), t)).alias("template"),
+    split = split.select(*keys, "tokens", F.transform("tokens", lambda t: F.xxhash64(F.coalesce(_kind(t), t))).alias("template"),
+                         F.transform("tokens", lambda t: F.xxhash64(t)).alias("exact"),
                          F.exists("tokens", lambda t: _kind(t).isNotNull()).alias("has_slots"))
 
     def made(n: int) -> Column:
-        def window(i: Column) -> Column:
-            part = F.slice("template", i, n)
+        def slotted(i: Column) -> Column:
             values = F.when(F.col("has_slots"), F.filter(F.slice("tokens", i, n), lambda t: _kind(t).isNotNull()))
-            return F.struct(i.alias("at"), F.xxhash64(part).alias("hash"), values.alias("slots"))
+            return F.struct(i.alias("at"), values.alias("slots"))
 
-        return F.transform(F.sequence(F.lit(1), F.size("template") - n + 1), window)
+        def window(w: Column) -> Column:
+            part = F.when(F.size(w["slots"]) * 2 > n, F.slice("exact", w["at"], n)).otherwise(F.slice("template", w["at"], n))
+            return F.struct(w["at"].alias("at"), F.xxhash64(part).alias("hash"), w["slots"].alias("slots"))
+
+        return F.transform(F.transform(F.sequence(F.lit(1), F.size("template") - n + 1), slotted), window)
 
     every = F.concat(*[F.when(F.size("template") >= n, made(n)).otherwise(F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>"))
                        for n in lengths])
     return split.select(*keys, F.inline(every))
 
 
+def _counts(slots: Column, n: Column) -> Column:
+    """Whether a window of ``n`` tokens is bare numbers in equal steps."""
+    value = F.transform(slots, lambda t: F.translate(F.substring(t, 2, 40), ",", "").try_cast("double"))
+    step = F.transform(F.sequence(F.lit(2), F.greatest(F.size(slots), F.lit(2))), lambda i: F.round(F.get(value, i - 1) - F.get(value, i - 2), 6))
+    bare = (F.size(slots) == n) & F.forall(slots, lambda t: F.startswith(t, F.lit(NUMBER)))
+    return F.coalesce(bare & ((n < 3) | F.forall(step, lambda x: x == step[0])), F.lit(False))
+
+
 def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, list[int]]:
-    """Informative windows of the items with the number each item has, and the window lengths in use (at most ``window``)."""
+    """Windows of the items, how many of them each has (``of``) and how many are templates, and the window lengths in use (at most ``window``)."""
     rows = items.select(items[id_col].alias("item_id"), items[text_col].cast("string").alias("text")).filter("text IS NOT NULL")
     sized = rows.withColumn("n", F.least(F.size(tokens(F.col("text"))), F.lit(window))).filter("n > 0")
     lengths = sorted(r.n for r in sized.select("n").distinct().collect())
@@ -83,8 +99,8 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> t
     found = parts[0]
     for part in parts[1:]:
         found = found.unionAll(part)
-    told = found.filter(F.coalesce(F.size("slots"), F.lit(0)) * 2 <= F.col("n")).drop("n")
-    whole = told.groupBy("item_id").agg(F.count_distinct("at").alias("of"))
+    told = found.withColumn("told", F.coalesce(F.size("slots"), F.lit(0)) * 2 <= F.col("n")).filter(~_counts(F.col("slots"), F.col("n"))).drop("n")
+    whole = told.groupBy("item_id").agg(F.count_distinct("at").alias("of"), F.count_distinct(F.when(F.col("told"), F.col("at"))).alias("of_told"))
     return through_table(told.join(whole, "item_id"), "item-windows"), lengths
 
 
@@ -92,7 +108,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
           item_text_col: str = "text", window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
     """Pairs (doc_id, item_id) with ``windows`` matched, ``share`` of the item's and ``same_values``."""
     known, lengths = item_windows(items, item_id_col, item_text_col, window)
-    known = known.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "of")
+    known = known.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "told", "of", "of_told")
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     if not lengths:
         texts = texts.limit(0)
@@ -102,18 +118,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     met = own.join(F.broadcast(known) if small else known, "hash")
     none = F.array().cast("array<string>")
     instances = met.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("places"), F.first("of").alias("of"),
+        F.collect_set("item_at").alias("places"), F.collect_set(F.when(F.col("told"), F.col("item_at"))).alias("told"),
+        F.first("of").alias("of"), F.first("of_told").alias("of_told"),
         F.array_distinct(F.flatten(F.collect_list(F.zip_with(
             F.coalesce("item_slots", none), F.coalesce("slots", none), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))))).alias("pairs"))
     left = F.array_distinct(F.transform("pairs", lambda p: p["item"]))
     right = F.array_distinct(F.transform("pairs", lambda p: p["doc"]))
     consistent = instances.filter((F.size(left) == F.size("pairs")) & (F.size(right) == F.size("pairs")))
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
+    whole = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long")
     pairs = consistent.withColumn("same", same).groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("windows"), F.first("of").alias("of"),
+        whole("places").alias("windows"), whole("told").alias("told"), F.first("of").alias("of"), F.first("of_told").alias("of_told"),
         F.max("same").alias("same_values"))
-    return pairs.select("doc_id", "item_id", "windows", (F.col("windows") / F.col("of")).alias("share"), "same_values").filter(
-        F.col("share") >= least_share)
+    share = F.greatest(F.col("windows") / F.col("of"), F.try_divide("told", "of_told"))
+    return pairs.select("doc_id", "item_id", "windows", share.alias("share"), "same_values").filter(F.col("share") >= least_share)
 
 
 def judge(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

@@ -138,3 +138,21 @@ def test_chat_merges_turns_and_reads_back(spark):
         roles = [role for role, _ in expected[r.conv_id]]
         assert r.formatted.count(chat.START) == 1 + sum(a != b for a, b in zip(roles, roles[1:]))
     assert chat.format_conversations(df.limit(0)).count() == 0
+
+
+def leaked(spark, pairs):
+    """Of (item, document) pairs, the places of those that leak."""
+    docs = spark.createDataFrame([(i, d) for i, (_, d) in enumerate(pairs)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(pairs)], "item_id long, text string")
+    return [r.doc_id for r in decontaminate.leaks(docs, items).orderBy("doc_id").collect() if r.doc_id == r.item_id]
+
+
+def test_number_heavy_items_match_by_their_values(spark):
+    table = "12 47 93 5 61 8 22 70 31 4 19 66"
+    terse = "Now add 31 and 52 then 17, 4, 88, 63, 29, 75, 11, 36, 94 and tell us what the whole sum of them is"
+    assert leaked(spark, [
+        ("What is 3 + 4 * 5?", "He asked: what is 3 + 4 * 5? No idea."), ("What is 6 + 4 * 5?", "So what is 7 + 4 * 5? No idea."),
+        (table, "The table has " + table + " in it."), ("81 92 73 64 55 16 27 38", "The table has 81 92 74 64 55 17 27 38 in it."),
+        ("18 + 30 = 48", "Known is 18 + 30 = 48 to all."), ("21 22 23 24 25 26 27 28 29", " ".join(map(str, range(20, 40)))),
+        (terse, terse.replace("31", "41").replace("17", "18").replace("88", "89")),
+    ]) == [0, 2, 4, 6]
