@@ -3,11 +3,15 @@
 Numbers, units and names are replaced by typed placeholders, so a question with
 other values has the same template.  Windows of template tokens are hash-joined
 with those of the benchmark.  A run of matching windows on one alignment of
-document and item is an instance; its slots (the values under the placeholders)
-must agree: one value of the item always stands for one value of the document
-and the other way round.  Instances that contradict themselves do not count.  A
-document leaks an item if consistent instances cover at least ``least_share``
-of the item's windows.
+document and item is an instance; of its slots (the values under the
+placeholders) of each kind at least half must agree.  Those agree in which a
+value of the item stands for the document's value that it has most often.
+Values of the item may meet in one value of the document; only a number of two
+or more digits that keeps its place and takes another number's too ('60 km/h,
+3 hours' as '60 km/h, 60 hours') speaks against both.  Of an instance that
+contradicts itself, the windows whose values are all the item's count, if they
+are at least half of the item's.  A document leaks an item if what counts covers
+at least ``least_share`` of the item's windows.
 
 A number is digits with inner points or commas; a unit is one of ``UNITS``
 behind a number; a name is a capitalised word within a sentence.  Windows with
@@ -57,8 +61,11 @@ def _kind(token: Column) -> Column:
     return F.when(first.isin(NUMBER, UNIT, NAME), first)
 
 
-def windows(texts: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
-    """One row for each window: the keys, ``at``, ``hash`` and ``slots``; of mostly placeholders, the hash is that of the values."""
+def windows(texts: DataFrame, keys: list[str], lengths: list[int], spots: bool = False) -> DataFrame:
+    """One row for each window: the keys, ``at``, ``hash`` and ``slots``; of mostly placeholders, the hash is that of the values.
+
+    With ``spots``, each slot is a struct of its place in the text and its value.
+    """
     split = texts.select(*keys, tokens(F.col("text")).alias("tokens"))
     split = split.select(*keys, "tokens", F.transform("tokens", lambda t: F.xxhash64(F.coalesce(_kind(t), t))).alias("template"),
                          F.transform("tokens", lambda t: F.xxhash64(t)).alias("exact"),
@@ -77,7 +84,12 @@ def windows(texts: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
 
     every = F.concat(*[F.when(F.size("template") >= n, made(n)).otherwise(F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>"))
                        for n in lengths])
-    return split.select(*keys, F.inline(every))
+    if not spots:
+        return split.select(*keys, F.inline(every))
+    there = F.filter(F.transform("tokens", lambda t, i: F.struct((i + 1).alias("at"), t.alias("item"))), lambda s: _kind(s["item"]).isNotNull())
+    found = split.select(*keys, there.alias("there"), F.inline(every))
+    n = F.size("slots")
+    return found.withColumn("spots", F.slice("there", F.size(F.filter("there", lambda s: s["at"] < F.col("at"))) + 1, F.greatest(n, F.lit(0)))).drop("there")
 
 
 def _counts(slots: Column, n: Column) -> Column:
@@ -93,9 +105,9 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> t
     rows = items.select(items[id_col].alias("item_id"), items[text_col].cast("string").alias("text")).filter("text IS NOT NULL")
     sized = rows.withColumn("n", F.least(F.size(tokens(F.col("text"))), F.lit(window))).filter("n > 0")
     lengths = sorted(r.n for r in sized.select("n").distinct().collect())
-    parts = [windows(sized.filter(F.col("n") == n), ["item_id"], [n]).withColumn("n", F.lit(n)) for n in lengths]
+    parts = [windows(sized.filter(F.col("n") == n), ["item_id"], [n], spots=True).withColumn("n", F.lit(n)) for n in lengths]
     if not parts:
-        parts = [windows(rows.limit(0), ["item_id"], [window]).withColumn("n", F.lit(window))]
+        parts = [windows(rows.limit(0), ["item_id"], [window], spots=True).withColumn("n", F.lit(window))]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionAll(part)
@@ -104,11 +116,33 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> t
     return through_table(told.join(whole, "item_id"), "item-windows"), lengths
 
 
+def _consistent(pairs: Column) -> Column:
+    """Whether at least half of the slots (``at``, ``item``, ``doc``) of each kind agree."""
+
+    def agree(kind: str) -> Column:
+        slots = F.filter(pairs, lambda p: F.startswith(p["item"], F.lit(kind)))
+        clean = slots
+        if kind == NUMBER:
+            kept = F.filter(slots, lambda p: (p["item"] == p["doc"]) & (F.length(p["doc"]) > 2))
+            crossed = F.transform(F.filter(slots, lambda p: (p["item"] != p["doc"]) & F.exists(kept, lambda k: k["doc"] == p["doc"])), lambda p: p["doc"])
+            clean = F.filter(slots, lambda p: ~F.array_contains(crossed, p["doc"]))
+
+        def most(value: Column) -> Column:
+            met = F.transform(F.filter(clean, lambda p: p["item"] == value), lambda p: p["doc"])
+            return F.array_max(F.transform(F.array_distinct(met), lambda d: F.size(F.filter(met, lambda m: m == d))))
+
+        right = F.aggregate(F.array_distinct(F.transform(clean, lambda p: p["item"])), F.lit(0), lambda n, value: n + most(value))
+        return right * 2 >= F.size(slots)
+
+    # Most pairs are the same values throughout.
+    return F.forall(pairs, lambda p: p["item"] == p["doc"]) | (agree(NUMBER) & agree(UNIT) & agree(NAME))
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
     """Pairs (doc_id, item_id) with ``windows`` matched, ``share`` of the item's and ``same_values``."""
     known, lengths = item_windows(items, item_id_col, item_text_col, window)
-    known = known.select("item_id", F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "told", "of", "of_told")
+    known = known.select("item_id", F.col("at").alias("item_at"), "hash", F.col("spots").alias("item_slots"), "told", "of", "of_told")
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     if not lengths:
         texts = texts.limit(0)
@@ -117,14 +151,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     small = known.count() <= BROADCAST_ROWS
     met = own.join(F.broadcast(known) if small else known, "hash")
     none = F.array().cast("array<string>")
-    instances = met.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    slots = F.zip_with("item_slots", F.coalesce("slots", none), lambda a, b: F.struct(a["at"].alias("at"), a["item"].alias("item"), b.alias("doc")))
+    instances = met.withColumn("pairs", slots).groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set("item_at").alias("places"), F.collect_set(F.when(F.col("told"), F.col("item_at"))).alias("told"),
-        F.first("of").alias("of"), F.first("of_told").alias("of_told"),
-        F.array_distinct(F.flatten(F.collect_list(F.zip_with(
-            F.coalesce("item_slots", none), F.coalesce("slots", none), lambda a, b: F.struct(a.alias("item"), b.alias("doc")))))).alias("pairs"))
-    left = F.array_distinct(F.transform("pairs", lambda p: p["item"]))
-    right = F.array_distinct(F.transform("pairs", lambda p: p["doc"]))
-    consistent = instances.filter((F.size(left) == F.size("pairs")) & (F.size(right) == F.size("pairs")))
+        F.collect_set(F.when(F.forall("pairs", lambda p: p["item"] == p["doc"]), F.col("item_at"))).alias("verbatim"),
+        F.first("of").alias("of"), F.first("of_told").alias("of_told"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    judged = instances.withColumn("agrees", _consistent(F.col("pairs"))).filter(F.col("agrees") | (F.size("verbatim") * 2 >= F.col("of")))
+    consistent = judged.withColumn("told", F.when(F.col("agrees"), F.col("told")).otherwise(F.array_intersect("told", "verbatim"))).withColumn(
+        "places", F.when(F.col("agrees"), F.col("places")).otherwise(F.col("verbatim")))
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
     whole = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long")
     pairs = consistent.withColumn("same", same).groupBy("doc_id", "item_id").agg(

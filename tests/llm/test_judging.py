@@ -156,3 +156,17 @@ def test_number_heavy_items_match_by_their_values(spark):
         ("18 + 30 = 48", "Known is 18 + 30 = 48 to all."), ("21 22 23 24 25 26 27 28 29", " ".join(map(str, range(20, 40)))),
         (terse, terse.replace("31", "41").replace("17", "18").replace("88", "89")),
     ]) == [0, 2, 4, 6]
+
+
+def test_one_odd_value_leaves_the_alignment(spark):
+    fives = "Tom had 5 red marbles in his left pocket and 5 blue ones near the gate before he gave 5 of them away"
+    named = "Then Anna went out with the dog and Anna saw the fox, so Anna ran back and told all that Anna was right"
+    fruit = "the boy has 3 apples and 5 pears in the basket when he comes home"
+    twice = "the boy has 2 apples and the girl has 2 pears when they come home"
+    tail = "the old road goes by the mill and the church and the long wall to the sea where {} boats and {} nets lie"
+    four = "there are 2 cats and 2 dogs and 2 cows and 2 hens on the farm"
+    assert leaked(spark, [
+        (fives, fives.replace("5 blue", "6 blue")), (named, named.replace("that Anna", "that Anne")),
+        (fruit, fruit.replace("3", "4").replace("5", "4")), (fruit, fruit.replace("5", "3")), (twice, "the boy has 3 apples and the girl has 5 pears when they come home"),
+        (tail.format(60, 30), tail.format(60, 60)), (four, "there are 3 cats and 4 dogs and 5 cows and 6 hens on the farm"),
+    ]) == [0, 1, 2, 3, 4, 5]
