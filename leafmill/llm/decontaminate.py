@@ -14,8 +14,10 @@ are at least half of the item's.  A document leaks an item if what counts covers
 at least ``least_share`` of the item's windows.
 
 A number is digits with inner points or commas; a unit is one of ``UNITS``
-behind a number; a name is a capitalised word within a sentence.  Windows with
-fewer than half plain tokens are exact: hashed with their values, so only the
+behind a number; a name is any capitalised word but those of ``NOT_NAMES``,
+wherever it stands.  A window with names is hashed twice, once with them as
+placeholders and once as lower-case words, so texts in other case match too.
+Of the latter, windows with fewer than half plain tokens are exact: hashed with their values, so only the
 very same numbers match.  The share is that of all windows or of the template
 windows alone, whichever is larger, so exact windows take nothing from an item
 with other values.  Left out are only windows of bare numbers that count in
@@ -41,18 +43,24 @@ UNITS = (
     "km", "cm", "mm", "m", "kg", "mg", "g", "ml", "l", "s", "min", "h", "hours?", "minutes?", "seconds?", "days?", "weeks?", "months?",
     "years?", "miles?", "feet", "inch(?:es)?", "pounds?", "dollars?", "euros?", "cents?", "percent", "%", "€", "\\$",
 )
+NOT_NAMES = (  # begin sentences
+    "a", "an", "the", "this", "that", "these", "those", "it", "he", "she", "they", "we", "you", "i", "his", "her", "their", "its", "there", "if", "in",
+    "on", "at", "of", "to", "for", "from", "by", "with", "and", "or", "but", "as", "is", "are", "was", "were", "do", "does", "did", "can", "has", "have",
+    "what", "which", "who", "how", "when", "where", "why", "each", "every", "all", "some", "after", "before", "then", "so", "find", "suppose",
+)
 NUMBER, UNIT, NAME = "#", "~", "@"  # begin the token of a placeholder; the value follows
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words, and placeholders with their values."""
     plain = F.translate(text, NUMBER + UNIT + NAME, "   ")
-    named = F.regexp_replace(plain, r"\p{Lu}(?<=[\p{Ll}\d,;] \p{Lu})(\p{L}*)", NAME + "$0")
     unit = "|".join(UNITS)
-    valued = F.regexp_replace(named, rf"(?i)(\d+(?:[.,]\d+)*)(?:\s?({unit})(?!\p{{L}}))?", f" {NUMBER}$1 {UNIT}$2 ")
+    valued = F.regexp_replace(plain, rf"(?i)(\d+(?:[.,]\d+)*)(?:\s?({unit})(?!\p{{L}}))?", f" {NUMBER}$1 {UNIT}$2 ")
     # A number without a unit leaves a bare mark, which goes.
     bare = F.replace(valued, F.lit(f" {UNIT} "), F.lit(" "))
-    found = F.split(F.lower(bare), rf"[^\p{{L}}\p{{N}}{NUMBER}{UNIT}{NAME}%€$.,]+|[.,$]+(?![\d])|(?<!\d)[.,]")
+    # The mark of a unit stands before it, so a unit is no name.
+    named = F.regexp_replace(bare, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{UNIT}%€$])(?!(?i:{'|'.join(NOT_NAMES)})(?!\p{{L}}))\p{{Lu}}", NAME + "$0")
+    found = F.split(F.lower(named), rf"[^\p{{L}}\p{{N}}{NUMBER}{UNIT}{NAME}%€$.,]+|[.,$]+(?![\d])|(?<!\d)[.,]")
     return F.filter(found, lambda t: t != "")
 
 
@@ -61,35 +69,74 @@ def _kind(token: Column) -> Column:
     return F.when(first.isin(NUMBER, UNIT, NAME), first)
 
 
+def _is_name(token: Column) -> Column:
+    return F.startswith(token, F.lit(NAME))
+
+
+def _is_value(token: Column) -> Column:
+    """Whether the token is a number or a unit."""
+    return F.substring(token, 1, 1).isin(NUMBER, UNIT)
+
+
 def windows(texts: DataFrame, keys: list[str], lengths: list[int], spots: bool = False) -> DataFrame:
-    """One row for each window: the keys, ``at``, ``hash`` and ``slots``; of mostly placeholders, the hash is that of the values.
+    """Rows for each window: the keys, ``at``, ``hash`` and ``slots``.
 
-    With ``spots``, each slot is a struct of its place in the text and its value.
+    In one row names are words, and of mostly placeholders the hash is that of
+    the values; a window with names has another in which they are placeholders.
+    With ``spots`` there are also the slots as structs of place in the text and
+    value, and ``told``, whether half the tokens are plain when names are not.
     """
+    word = lambda t: F.ltrim(t, F.lit(NAME))
+    at = lambda holds: F.filter(F.transform("tokens", lambda t, i: F.when(holds(t), i + 1)), lambda i: i.isNotNull())
     split = texts.select(*keys, tokens(F.col("text")).alias("tokens"))
-    split = split.select(*keys, "tokens", F.transform("tokens", lambda t: F.xxhash64(F.coalesce(_kind(t), t))).alias("template"),
-                         F.transform("tokens", lambda t: F.xxhash64(t)).alias("exact"),
-                         F.exists("tokens", lambda t: _kind(t).isNotNull()).alias("has_slots"))
+    split = split.select(*keys, "tokens", at(_is_name).alias("names_at"), at(_is_value).alias("values_at"))
+    valued = F.size("values_at") > 0
+    exact = F.transform("tokens", lambda t: F.xxhash64(word(t)))
+    plain = F.transform("tokens", lambda t: F.xxhash64(F.when(_is_value(t), _kind(t)).otherwise(word(t))))
+    named = F.transform("tokens", lambda t: F.xxhash64(F.coalesce(_kind(t), t)))
+    split = split.select(*keys, "tokens", "names_at", "values_at", exact.alias("exact"), F.when(valued, plain).alias("plain"),
+                         F.when(F.size("names_at") > 0, named).alias("named"))
+
+    def near(places: str, n: int) -> Column:
+        """The windows that hold one of the places."""
+        last = F.size("tokens") - n + 1
+        return F.when(last >= 1, F.array_distinct(F.flatten(F.transform(
+            places, lambda p: F.sequence(F.greatest(p - n + 1, F.lit(1)), F.least(p, last))))))
+
+    # Each is used more than once.
+    split = split.select("*", *[near(f"{kind}_at", n).alias(f"{kind}_{n}") for n in lengths for kind in ("names", "values")])
 
     def made(n: int) -> Column:
         def slotted(i: Column) -> Column:
-            values = F.when(F.col("has_slots"), F.filter(F.slice("tokens", i, n), lambda t: _kind(t).isNotNull()))
-            return F.struct(i.alias("at"), values.alias("slots"))
+            return F.struct(i.alias("at"), F.filter(F.slice("tokens", i, n), _is_value).alias("slots"))
 
         def window(w: Column) -> Column:
-            part = F.when(F.size(w["slots"]) * 2 > n, F.slice("exact", w["at"], n)).otherwise(F.slice("template", w["at"], n))
+            part = F.when(F.size(w["slots"]) * 2 > n, F.slice("exact", w["at"], n)).otherwise(F.slice("plain", w["at"], n))
             return F.struct(w["at"].alias("at"), F.xxhash64(part).alias("hash"), w["slots"].alias("slots"))
 
-        return F.transform(F.transform(F.sequence(F.lit(1), F.size("template") - n + 1), slotted), window)
+        def without(i: Column) -> Column:
+            return F.struct(i.alias("at"), F.xxhash64(F.slice("exact", i, n)).alias("hash"), F.lit(None).cast("array<string>").alias("slots"))
+
+        def with_names(i: Column) -> Column:
+            slots = F.filter(F.slice("tokens", i, n), lambda t: _kind(t).isNotNull())
+            return F.struct(i.alias("at"), F.xxhash64(F.slice("named", i, n)).alias("hash"), slots.alias("slots"))
+
+        every = F.sequence(F.lit(1), F.size("tokens") - n + 1)
+        others = F.when(valued, F.array_except(every, f"values_{n}")).otherwise(every)
+        return F.concat(F.transform(others, without), F.transform(F.transform(f"values_{n}", slotted), window), F.transform(f"names_{n}", with_names))
 
-    every = F.concat(*[F.when(F.size("template") >= n, made(n)).otherwise(F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>"))
+    every = F.concat(*[F.when(F.size("tokens") >= n, made(n)).otherwise(F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>"))
                        for n in lengths])
     if not spots:
         return split.select(*keys, F.inline(every))
+    n = lengths[0]
     there = F.filter(F.transform("tokens", lambda t, i: F.struct((i + 1).alias("at"), t.alias("item"))), lambda s: _kind(s["item"]).isNotNull())
     found = split.select(*keys, there.alias("there"), F.inline(every))
-    n = F.size("slots")
-    return found.withColumn("spots", F.slice("there", F.size(F.filter("there", lambda s: s["at"] < F.col("at"))) + 1, F.greatest(n, F.lit(0)))).drop("there")
+    found = found.withColumn("there", F.filter("there", lambda s: (s["at"] >= F.col("at")) & (s["at"] < F.col("at") + n)))
+    as_values = F.filter("there", lambda s: ~_is_name(s["item"]))
+    has_names = F.size("there") == F.coalesce(F.size("slots"), F.lit(0))
+    return found.select(*keys, "at", "hash", "slots", F.when(has_names, F.col("there")).otherwise(as_values).alias("spots"),
+                        (F.size("there") * 2 <= n).alias("told"))
 
 
 def _counts(slots: Column, n: Column) -> Column:
@@ -111,7 +158,9 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> t
     found = parts[0]
     for part in parts[1:]:
         found = found.unionAll(part)
-    told = found.withColumn("told", F.coalesce(F.size("slots"), F.lit(0)) * 2 <= F.col("n")).filter(~_counts(F.col("slots"), F.col("n"))).drop("n")
+    # Names as placeholders say nothing in a window of mostly placeholders; the other row has them as words.
+    named = F.exists("spots", lambda s: _is_name(s["item"]))
+    told = found.filter((F.col("told") | ~named) & ~_counts(F.col("slots"), F.col("n"))).drop("n")
     whole = told.groupBy("item_id").agg(F.count_distinct("at").alias("of"), F.count_distinct(F.when(F.col("told"), F.col("at"))).alias("of_told"))
     return through_table(told.join(whole, "item_id"), "item-windows"), lengths
 

@@ -170,3 +170,15 @@ def test_one_odd_value_leaves_the_alignment(spark):
         (fruit, fruit.replace("3", "4").replace("5", "4")), (fruit, fruit.replace("5", "3")), (twice, "the boy has 3 apples and the girl has 5 pears when they come home"),
         (tail.format(60, 30), tail.format(60, 60)), (four, "there are 3 cats and 4 dogs and 5 cows and 6 hens on the farm"),
     ]) == [0, 1, 2, 3, 4, 5]
+
+
+def test_names_are_told_by_the_capital_alone(spark):
+    pens = "Anna buys 3 pens. Anna gives Tom 2 pens. Anna loses 1 pen. Anna finds 4 pens. Anna sells 5 pens. Anna keeps 6 pens."
+    capital = "What is the capital of France?"
+    gate = "the old friend Anna came to the big gate"
+    assert leaked(spark, [
+        (pens, pens.replace("Anna", "Maria").replace("Tom", "Paul").replace("3", "7").replace("2", "8")),
+        (capital, "He put the question What is the capital of France to us"), (capital, "he put it: WHAT IS THE CAPITAL OF FRANCE?"),
+        (gate, "So " + gate.replace(" Anna", "\nAnna")), (gate, "So " + gate.replace(" Anna", "  Anna")), (gate, gate.replace("Anna", "(Maria)")),
+        ("so we ran 5 km with Tom", "So We Ran 7 KM With Tom"), (gate, gate.replace("Anna", "from the town")),
+    ]) == [0, 1, 2, 3, 4, 5, 6]
