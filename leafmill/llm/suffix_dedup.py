@@ -10,14 +10,16 @@ Equal strings then choose equally, and about one byte in a hundred is sampled.
 1. *Sampled triples.*  The suffix at a sample is named by the triple of its next
    three blocks.  Triples are sorted and counted by name; a name that occurs
    once cannot begin a repeat, and goes.
-2. *Recursion on names.*  A sample with the starts that chose it is named again
+2. *Range-hash names*, in place of the recursion on names: suffixes are never
+   ranked, and a triple is renamed at most twice.  A sample with the starts that chose it is named again
    by the whole stretch that their strings cover.  If all suffixes of one triple
    have one such name, all those starts repeat and no more is to be done; so
    copies and the inside of long repeats end here.
    Where the stretches of a triple lie alike around it, they are named a third
    time by the part that all their strings share; alone there, they end too.
 3. *Remaining suffixes.*  What is left are the ends of repeats: one stretch of
-   each name is merged back into all its suffixes, cut at the minimum length.
+   each name is expanded to all its suffixes, cut at the minimum length; this and
+   the next step stand in place of the merge of ranked suffixes.
 4. *Adjacent prefixes.*  Those are sorted, and equal neighbours compared.
 
 Sorting is by two 64-bit digests of the bytes instead of the bytes, as only
