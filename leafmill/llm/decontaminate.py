@@ -11,7 +11,8 @@ or more digits that keeps its place and takes another number's too ('60 km/h,
 3 hours' as '60 km/h, 60 hours') speaks against both.  Of an instance that
 contradicts itself, the windows whose values are all the item's count, if they
 are at least half of the item's.  A document leaks an item if what counts covers
-at least ``least_share`` of the item's windows.
+at least ``least_share`` of the item's windows, or holds ``long_run`` tokens of
+the item in one piece.
 
 A number is digits with inner points or commas; a unit is one of ``UNITS``
 behind a number; a name is any capitalised word but those of ``NOT_NAMES``,
@@ -38,6 +39,7 @@ from leafmill.session import through_table
 
 WINDOW = 8
 LEAST_SHARE = 0.3
+LONG_RUN = 40  # tokens
 BROADCAST_ROWS = 200_000  # benchmark windows, of about 100 bytes, up to which they are sent to all executors
 UNITS = (
     "km", "cm", "mm", "m", "kg", "mg", "g", "ml", "l", "s", "min", "h", "hours?", "minutes?", "seconds?", "days?", "weeks?", "months?",
@@ -187,8 +189,14 @@ def _consistent(pairs: Column) -> Column:
     return F.forall(pairs, lambda p: p["item"] == p["doc"]) | (agree(NUMBER) & agree(UNIT) & agree(NAME))
 
 
+def _longest_run(places: Column) -> Column:
+    """How many of the places follow each other at most."""
+    offsets = F.transform(F.array_sort(places), lambda p, i: p - i)
+    return F.coalesce(F.array_max(F.transform(F.array_distinct(offsets), lambda d: F.size(F.filter(offsets, lambda o: o == d)))), F.lit(0))
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-          item_text_col: str = "text", window: int = WINDOW, least_share: float = LEAST_SHARE) -> DataFrame:
+          item_text_col: str = "text", window: int = WINDOW, least_share: float = LEAST_SHARE, long_run: int = LONG_RUN) -> DataFrame:
     """Pairs (doc_id, item_id) with ``windows`` matched, ``share`` of the item's and ``same_values``."""
     known, lengths = item_windows(items, item_id_col, item_text_col, window)
     known = known.select("item_id", F.col("at").alias("item_at"), "hash", F.col("spots").alias("item_slots"), "told", "of", "of_told")
@@ -205,16 +213,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         F.collect_set("item_at").alias("places"), F.collect_set(F.when(F.col("told"), F.col("item_at"))).alias("told"),
         F.collect_set(F.when(F.forall("pairs", lambda p: p["item"] == p["doc"]), F.col("item_at"))).alias("verbatim"),
         F.first("of").alias("of"), F.first("of_told").alias("of_told"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-    judged = instances.withColumn("agrees", _consistent(F.col("pairs"))).filter(F.col("agrees") | (F.size("verbatim") * 2 >= F.col("of")))
+    judged = instances.withColumn("agrees", _consistent(F.col("pairs"))).filter(
+        F.col("agrees") | (F.size("verbatim") * 2 >= F.col("of")) | (_longest_run(F.col("verbatim")) + window - 1 >= long_run))
     consistent = judged.withColumn("told", F.when(F.col("agrees"), F.col("told")).otherwise(F.array_intersect("told", "verbatim"))).withColumn(
         "places", F.when(F.col("agrees"), F.col("places")).otherwise(F.col("verbatim")))
     same = F.forall("pairs", lambda p: p["item"] == p["doc"])
     whole = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long")
-    pairs = consistent.withColumn("same", same).groupBy("doc_id", "item_id").agg(
+    long = F.size("places") + window - 1 >= long_run  # spares the search for most
+    run = F.when(long, _longest_run(F.col("places")) + window - 1).otherwise(0)
+    pairs = consistent.withColumn("same", same).withColumn("run", run).groupBy("doc_id", "item_id").agg(
         whole("places").alias("windows"), whole("told").alias("told"), F.first("of").alias("of"), F.first("of_told").alias("of_told"),
-        F.max("same").alias("same_values"))
+        F.max("same").alias("same_values"), F.max("run").alias("run"))
     share = F.greatest(F.col("windows") / F.col("of"), F.try_divide("told", "of_told"))
-    return pairs.select("doc_id", "item_id", "windows", share.alias("share"), "same_values").filter(F.col("share") >= least_share)
+    told = pairs.withColumn("share", share).filter((F.col("share") >= least_share) | (F.col("run") >= long_run))
+    return told.select("doc_id", "item_id", "windows", "share", "same_values")
 
 
 def judge(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

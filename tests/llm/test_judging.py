@@ -182,3 +182,10 @@ def test_names_are_told_by_the_capital_alone(spark):
         (gate, "So " + gate.replace(" Anna", "\nAnna")), (gate, "So " + gate.replace(" Anna", "  Anna")), (gate, gate.replace("Anna", "(Maria)")),
         ("so we ran 5 km with Tom", "So We Ran 7 KM With Tom"), (gate, gate.replace("Anna", "from the town")),
     ]) == [0, 1, 2, 3, 4, 5, 6]
+
+
+def test_a_long_stretch_of_a_longer_item_leaks(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    item = " ".join(words)
+    assert leaked(spark, [(item, "It says " + " ".join(words[150:250]) + " and ends."), (item[::-1], " ".join(item[::-1].split()[100:135]))]) == [0]
