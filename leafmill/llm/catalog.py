@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import chat, chunk_dedup, decontaminate, exact_dedup, hilbert, jaccard_join, language, quality, sentencepiece, suffix_dedup
+from leafmill.llm import (
+    chat, chunk_dedup, decontaminate, exact_dedup, hilbert, jaccard_join, language, quality, sentencepiece, suffix_dedup, token_counts,
+)
 from leafmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +140,9 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "place"
     )
+
+
+@query()
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text by the byte-level vocabulary of 50,257."""
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), limit=1024)
