@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import (
     chat, chunk_dedup, decontaminate, exact_dedup, hilbert, jaccard_join, language, quality, sentencepiece, suffix_dedup, token_counts,
+    whitening,
 )
 from leafmill.llm.common import read
 
@@ -146,3 +147,10 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text by the byte-level vocabulary of 50,257."""
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), limit=1024)
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every embedding."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, vectors["vec_id"], vectors["embedding"], components=8)
