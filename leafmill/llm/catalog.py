@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import (
-    chat, chunk_dedup, decontaminate, exact_dedup, hilbert, jaccard_join, language, quality, sentencepiece, suffix_dedup, token_counts,
+    chat, chunk_dedup, decontaminate, exact_dedup, hard_negatives, hilbert, jaccard_join, language, quality, sentencepiece, suffix_dedup, token_counts,
     whitening,
 )
 from leafmill.llm.common import read
@@ -154,3 +154,31 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight whitened components of every embedding."""
     vectors = read(spark, sf_dir, "embeddings")
     return whitening.whiten(vectors, vectors["vec_id"], vectors["embedding"], components=8)
+
+
+@query("""
+WITH clean AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+  FROM clean a JOIN clean c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT * FROM ranked WHERE rank <= 10
+""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each anchor and each of its five positives."""
+    vectors = read(spark, sf_dir, "embeddings")
+    i, label = vectors["vec_id"], vectors["label"].cast("long")
+    return hard_negatives.mine(vectors, i, F.when(i % 7 == 0, (label + 1) % 10).otherwise(label), vectors["embedding"],
+                               F.coalesce(i % 100 == 0, F.lit(False)))
