@@ -138,13 +138,26 @@ def _near_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def anchor_blocks(anchors: DataFrame, block: int = BLOCK, batch: int = BATCH) -> DataFrame:
-    """(batch, size, block): trees over all anchors (anchor, label, x)."""
+    """(part, size, block): trees over all anchors (anchor, label, x); several parts, of near anchors each, make a batch."""
     count = anchors.count()
     coded = anchors.mapInArrow(_near_first, "anchor long, label long, x array<long>, code int")
-    parts = max(1, -(-count // batch))  # a batch is a partition; its anchors are near each other
+    parts = max(1, -(-2 * count // batch))
     ranged = coded.repartitionByRange(parts, "label", "code", "anchor").sortWithinPartitions("label", "code", "anchor")
     numbered = ranged.select("anchor", "label", "x").mapInArrow(_trees(block), "size int, block binary")
-    return through_table(numbered.withColumn("batch", F.spark_partition_id()), "anchor-blocks")
+    return through_table(numbered.withColumn("part", F.spark_partition_id()), "anchor-blocks")
+
+
+def batches_of(blocks: DataFrame, batch: int) -> list[tuple[int, int]]:
+    """First and last part of each batch: neighbours together until they would hold more than ``batch`` anchors."""
+    found: list[tuple[int, int]] = []
+    held = 0
+    for part, size in blocks.groupBy("part").agg(F.sum("size").alias("size")).orderBy("part").collect():
+        if found and held + size <= batch:
+            found[-1], held = (found[-1][0], part), held + size
+        else:
+            found.append((part, part))
+            held = size
+    return found
 
 
 class Best:
@@ -300,8 +313,8 @@ def mine(df: DataFrame, vec_id: Column, label: Column, vector: Column, is_anchor
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     spark.createDataFrame([], schema).write.parquet(out)
     candidates = rows.select("row_id", "label", "x")
-    for (number,) in blocks.select("batch").distinct().orderBy("batch").collect():
-        trees = [pickle.loads(bytes(r["block"])) for r in blocks.filter(F.col("batch") == number).select("block").collect()]  # about BATCH anchors
+    for from_, to in batches_of(blocks, batch):
+        trees = [pickle.loads(bytes(r["block"])) for r in blocks.filter(F.col("part").between(from_, to)).select("block").collect()]  # about BATCH anchors
         sent = spark.sparkContext.broadcast([pickle.dumps(t) for t in trees])
         found = _best_of_all(candidates.mapInArrow(_mine(sent, False, positives, negatives, low, high), FOUND), positives)
         near: dict[int, list[tuple[int, int, int]]] = {}
