@@ -11,6 +11,7 @@ from leafmill.operators import ledger as jobs
 from leafmill.session import work_dir
 from leafmill.streaming.ledger import compact_ledger, current_ledger
 from leafmill.streaming.ledger import stream_ledger as start_ledger
+from leafmill.streaming.live_ledger import live_jobs, stream_live_ledger
 
 _TYPES = {"signup": "submitted", "view": "started", "click": "cancelled", "purchase": "succeeded", "error": "failed"}
 # Of events this long ago, most jobs still run or wait, so each rule has cases.
@@ -85,16 +86,16 @@ def job_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(jobs.job_snapshot(_events(spark, sf)))
 
 
-_DEADLINE_SQL = _MANY_SQL + f"""
+_DEADLINE_SQL = _MANY_SQL + """
 , marked AS (
   SELECT *, started_at + INTERVAL 600 SECOND AS deadline,
-    coalesce(started_at + INTERVAL 600 SECOND <= TIMESTAMP '{_NOW}' AND (finished_at IS NULL OR finished_at > started_at + INTERVAL 600 SECOND), false) AS late
+    coalesce(started_at + INTERVAL 600 SECOND <= {now} AND (finished_at IS NULL OR finished_at > started_at + INTERVAL 600 SECOND), false) AS late
   FROM jobs
 )
 """
 
 
-@query(_DEADLINE_SQL + """
+@query(_DEADLINE_SQL.replace("{now}", f"TIMESTAMP '{_NOW}'") + """
 SELECT job_id, CASE WHEN late THEN 'failed' ELSE status END AS status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us,
   epoch_us(CASE WHEN late THEN deadline ELSE finished_at END) AS finished_us, CASE WHEN late THEN 'timeout' ELSE error_code END AS error_code
 FROM marked
@@ -139,3 +140,26 @@ def ledger_stream(spark: SparkSession, sf: str) -> DataFrame:
     start_ledger(events, out, checkpoint, once=True).awaitTermination()
     compact_ledger(spark, out, upto=1)
     return _shown(current_ledger(spark, out))
+
+
+@query(_DEADLINE_SQL.replace("{now}", "(SELECT max(ts) - INTERVAL 600 SECOND FROM events)") + """
+SELECT job_id, CASE WHEN late THEN 'failed' ELSE status END AS status, epoch_us(created_at) AS created_us, epoch_us(started_at) AS started_us,
+  epoch_us(CASE WHEN late THEN deadline ELSE finished_at END) AS finished_us, filename, CASE WHEN late THEN 'timeout' ELSE error_code END AS error_code,
+  CASE WHEN late THEN 'the job ran past the 600s limit' ELSE error END AS error, CASE WHEN late THEN '' ELSE missing END AS missing
+FROM marked
+""")
+def live_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The event table in six batches by time, each with the last minutes of the one before once more; deadlines fire in the stream."""
+    arrived = work_dir(spark, "live-events")
+    whole = table(spark, sf, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    borders = whole.select(at.alias("at")).approxQuantile("at", [k / 6 for k in range(7)], 0.01)
+    for k, (low, high) in enumerate(zip(borders, borders[1:])):
+        from_start, to_end = k == 0, k == 5
+        part = whole.filter(F.lit(from_start) | (at >= int(low) - 300_000_000)).filter(F.lit(to_end) | (at < int(high)))
+        part.write.parquet(f"{arrived}/{k}")
+    arriving = spark.readStream.schema(whole.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(arrived)
+    events = jobs.event_rows(arriving, _TYPES, "user_id", "event_id", "ts", "event_type", **_details()).withColumn("job_id", F.col("job_id") * 100 + F.hour("ts"))
+    out = work_dir(spark, "live-ledger")
+    stream_live_ledger(events, out, work_dir(spark, "live-checkpoint"), Limits(), horizon_secs=400 * 86_400, compact_every=3, once=True).awaitTermination()
+    return _shown(live_jobs(spark, out))

@@ -97,6 +97,7 @@ def mark_timeouts(jobs: DataFrame, now: Column, limits: Limits) -> DataFrame:
         jobs.withColumn("_late", late)
         .withColumn("error_code", F.when(F.col("_late"), fixed.TIMEOUT).otherwise(F.col("error_code")))
         .withColumn("error", F.when(F.col("_late"), f"the job ran past the {limits.timeout_secs}s limit").otherwise(F.col("error")))
+        .withColumn("missing_dependencies", F.when(F.col("_late"), F.array().cast("array<string>")).otherwise(F.col("missing_dependencies")))
         .withColumn("finished_at", F.when(F.col("_late"), deadline).otherwise(F.col("finished_at")))
         .withColumn("status", F.when(F.col("_late"), fixed.FAILED).otherwise(F.col("status")))
         .drop("_late")
