@@ -100,24 +100,29 @@ def path_confinement(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH shaped AS (
-  SELECT page_id, CASE page_id % 4 WHEN 0 THEN '/root/in/' WHEN 1 THEN '/root/out/' WHEN 2 THEN '/root/docs/../out/../' ELSE '/root/docs/' END || page_id AS path,
-    CASE page_id % 4 WHEN 0 THEN '/root/docs/' WHEN 1 THEN '/aside/deep/' WHEN 2 THEN '/aside/' ELSE '/root/docs/' END || page_id AS resolved_path FROM pages
+  SELECT page_id, CASE page_id % 7 WHEN 0 THEN '/root/in/' WHEN 1 THEN '/root/out/' WHEN 2 THEN '/root/docs/../out/../' WHEN 3 THEN '/root/docs/'
+      WHEN 4 THEN '/linked/docs/' WHEN 5 THEN '/second/' ELSE '/linked/in/../../root/in/' END || page_id AS path,
+    CASE page_id % 7 WHEN 1 THEN '/aside/deep/' WHEN 2 THEN '/aside/' WHEN 5 THEN '/aside/second/' ELSE '/root/docs/' END || page_id AS resolved_path FROM pages
 )
-SELECT page_id, resolved_path, CASE WHEN page_id % 4 IN (1, 2) THEN '`' || path || '` leads outside the allowed roots (/root)' END AS path_error FROM shaped
+SELECT page_id, resolved_path, CASE WHEN page_id % 7 IN (1, 2) THEN '`' || path || '` leads outside the allowed roots (/linked, /second)' END AS path_error
+FROM shaped
 """)
 def resolved_confinement(spark: SparkSession, sf: str) -> DataFrame:
-    """Real links in a folder of its own: ``in`` leads to a folder inside the root, ``out`` to one beside it."""
+    """Real links in a folder of its own: both roots are links, ``in`` leads to a folder inside the first, ``out`` to one beside it."""
     folder = work_dir(spark, "links")
     # Its name is hidden from the result; a file system that links have, as the query is about those.
     base = Path(os.path.realpath(folder.removeprefix("file://").removeprefix("file:")))
     (base / "root" / "docs").mkdir(parents=True)
     (base / "aside" / "deep").mkdir(parents=True)
+    (base / "aside" / "second").mkdir()
     (base / "root" / "in").symlink_to(base / "root" / "docs")
     (base / "root" / "out").symlink_to(base / "aside" / "deep")
+    (base / "linked").symlink_to(base / "root")
+    (base / "second").symlink_to(base / "aside" / "second")
     text = F.col("page_id").cast("string")
-    lead = _pick(F.col("page_id"), "/root/in/", "/root/out/", "/root/docs/../out/../", "/root/docs/")
+    lead = _pick(F.col("page_id"), "/root/in/", "/root/out/", "/root/docs/../out/../", "/root/docs/", "/linked/docs/", "/second/", "/linked/in/../../root/in/")
     paths = table(spark, sf, "pages").select("page_id", F.concat(F.lit(str(base)), lead, text).alias("path"))
-    made = confine(paths, [f"{base}/root"])
+    made = confine(paths, [f"{base}/linked", f"{base}/second"])
     return made.select("page_id", *[F.replace(c, F.lit(str(base)), F.lit("")).alias(c) for c in ("resolved_path", "path_error")])
 
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
+from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -20,9 +24,11 @@ from leafmill.limits import Limits
 from leafmill.operators.admission import size_gate, with_suffix
 from leafmill.operators.archives import archive_verdict, judge_members
 from leafmill.plans.corpus import admit, outcomes, run_corpus
-from leafmill.session import work_dir
+from leafmill.session import through_table, work_dir
 from leafmill.sources.archives import explode_archives
 from leafmill.sources.files import load_requests, parse_requests, scan_documents
+from leafmill.sources.ranges import explode_located
+from leafmill.sources.stores import store_and_path
 from leafmill.streaming.documents import poll
 from leafmill.streaming.documents import stream_documents as start_documents
 
@@ -237,12 +243,47 @@ SELECT doc_id::VARCHAR AS archive_id, CASE WHEN doc_id % 2 = 0 THEN 'zip' ELSE '
 FROM members WHERE total <= 512
 """)
 def archive_scan(spark: SparkSession, sf: str) -> DataFrame:
-    judged = judge_members(explode_archives(_archives(spark, sf), Limits()), Limits())
+    return _good_members(explode_archives(_archives(spark, sf), Limits()))
+
+
+def _good_members(members: DataFrame) -> DataFrame:
+    judged = judge_members(members, Limits())
     return judged.filter(F.col("refusal").isNull()).select(
         "archive_id", "format", "ordinal", "name", "kind", "declared_size", as_text(F.col("content")).alias("text")
     )
 
 
+def _archive_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The archives written as files into the shared folder, each by the task that packed it; gives their locations."""
+    folder = work_dir(spark, "archive-files")
+    store, path = FileSystem.from_uri(folder) if "://" in folder else (None, folder.removeprefix("file:"))
+    if store is None or isinstance(store, LocalFileSystem):
+        Path(path).mkdir(parents=True)
+    lead = path if store is None else folder
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = []
+            for name, content in zip(batch.column("archive_id").to_pylist(), batch.column("content").to_pylist()):
+                places.append(f"{lead}/{name}")
+                target, at = store_and_path(places[-1])
+                with target.open_output_stream(at) as out:
+                    out.write(content)
+            yield pa.record_batch([batch.column("archive_id"), batch.column("filename"), pa.array(places, pa.string())], names=["archive_id", "filename", "location"])
+
+    return through_table(_archives(spark, sf).mapInArrow(write, "archive_id string, filename string, location string"), "archive-places")
+
+
+@query(_LINE_MEMBERS_SQL + """
+SELECT doc_id::VARCHAR AS archive_id, CASE WHEN doc_id % 2 = 0 THEN 'zip' ELSE 'tar' END AS format, n::INT AS ordinal,
+  'lines/' || lpad(n::VARCHAR, 5, '0') || '.txt' AS name, 'file' AS kind, strlen(line)::BIGINT AS declared_size, line AS text
+FROM members WHERE total <= 512
+""")
+def archive_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives in files: the directory of each is read first, then its members one by one, by any task."""
+    return _good_members(explode_located(_archive_files(spark, sf), Limits()))
+
+
 @query("""
 SELECT doc_id::VARCHAR AS archive_id, CASE WHEN reason IS NOT NULL THEN 'input_rejected' END AS error_code, reason AS error FROM (
   SELECT doc_id, CASE WHEN doc_id % 10 = 7 THEN '`a.tgz` cannot be read as a zip or tar archive'
@@ -263,6 +304,8 @@ def archive_scan_verdict(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id::VARCHAR AS request_id, string_agg('# ' || name || E'\n\n' || line, E'\n\n' ORDER BY n) AS markdown,
   count(*)::INT AS sources, NULL AS error_code
 FROM texts WHERE line <> '' AND total <= 512 GROUP BY doc_id
+UNION ALL SELECT doc_id::VARCHAR, '', 0, NULL FROM texts GROUP BY doc_id HAVING max(total) <= 512 AND max(line) = ''
+UNION ALL SELECT doc_id::VARCHAR, NULL, NULL, 'input_rejected' FROM texts GROUP BY doc_id HAVING max(total) > 512
 UNION ALL SELECT doc_id::VARCHAR, NULL, NULL, 'input_rejected' FROM documents WHERE doc_id % 10 = 7
 """.replace("\\n", "\n"))
 def archive_corpus(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,11 +8,11 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, StringType
 
 from leafmill import fixed
 from leafmill.functions.options import normalise_options, option_key
-from leafmill.functions.paths import clean_path, fold_location, format_suffix, inline_suffix, local_form, store_of, within_roots
+from leafmill.functions.paths import clean_path, fold_location, fold_root, format_suffix, inline_suffix, local_form, store_of, within_roots
 from leafmill.functions.payload import strict_base64
 from leafmill.functions.text import let
 from leafmill.limits import Limits
@@ -64,17 +64,32 @@ def resolved_path(path: Column, resolve_links: bool = True) -> Column:
     return F.when(store_of(named) == "", F.when(folded.isNotNull(), _real_path(local_form(named)))).otherwise(folded)
 
 
+def really_within(path: Column, roots: Iterable[str]) -> Column:
+    """Whether a resolved local path is a root or beneath one, where the roots' own links are followed too, in the executors."""
+    local = [root for root in map(fold_root, roots) if root.startswith("/")]
+
+    @F.pandas_udf(BooleanType())
+    def inside(paths: pd.Series) -> pd.Series:
+        real = [os.path.realpath(root) for root in local]
+        return paths.map(lambda p: p is not None and any(p == r or p.startswith(r.rstrip("/") + "/") for r in real)).astype(bool)
+
+    return inside(path) if local else F.lit(False)
+
+
 def confine(df: DataFrame, roots: Iterable[str], resolve_links: bool = True) -> DataFrame:
     """Add ``resolved_path`` and ``path_error``; the error is null for a path inside the roots."""
     roots = list(roots)
     shown = ", ".join(roots) or "(none)"
     named = clean_path(F.col("path"))
     resolved = df.withColumn("resolved_path", resolved_path(F.col("path"), resolve_links))
+    inside = within_roots(F.col("resolved_path"), roots)
+    if resolve_links:
+        inside = F.when(store_of(named) == "", really_within(F.col("resolved_path"), roots)).otherwise(inside)
     return resolved.withColumn(
         "path_error",
         F.when(named == "", F.lit("missing `path`"))
         .when(
-            ~within_roots(F.col("resolved_path"), roots),
+            ~inside,
             F.concat(F.lit("`"), named, F.lit(f"` leads outside the allowed roots ({shown})")),
         ),
     )

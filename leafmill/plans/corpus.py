@@ -33,7 +33,8 @@ from leafmill.operators.assemble import assemble
 from leafmill.operators.blocks import blocks_of, extract
 from leafmill.operators.converter import Factory, convert_once, convert_with
 from leafmill.sources.archives import explode_archives
-from leafmill.sources.files import read_files, write_errors, write_results
+from leafmill.sources.files import length_of, read_files, write_errors, write_results
+from leafmill.sources.ranges import explode_located
 from leafmill.session import through_table
 
 
@@ -44,8 +45,9 @@ def _rejected(message: Column) -> Column:
 
 def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str],
           resolve_links: bool = True) -> DataFrame:
-    """Requests to documents: ``request_id, filename, suffix, content, option_key, error`` with ``error`` set on those refused.
+    """Requests to documents: ``request_id, filename, suffix, content, option_key, error, location`` with ``error`` set on those refused.
 
+    Archives in files have a ``location`` instead of their content.
     Requests that carry their bytes meet no other row, so they are not moved.
     """
     checked = check_request(with_options(requests))
@@ -56,7 +58,7 @@ def admit(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable
     )
     carried = inline.select(
         "request_id", F.coalesce("filename", F.lit("document.txt")).alias("filename"), F.lower("suffix").alias("suffix"),
-        "content", "option_key", error.alias("error"),
+        "content", "option_key", error.alias("error"), F.lit(None).cast("string").alias("location"),
     )
     return carried.unionByName(_opened(checked.filter(names_file), files, limits, roots, resolve_links))
 
@@ -78,6 +80,9 @@ def _opened(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterab
     )
     at = local_form(F.col("path")).alias("_file")
     sized = keyed.join(files.select(at, F.col("length").alias("_length")), "_file", "left")
+    # What the listing lacks, such as the target of a link, is looked up where the row is.
+    unlisted = F.when(F.col("path_error").isNull() & F.col("_length").isNull(), F.col("_file"))
+    sized = sized.withColumn("_length", F.coalesce("_length", length_of(unlisted)))
     message = (
         F.when(F.col("path_error").isNotNull(), F.col("path_error"))
         .when(F.col("_length").isNull(), F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`")))
@@ -87,9 +92,13 @@ def _opened(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterab
         "request_id", "path", base_name(F.col("resolved_path")).alias("filename"), format_suffix(F.col("resolved_path")).alias("suffix"),
         "option_key", message.alias("message"), F.when(message.isNull(), F.col("_file")).alias("location"),
     )
+    # An archive is read by ranges later on, member by member.
+    packed = F.when(is_archive(F.col("suffix")), F.col("location"))
+    opened = read_files(decided.withColumn("archive", packed).withColumn("location", F.when(F.col("archive").isNull(), F.col("location"))))
     unread = F.col("location").isNotNull() & F.col("content").isNull()
     refused = F.when(unread, F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`"))).otherwise(F.col("message"))
-    return read_files(decided).select("request_id", "filename", "suffix", "content", "option_key", _rejected(refused).alias("error"))
+    return opened.select(
+        "request_id", "filename", "suffix", "content", "option_key", _rejected(refused).alias("error"), F.col("archive").alias("location"))
 
 
 _MADE: dict[str, Column] = {}
@@ -172,10 +181,14 @@ def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, facto
     """Archive documents to one merged row each.
 
     Members are read once; verdict and merge share the shuffle on the archive.
+    Archives with a ``location`` are read by ranges, the others are in memory.
     """
-    members = explode_archives(
-        documents.withColumnRenamed("request_id", "archive_id"), limits, "filename", "option_key"
-    )
+    named = documents.withColumnRenamed("request_id", "archive_id")
+    if "location" in documents.columns:
+        held = explode_archives(named.filter(F.col("location").isNull()), limits, "filename", "option_key")
+        members = held.unionByName(explode_located(named.filter(F.col("location").isNotNull()), limits, "filename", "option_key"))
+    else:
+        members = explode_archives(named, limits, "filename", "option_key")
     judged = judge_members(members, limits).withColumn(
         "content", F.when(F.col("refusal").isNull(), F.col("content"))
     )

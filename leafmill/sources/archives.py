@@ -117,7 +117,7 @@ def _zip_members(source: io.BytesIO, limits: Limits) -> Iterator[tuple]:
             yield ("zip", len(infos), ordinal, info.filename, kind, info.file_size, content, problem)
 
 
-_TAR_KINDS = (("isdir", "directory"), ("issym", "symlink"), ("islnk", "hardlink"), ("isfile", "file"))
+TAR_KINDS = (("isdir", "directory"), ("issym", "symlink"), ("islnk", "hardlink"), ("isfile", "file"))
 
 
 def _tar_members(tar: tarfile.TarFile, limits: Limits) -> Iterator[tuple]:
@@ -126,7 +126,7 @@ def _tar_members(tar: tarfile.TarFile, limits: Limits) -> Iterator[tuple]:
         for ordinal, info in enumerate(tar):
             if ordinal > limits.max_archive_members:
                 return
-            kind = next((label for test, label in _TAR_KINDS if getattr(info, test)()), "special")
+            kind = next((label for test, label in TAR_KINDS if getattr(info, test)()), "special")
             content = None
             if kind == "file":
                 declared += info.size
@@ -134,4 +134,4 @@ def _tar_members(tar: tarfile.TarFile, limits: Limits) -> Iterator[tuple]:
                     content = tar.extractfile(info).read(limits.max_archive_bytes + 1)
             yield ("tar", None, ordinal, info.name, kind, info.size, content, None)
     except (OSError, tarfile.TarError, EOFError) as exc:
-        yield ("tar", None, ordinal + 1, None, "unreadable", 0, None, f"unreadable archive: {exc}")
+        yield ("tar", None, ordinal + 1, None, "unreadable", 0, None, f"the archive cannot be read to its end: {exc}")

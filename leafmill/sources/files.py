@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+
+from leafmill.session import ship_package
+from leafmill.sources.stores import attempt, file_length, store_and_path
 
 REQUESTS = (
     "request_id string, path string, content_base64 string, filename string, mime string, "
@@ -44,18 +47,20 @@ def read_files(df: DataFrame, location: str = "location", flush_bytes: int = 32
     """Add ``content`` of the file each row names, null where there is none to read.
 
     Executors open the files where their rows are, so no content is moved and
-    no file opened that nobody asked for.  The location is a local path or the
+    no file opened that nobody asked for.  A store that fails otherwise than by
+    having no such file fails the task, not the document.  The location is a local path or the
     URI of any store that Arrow reads.
     """
     def read(where: str | None) -> bytes | None:
         if where is None:
             return None
-        try:
-            store, path = (LocalFileSystem(), where) if where.startswith("/") else FileSystem.from_uri(where)
+
+        def whole() -> bytes:
+            store, path = store_and_path(where)
             with store.open_input_stream(path) as stream:
                 return stream.read()
-        except OSError:
-            return None
+
+        return attempt(whole)
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,9 +72,19 @@ def read_files(df: DataFrame, location: str = "location", flush_bytes: int = 32
                     yield batch.slice(start, len(held)).append_column("content", pa.array(held, pa.binary()))
                     start, held, size = i + 1, [], 0
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(opened, StructType([*df.schema.fields, StructField("content", BinaryType())]))
 
 
+def length_of(location: Column) -> Column:
+    """Bytes of the regular file at a location, looked up in the executors; null for anything else."""
+    @F.pandas_udf(LongType())
+    def look_up(locations: pd.Series) -> pd.Series:
+        return locations.map(file_length, na_action="ignore").astype("Int64")
+
+    return look_up(location)
+
+
 def _write(rows: DataFrame, path: str, run_date: Column | str) -> None:
     dated = rows.withColumn("run_date", F.lit(run_date))
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)

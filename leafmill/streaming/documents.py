@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leafmill.functions.paths import base_name, local_form
+from leafmill.functions.paths import base_name, is_archive, local_form
 from leafmill.limits import Limits
 from leafmill.operators.admission import confine, size_refusal, typed_error, with_options, with_suffix
 from leafmill.plans.corpus import outcomes
@@ -26,13 +26,16 @@ def arriving_documents(files: DataFrame, limits: Limits, roots: Iterable[str], r
     """
     confined = confine(files.select("path", "length"), roots, resolve_links)
     decided = confined.withColumn("_message", F.coalesce("path_error", size_refusal(F.col("length"), limits)))
-    opened = read_files(decided.withColumn("location", F.when(F.col("_message").isNull(), local_form(F.col("path")))))
+    accepted = F.when(F.col("_message").isNull(), local_form(F.col("path")))
+    packed = F.when(is_archive(F.col("path")), accepted)
+    opened = read_files(decided.withColumn("archive", packed).withColumn("location", F.when(F.col("archive").isNull(), accepted)))
     unread = F.col("location").isNotNull() & F.col("content").isNull()
     message = F.when(unread, F.concat(F.lit("cannot open `"), F.col("path"), F.lit("`"))).otherwise(F.col("_message"))
     taken = opened.select(
         F.col("path").alias("request_id"), base_name(F.col("path")).alias("filename"), "content",
         F.parse_json(F.lit("{}")).alias("options"),
         F.when(message.isNotNull(), typed_error(INPUT_REJECTED, message)).alias("error"),
+        F.col("archive").alias("location"),
     )
     return with_options(with_suffix(taken)).drop("options")
 

@@ -247,3 +247,25 @@ def test_run_corpus_refuses_links_out_of_the_roots(spark, tmp_path):
     stream_documents(spark, str(root), out, checkpoint, Limits(), [str(root)], once=True).awaitTermination()
     taken = {r.request_id.rsplit("/", 1)[1]: r for r in poll(spark, out).collect()}
     assert "private" not in str(taken) and taken["own.txt"].result.markdown == "own words" and taken["out.txt"].error is not None
+
+
+def test_linked_roots_and_links_out_of_the_listing(spark, tmp_path):
+    """A root that is a link takes what lies beneath it by either name; a link may lead to an allowed file that was not listed."""
+    real, other = tmp_path / "real" / "docs", tmp_path / "other"
+    real.mkdir(parents=True)
+    other.mkdir()
+    (real / "a.txt").write_text("alpha")
+    (other / "b.txt").write_text("beta")
+    (real / "b.txt").symlink_to(other / "b.txt")
+    (tmp_path / "link").symlink_to(tmp_path / "real")
+    root = tmp_path / "link" / "docs"
+    paths = {"named": root / "a.txt", "really": real / "a.txt", "out": root / "b.txt", "gone": root / "no.txt", "folder": root, "aside": tmp_path / "x.txt"}
+    rows = [(k, str(p), None, None, None) for k, p in paths.items()]
+    requests = parse_requests(spark.createDataFrame(rows, "request_id string, path string, content_base64 string, filename string, options string"))
+    documents = admit(requests, scan_documents(spark, str(root)), Limits(), [str(root), str(other)])
+    made = {r.request_id: r for r in documents.collect()}
+    assert {k: bytes(made[k].content) for k in ("named", "really", "out")} == {"named": b"alpha", "really": b"alpha", "out": b"beta"}
+    assert all("cannot open" in made[k].error.error for k in ("gone", "folder")) and "outside" in made["aside"].error.error
+    out, checkpoint = str(tmp_path / "s"), str(tmp_path / "c")
+    stream_documents(spark, str(root), out, checkpoint, Limits(), [str(root), str(other)], once=True).awaitTermination()
+    assert sorted(r.result.markdown for r in poll(spark, out).collect()) == ["alpha", "beta"]
