@@ -215,6 +215,31 @@ def archive_elements(spark: SparkSession, sf: str) -> DataFrame:
     return element_rows(_merged(spark, sf), "archive_id")
 
 
+@query(_CONVERTED_SQL + """
+, weighed AS (
+  SELECT l.archive_id, l.ordinal, l.name, l.text, l.markdown, l.page_count, k.k IS NOT NULL AS kept,
+    CASE WHEN k.k IS NULL THEN 0 ELSE strlen(l.markdown) + strlen(l.text) + 2 * strlen(l.name) + 8 + strlen(c.role) + strlen(l.text) + 120 END AS weight
+  FROM latest l LEFT JOIN kept k ON k.archive_id = l.archive_id AND k.ordinal = l.ordinal
+    JOIN conversations c ON l.archive_id = c.conv_id::VARCHAR AND l.ordinal = c.turn
+), summed AS (
+  SELECT *, coalesce(sum(weight) OVER before, 0) AS start, coalesce(sum(CASE WHEN kept THEN 2 ELSE 0 END) OVER before, 0) AS n
+  FROM weighed WINDOW before AS (PARTITION BY archive_id ORDER BY string_split(name, '/') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), numbered AS (
+  SELECT *, dense_rank() OVER (PARTITION BY archive_id ORDER BY start // 1500) - 1 AS part FROM summed
+)
+SELECT archive_id, part::INT AS part, min(n)::BIGINT AS first_element,
+  coalesce(string_agg('# ' || name || chr(10) || chr(10) || markdown, chr(10) || chr(10) ORDER BY string_split(name, '/')) FILTER (kept), '') AS markdown,
+  coalesce(string_agg(name, ';' ORDER BY string_split(name, '/')) FILTER (kept), '') AS sources,
+  nullif(sum(page_count) FILTER (kept), 0)::INT AS page_count, (2 * count(*) FILTER (kept))::INT AS n_elements
+FROM numbered GROUP BY archive_id, part
+""")
+def archive_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The merge in numbered parts of about 1,500 bytes."""
+    parts = rules.merge_parts(_converted(spark, sf), Limits(), part_bytes=1500)
+    return parts.select("archive_id", "part", "first_element", "markdown", F.array_join("sources", ";").alias("sources"), "page_count",
+                        F.size("elements").alias("n_elements"))
+
+
 @query(_VERDICT_SQL + """
 SELECT m.archive_id, ordinal::INT AS ordinal, name, CASE WHEN name LIKE '%.pdf' THEN 'no conversion is available for `.pdf`' END AS format_error
 FROM members m JOIN verdict v ON m.archive_id = v.archive_id WHERE v.error IS NULL AND kind = 'file'

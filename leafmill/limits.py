@@ -19,6 +19,7 @@ _FLOORS = {
     "max_jobs": 4,
     "max_elements": 0,
     "max_element_chars": 64,
+    "max_row_bytes": _MIB,
 }
 
 
@@ -42,6 +43,7 @@ class Limits:
     max_jobs: int | None = None
     max_elements: int | None = None
     max_element_chars: int | None = None
+    max_row_bytes: int = 1024 * _MIB  # of one merged archive; Spark's rows end at 2 GiB
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, prefix: str = "LEAFMILL_") -> "Limits":

@@ -21,6 +21,7 @@ from leafmill.functions.export import no_cuts
 from leafmill.functions.paths import member_name, member_name_refusal
 from leafmill.functions.text import is_blank
 from leafmill.limits import Limits
+from leafmill.session import through_table
 
 
 def decisive_members(members: DataFrame, limits: Limits) -> DataFrame:
@@ -160,6 +161,82 @@ def within_budget(converted: DataFrame, limits: Limits) -> DataFrame:
     return numbered.withColumns(full).drop("_counts")
 
 
+def merged_bytes() -> Column:
+    """What a member adds to a merged row: its Markdown and text under their headings, and its elements."""
+    name = F.octet_length(member_name(F.col("name")))
+    elements = F.aggregate(
+        "elements", F.lit(0).cast("long"),
+        lambda total, e: total + F.coalesce(F.octet_length(e["text"]), F.lit(0)) + LEAST_ELEMENT_BYTES)
+    return F.octet_length("markdown") + F.octet_length("text") + 2 * name + 8 + elements
+
+
+def too_large(converted: DataFrame, limits: Limits, counts: Column | None = None) -> DataFrame:
+    """Add ``row_error``, the same on all members of an archive, where one row would not hold the merged archive.
+
+    The sum is taken in the shuffle that the merge needs anyway, in a window
+    that spills; payloads of such archives are emptied before anything is
+    gathered.  ``merge_parts`` takes them.
+    """
+    used = F.col("error").isNull() if counts is None else counts & F.col("error").isNull()
+    total = F.sum(F.when(used, merged_bytes())).over(W.partitionBy("archive_id"))
+    summed = converted.withColumn("_total", total)
+    over = F.coalesce(F.col("_total") > limits.max_row_bytes, F.lit(False))
+    message = F.concat(F.lit("the merged archive has "), F.col("_total").cast("string"),
+                       F.lit(f" bytes, more than the {limits.max_row_bytes} that one row may hold: merge it in parts"))
+    return summed.withColumns({
+        "markdown": F.when(over, F.lit("")).otherwise(F.col("markdown")), "text": F.when(over, F.lit("")).otherwise(F.col("text")),
+        "elements": F.when(over, F.slice("elements", 1, 0)).otherwise(F.col("elements")), "row_error": F.when(over, message),
+    }).drop("_total")
+
+
+def member_offsets(light: DataFrame) -> DataFrame:
+    """Add ``start`` and ``first_element``: sums of ``weight`` and ``n_elements`` over the members before, in member order.
+
+    ``light`` has ``archive_id, segments, ordinal, weight, n_elements``.  Members are dealt
+    by ranges of their order; sums within a range and sums of whole ranges add
+    up to the offset, so an archive with most of all members is summed by many tasks.
+    """
+    ranged = light.repartitionByRange("archive_id", "segments", "ordinal").withColumn("_range", F.spark_partition_id())
+    dealt = through_table(ranged, "member-ranges")  # the ranges stay what they are if a task runs again
+    before = W.partitionBy("archive_id", "_range").orderBy("segments", "ordinal").rowsBetween(W.unboundedPreceding, -1)
+    within = dealt.withColumns({f"_{c}": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("weight", "n_elements")})
+    whole = dealt.groupBy("archive_id", "_range").agg(*[F.sum(c).alias(f"_all_{c}") for c in ("weight", "n_elements")])
+    earlier = W.partitionBy("archive_id").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    lead = whole.select("archive_id", "_range", *[F.coalesce(F.sum(f"_all_{c}").over(earlier), F.lit(0)).alias(f"_lead_{c}") for c in ("weight", "n_elements")])
+    joined = within.join(lead, ["archive_id", "_range"])
+    return joined.select(*light.columns, (F.col("_weight") + F.col("_lead_weight")).alias("start"),
+                         (F.col("_n_elements") + F.col("_lead_n_elements")).alias("first_element"))
+
+
+def merge_parts(converted: DataFrame, limits: Limits, *keys: str, counts: Column | None = None, part_bytes: int = 64 << 20) -> DataFrame:
+    """Converted members to numbered parts of an archive: rows of ``merge_archive`` with ``part`` (from 0, gapless) and ``first_element``.
+
+    Parts in order, joined by blank lines, are the whole archive, of any size.  A part holds the members that begin in
+    one stretch of ``part_bytes`` of ``merged_bytes``, so it is larger than that
+    by its last member at most.  Offsets are summed over rows without payload; payloads are gathered by part only.
+    """
+    if "cuts" not in converted.columns:
+        converted = converted.withColumn("cuts", no_cuts())
+    if counts is not None:
+        converted = converted.filter(counts)
+    rows = through_table(converted, "converted-members")
+    name = member_name(F.col("name"))
+    kept = F.col("error").isNull() & ~is_blank(F.col("markdown"))
+    light = rows.select("archive_id", "ordinal", name.alias("_name"), F.split(name, "/").alias("segments"),
+                        F.when(kept, merged_bytes()).otherwise(0).cast("long").alias("weight"),
+                        F.when(kept, F.size("elements")).otherwise(0).cast("long").alias("n_elements"))
+    # Of members with one name the last stored counts.
+    last = F.max("ordinal").over(W.partitionBy("archive_id", "_name"))
+    latest = light.withColumn("_last", last).filter(F.col("_last") == F.col("ordinal")).drop("_last", "_name")
+    stretch = F.floor(F.col("start") / part_bytes)
+    placed = through_table(member_offsets(latest).withColumn("_stretch", stretch), "member-places")
+    numbers = placed.groupBy("archive_id", "_stretch").agg(F.min("first_element").alias("_first"))
+    numbered = numbers.withColumn("part", F.row_number().over(W.partitionBy("archive_id").orderBy("_stretch")) - 1)
+    part_of = placed.select("archive_id", "ordinal", "_stretch").join(numbered, ["archive_id", "_stretch"])
+    own = part_of.select("archive_id", "ordinal", "part", F.col("_first").alias("first_element"))
+    return merge_archive(rows.join(own, ["archive_id", "ordinal"]), limits, *keys, "part", "first_element")
+
+
 def merge_archive(converted: DataFrame, limits: Limits, *keys: str, counts: Column | None = None) -> DataFrame:
     """Converted members to one row per archive, in member order.
 

@@ -28,7 +28,7 @@ from leafmill.limits import Limits
 from leafmill.operators.admission import (
     check_request, confine, decode_inline, route, size_refusal, typed_error, with_options,
 )
-from leafmill.operators.archives import judge_members, merge_archive
+from leafmill.operators.archives import judge_members, merge_archive, too_large
 from leafmill.operators.assemble import assemble
 from leafmill.operators.blocks import blocks_of, extract
 from leafmill.operators.converter import Factory, convert_once, convert_with
@@ -201,8 +201,10 @@ def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, facto
     counts = F.col("refusal").isNull() & (F.col("kind") == "file")
     refusal = F.when(
         F.col("refusal").isNotNull(), typed_error(F.col("refusal.error_code"), F.col("refusal.error"))
-    )
-    return merge_archive(converted, limits, "filename", "refusal", counts=counts).select(
+    ).when(F.col("row_error").isNotNull(), typed_error(fixed.PARSE_FAILED, F.col("row_error")))
+    # With an output budget less is gathered than that, whatever the archive holds.
+    bounded = too_large(converted, limits, counts) if limits.max_output_bytes is None else converted.withColumn("row_error", F.lit(None).cast("string"))
+    return merge_archive(bounded, limits, "filename", "refusal", "row_error", counts=counts).select(
         F.col("archive_id").alias("request_id"), "filename", "sources", "markdown", "text", "elements", "cuts", "page_count",
         "warnings", refusal.alias("error"),
     )

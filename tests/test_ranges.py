@@ -11,7 +11,7 @@ import zipfile
 import pytest
 
 from leafmill.limits import Limits
-from leafmill.operators.archives import archive_verdict, judge_members
+from leafmill.operators.archives import archive_verdict, judge_members, merge_archive, merge_parts
 from leafmill.sources import ranges, stores
 from leafmill.sources.archives import explode_archives
 
@@ -155,3 +155,57 @@ def test_one_client_a_store(tmp_path):
     assert stores.store_and_path(f"file://{tmp_path}/y/z")[1] == f"{tmp_path}/y/z"
     assert stores.file_length(f"{tmp_path}/a b") == 1 and stores.file_length(f"file://{tmp_path}/a%20b") == 1
     assert stores.file_length(str(tmp_path)) is None and stores.file_length(f"{tmp_path}/no") is None
+
+
+def converted_members(spark, archives):
+    """archive_id to a list of (name, markdown, error) in stored order."""
+    rows = [(a, i, name, markdown, markdown, [("", "Text", markdown, None, None)] * (i % 3), [f"w{i}"] if i % 5 == 0 else [], i % 2, error)
+            for a, members in archives.items() for i, (name, markdown, error) in enumerate(members)]
+    element = "array<struct<id:string,category:string,text:string,page_number:int,level:int>>"
+    return spark.createDataFrame(rows, f"archive_id string, ordinal int, name string, markdown string, text string, elements {element}, "
+                                       "warnings array<string>, page_count int, error string").repartition(7)
+
+
+@pytest.mark.parametrize("part_bytes", [1, 700, 1 << 20])
+def test_parts_make_the_whole_archive(spark, part_bytes):
+    rng = random.Random(part_bytes)
+    name = lambda: "/".join(rng.choice("abc-") + str(rng.randint(0, 40)) for _ in range(rng.randint(1, 3)))
+    def member():
+        return name(), rng.choice(["", " \n", "x" * rng.randint(1, 400), "é" * rng.randint(1, 90)]), rng.choice([None, None, None, "failed"])
+    # One archive holds most of all members, so several ranges share it.
+    rows = converted_members(spark, {"hot": [member() for _ in range(3000)], "small": [member() for _ in range(5)], "one": [("a", "b", None)]})
+    whole = {r.archive_id: r for r in merge_archive(rows, Limits()).collect()}
+    parts = merge_parts(rows, Limits(), part_bytes=part_bytes).orderBy("archive_id", "part").collect()
+    for archive, expected in whole.items():
+        own = [r for r in parts if r.archive_id == archive]
+        assert [r.part for r in own] == list(range(len(own)))
+        assert "\n\n".join(r.markdown for r in own if r.sources) == expected.markdown
+        assert "\n\n".join(r.text for r in own if r.sources) == expected.text
+        for field in ("sources", "warnings", "elements"):
+            assert [x for r in own for x in r[field]] == expected[field]
+        assert [r.first_element for r in own] == [sum(len(x.elements) for x in own[:i]) for i in range(len(own))]
+        assert sum(r.page_count or 0 for r in own) == (expected.page_count or 0)
+        assert all(len(r.markdown.encode()) <= part_bytes + 1500 for r in own)
+    assert (len([r for r in parts if r.archive_id == "hot"]) > 100) == (part_bytes < 1000)
+
+
+def test_an_archive_that_one_row_cannot_hold_is_a_typed_error(spark):
+    from pyspark.sql import functions as F
+
+    from leafmill.plans.corpus import outcomes
+
+    def zipped(*members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", 8) as archive:
+            for name, content in members:
+                archive.writestr(name, content)
+        return out.getvalue()
+
+    rows = [("large", "a.zip", ".zip", zipped(("a.txt", "x " * 3000), ("b.txt", "y " * 3000)), "{}"), ("small", "b.zip", ".zip", zipped(("a.txt", "x")), "{}")]
+    documents = spark.createDataFrame(rows, "request_id string, filename string, suffix string, content binary, option_key string").withColumn(
+        "error", F.lit(None).cast("struct<error_code:string,error:string,missing_dependencies:array<string>>"))
+    made = {r.request_id: r for r in outcomes(documents, Limits(max_row_bytes=20000)).collect()}
+    assert made["large"].result is None and made["large"].error.error_code == "parse_failed" and "merge it in parts" in made["large"].error.error
+    assert made["small"].result.markdown == "# a.txt\n\nx"
+    free = {r.request_id: r for r in outcomes(documents, Limits()).collect()}
+    assert free["large"].error is None and len(free["large"].result.markdown) > 11000
