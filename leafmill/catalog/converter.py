@@ -104,7 +104,7 @@ WITH named AS (
 SELECT doc_id, name, CASE WHEN good THEN '# ' || name || chr(10) || chr(10) || text ELSE '' END AS markdown,
   CASE WHEN NOT good THEN '' WHEN doc_id % 6 = 3 THEN '# ' || name || chr(10) || chr(10) || text ELSE text END AS text,
   CASE WHEN good THEN (len(lines) + 9) // 10 END::INT AS page_count,
-  CASE WHEN good THEN least(len([l for l in lines if trim(l) <> '']), 20) ELSE 0 END::INT AS element_count,
+  CASE WHEN good THEN len([l for l in lines if trim(l) <> '']) ELSE 0 END::INT AS element_count,
   CASE WHEN good AND len([l for l in lines if trim(l) <> '']) >= 20 THEN 1 + (list_extract([i for i in range(len(lines)) if trim(lines[(i + 1)::INT]) <> ''], 20)) // 10 END::INT AS page_of_20,
   CASE doc_id % 6 WHEN 4 THEN 'ocr ignored: text is read as it is stored, no page image is recognised' WHEN 3 THEN 'the conversion is partial: some pages or elements were skipped;converter: page 1 is blurred' ELSE '' END AS warnings,
   CASE WHEN doc_id % 997 = 8 THEN 'timeout' ELSE CASE doc_id % 6 WHEN 1 THEN 'unsupported_format' WHEN 2 THEN 'parse_failed' WHEN 5 THEN 'library_missing' END END AS error_code,
@@ -119,7 +119,7 @@ def converter_hook(spark: SparkSession, sf: str) -> DataFrame:
         F.encode("text", "UTF-8").alias("content"),
         F.when(doc % 6 == 5, '{"ocr_engine":"ocrmac"}').when(doc % 6 == 4, '{"ocr":true}').otherwise("{}").alias("option_key"),
     )
-    done = convert_with(named, line_converter, Limits(max_elements=20, timeout_secs=1), "doc_id", tag="lines")
+    done = convert_with(named, line_converter, Limits(timeout_secs=1), "doc_id", tag="lines")
     return done.select(
         "doc_id", "name", "markdown", "text", "page_count", F.size("elements").alias("element_count"),
         F.get("elements", F.lit(19))["page_number"].alias("page_of_20"), F.array_join("warnings", ";").alias("warnings"),

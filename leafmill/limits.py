@@ -20,6 +20,7 @@ _FLOORS = {
     "max_elements": 0,
     "max_element_chars": 64,
     "max_row_bytes": _MIB,
+    "max_converter_bytes": 64 * _MIB,
 }
 
 
@@ -44,6 +45,7 @@ class Limits:
     max_elements: int | None = None
     max_element_chars: int | None = None
     max_row_bytes: int = 1024 * _MIB  # of one merged archive; Spark's rows end at 2 GiB
+    max_converter_bytes: int | None = 4096 * _MIB  # of data a converter's process may hold
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, prefix: str = "LEAFMILL_") -> "Limits":

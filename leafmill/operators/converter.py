@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
-import threading
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +17,7 @@ from leafmill.functions.failures import classify_failure, status_error, status_w
 from leafmill.functions.options import HINTS, OPTIONS, option_warnings
 from leafmill.limits import Limits
 from leafmill.operators.admission import typed_error
+from leafmill.operators.isolation import Died, Refused, convert_isolated
 from leafmill.operators.skew import join_many_to_one
 from leafmill.session import ship_package, through_table
 
@@ -41,56 +41,24 @@ class MissingDependency(RuntimeError):
         self.missing = missing
 
 
-# One entry per option key for the life of a Python worker: building a
-# converter may load models.
-_BUILT: dict[tuple[str, str], Converter] = {}
+def _failure(code: str | None, text: str, missing: list[str] | None = None) -> dict[str, Any]:
+    return {"failure_code": code, "failure": text, "missing": missing or []}
 
 
-def _failure(code: str | None, exc: Exception) -> dict[str, Any]:
-    text = str(exc) if code else f"{type(exc).__name__}: {exc}"
-    return {"failure_code": code, "failure": text, "missing": list(getattr(exc, "missing", []))}
-
-
-def _within(seconds: float | None, work: Callable[[], Any]) -> Any:
-    """The result of ``work``; a ``TimeoutError`` once the deadline is over.  The work itself is left behind in its thread."""
-    if seconds is None:
-        return work()
-    box: dict[str, Any] = {}
-
-    def run() -> None:
-        try:
-            box["made"] = work()
-        except BaseException as exc:  # raised again where it is waited for
-            box["failed"] = exc
-
-    thread = threading.Thread(target=run, daemon=True)
-    thread.start()
-    thread.join(seconds)
-    if thread.is_alive():
-        raise TimeoutError(f"the conversion ran past the {seconds:g}s limit")
-    if "failed" in box:
-        raise box["failed"]
-    return box["made"]
-
-
-def _convert(factory: Factory, tag: str, key: str, name: str, content: bytes, seconds: float | None = None) -> dict[str, Any]:
-    try:
-        converter = _BUILT.get((tag, key))
-        if converter is None:
-            converter = _BUILT[(tag, key)] = factory(json.loads(key))
-    except ImportError as exc:
-        return _failure(fixed.LIBRARY_MISSING, exc)
-    except MissingDependency as exc:
-        return _failure(fixed.MISSING_DEPENDENCY, exc)
-    except Exception as exc:  # a bad factory must not lose the row
-        return _failure(None, exc)
+def _convert(factory: bytes, tag: str, key: str, name: str, content: bytes, seconds: float | None, max_bytes: int | None) -> dict[str, Any]:
+    """One document's row, whatever the converter does."""
     try:
-        made = _within(seconds, lambda: converter(name, bytes(content)))
-    except TimeoutError as exc:
-        _BUILT.pop((tag, key), None)  # it may still be at work on that document
-        return _failure(fixed.TIMEOUT, exc)
-    except Exception as exc:  # nor may a bad document
-        return _failure(None, exc)
+        made = convert_isolated(factory, tag, key, name, bytes(content), seconds, max_bytes)
+    except Refused as exc:
+        if exc.kind == "missing":
+            return _failure(fixed.LIBRARY_MISSING, str(exc))
+        if exc.kind == "dependency":
+            return _failure(fixed.MISSING_DEPENDENCY, str(exc), exc.missing)
+        return _failure(None, f"{exc.name}: {exc}")
+    except TimeoutError:
+        return _failure(fixed.TIMEOUT, f"the conversion ran past the {seconds:g}s limit")
+    except Died as exc:
+        return _failure(fixed.PARSE_FAILED, str(exc))
     row = {field: made.get(field) for field in _FIELDS}
     if row["has_document"] is None:
         row["has_document"] = row["markdown"] is not None
@@ -102,15 +70,16 @@ def _weight(row: Mapping[str, Any]) -> int:
 
 
 def run_converter(df: DataFrame, factory: Factory, *keys: str, tag: str = "", timeout_secs: float | None = None,
-                  flush_chars: int = 16 << 20) -> DataFrame:
+                  max_bytes: int | None = None, flush_chars: int = 16 << 20) -> DataFrame:
     """``(keys..., name, content, option_key)`` to ``(keys..., name, CONVERTED)``.
 
     Rows stay in their partitions: option keys are few and very uneven, so a
     shuffle on them would put most documents into one task.  Each worker
-    builds a converter per option key it meets and keeps it.  A document that
-    takes longer than ``timeout_secs`` fails alone; outputs leave in portions of
-    about ``flush_chars``.
+    keeps a child process per option key it meets, with the converter in it.  A document that
+    takes longer than ``timeout_secs`` or more memory than ``max_bytes`` fails alone, and
+    its process is gone; outputs leave in portions of about ``flush_chars``.
     """
+    packed = cloudpickle.dumps(factory)
     carried = [*keys, "name"]
     made_fields = StructType.fromDDL(CONVERTED)
     schema = StructType([*df.select(*carried).schema, *made_fields])
@@ -125,7 +94,7 @@ def run_converter(df: DataFrame, factory: Factory, *keys: str, tag: str = "", ti
         for batch in batches:
             start, made, size = 0, [], 0
             for i, (key, name, content) in enumerate(zip(batch["option_key"], batch["name"], batch["content"])):
-                made.append(_convert(factory, tag, key, name, content, timeout_secs))
+                made.append(_convert(packed, tag, key, name, content, timeout_secs, max_bytes))
                 size += _weight(made[-1])
                 if size >= flush_chars or i + 1 == len(batch):
                     yield portion(batch.iloc[start : i + 1], made)
@@ -176,7 +145,7 @@ def convert_with(df: DataFrame, factory: Factory, limits: Limits, *keys: str, ta
     Gives ``keys, name, markdown, text, elements, cuts, page_count, warnings, error``.
     """
     carried = dict.fromkeys([*keys, "option_key"])
-    mapped = map_status(run_converter(df, factory, *carried, tag=tag, timeout_secs=limits.timeout_secs), prefix)
+    mapped = map_status(run_converter(df, factory, *carried, tag=tag, timeout_secs=limits.timeout_secs, max_bytes=limits.max_converter_bytes), prefix)
     honoured = getattr(factory, "honoured", HINTS)
     hints = F.when(F.col("error").isNull(), option_warnings(F.from_json("option_key", OPTIONS), honoured))
     elements = F.transform(
