@@ -8,8 +8,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+BASE = np.uint64(0x9E3779B97F4A7C15)  # an odd word to multiply by
+PRIME = (1 << 31) - 1  # a Mersenne prime: remainders are a mask, a shift and a sum
+# Two primitive roots of it, so no power of them is 1 before the PRIME - 1st.
+ROOTS = (7, 48271)
 PIECE_BYTES = 1 << 19
 
 
@@ -26,29 +28,61 @@ def byte_table(seed: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * BASE + np.uint64(seed))
 
 
-@lru_cache(maxsize=2)
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Equal modulo PRIME, and 31 bits shorter, but never below 32 bits."""
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+
+
+def _remainder(x: np.ndarray) -> np.ndarray:
+    x = _folded(_folded(_folded(x)))
+    return np.where(x >= PRIME, x - np.uint64(PRIME), x)
+
+
+@lru_cache(maxsize=8)
 def _powers(base: int, upto: int) -> np.ndarray:
-    steps = np.full(upto, base, dtype=np.uint64)
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
+    found, step = np.ones(1, np.uint64), base
+    while len(found) < upto:
+        found = np.concatenate([found, _remainder(found * np.uint64(step))])
+        step = step * step % PRIME
+    return found.astype(np.uint32)
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1), from a table that grows by doubling."""
-    return _powers(int(base), 1 << max(20, int(n - 1).bit_length()))[:n]
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo PRIME, from a table that grows by doubling."""
+    return _powers(base, 1 << max(20, int(n - 1).bit_length()))[:n]
+
+
+@lru_cache(maxsize=16)
+def _residues(seed: int) -> np.ndarray:
+    """A random remainder for each byte value."""
+    return (byte_table(seed) % np.uint64(PRIME - 1) + np.uint64(1)).astype(np.uint32)
 
 
 class RangeHash:
-    """64-bit hashes of any byte ranges of one buffer, equal for equal bytes."""
+    """62-bit hashes of any byte ranges of one buffer, equal for equal bytes, mixed to a word.
+
+    Two polynomials modulo a prime.  (Modulo a power of two the signed sum of a
+    Thue-Morse string vanishes under every odd base, so that such a string and
+    its complement would agree.)
+    """
 
     def __init__(self, data: np.ndarray, seed: int = 0):
-        terms = byte_table(seed)[data] * powers(BASE, len(data)) if len(data) else np.zeros(0, np.uint64)
-        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(terms, out=self.sums[1:])
-        self.inverse = powers(INVERSE, len(data) + 1)
+        self.sums, self.inverses = [], []
+        for k, root in enumerate(ROOTS):
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            terms = np.multiply(_residues(seed + 1000 * k)[data], powers(root, len(data)), dtype=np.uint64)
+            np.cumsum(_folded(terms), out=sums[1:])  # below 2**32 each, so 2**32 of them fit
+            self.sums.append(sums)
+            self.inverses.append(powers(pow(root, -1, PRIME), len(data) + 1))
 
     def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.inverse[start] + (stop - start).astype(np.uint64))
+        one, two = (_remainder(_folded(_folded(s[stop] - s[start])) * i[start]) for s, i in zip(self.sums, self.inverses))
+        return mix((one << np.uint64(31) | two) + mix((stop - start).astype(np.uint64) * BASE))
+
+    def every(self, width: int) -> np.ndarray:
+        """A hash of 31 bits, mixed, of the ``width`` bytes from each place on; to choose by, not to tell strings apart."""
+        sums = self.sums[0]
+        return mix(_remainder(_folded(_folded(sums[width:] - sums[:-width])) * self.inverses[0][: len(sums) - width]))
 
 
 def texts_as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

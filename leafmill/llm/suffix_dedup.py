@@ -76,7 +76,7 @@ def stretches(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: in
     if not len(texts):
         return (none,) * 7
     hashed = RangeHash(data)
-    grams = mix((hashed.sums[K_GRAM:] - hashed.sums[:-K_GRAM]) * hashed.inverse[: len(data) - K_GRAM + 1])
+    grams = hashed.every(K_GRAM)
     index = np.arange(len(grams), dtype=np.uint64)
     sample = sliding_least((grams >> INDEX_BITS << INDEX_BITS) | index, width) & np.uint64((1 << int(INDEX_BITS)) - 1)
     counts = ends[texts] - begins[texts] - length + 1

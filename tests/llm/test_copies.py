@@ -106,3 +106,19 @@ def test_rounds_reach_every_slot(width):
     for radix in radices:
         slots *= radix
     assert width <= slots <= 8 * max(width, 1) and max(radices) <= 8
+
+
+def thue_morse(bits):
+    """A string of a and b of 2**bits letters, and its complement."""
+    text = "a"
+    for _ in range(bits):
+        text += text.translate({97: "b", 98: "a"})
+    return text, text.translate({97: "b", 98: "a"})
+
+
+def test_texts_without_a_common_shingle_are_not_linked(spark):
+    """Any polynomial hash modulo a power of two takes the longer ones for equal."""
+    rows = [(2 * bits + k, text) for bits in range(5, 14) for k, text in enumerate(thue_morse(bits))]
+    rows += [(100 + k, f"one two {text} four five six") for k, text in enumerate(thue_morse(11))]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == brute(rows)

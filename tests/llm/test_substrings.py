@@ -127,3 +127,19 @@ def test_chunks_of_odd_rows(spark):
     got = chunk_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, digest int")).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_repeated, r.n_removed) for r in got) == [
         ("1", 0, 0, 0), ("1", 40, 1, 0), ("1", 40, 1, 0), ("None", 40, 1, 0), ("None", 40, 1, 0)]
+
+
+def test_strings_that_fool_a_power_of_two(spark):
+    """A Thue-Morse string and its complement have equal sums modulo 2**64 under any odd base."""
+    one = "a"
+    for _ in range(11):
+        one += one.translate({97: "b", 98: "a"})
+    other = one.translate({97: "b", 98: "a"})
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("cdefgh") for _ in range(rng.randint(50, 400)))
+    rows = []
+    for k in range(12):
+        own = word()
+        rows += [(2 * k, own + one[:2048] + own), (2 * k + 1, own + other[:2048] + own)]
+    agrees(spark, rows[:4], 2048)
+    agrees(spark, rows, 700)
