@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.catalog.registry import query, table
+from leafmill.functions.encoding import decoded
 from leafmill.functions.export import echo_elements
 from leafmill.functions.lines import asciidoc_blocks, csv_blocks, markdown_blocks, text_blocks
 from leafmill.functions.markup import html_blocks as html_to_blocks
@@ -252,3 +253,37 @@ def table_spans(spark: SparkSession, sf: str) -> DataFrame:
     )
     blocks = block_rows(table(spark, sf, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"), html_to_blocks(source), "p_partkey")
     return blocks.select("p_partkey", "seq", "category", "text")
+
+
+@query(r"""
+WITH shaped AS (
+  SELECT page_id, page_id % 7 AS shape, CASE page_id % 7 WHEN 2 THEN replace(html, '"utf-8"', '"ISO-8859-1"')
+    WHEN 3 THEN replace(replace(html, '<meta charset="utf-8">', '<meta http-equiv="Content-Type" content="text/html; charset=windows-1252">'), '</body>', '<p>€ “œ”</p></body>')
+    WHEN 5 THEN replace(html, '"utf-8"', '"x-nowhere"') WHEN 6 THEN '<?xml version="1.0" encoding="koi8-r"?><p>Привет ' || page_id || '</p>' ELSE html END AS html FROM pages
+)
+SELECT page_id, CASE shape WHEN 0 THEN 'UTF-16LE' WHEN 1 THEN 'UTF-16BE' WHEN 2 THEN 'windows-1252' WHEN 3 THEN 'windows-1252' WHEN 6 THEN 'KOI8-R' ELSE 'UTF-8' END AS encoding,
+  sha256(html) AS text_sha256, CASE shape WHEN 5 THEN 'unknown encoding `x-nowhere`: read as UTF-8' END AS warning
+FROM shaped
+""")
+def declared_encodings(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages in several encodings, which their marks and declarations tell."""
+    def shape(n: int) -> Column:
+        return F.col("page_id") % 7 == n
+
+    def labelled(label: str) -> Column:
+        return F.replace(F.col("html"), F.lit('"utf-8"'), F.lit(f'"{label}"'))
+
+    windows = F.replace(F.replace(F.col("html"), F.lit('<meta charset="utf-8">'), F.lit('<meta http-equiv="Content-Type" content="text/html; charset=windows-1252">')),
+                        F.lit("</body>"), F.lit("<p>\x80 \x93\x9c\x94</p></body>"))  # these single bytes in Windows-1252
+    russian = F.concat(F.unhex(F.lit("3C3F786D6C2076657273696F6E3D22312E302220656E636F64696E673D226B6F69382D72223F3E3C703EF0D2C9D7C5D420")),
+                       F.encode(F.concat(F.col("page_id").cast("string"), F.lit("</p>")), "UTF-8"))
+    content = (
+        F.when(shape(0), F.concat(F.unhex(F.lit("FFFE")), F.encode("html", "UTF-16LE"))).when(shape(1), F.concat(F.unhex(F.lit("FEFF")), F.encode("html", "UTF-16BE")))
+        .when(shape(2), F.encode(labelled("ISO-8859-1"), "ISO-8859-1")).when(shape(3), F.encode(windows, "ISO-8859-1"))
+        .when(shape(4), F.concat(F.unhex(F.lit("EFBBBF")), F.encode("html", "UTF-8"))).when(shape(5), F.encode(labelled("x-nowhere"), "UTF-8"))
+        .when(shape(6), russian)
+    )
+    pages = table(spark, sf, "pages", "page_id", "html").select(
+        "page_id", content.alias("content"), F.when(shape(6), "xml").otherwise("html").alias("family"))
+    made = decoded(pages, "content", "family")
+    return made.select("page_id", F.col("_encoding").alias("encoding"), F.sha2("_text", 256).alias("text_sha256"), F.col("_unread").alias("warning"))

@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from leafmill import fixed
 from leafmill.functions import export
+from leafmill.functions.encoding import decoded
 from leafmill.functions.options import OPTIONS, option_warnings
 from leafmill.functions.paths import base_name, format_suffix, is_archive, local_form
-from leafmill.functions.text import as_text
 from leafmill.limits import Limits
 from leafmill.operators.admission import (
     check_request, confine, decode_inline, route, size_refusal, typed_error, with_options,
@@ -119,12 +119,14 @@ def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str,
     families = list(families) if factory else []
     readable = F.col("family").isin(*fixed.BUILT_IN_FAMILIES)
     here = df.filter(~F.coalesce(F.col("family").isin(*families), F.lit(False))) if families else df
-    built_in = extract(here.withColumn("_text", as_text(F.col("content"))), blocks).select(
+    built_in = extract(decoded(here, "content", "family"), blocks).select(
         *keys, "name", "markdown", "text",
         export.echo_elements(F.col("elements"), limits).alias("elements"),
         export.echo_cuts(F.col("elements"), limits).alias("cuts"),
         F.lit(None).cast("int").alias("page_count"),
-        option_warnings(F.from_json("option_key", OPTIONS), applies=readable).alias("warnings"),
+        F.concat(
+            option_warnings(F.from_json("option_key", OPTIONS), applies=readable), F.array_compact(F.array("_unread")),
+        ).alias("warnings"),
         F.when(
             ~F.coalesce(readable, F.lit(False)),
             typed_error(fixed.UNSUPPORTED_FORMAT, F.coalesce(

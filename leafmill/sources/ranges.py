@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 
 from leafmill.limits import Limits
 from leafmill.operators.archives import judge_members
-from leafmill.session import ship_package, through_table
+from leafmill.session import ship_package
 from leafmill.sources.archives import MEMBERS, TAR_KINDS
 from leafmill.sources.stores import open_ranges
 
@@ -227,18 +227,18 @@ class _Reader:
 
 
 def read_members(index: DataFrame, limits: Limits) -> DataFrame:
-    """Add ``content`` to index rows, from each one's own range; what fails leaves its ``problem``."""
-    columns = [c for c in index.columns if c != "problem"]
+    """Add ``content`` to the index rows that are ``wanted``, from each one's own range; what fails leaves its ``problem``."""
+    columns = [c for c in index.columns if c not in ("problem", "wanted")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(limits.max_archive_bytes)
         for batch in batches:
             start, held, problems, size = 0, [], [], 0
-            rows = batch.select(["location", "format", "ordinal", "place", "stored", "method", "crc", "flags"]).to_pylist()
+            rows = batch.select(["location", "format", "ordinal", "place", "stored", "method", "crc", "flags", "wanted", "problem"]).to_pylist()
             for i, row in enumerate(rows):
-                content, problem = None, None
+                content, problem = None, row["problem"]
                 try:
-                    content = reader(SimpleNamespace(**row))
+                    content = reader(SimpleNamespace(**row)) if row["wanted"] else None
                 except FileNotFoundError as exc:
                     problem = str(exc)
                 except (zipfile.BadZipFile, tarfile.TarError, EOFError, RuntimeError, NotImplementedError, ValueError, zlib.error) as exc:
@@ -254,7 +254,7 @@ def read_members(index: DataFrame, limits: Limits) -> DataFrame:
 
     kinds = {f.name: f for f in index.schema.fields}
     made = StructType([*[kinds[c] for c in columns], *StructType.fromDDL("problem string, content binary").fields])
-    return index.select(*columns, "problem").mapInArrow(read, made)
+    return index.select(*columns, "wanted", "problem").mapInArrow(read, made)
 
 
 def explode_located(archives: DataFrame, limits: Limits, *carry: str) -> DataFrame:
@@ -262,13 +262,12 @@ def explode_located(archives: DataFrame, limits: Limits, *carry: str) -> DataFra
 
     Members of archives that are refused without their bytes have no content.
     """
-    rows = through_table(archive_index(archives, limits, *carry), "archive-index")
-    sized = rows.withColumn("content_length", F.lit(None).cast("int"))
+    sized = archive_index(archives, limits, *carry).withColumn("content_length", F.lit(None).cast("int"))
     judged = judge_members(sized, limits).drop("content_length")
     wanted = F.col("refusal").isNull() & (F.col("kind") == "file")
-    here = judged.withColumn("_read", F.coalesce(wanted, F.lit(False))).drop("refusal")
-    placed = here.filter(F.col("_read") & (F.col("method") != STREAM)).repartition(F.col("archive_id"), F.col("ordinal"))
-    streamed = here.filter(F.col("_read") & (F.col("method") == STREAM)).repartition("archive_id").sortWithinPartitions("archive_id", "ordinal")
-    closed = here.filter(~F.col("_read")).withColumn("content", F.lit(None).cast("binary"))
-    every = read_members(placed, limits).unionByName(read_members(streamed, limits)).unionByName(closed)
+    light = judged.withColumn("wanted", F.coalesce(wanted, F.lit(False))).drop("refusal")
+    # Members are dealt one by one; those of a compressed tar stay together, in stored order.
+    alone = F.when(F.col("method") != STREAM, F.col("ordinal"))
+    dealt = light.withColumn("_alone", alone).repartition("archive_id", "_alone").sortWithinPartitions("archive_id", "ordinal").drop("_alone")
+    every = read_members(dealt, limits)
     return every.select("archive_id", *carry, *[part.split()[0] for part in MEMBERS.split(", ")])

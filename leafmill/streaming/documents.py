@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from leafmill.functions.paths import base_name, is_archive, local_form
 from leafmill.limits import Limits
 from leafmill.operators.admission import confine, size_refusal, typed_error, with_options, with_suffix
+from leafmill.operators.ledger import STARTED, SUBMITTED, job_snapshot, outcome_events
 from leafmill.plans.corpus import outcomes
 from leafmill.fixed import INPUT_REJECTED
 from leafmill.sources.files import read_files
+from leafmill.streaming.commits import commit_batch, finished_batches, read_batches
 
+_TAKEN = "job_id string, event_id string, ts timestamp, type string, filename string"
+_ENDED = f"{_TAKEN}, error_code string, error string, missing_dependencies array<string>"
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -42,10 +46,12 @@ def arriving_documents(files: DataFrame, limits: Limits, roots: Iterable[str], r
 
 def stream_documents(spark: SparkSession, directory: str, out: str, checkpoint: str, limits: Limits,
                      roots: Iterable[str], glob: str | None = None, resolve_links: bool = True, files_per_batch: int = 1000, once: bool = False, **hook) -> StreamingQuery:
-    """Start the stream.  Outcomes go to ``out``, a folder per micro-batch.
+    """Start the stream.  Outcomes go to ``out``, a folder per micro-batch, and what happened to each file beside them.
 
-    A batch that runs again after a failure overwrites its own folder, so each
-    file has one outcome.  ``once`` works off what is there and ends.
+    Each batch commits twice: when its files are taken (their jobs are
+    submitted and started), and when outcomes and the events that end the jobs
+    are written, both or neither.  A batch that runs again after a failure overwrites its own
+    folders, so each file has one outcome.  ``once`` works off what is there and ends.
     """
     reader = (
         spark.readStream.format("binaryFile").schema(_FILE)
@@ -55,13 +61,33 @@ def stream_documents(spark: SparkSession, directory: str, out: str, checkpoint:
         reader = reader.option("pathGlobFilter", glob)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        taken = taken_events(batch.select("path", "modificationTime"), F.current_timestamp())
+        commit_batch(spark, {f"{out}-taken": taken}, f"{out}-taken-commits", batch_id)
         made = outcomes(arriving_documents(batch, limits, roots, resolve_links), limits, **hook)
         made.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        written = spark.read.schema(made.schema).parquet(f"{out}/batch_id={batch_id}")
+        ended = outcome_events(written, F.current_timestamp())
+        commit_batch(spark, {f"{out}-ended": ended}, f"{out}-commits", batch_id)
 
     writer = reader.load(directory).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def taken_events(files: DataFrame, now: Column) -> DataFrame:
+    """Files as the submission and the start of their jobs; the path is the job's id."""
+    both = F.array(F.struct(F.col("modificationTime").alias("ts"), F.lit(SUBMITTED).alias("type"), base_name(F.col("path")).alias("filename")),
+                   F.struct(F.greatest(now, "modificationTime").alias("ts"), F.lit(STARTED).alias("type"), F.lit(None).cast("string").alias("filename")))
+    return files.select(F.col("path").alias("job_id"), F.lit("taken").alias("event_id"), F.explode(both).alias("e")).select("job_id", "event_id", "e.*")
+
+
 def poll(spark: SparkSession, out: str) -> DataFrame:
-    """The outcomes written so far."""
-    return spark.read.parquet(out)
+    """The outcomes of finished batches."""
+    done = finished_batches(spark, f"{out}-commits")
+    return spark.read.parquet(*[f"{out}/batch_id={n}" for n in done]) if done else spark.read.parquet(out).limit(0)
+
+
+def document_jobs(spark: SparkSession, out: str) -> DataFrame:
+    """The job of each file that was taken: running until its batch is finished, then as it ended."""
+    taken = read_batches(spark, f"{out}-taken", finished_batches(spark, f"{out}-taken-commits"), _TAKEN)
+    ended = read_batches(spark, f"{out}-ended", finished_batches(spark, f"{out}-commits"), _ENDED)
+    return job_snapshot(taken.unionByName(ended, allowMissingColumns=True))

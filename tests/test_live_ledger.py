@@ -94,3 +94,36 @@ def test_a_batch_killed_between_two_tables_shows_in_neither(spark, tmp_path):
     commit_batch(spark, {a: spark.range(2), b: spark.range(2)}, commits, 1)
     done = finished_batches(spark, commits)
     assert [read_batches(spark, t, done, "id long").count() for t in (a, b)] == [5, 5]
+
+
+def test_the_document_stream_keeps_its_ledger(spark, tmp_path, monkeypatch):
+    from leafmill.streaming import documents as D
+
+    source, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    source.mkdir()
+
+    def run():
+        D.stream_documents(spark, str(source), out, checkpoint, Limits(), [str(source)], once=True).awaitTermination()
+        return {r.job_id.rsplit("/", 1)[1]: r for r in D.document_jobs(spark, out).collect()}
+
+    (source / "a.md").write_text("# A")
+    (source / "b.bin").write_bytes(b"x")
+    jobs = run()
+    assert (jobs["a.md"].status, jobs["a.md"].filename) == ("succeeded", "a.md") and jobs["a.md"].created_at <= jobs["a.md"].started_at <= jobs["a.md"].finished_at
+    assert (jobs["b.bin"].status, jobs["b.bin"].error_code) == ("failed", "unsupported_format")
+    # The next batch is killed between its outcomes and its ledger: neither shows, the job still runs.
+    (source / "c.md").write_text("# C")
+    commit = D.commit_batch
+
+    def killed(session, tables, commits, batch_id):
+        if commits.endswith("out-commits"):
+            raise RuntimeError("killed")
+        commit(session, tables, commits, batch_id)
+
+    monkeypatch.setattr(D, "commit_batch", killed)
+    with pytest.raises(Exception, match="killed"):
+        run()
+    assert {r.job_id.rsplit("/", 1)[1]: r.status for r in D.document_jobs(spark, out).collect()} == {"a.md": "succeeded", "b.bin": "failed", "c.md": "running"}
+    assert D.poll(spark, out).count() == 2
+    monkeypatch.setattr(D, "commit_batch", commit)
+    assert run()["c.md"].status == "succeeded" and D.poll(spark, out).count() == 3
