@@ -17,8 +17,11 @@ from leafmill.functions.lines import text_blocks
 from leafmill.functions.text import as_text
 from leafmill.limits import Limits
 from leafmill.operators.blocks import extract
+from leafmill.operators.content_store import convert_known as known
+from leafmill.operators.content_store import open_store
 from leafmill.operators.converter import convert_once as once
 from leafmill.operators.converter import convert_with, hash_mismatch
+from leafmill.session import work_dir
 
 
 @query("""
@@ -148,3 +151,22 @@ def content_address(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.col("doc_id")
     claimed = F.when(doc % 10 == 4, "").when(doc % 10 == 3, F.sha2("source", 256)).otherwise(F.upper(F.sha2("text", 256)))
     return table(spark, sf, "documents").select("doc_id", hash_mismatch(F.encode("text", "UTF-8"), claimed).alias("mismatch"))
+
+
+@query(r"""
+SELECT doc_id, trim(text, E' \n') AS markdown, (SELECT count(DISTINCT text) FROM documents) AS stored FROM documents
+""")
+def convert_known(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over one store: the first over the documents in English, the second over all, which converts the others only."""
+    store = work_dir(spark, "content-store")
+    documents = table(spark, sf, "documents").select(
+        "doc_id", F.encode("text", "UTF-8").alias("content"), F.lit(".txt").alias("suffix"), F.lit("{}").alias("option_key"), "lang")
+
+    def convert(distinct: DataFrame) -> DataFrame:
+        read = extract(distinct.withColumn("_text", as_text(F.col("content"))), text_blocks(F.col("_text")))
+        return read.select("doc_id", "content_sha", "suffix", "option_key", "markdown")
+
+    for part in (documents.filter("lang = 'en'"), documents):
+        made = known(part.drop("lang"), convert, "doc_id", store)
+    rows = spark.table(open_store(spark, store, made.schema)).agg(F.count("*")).scalar()
+    return made.select("doc_id", "markdown", F.lit(rows).cast("long").alias("stored"))

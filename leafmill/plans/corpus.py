@@ -31,9 +31,11 @@ from leafmill.operators.admission import (
 from leafmill.operators.archives import judge_members, merge_archive, too_large
 from leafmill.operators.assemble import assemble
 from leafmill.operators.blocks import blocks_of, extract
+from leafmill.operators.content_store import convert_known
 from leafmill.operators.converter import Factory, convert_once, convert_with
+from leafmill.operators.ledger import outcome_events
 from leafmill.sources.archives import explode_archives
-from leafmill.sources.files import length_of, read_files, write_errors, write_results
+from leafmill.sources.files import length_of, read_files, write_dated, write_errors, write_results
 from leafmill.sources.ranges import explode_located
 from leafmill.session import through_table
 
@@ -114,7 +116,8 @@ def document_blocks() -> Column:
 
 
 def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str, factory: Factory | None = None,
-                      families: Iterable[str] = (), tag: str = "", once: bool = False) -> DataFrame:
+                      families: Iterable[str] = (), tag: str = "", once: bool = False,
+                      store: str | None = None, row: Column | None = None) -> DataFrame:
     """``(keys, name, suffix, family, format_error, content, option_key)`` to the common columns."""
     families = list(families) if factory else []
     readable = F.col("family").isin(*fixed.BUILT_IN_FAMILIES)
@@ -136,15 +139,19 @@ def convert_documents(df: DataFrame, limits: Limits, blocks: Column, *keys: str,
     if not families:
         return built_in
     taken = df.filter(F.col("family").isin(*families))
-    if not once:
+    if not once and store is None:
         return built_in.unionByName(convert_with(taken, factory, limits, *keys, tag=tag))
-    row = keys[0]
-    carried = (row, "content_sha", "suffix", "option_key", "copies")
-    made = convert_once(
-        taken.select(row, "name", "content", "suffix", "option_key"),
-        lambda distinct: convert_with(distinct, factory, limits, *carried, tag=tag), row,
-    ).drop("name", "content_sha", "suffix", "option_key", "copies")
-    return built_in.unionByName(taken.select(*keys, "name").join(made, row).select(*built_in.columns))
+    taken = through_table(taken.withColumn("_row", F.col(keys[0]) if row is None else row), "to-convert")
+    carried = ("_row", "content_sha", "suffix", "option_key", "copies")
+    wanted = taken.select("_row", "name", "content", "suffix", "option_key")
+    if store is not None:
+        kept = ("_row", "content_sha", "suffix", "option_key")
+        made = convert_known(
+            wanted, lambda rows: convert_with(rows, factory, limits, *kept, tag=tag).drop("name"), "_row", store)
+    else:
+        made = convert_once(wanted, lambda distinct: convert_with(distinct, factory, limits, *carried, tag=tag), "_row").drop(
+            "name", "content_sha", "suffix", "option_key", "copies")
+    return built_in.unionByName(taken.select(*keys, "name", "_row").join(made, "_row").select(*built_in.columns))
 
 
 def _with_source(elements: str) -> Column:
@@ -152,13 +159,14 @@ def _with_source(elements: str) -> Column:
 
 
 def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = None, families: Iterable[str] = (),
-             tag: str = "", once: bool = False) -> DataFrame:
+             tag: str = "", once: bool = False, store: str | None = None) -> DataFrame:
     """Documents to ``(request_id, result, error)``.
 
     With ``once`` the user's converter sees each distinct content, suffix and
-    options one time (archive members apart); request ids must then be unique.
+    options one time; with ``store``, a folder, not again in later runs either
+    (the store belongs to one converter; another one needs another folder).  Both need unique request ids.
     """
-    hook = {"factory": factory, "families": families, "tag": tag}
+    hook = {"factory": factory, "families": families, "tag": tag, "once": once, "store": store}
     blocks = document_blocks()
     packs = is_archive(F.coalesce("suffix", F.lit(""))) & F.col("error").isNull()
     plain = convert_documents(
@@ -166,7 +174,7 @@ def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = Non
             "request_id", F.col("filename").alias("name"), "suffix", "family", "format_error", "option_key",
             F.when(F.col("error").isNull(), F.col("content")).alias("content"), F.col("error").alias("refused"),
         ),
-        limits, blocks, "request_id", "refused", **hook, once=once,
+        limits, blocks, "request_id", "refused", **hook,
     ).select(
         "request_id", F.col("name").alias("filename"), F.array("name").alias("sources"), "markdown", "text",
         _with_source("elements").alias("elements"), "cuts", "page_count", "warnings",
@@ -179,7 +187,7 @@ def outcomes(documents: DataFrame, limits: Limits, factory: Factory | None = Non
 
 
 def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, factory: Factory | None = None,
-                     families: Iterable[str] = (), tag: str = "") -> DataFrame:
+                     families: Iterable[str] = (), tag: str = "", once: bool = False, store: str | None = None) -> DataFrame:
     """Archive documents to one merged row each.
 
     Members are read once; verdict and merge share the shuffle on the archive.
@@ -198,7 +206,8 @@ def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, facto
     # An archive inside an archive is a member nobody converts.
     converted = convert_documents(
         routed, limits, blocks, "archive_id", "filename", "ordinal", "kind", "refusal",
-        factory=factory, families=families, tag=tag,
+        factory=factory, families=families, tag=tag, once=once, store=store,
+        row=F.concat_ws("/", F.col("ordinal").cast("string"), "archive_id"),
     ).withColumn("error", F.col("error.error"))
     counts = F.col("refusal").isNull() & (F.col("kind") == "file")
     refusal = F.when(
@@ -213,14 +222,17 @@ def convert_archives(documents: DataFrame, limits: Limits, blocks: Column, facto
 
 
 def run_corpus(requests: DataFrame, files: DataFrame, limits: Limits, roots: Iterable[str], results_path: str,
-               errors_path: str, run_date: str, resolve_links: bool = True, **hook) -> DataFrame:
+               errors_path: str, run_date: str, resolve_links: bool = True, events_path: str | None = None, **hook) -> DataFrame:
     """The batch job: converts once, then writes the result and the error table.  Gives the outcomes.
 
+    With ``events_path`` the events that end the jobs go there too, a folder per run date, for the ledger.
     ``resolve_links=False`` is for file systems that are known to hold none.
     """
     made = through_table(outcomes(admit(requests, files, limits, roots, resolve_links), limits, **hook), "outcomes")
     write_results(made, results_path, run_date)
     write_errors(made, errors_path, run_date)
+    if events_path is not None:
+        write_dated(outcome_events(made, F.current_timestamp()), events_path, run_date)
     return made
 
 

@@ -85,16 +85,17 @@ def length_of(location: Column) -> Column:
     return look_up(location)
 
 
-def _write(rows: DataFrame, path: str, run_date: Column | str) -> None:
+def write_dated(rows: DataFrame, path: str, run_date: Column | str) -> None:
+    """Rows of one run; a date that runs again replaces its own folder."""
     dated = rows.withColumn("run_date", F.lit(run_date))
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path)
 
 
 def write_results(outcomes: DataFrame, path: str, run_date: Column | str) -> None:
     """The succeeded results, one folder per run date; a date that runs again replaces its own folder."""
-    _write(outcomes.filter(F.col("error").isNull()).select("request_id", "result.*"), path, run_date)
+    write_dated(outcomes.filter(F.col("error").isNull()).select("request_id", "result.*"), path, run_date)
 
 
 def write_errors(outcomes: DataFrame, path: str, run_date: Column | str) -> None:
     """The typed failures in the same way, so none is lost and none looks like an empty document."""
-    _write(outcomes.filter(F.col("error").isNotNull()).select("request_id", "error.*"), path, run_date)
+    write_dated(outcomes.filter(F.col("error").isNotNull()).select("request_id", "error.*"), path, run_date)
