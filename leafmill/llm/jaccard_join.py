@@ -20,9 +20,11 @@ least; the rest are long lists, which only candidates are probed in.
    of such elements.  Items with too few shared elements go.
 4. *Merge.*  Lists of the heads give candidates: each item with a few pivots of
    its list, in rounds with other pivots; what is linked leaves the next round.  Then
-   pairs that share a list but are not yet connected.  So no link between
+   come components that share a list but are not yet connected: each item of the smaller one counts the
+   occurrences of its elements in the lists of the other's members, merged, and meets
+   these members only if the count reaches T.  So no link between
    components is lost, while a family of thousands of near copies costs one probe a
-   member, list and round, not all pairs.
+   member, list and round, not all pairs, and its outliers one count each.
 5. *Components* of all links.
 
 Probing is a search of one sorted set in the other.  Else the global order is
@@ -54,6 +56,7 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 HOLD_ROWS = 1 << 21  # list entries a map task holds before it sends them
 MANY = 8  # local items from which an element counts as shared by many
 HOT = 16  # items an element of a short list has at most
+SLOT_GRAMS = 1 << 18  # elements of a component in one slot
 ROUNDS, PIVOTS = 2, 3  # rounds of pivots, and pivots of a list in each
 MARK_BITS = 26  # of the bit map of chosen documents: 8 MB whatever their number
 PAIR = np.dtype([("gram", "<u8"), ("item", "<i8")])
@@ -453,24 +456,131 @@ def _pivot_pairs(percent: int, turn: int, width: int):
     return make
 
 
-def _open_pairs(percent: int, width: int):
-    """Pairs of a list that are of matching size and not connected yet."""
+def _root_pairs(percent: int, width: int):
+    """Pairs of components that share a list and have members of matching size in it."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, _ = _received(batches)
 
         def found() -> Iterator[np.ndarray]:
-            for run in _sorted_runs(entries, entries["size"]):
-                sizes, items, roots = run["size"], run["item"], run["root"]
-                stops = np.searchsorted(sizes, sizes * 100 // percent, side="right")
-                for i, stop in enumerate(stops):
-                    others = items[i + 1 : stop][roots[i + 1 : stop] != roots[i]]
-                    yield np.column_stack([np.minimum(others, items[i]), np.maximum(others, items[i])])
+            for run in _sorted_runs(entries, entries["root"]):
+                starts, _ = _runs(run["root"])
+                roots = run["root"][starts]
+                least, most = np.minimum.reduceat(run["size"], starts), np.maximum.reduceat(run["size"], starts)
+                for i in range(len(roots) - 1):
+                    fits = (least[i] * percent <= most[i + 1 :] * 100) & (least[i + 1 :] * percent <= most[i] * 100)
+                    others = roots[i + 1 :][fits]
+                    yield np.column_stack([np.minimum(others, roots[i]), np.maximum(others, roots[i])])
 
         return _pair_batches(_collected(found()), width)
 
     return make
 
 
+def _slots_of(grams: np.ndarray, slots: int) -> np.ndarray:
+    return (mix(grams ^ np.uint64(1234)) % np.uint64(slots)).astype(np.int64)
+
+
+_OCCUR = "root long, slot long, item long, need long, grams binary"
+
+
+def _occur_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["root", "slot", "item", "need", "grams"])
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements of whole components, each once a task, dealt to the component's slots."""
+    held: dict[tuple[int, int], list[np.ndarray]] = {}
+    size = 0
+
+    def sent() -> pa.RecordBatch:
+        return _occur_batch([(root, slot, None, None, np.unique(np.concatenate(parts)).tobytes()) for (root, slot), parts in held.items()])
+
+    for batch in batches:
+        for root, slots, blob in zip(batch.column("root").to_pylist(), batch.column("slots").to_pylist(), batch.column("grams")):
+            grams = np.frombuffer(blob.as_buffer(), "<u8")
+            of = _slots_of(grams, slots)
+            for slot in np.unique(of):
+                held.setdefault((root, int(slot)), []).append(grams[of == slot])
+            size += len(grams)
+            if size >= HOLD_ROWS:
+                yield sent()
+                held, size = {}, 0
+    if held:
+        yield sent()
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements of an item that asks a component, dealt to that component's slots."""
+    for batch in batches:
+        rows = []
+        for root, slots, item, need, blob in zip(*(batch.column(c).to_pylist() for c in ("root", "slots", "item", "need")), batch.column("grams")):
+            grams = np.frombuffer(blob.as_buffer(), "<u8")
+            of = _slots_of(grams, slots)
+            rows += [(root, int(slot), item, need, grams[of == slot].tobytes()) for slot in np.unique(of)]
+        yield _occur_batch(rows)
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by root, slot and item, with the component's elements (no item) first: how many of an item's elements the component has."""
+    at, parts, known = None, [], None
+    for batch in batches:
+        out: list[tuple] = []
+        for root, slot, item, need, blob in zip(*(batch.column(c).to_pylist() for c in ("root", "slot", "item", "need")), batch.column("grams")):
+            if (root, slot) != at:
+                at, parts, known = (root, slot), [], None
+            grams = np.frombuffer(blob.as_buffer(), "<u8")
+            if item is None:
+                parts.append(grams.copy())
+                continue
+            if known is None:
+                known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                out.append((item, root, need, int((known[place] == grams).sum())))
+        kinds = [pa.array([r[k] for r in out], pa.int64()) for k in range(4)]
+        yield pa.record_batch(kinds, names=["item", "root", "need", "times"])
+
+
+def open_pairs(entries: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
+    """Pairs (a, b) of items of different components that may link.
+
+    Lists give pairs of components.  An item of the smaller one asks the other as a
+    whole: a member shares T elements with it, so T of its elements at least
+    must stand in the lists of that component's members.  Lists are merged into the component's
+    elements, each once, and the item's are counted in them; only where the count reaches T does the item meet
+    the members.  A component's elements are dealt to slots, so a large one is no hot key.
+    """
+    blob = "bucket int, kind string, data binary"
+    lists = entries.mapInArrow(_send_lists(percent, width, None), blob).repartitionById(width, "bucket")
+    met = lists.mapInArrow(_root_pairs(percent, width), blob).repartitionById(width, "bucket")
+    pairs = through_table(met.mapInArrow(_distinct_pairs, "a long, b long"), "open-components")
+    members = entries.select("item", "size", "root")
+    whole = through_table(members.groupBy("root").agg(
+        F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most"), F.sum("size").alias("total")), "components")
+    side = lambda c: whole.select(F.col("root").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "least", "most", "total")])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    swap = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") > F.col("b")))
+    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    asks = both.select(pick("a", "b").alias("asking"), pick("b", "a").alias("root"), pick("least_b", "least_a").alias("least"),
+                       F.greatest(F.lit(1), F.ceil(pick("total_b", "total_a") / SLOT_GRAMS)).cast("long").alias("slots"))
+    asks = through_table(asks, "asking")
+    # A partner has at least percent of the item's size, and of its component's least.
+    partner = F.greatest(F.col("least"), F.expr(f"(size * {percent} + 99) div 100"))
+    need = F.expr(f"(({percent} * (size + partner)) + {99 + percent}) div {100 + percent}")
+    queries = asks.join(members.withColumnRenamed("root", "asking"), "asking").withColumn("partner", partner).withColumn("need", need)
+    asked = queries.select("item", "root", "slots", "need").join(sets, "item").mapInArrow(_asked, _OCCUR)
+    targets = asks.select("root", "slots").distinct().join(members.select("item", "root"), "root").join(sets, "item")
+    united = targets.select("root", "slots", "grams").mapInArrow(_united, _OCCUR)
+    dealt = united.unionAll(asked).repartition(width, "root", "slot").sortWithinPartitions("root", "slot", F.col("item").asc_nulls_first())
+    counted = dealt.mapInArrow(_occurrences, "item long, root long, need long, times long")
+    reached = counted.groupBy("item", "root").agg(F.sum("times").alias("times"), F.max("need").alias("need")).filter("times >= need")
+    reached = through_table(reached.select(F.col("item").alias("a"), "root"), "reached")
+    found = reached.join(members, "root").join(members.select(F.col("item").alias("a"), F.col("size").alias("size_a")), "a")
+    fits = (F.col("size") * percent <= F.col("size_a") * 100) & (F.col("size_a") * percent <= F.col("size") * 100)
+    return found.filter(fits).select(F.least("a", "item").alias("a"), F.greatest("a", "item").alias("b")).distinct()
+
+
 def _probe(percent: int):
     """Search the smaller set in the larger one; keep pairs that reach the required overlap."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -518,9 +628,12 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
         root = F.lit(None).cast("long") if roots is None else F.col("root")
         known = heads if roots is None else heads.join(roots, heads["item"] == roots["node"], "left")
         entries = known.select("item", "size", "head", F.coalesce(root, "item").alias("root"))
-        lists = entries.mapInArrow(_send_lists(percent, width, turn), blob).repartitionById(width, "bucket")
-        met = lists.mapInArrow(_open_pairs(percent, width) if turn is None else _pivot_pairs(percent, turn, width), blob)
-        pairs = met.repartitionById(width, "bucket").mapInArrow(_distinct_pairs, "a long, b long")
+        if turn is None:
+            pairs = open_pairs(through_table(entries, "open-heads"), sets, percent, width)
+        else:
+            lists = entries.mapInArrow(_send_lists(percent, width, turn), blob).repartitionById(width, "bucket")
+            met = lists.mapInArrow(_pivot_pairs(percent, turn, width), blob)
+            pairs = met.repartitionById(width, "bucket").mapInArrow(_distinct_pairs, "a long, b long")
         found = _linked(pairs, sets, percent)
         links = through_table(found if links is None else found.unionAll(links), "links")
         roots = through_table(components(links), "roots")

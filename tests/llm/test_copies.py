@@ -122,3 +122,28 @@ def test_texts_without_a_common_shingle_are_not_linked(spark):
     rows += [(100 + k, f"one two {text} four five six") for k, text in enumerate(thue_morse(11))]
     got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {tuple(r) for r in got.collect()} == brute(rows)
+
+
+def test_a_family_just_under_the_threshold(spark):
+    """A thousand texts that nearly link with each other and with a family of true copies; a few of them do link with one far member."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(120)]
+
+    def variant(edits):
+        words = list(base)
+        for at in rng.sample(range(len(words)), edits):
+            words[at] = word()
+        return words
+
+    family = [variant(1) for _ in range(300)]
+    outliers = [variant(4) for _ in range(1000)]
+    far = []
+    for words in outliers[:20]:
+        words = list(words)
+        words[rng.randrange(len(words))] = word()
+        far.append(words)
+    rows = list(enumerate(" ".join(t) for t in family + outliers + far))
+    rng.shuffle(rows)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert {tuple(r) for r in got.collect()} == brute(rows)
