@@ -17,7 +17,8 @@ least; the rest are long lists, which only candidates are probed in.
    another.  Items that only share a passage end here.
 3. *Order.*  Elements that more than HOT of the remaining items share move to the
    end of the global order, so lists of a head are short unless an item consists
-   of such elements.  Items with too few shared elements go.
+   of such elements.  Items go that have fewer shared elements than T with the smallest item of
+   matching size that any list of their heads holds.
 4. *Merge.*  Lists of the heads give candidates: each item with a few pivots of
    its list, in rounds with other pivots; what is linked leaves the next round.  Then
    come components that share a list but are not yet connected: each item of the smaller one counts the
@@ -335,7 +336,7 @@ def _heads(percent: int):
     """The head of each set, hot elements last; items with too few shared elements go."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items, sizes, heads = [], [], []
+            items, sizes, shared, heads = [], [], [], []
             for item, blob, times, hot in zip(*(batch.column(c).to_pylist() for c in ("item", "grams", "times", "hot"))):
                 grams = np.frombuffer(blob, "<u8")
                 size = np.array([len(grams)])
@@ -344,9 +345,10 @@ def _heads(percent: int):
                 late = np.isin(grams, np.frombuffer(hot, "<u8"))
                 items.append(item)
                 sizes.append(len(grams))
+                shared.append(times)
                 heads.append(np.concatenate([grams[~late], grams[late]])[: _head(size, percent, 1)[0]].tobytes())
-            yield pa.record_batch([pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.binary())],
-                                  names=["item", "size", "head"])
+            yield pa.record_batch([pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shared, pa.int64()), pa.array(heads, pa.binary())],
+                                  names=["item", "size", "times", "head"])
 
     return make
 
@@ -368,6 +370,53 @@ def _sorted_runs(entries: np.ndarray, rank: np.ndarray) -> Iterator[np.ndarray]:
             yield found
 
 
+MATE = np.dtype([("item", "<i8"), ("least", "<i8")])
+
+
+def _least_by_item(mates: np.ndarray) -> np.ndarray:
+    mates = mates[np.lexsort((mates["least"], mates["item"]))]
+    return mates[_runs(mates["item"])[0]]
+
+
+def _mates(percent: int, width: int):
+    """For each item of a list the least size of another one that matches its own; sent to the item's bucket."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries, _ = _received(batches)
+        held = [np.zeros(0, MATE)]
+        for run in _sorted_runs(entries, entries["size"]):
+            sizes = run["size"]
+            at = np.searchsorted(sizes, _need(sizes, percent))
+            at += at == np.arange(len(sizes))  # not the item itself
+            least = sizes[np.minimum(at, len(sizes) - 1)]
+            fits = (at < len(sizes)) & (least * percent <= sizes * 100)
+            mates = np.empty(fits.sum(), MATE)
+            mates["item"], mates["least"] = run["item"][fits], least[fits]
+            held.append(mates)
+        found = _least_by_item(np.concatenate(held))
+        yield _blob_batch(list(_by_bucket(found, _bucket_of(found["item"].astype(np.uint64), width), "mates")))
+
+    return make
+
+
+def _least_mates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = _least_by_item(np.frombuffer(b"".join(x for batch in batches for x in batch.column("data").to_pylist()), MATE))
+    yield pa.record_batch([pa.array(found["item"]), pa.array(found["least"])], names=["item", "least"])
+
+
+def with_partners(heads: DataFrame, percent: int, width: int) -> DataFrame:
+    """Items whose shared elements suffice for the smallest partner that their lists hold.
+
+    All elements two items have in common are shared ones, so an item with fewer
+    than T of them links with none.
+    """
+    blob = "bucket int, kind string, data binary"
+    lists = heads.select("item", "size", "head", F.col("item").alias("root")).mapInArrow(_send_lists(percent, width, None), blob)
+    mates = lists.repartitionById(width, "bucket").mapInArrow(_mates(percent, width), blob)
+    least = mates.repartitionById(width, "bucket").mapInArrow(_least_mates, "item long, least long")
+    need = F.expr(f"({percent} * (size + least) + {99 + percent}) div {100 + percent}")
+    return heads.join(least, "item").filter(F.col("times") >= need).select("item", "size", "head")
+
+
 def _with_pivots(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a ranked list with its first entry, and a mask of the entries whose size that one can match."""
     sizes, pivot = entries["size"], entries[0]
@@ -621,7 +670,8 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
     blob = "bucket int, kind string, data binary"
     marks_of = sets.mapInArrow(_send_all(width), blob).repartitionById(width, "bucket").mapInArrow(_mark_hot(width), blob)
     hot = marks_of.repartitionById(width, "bucket").mapInArrow(_marks_of_items, "item long, times long, hot binary")
-    heads = through_table(sets.join(hot, "item").mapInArrow(_heads(percent), "item long, size long, head binary"), "gram-heads")
+    heads = through_table(sets.join(hot, "item").mapInArrow(_heads(percent), "item long, size long, times long, head binary"), "gram-heads")
+    heads = through_table(with_partners(heads, percent, width), "open-heads")
 
     links = roots = None
     for turn in (*range(ROUNDS), None):
@@ -629,7 +679,7 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
         known = heads if roots is None else heads.join(roots, heads["item"] == roots["node"], "left")
         entries = known.select("item", "size", "head", F.coalesce(root, "item").alias("root"))
         if turn is None:
-            pairs = open_pairs(through_table(entries, "open-heads"), sets, percent, width)
+            pairs = open_pairs(through_table(entries, "last-heads"), sets, percent, width)
         else:
             lists = entries.mapInArrow(_send_lists(percent, width, turn), blob).repartitionById(width, "bucket")
             met = lists.mapInArrow(_pivot_pairs(percent, turn, width), blob)
