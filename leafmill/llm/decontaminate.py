@@ -14,6 +14,8 @@ are at least half of the item's.  A document leaks an item if what counts covers
 at least ``least_share`` of the item's windows, or holds ``long_run`` tokens of
 the item in one piece.
 
+Scripts without spaces between words have a token for each letter, so a
+sentence quoted inside another is found.
 A number is digits with inner points or commas; a unit is one of ``UNITS``
 behind a number; a name is any capitalised word but those of ``NOT_NAMES``,
 wherever it stands.  A window with names is hashed twice, once with them as
@@ -35,6 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions.text import let
 from leafmill.session import through_table
 
 WINDOW = 8
@@ -51,18 +54,24 @@ NOT_NAMES = (  # begin sentences
     "what", "which", "who", "how", "when", "where", "why", "each", "every", "all", "some", "after", "before", "then", "so", "find", "suppose",
 )
 NUMBER, UNIT, NAME = "#", "~", "@"  # begin the token of a placeholder; the value follows
+# Scripts that put no spaces between words, of which each letter is a token: Thai, Lao, Myanmar, Khmer, kana and Han.
+# The first look is for speed, as most letters are below.
+UNSPACED = r"(?=[\u0E00-\x{3FFFF}])[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
+MAP_SIZE = (1 << 14, 1 << 21)  # least and most places, a byte each, of the map of benchmark windows
+WINDOWS = "array<struct<at: int, hash: bigint, slots: array<string>>>"
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words, and placeholders with their values."""
-    plain = F.translate(text, NUMBER + UNIT + NAME, "   ")
+    plain = F.regexp_replace(text, rf"[{NUMBER}{UNIT}{NAME}]", " ")
+    plain = F.regexp_replace(plain, UNSPACED, " $0 ")
     unit = "|".join(UNITS)
     valued = F.regexp_replace(plain, rf"(?i)(\d+(?:[.,]\d+)*)(?:\s?({unit})(?!\p{{L}}))?", f" {NUMBER}$1 {UNIT}$2 ")
     # A number without a unit leaves a bare mark, which goes.
     bare = F.replace(valued, F.lit(f" {UNIT} "), F.lit(" "))
     # The mark of a unit stands before it, so a unit is no name.
     named = F.regexp_replace(bare, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{UNIT}%€$])(?!(?i:{'|'.join(NOT_NAMES)})(?!\p{{L}}))\p{{Lu}}", NAME + "$0")
-    found = F.split(F.lower(named), rf"[^\p{{L}}\p{{N}}{NUMBER}{UNIT}{NAME}%€$.,]+|[.,$]+(?![\d])|(?<!\d)[.,]")
+    found = F.split(F.lower(named), rf"[^a-z0-9\p{{L}}\p{{N}}{NUMBER}{UNIT}{NAME}%€$.,]+|[.,$]+(?![\d])|(?<!\d)[.,]")
     return F.filter(found, lambda t: t != "")
 
 
@@ -80,55 +89,74 @@ def _is_value(token: Column) -> Column:
     return F.substring(token, 1, 1).isin(NUMBER, UNIT)
 
 
-def windows(texts: DataFrame, keys: list[str], lengths: list[int], spots: bool = False) -> DataFrame:
+def _runs(hashes: Column, n: int) -> Column:
+    """A hash of the ``n`` hashes from each place on: runs are paired to 2, 4, ... places, at last two that may overlap.
+
+    The last ``n - 1`` places have no whole run and say nothing.
+    """
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        hashes = let(hashes, lambda once: F.zip_with(once, F.slice(once, step + 1, F.size(once)), lambda a, b: F.xxhash64(a, b)))
+        size += step
+    return hashes
+
+
+def _place(value: Column, size: int) -> Column:
+    return value.bitwiseAND(size - 1).cast("int")
+
+
+def _hash_map(hashes: DataFrame, size: int) -> Column:
+    """Which of ``size`` places the hashes fill: one bounded array of booleans that any row may ask."""
+    filled = hashes.select(_place(F.col("hash"), size).alias("place")).distinct()
+    every = hashes.sparkSession.range(size).join(filled, F.col("id") == F.col("place"), "left").select(
+        F.struct("id", F.col("place").isNotNull().alias("filled")).alias("entry"))
+    return every.agg(F.transform(F.sort_array(F.collect_list("entry")), lambda e: e["filled"])).scalar()
+
+
+def windows(texts: DataFrame, keys: list[str], lengths: list[int], spots: bool = False, known: tuple[Column, int] | None = None) -> DataFrame:
     """Rows for each window: the keys, ``at``, ``hash`` and ``slots``.
 
     In one row names are words, and of mostly placeholders the hash is that of
     the values; a window with names has another in which they are placeholders.
+    With ``known``, a map of hashes and its size, windows whose hash finds its
+    place empty are left out before they become rows.
     With ``spots`` there are also the slots as structs of place in the text and
     value, and ``told``, whether half the tokens are plain when names are not.
     """
-    word = lambda t: F.ltrim(t, F.lit(NAME))
-    at = lambda holds: F.filter(F.transform("tokens", lambda t, i: F.when(holds(t), i + 1)), lambda i: i.isNotNull())
+    word = lambda t: F.when(_is_name(t), F.substring(t, 2, 1 << 30)).otherwise(t)
+    holds = lambda h: F.lit(True) if known is None else F.get("known", _place(h, known[1]))
     split = texts.select(*keys, tokens(F.col("text")).alias("tokens"))
-    split = split.select(*keys, "tokens", at(_is_name).alias("names_at"), at(_is_value).alias("values_at"))
-    valued = F.size("values_at") > 0
+    split = split.select(*keys, "tokens", F.exists("tokens", _is_name).alias("has_names"), F.exists("tokens", lambda t: F.startswith(t, F.lit(NUMBER))).alias("has_values"))
     exact = F.transform("tokens", lambda t: F.xxhash64(word(t)))
     plain = F.transform("tokens", lambda t: F.xxhash64(F.when(_is_value(t), _kind(t)).otherwise(word(t))))
-    named = F.transform("tokens", lambda t: F.xxhash64(F.coalesce(_kind(t), t)))
-    split = split.select(*keys, "tokens", "names_at", "values_at", exact.alias("exact"), F.when(valued, plain).alias("plain"),
-                         F.when(F.size("names_at") > 0, named).alias("named"))
-
-    def near(places: str, n: int) -> Column:
-        """The windows that hold one of the places."""
-        last = F.size("tokens") - n + 1
-        return F.when(last >= 1, F.array_distinct(F.flatten(F.transform(
-            places, lambda p: F.sequence(F.greatest(p - n + 1, F.lit(1)), F.least(p, last))))))
-
-    # Each is used more than once.
-    split = split.select("*", *[near(f"{kind}_at", n).alias(f"{kind}_{n}") for n in lengths for kind in ("names", "values")])
+    named = F.transform("tokens", lambda t: F.xxhash64(F.when(_is_name(t), F.lit(NAME)).otherwise(t)))
+    valued = F.transform("tokens", lambda t: F.xxhash64(F.coalesce(_kind(t), t)))
+    split = split.select(*keys, "tokens", exact.alias("exact"), F.when(F.col("has_values"), plain).alias("plain"),
+                         F.when(F.col("has_names"), F.when(F.col("has_values"), valued).otherwise(named)).alias("named"))
+    kinds = ("exact", "plain", "named")
+    # Each is used more than once.  A function of array elements may hold no subquery, so the map is a column.
+    split = split.select(*keys, "tokens", *([known[0].alias("known")] if known else []), *[_runs(F.col(kind), n).alias(f"{kind}_{n}") for n in lengths for kind in kinds])
 
     def made(n: int) -> Column:
-        def slotted(i: Column) -> Column:
-            return F.struct(i.alias("at"), F.filter(F.slice("tokens", i, n), _is_value).alias("slots"))
-
-        def window(w: Column) -> Column:
-            part = F.when(F.size(w["slots"]) * 2 > n, F.slice("exact", w["at"], n)).otherwise(F.slice("plain", w["at"], n))
-            return F.struct(w["at"].alias("at"), F.xxhash64(part).alias("hash"), w["slots"].alias("slots"))
+        every = F.sequence(F.lit(1), F.size("tokens") - n + 1)
+        of = lambda kind, i: F.get(f"{kind}_{n}", i - 1)
 
-        def without(i: Column) -> Column:
-            return F.struct(i.alias("at"), F.xxhash64(F.slice("exact", i, n)).alias("hash"), F.lit(None).cast("array<string>").alias("slots"))
+        def window(i: Column, slots: Column) -> Column:
+            part = F.when(F.size(slots) * 2 > n, of("exact", i)).otherwise(F.coalesce(of("plain", i), of("exact", i)))
+            return F.struct(i.alias("at"), part.alias("hash"), F.when(F.size(slots) > 0, slots).alias("slots"))
 
         def with_names(i: Column) -> Column:
             slots = F.filter(F.slice("tokens", i, n), lambda t: _kind(t).isNotNull())
-            return F.struct(i.alias("at"), F.xxhash64(F.slice("named", i, n)).alias("hash"), slots.alias("slots"))
+            return F.struct(i.alias("at"), of("named", i).alias("hash"), slots.alias("slots"))
 
-        every = F.sequence(F.lit(1), F.size("tokens") - n + 1)
-        others = F.when(valued, F.array_except(every, f"values_{n}")).otherwise(every)
-        return F.concat(F.transform(others, without), F.transform(F.transform(f"values_{n}", slotted), window), F.transform(f"names_{n}", with_names))
+        held = lambda kind: F.when(F.col(f"{kind}_{n}").isNotNull(), F.filter(every, lambda i: holds(of(kind, i))))
+        found = F.when(F.col(f"plain_{n}").isNull(), held("exact")).otherwise(F.array_union(held("exact"), held("plain")))
+        found = F.transform(found, lambda i: window(i, F.filter(F.slice("tokens", i, n), _is_value)))
+        others = F.filter(F.transform(held("named"), with_names), lambda w: F.exists(w["slots"], _is_name))
+        return F.concat(found, F.coalesce(others, F.array().cast(WINDOWS)))
 
-    every = F.concat(*[F.when(F.size("tokens") >= n, made(n)).otherwise(F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>"))
-                       for n in lengths])
+    every = F.concat(*[F.when(F.size("tokens") >= n, made(n)).otherwise(F.array().cast(WINDOWS)) for n in lengths])
     if not spots:
         return split.select(*keys, F.inline(every))
     n = lengths[0]
@@ -203,9 +231,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
     if not lengths:
         texts = texts.limit(0)
-    own = windows(texts, ["doc_id"], lengths or [window])
     # Beyond the bound Spark joins by sorting, and splits a window that very many texts have.
-    small = known.count() <= BROADCAST_ROWS
+    n_known = known.count()
+    small = n_known <= BROADCAST_ROWS
+    # A full map lets all windows through, which costs work and no result.
+    size = min(max(MAP_SIZE[0], 1 << (8 * n_known).bit_length()), MAP_SIZE[1])
+    own = windows(texts, ["doc_id"], lengths or [window], known=(_hash_map(known.select("hash"), size), size))
     met = own.join(F.broadcast(known) if small else known, "hash")
     none = F.array().cast("array<string>")
     slots = F.zip_with("item_slots", F.coalesce("slots", none), lambda a, b: F.struct(a["at"].alias("at"), a["item"].alias("item"), b.alias("doc")))

@@ -189,3 +189,31 @@ def test_a_long_stretch_of_a_longer_item_leaks(spark):
     words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
     item = " ".join(words)
     assert leaked(spark, [(item, "It says " + " ".join(words[150:250]) + " and ends."), (item[::-1], " ".join(item[::-1].split()[100:135]))]) == [0]
+
+
+def test_quotes_in_scripts_without_spaces(spark):
+    item = "次の数列の一般項を求めよ"
+    docs = [(1, f"試験では「{item}」という問題が出た"), (2, f"先生は{item}と言った"), (3, "先生は次の授業の準備を始めた"), (4, item)]
+    found = decontaminate.judge(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert {r.doc_id: r.contaminated for r in found.collect()} == {1: True, 2: True, 3: False, 4: True}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 8])
+def test_run_hashes_tell_runs_apart(spark, n):
+    from itertools import product
+
+    rows = [(list(r), 0) for r in product([1, 2], repeat=n)]
+    df = spark.createDataFrame(rows, "h array<long>, x int")
+    made = [r[0][0] for r in df.select(decontaminate._runs(F.col("h"), n)).collect()]
+    assert len(set(made)) == len(rows)
+    longer = spark.createDataFrame([([9, *rows[-1][0], 9],)], "h array<long>").select(decontaminate._runs(F.col("h"), n)).first()[0]
+    assert longer[1] == made[-1]
+
+
+@pytest.mark.parametrize("sizes", [(64, 64), (2, 2)])
+def test_a_full_map_changes_nothing(spark, monkeypatch, sizes):
+    docs = [(1, "Anna has 3 red apples and 5 green pears in her big basket today"), (2, "one two three four five six seven eight nine ten")]
+    items = [(5, "Bob has 7 red apples and 9 green pears in her big basket today"), (6, "one two three")]
+    monkeypatch.setattr(decontaminate, "MAP_SIZE", sizes)
+    found = decontaminate.judge(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: r["items"] for r in found.collect()} == {1: [5], 2: [6]}
