@@ -158,8 +158,11 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", l
     # Languages are few: one row each.
     common = counts.join(totals, "lang").filter(F.col("n") >= F.col("total") * least_share)
     found = common.select("lang", "gram", "total").collect()
-    order = {r.lang: r.total for r in found}
-    return Filters.build({lang: sorted(r.gram for r in found if r.lang == lang) for lang in sorted(order, key=lambda x: (-order[x], x))})
+    order, grams = {}, {}
+    for r in found:
+        order[r.lang] = r.total
+        grams.setdefault(r.lang, []).append(r.gram)
+    return Filters.build({lang: sorted(grams[lang]) for lang in sorted(order, key=lambda x: (-order[x], x))})
 
 
 def _predict(model):

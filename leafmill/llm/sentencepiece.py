@@ -33,6 +33,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 1 << 17
+CACHE_CHARS = 256  # longest word that stays in the cache, which bounds its bytes
 SIDE_BY_SIDE = 64  # longest word in bytes that is segmented beside others
 NOWHERE = -np.inf
 SEARCH = 1 << 10  # places of the double array that are looked at together
@@ -230,7 +231,11 @@ class Model:
         literal = self.byte_ids[list(MARK.encode())].tobytes()
         for word in set(todo).difference(plain):
             self.cache[word] = literal.join(self.segment_all([part.encode() for part in word.split(MARK)]))
-        return [None if words is None else b"".join(map(self.cache.__getitem__, words)) for words in split]
+        ids = [None if words is None else b"".join(map(self.cache.__getitem__, words)) for words in split]
+        for word in todo:
+            if len(word) > CACHE_CHARS:
+                del self.cache[word]
+        return ids
 
     def decode(self, ids: list[int]) -> str:
         whole = b"".join(map(self.pieces.__getitem__, ids))

@@ -217,3 +217,10 @@ def test_a_full_map_changes_nothing(spark, monkeypatch, sizes):
     monkeypatch.setattr(decontaminate, "MAP_SIZE", sizes)
     found = decontaminate.judge(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {r.doc_id: r["items"] for r in found.collect()} == {1: [5], 2: [6]}
+
+
+def test_turns_beyond_an_int_are_formatted(spark, tmp_path):
+    rows = [(1, 1 << 40, "assistant", "later"), (1, 5, "user", "first")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.conv_id: r for r in QUERIES["op5_chat_format"](spark, str(tmp_path)).collect()}
+    assert found[1].n_turns == 2 and found[1].loss_chars == 5

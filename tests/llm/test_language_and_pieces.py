@@ -102,3 +102,12 @@ def test_pieces_of_odd_rows(spark):
     back = sentencepiece.decode(sentencepiece.encode(rows, model), model).collect()
     assert all(r.text == r.decoded for r in back) and [r.ids for r in back][:2] == [None, []]
     assert sentencepiece.encode(rows.limit(0), model).count() == 0
+
+
+def test_long_words_leave_the_cache():
+    model = sentencepiece.Model.load()
+    texts = ["数" * 3000, "short words only", "数" * 3000 + " x", None]
+    first = model.encode_all(texts)
+    assert max(map(len, model.cache)) <= sentencepiece.CACHE_CHARS
+    assert model.encode_all(texts) == first
+    assert model.decode(np.frombuffer(first[0], np.int32).tolist()) == texts[0]
