@@ -1,7 +1,7 @@
 """The ledger with state: jobs change as events arrive, and deadlines pass while nobody looks.
 
-A stateful operator keeps one row per job.  It gives the job's row whenever
-that changes (update mode), and sets two timers in event time:
+A stateful operator keeps the jobs.  It gives a job's row whenever that changes
+(update mode), and looks at a job again at two points in event time:
 
 * at the deadline of a running job, which then fails with ``timeout``.  A timer
   fires once the watermark has passed, that is when no end from before the
@@ -10,6 +10,11 @@ that changes (update mode), and sets two timers in event time:
   events meet the state and change nothing they should not.  Events that are
   older than the watermark less the horizon are refused, so none of them brings a gone job back.
 
+Each call to the state server takes milliseconds, far more than the work on a job.
+So jobs share rows of state, a group of them (by hash) each, with one timer for the
+earliest of their points; a micro-batch reads and writes a row once however many
+of its jobs have events.  ``groups`` bounds these calls; it is fixed for the life of a checkpoint.
+
 Each micro-batch is folded by job in the map tasks before it is shuffled, so a
 job with a third of all events costs its reducer one row a task.  Folds are
 minimums, so neither order nor repetition matters.
@@ -21,6 +26,7 @@ batches the finished ones are merged into one table, by the stream itself.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
@@ -42,7 +48,8 @@ _FOLD = (
     "end_at long, end_event long, type string, error_code string, error string, missing_dependencies array<string>"
 )
 _FIELDS = [part.split()[0] for part in _FOLD.split(", ")]
-_STATE = f"{_FOLD}, timed_out boolean, revision long, due long"
+_STATE = "jobs string, due long"  # the jobs as JSON, each its id and what is kept of it; the earliest time of all
+GROUPS = 4096
 _KEPT = [*_FIELDS, "timed_out", "revision", "due"]
 JOB = (
     "status string, created_at timestamp, started_at timestamp, finished_at timestamp, filename string, "
@@ -98,7 +105,7 @@ def fold_batches(key_type: pa.DataType):
 
 
 class JobProcessor(StatefulProcessor):
-    """One job's state, its timers, and its row whenever that changes."""
+    """The state of a group of jobs, its timer, and a job's row whenever that changes."""
 
     def __init__(self, limits: Limits, horizon_secs: int):
         self.timeout_us, self.timeout_secs = limits.timeout_secs * 1_000_000, limits.timeout_secs
@@ -106,25 +113,30 @@ class JobProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("job", _STATE)
+        self.state = handle.getValueState("jobs", _STATE)
 
     def close(self) -> None:
         pass
 
-    def _known(self) -> dict[str, Any] | None:
+    def _known(self) -> tuple[dict[Any, dict[str, Any]], int | None]:
         found = self.state.get()
-        return None if found is None else dict(zip(_KEPT, found))
-
-    def _keep(self, job: dict[str, Any]) -> None:
-        """Each call goes to the state server, so the timer is only touched where it changes."""
-        due = self._due(job)
-        if due != job["due"]:
-            if job["due"] is not None:
-                self.handle.deleteTimer(job["due"])
+        if found is None:
+            return {}, None
+        return {job_id: dict(zip(_KEPT, kept)) for job_id, *kept in json.loads(found[0])}, found[1]
+
+    def _keep(self, jobs: dict[Any, dict[str, Any]], timer: int | None) -> None:
+        """``timer`` is the one that is set; it is only touched where the earliest time changes."""
+        due = min((job["due"] for job in jobs.values() if job["due"] is not None), default=None)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
             if due is not None:
                 self.handle.registerTimer(due)
-            job["due"] = due
-        self.state.update(tuple(job[name] for name in _KEPT))
+        if jobs:
+            kept = [[job_id, *[job[name] for name in _KEPT]] for job_id, job in jobs.items()]
+            self.state.update((json.dumps(kept, ensure_ascii=False, separators=(",", ":")), due))
+        else:
+            self.state.clear()
 
     def _started(self, job: dict[str, Any]) -> bool:
         """A start after the end means the job was cancelled while queued."""
@@ -144,9 +156,9 @@ class JobProcessor(StatefulProcessor):
         status = job["type"] or (fixed.RUNNING if started else fixed.QUEUED)
         return (status, job["created"], start, job["end_at"], job["filename"], job["error_code"], job["error"], job["missing_dependencies"] or [])
 
-    def _row(self, key: Any, job: dict[str, Any]) -> Row:
+    def _row(self, job_id: Any, job: dict[str, Any]) -> Row:
         status, created, start, end, filename, code, error, missing = self._shown(job)
-        return Row(job_id=key[0], revision=job["revision"], status=status, created=created, started=start, finished=end, filename=filename,
+        return Row(job_id=job_id, revision=job["revision"], status=status, created=created, started=start, finished=end, filename=filename,
                    error_code=code, error=error, missing_dependencies=missing)
 
     def _due(self, job: dict[str, Any]) -> int | None:
@@ -163,40 +175,47 @@ class JobProcessor(StatefulProcessor):
         return -(-due // 1000)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        known = self._known()
-        job = known or {**dict.fromkeys(_FIELDS), "timed_out": False, "revision": 0, "due": None}
+        jobs, timer = self._known()
         oldest = timerValues.getCurrentWatermarkInMs() * 1000 - self.horizon_us
-        fresh = False
+        arrived: dict[Any, list[Row]] = {}
         for row in rows:
             if row["newest"] >= oldest:
-                fresh = True
+                arrived.setdefault(row["job_id"], []).append(row)
+        if not arrived:
+            return
+        for job_id, fresh in arrived.items():
+            known = jobs.get(job_id)
+            job = known or {**dict.fromkeys(_FIELDS), "timed_out": False, "revision": 0, "due": None}
+            for row in fresh:
                 timed_out = job["timed_out"], job["start_at"], job["start_event"], job["end_at"], job["end_event"]
                 job = {**job, **_earlier({name: job[name] for name in _FIELDS}, {name: row[name] for name in _FIELDS})}
                 if timed_out[0]:  # the deadline has passed: what was decided stays
                     job.update(zip(("start_at", "start_event", "end_at", "end_event"), timed_out[1:]))
-        if not fresh:
-            return
-        if known is None or self._shown(job) != self._shown(known):
-            job["revision"] += 1
-            yield self._row(key, job)
-        self._keep(job)
+            if known is None or self._shown(job) != self._shown(known):
+                job["revision"] += 1
+                yield self._row(job_id, job)
+            job["due"] = self._due(job)
+            jobs[job_id] = job
+        self._keep(jobs, timer)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        job = self._known()
-        if job is None:
-            return
-        deadline = self._deadline(job)
-        if not job["timed_out"] and deadline is not None and (job["end_at"] is None or job["end_at"] > deadline):
-            job["timed_out"] = True
-            job["revision"] += 1
-            yield self._row(key, job)
-            job["due"] = None  # it has fired
-            self._keep(job)
-        else:
-            self.state.clear()
-
-
-def job_changes(events: DataFrame, limits: Limits, delay: str, horizon_secs: int) -> DataFrame:
+        """Looks at all jobs of the group whose time has come; those that ended a horizon ago go."""
+        jobs, timer = self._known()
+        now, expired = timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()
+        for job_id, job in list(jobs.items()):
+            while job["due"] is not None and job["due"] <= max(now, expired):
+                deadline = self._deadline(job)
+                if job["timed_out"] or deadline is None or (job["end_at"] is not None and job["end_at"] <= deadline):
+                    del jobs[job_id]
+                    break
+                job["timed_out"] = True
+                job["revision"] += 1
+                yield self._row(job_id, job)
+                job["due"] = self._due(job)
+        self._keep(jobs, None if timer == expired else timer)  # one that has fired is gone
+
+
+def job_changes(events: DataFrame, limits: Limits, delay: str, horizon_secs: int, groups: int = GROUPS) -> DataFrame:
     """A stream of events to a stream of job rows, each with its revision.
 
     ``delay`` is how far events may lie behind the newest one before a deadline is taken to have passed.
@@ -212,7 +231,8 @@ def job_changes(events: DataFrame, limits: Limits, delay: str, horizon_secs: int
     folds = flat.mapInArrow(fold_batches(key_type), f"job_id {kind}, newest long, {_FOLD}")
     out = (f"job_id {kind}, revision long, status string, created long, started long, finished long, filename string, error_code string, "
            "error string, missing_dependencies array<string>")
-    made = folds.groupBy("job_id").transformWithState(JobProcessor(limits, horizon_secs), out, "Update", "EventTime")
+    grouped = folds.withColumn("_group", F.pmod(F.xxhash64("job_id"), F.lit(groups)).cast("int"))
+    made = grouped.groupBy("_group").transformWithState(JobProcessor(limits, horizon_secs), out, "Update", "EventTime")
     return made.select(
         "job_id", "revision", "status", F.timestamp_micros("created").alias("created_at"), F.timestamp_micros("started").alias("started_at"),
         F.timestamp_micros("finished").alias("finished_at"), "filename", "error_code", "error", "missing_dependencies")
@@ -225,9 +245,9 @@ def latest(changes: DataFrame) -> DataFrame:
 
 
 def stream_live_ledger(events: DataFrame, out: str, checkpoint: str, limits: Limits, delay: str = "10 minutes", horizon_secs: int = 86_400,
-                       compact_every: int = 50, once: bool = False) -> StreamingQuery:
+                       compact_every: int = 50, once: bool = False, groups: int = GROUPS) -> StreamingQuery:
     """Start the stream.  ``out`` gets the folders ``changes``, ``commits`` and, from time to time, ``merged``."""
-    changes = job_changes(events, limits, delay, horizon_secs)
+    changes = job_changes(events, limits, delay, horizon_secs, groups)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in changes.schema.fields)
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -127,3 +127,15 @@ def test_the_document_stream_keeps_its_ledger(spark, tmp_path, monkeypatch):
     assert D.poll(spark, out).count() == 2
     monkeypatch.setattr(D, "commit_batch", commit)
     assert run()["c.md"].status == "succeeded" and D.poll(spark, out).count() == 3
+
+
+def test_jobs_share_state_rows_and_one_timer(spark, tmp_path):
+    feed = Feed(spark, tmp_path, groups=2)
+    feed.put(*[(n, n, n, "submitted") for n in range(40)], *[(n, 100 + n, 50 + n, "started") for n in range(30)])
+    assert 0 < feed.progress[-1].stateOperators[0].numRowsTotal <= 16  # rows and timers of two groups, not of 40 jobs
+    # The clock stands between the deadlines of jobs 14 and 15; job 3 ended before its own.
+    feed.put((3, 200, 600, "succeeded"), (40, 201, 650 + 14 + 60, "submitted"))
+    jobs = feed.put((41, 202, 650 + 14 + 60, "submitted"))
+    assert {n for n, r in jobs.items() if r.status == "failed"} == set(range(15)) - {3}
+    assert all(jobs[n].finished_at == at(650 + n) and jobs[n].error_code == "timeout" for n in range(15) if n != 3)
+    assert jobs[3].status == "succeeded" and {jobs[n].status for n in range(15, 30)} == {"running"} and jobs[35].status == "queued"
