@@ -139,3 +139,14 @@ def test_jobs_share_state_rows_and_one_timer(spark, tmp_path):
     assert {n for n, r in jobs.items() if r.status == "failed"} == set(range(15)) - {3}
     assert all(jobs[n].finished_at == at(650 + n) and jobs[n].error_code == "timeout" for n in range(15) if n != 3)
     assert jobs[3].status == "succeeded" and {jobs[n].status for n in range(15, 30)} == {"running"} and jobs[35].status == "queued"
+
+
+def test_batches_of_documents_are_bounded_by_bytes(spark, tmp_path):
+    from leafmill.streaming import documents as D
+
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for n in range(5):
+        (source / f"{n}.md").write_text("# 4567890")
+    D.stream_documents(spark, str(source), out, str(tmp_path / "cp"), Limits(), [str(source)], once=True, bytes_per_batch=30, files_per_batch=1).awaitTermination()
+    assert len(finished_batches(spark, f"{out}-commits")) == 2 and D.poll(spark, out).count() == 5
