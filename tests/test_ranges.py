@@ -209,3 +209,28 @@ def test_an_archive_that_one_row_cannot_hold_is_a_typed_error(spark):
     assert made["small"].result.markdown == "# a.txt\n\nx"
     free = {r.request_id: r for r in outcomes(documents, Limits()).collect()}
     assert free["large"].error is None and len(free["large"].result.markdown) > 11000
+
+
+def test_small_archives_are_read_in_one_place_and_large_ones_in_many(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = []
+    for n in range(3):
+        with zipfile.ZipFile(tmp_path / f"{n}.zip", "w") as archive:
+            for i in range(40):
+                archive.writestr(f"m{i}", bytes([65 + n]) * 100)
+        rows.append((str(n), f"{n}.zip", str(tmp_path / f"{n}.zip")))
+    archives = spark.createDataFrame(rows, "archive_id string, filename string, location string")
+
+    def places():
+        members = ranges.explode_located(archives, Limits()).select("archive_id", "ordinal", "content", F.spark_partition_id().alias("at")).collect()
+        assert sorted((r.archive_id, r.ordinal, bytes(r.content)) for r in members) == [(str(n), i, bytes([65 + n]) * 100) for n in range(3) for i in range(40)]
+        return [len({r.at for r in members if r.archive_id == str(n)}) for n in range(3)]
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert places() == [1, 1, 1]
+        monkeypatch.setattr(ranges, "RUN_BYTES", 300)
+        assert min(places()) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
