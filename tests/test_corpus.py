@@ -269,3 +269,13 @@ def test_linked_roots_and_links_out_of_the_listing(spark, tmp_path):
     out, checkpoint = str(tmp_path / "s"), str(tmp_path / "c")
     stream_documents(spark, str(root), out, checkpoint, Limits(), [str(root), str(other)], once=True).awaitTermination()
     assert sorted(r.result.markdown for r in poll(spark, out).collect()) == ["alpha", "beta"]
+
+
+def test_member_portions_are_bounded_by_count_and_bytes():
+    from leafmill.sources.archives import portions
+
+    empty = [(i, b"", None) for i in range(10_000)]
+    parts = list(portions(iter(empty)))
+    assert [row for part in parts for row in part] == empty and max(map(len, parts)) <= 4096
+    heavy = [(i, bytes(10), None) for i in range(7)] + [(7, None, "unread")]
+    assert [len(part) for part in portions(iter(heavy), most_bytes=30)] == [3, 3, 2]
