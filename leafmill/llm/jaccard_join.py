@@ -20,12 +20,13 @@ least; the rest are long lists, which only candidates are probed in.
    of such elements.  Items go that have fewer shared elements than T with the smallest item of
    matching size that any list of their heads holds.
 4. *Merge.*  Lists of the heads give candidates: each item with a few pivots of
-   its list, in rounds with other pivots; what is linked leaves the next round.  Then
-   come components that share a list but are not yet connected: each item of the smaller one counts the
-   occurrences of its elements in the lists of the other's members, merged, and meets
-   these members only if the count reaches T.  So no link between
-   components is lost, while a family of thousands of near copies costs one probe a
-   member, list and round, not all pairs, and its outliers one count each.
+   its list, in rounds with other pivots; what is linked leaves the next round.  Then,
+   in lists that still hold several components, items are compared by their differences
+   from a centre of the list.  Those that are close enough together meet one item, the
+   closest to the centre.  The few that are far count their differences in the merged lists
+   of the others', which is an exact overlap, so no link between components is lost and no
+   pair leaves a task but those that connect.  A family of thousands of near copies costs one
+   probe a member, list and round, not all pairs; only its outliers meet the others' differences.
 5. *Components* of all links.
 
 Probing is a search of one sorted set in the other.  Else the global order is
@@ -57,7 +58,7 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 HOLD_ROWS = 1 << 21  # list entries a map task holds before it sends them
 MANY = 8  # local items from which an element counts as shared by many
 HOT = 16  # items an element of a short list has at most
-SLOT_GRAMS = 1 << 18  # elements of a component in one slot
+CELL_ITEMS = 4096  # of a ring that meet in one task
 ROUNDS, PIVOTS = 2, 3  # rounds of pivots, and pivots of a list in each
 MARK_BITS = 26  # of the bit map of chosen documents: 8 MB whatever their number
 PAIR = np.dtype([("gram", "<u8"), ("item", "<i8")])
@@ -135,7 +136,7 @@ def extra_of(sizes: np.ndarray) -> np.ndarray:
     return np.maximum(1, sizes // 10)
 
 
-def _take_heads(grams: np.ndarray, bounds: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _take_heads(bounds: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Places of the first ``lengths`` grams of each set."""
     return np.repeat(bounds[:-1] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
 
@@ -240,7 +241,7 @@ def _send_heads(n: int, percent: int, width: int):
                 sizes = np.diff(bounds)
                 lengths = _head(sizes, percent, extra_of(sizes))
                 pairs = np.empty(lengths.sum(), PAIR)
-                pairs["gram"] = grams[_take_heads(grams, bounds, lengths)]
+                pairs["gram"] = grams[_take_heads(bounds, lengths)]
                 pairs["item"] = np.repeat(set_ids(grams, bounds), lengths)
                 held.append(pairs)
                 size += len(pairs)
@@ -354,6 +355,9 @@ def _heads(percent: int):
 
 
 ENTRY = np.dtype([("gram", "<u8"), ("size", "<i8"), ("item", "<i8"), ("root", "<i8")])
+MEMBER = np.dtype([*ENTRY.descr, ("degree", "<i8")])
+RING = ("centre", "class", "item", "size", "root")
+CELL = ("centre", "class", "part", "turn")
 
 
 def _rank(items: np.ndarray, turn: int, pivot: int = 0) -> np.ndarray:
@@ -425,7 +429,7 @@ def _with_pivots(entries: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndar
     return np.column_stack([np.minimum(others, pivot["item"]), np.maximum(others, pivot["item"])]), fits
 
 
-def _send_lists(percent: int, width: int, turn: int | None):
+def _send_lists(percent: int, width: int, turn: int | None, kind: np.dtype = ENTRY):
     """Entries of the heads' lists.  In a round of pivots a long list meets its own pivot here and sends that one only."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -433,9 +437,9 @@ def _send_lists(percent: int, width: int, turn: int | None):
             if not heads:
                 continue
             lengths = [len(h) for h in heads]
-            entries = np.empty(sum(lengths), ENTRY)
+            entries = np.empty(sum(lengths), kind)
             entries["gram"] = np.concatenate(heads)
-            for name in ("size", "item", "root"):
+            for name in kind.names[1:]:
                 entries[name] = np.repeat(batch.column(name).to_numpy(), lengths)
             rows = []
             if turn is not None:
@@ -455,12 +459,12 @@ def _send_lists(percent: int, width: int, turn: int | None):
     return make
 
 
-def _received(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+def _received(batches: Iterator[pa.RecordBatch], entry: np.dtype = ENTRY) -> tuple[np.ndarray, np.ndarray]:
     parts: dict[str, list[bytes]] = {"lists": [], "pairs": []}
     for batch in batches:
         for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data").to_pylist()):
             parts[kind].append(data)
-    return np.frombuffer(b"".join(parts["lists"]), ENTRY), np.frombuffer(b"".join(parts["pairs"]), "<i8").reshape(-1, 2)
+    return np.frombuffer(b"".join(parts["lists"]), entry), np.frombuffer(b"".join(parts["pairs"]), "<i8").reshape(-1, 2)
 
 
 def _pair_batches(found: Iterator[np.ndarray], width: int) -> Iterator[pa.RecordBatch]:
@@ -505,129 +509,129 @@ def _pivot_pairs(percent: int, turn: int, width: int):
     return make
 
 
-def _root_pairs(percent: int, width: int):
-    """Pairs of components that share a list and have members of matching size in it."""
+def _size_class(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Sizes that match are in the same class or in neighbouring ones."""
+    return np.floor(np.log(sizes) / np.log(101 / percent)).astype(np.int64)  # a little wider than 100 / percent, for the rounding
+
+
+def _rings(percent: int):
+    """Of each list that holds several components: its entries with a centre of about their size, the one with the most links."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, _ = _received(batches)
+        entries, _ = _received(batches, MEMBER)
 
         def found() -> Iterator[np.ndarray]:
-            for run in _sorted_runs(entries, entries["root"]):
-                starts, _ = _runs(run["root"])
-                roots = run["root"][starts]
-                least, most = np.minimum.reduceat(run["size"], starts), np.maximum.reduceat(run["size"], starts)
-                for i in range(len(roots) - 1):
-                    fits = (least[i] * percent <= most[i + 1 :] * 100) & (least[i + 1 :] * percent <= most[i] * 100)
-                    others = roots[i + 1 :][fits]
-                    yield np.column_stack([np.minimum(others, roots[i]), np.maximum(others, roots[i])])
-
-        return _pair_batches(_collected(found()), width)
+            for run in _sorted_runs(entries, entries["item"]):
+                own = _size_class(run["size"], percent)
+                run, size = np.concatenate([run, run]), np.concatenate([own, own + 1])
+                order = np.lexsort((run["item"], -run["degree"], size))
+                run, size = run[order], size[order]
+                starts, lengths = _runs(size)
+                several = np.minimum.reduceat(run["root"], starts) != np.maximum.reduceat(run["root"], starts)
+                keep = np.repeat(several, lengths)
+                yield np.column_stack([np.repeat(run["item"][starts], lengths), size, run["item"], run["size"], run["root"]])[keep]
+
+        for rows in _collected(found()):
+            yield pa.record_batch([pa.array(rows[:, k]) for k in range(5)], names=["centre", "class", "item", "size", "root"])
 
     return make
 
 
-def _slots_of(grams: np.ndarray, slots: int) -> np.ndarray:
-    return (mix(grams ^ np.uint64(1234)) % np.uint64(slots)).astype(np.int64)
-
-
-_OCCUR = "root long, slot long, item long, need long, grams binary"
-
+def _differences(percent: int):
+    """The elements that an item and its centre do not share, and the item's score: two items of scores that add up to 0 or less link."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            apart = [np.setxor1d(np.frombuffer(a.as_buffer(), "<u8"), np.frombuffer(b.as_buffer(), "<u8"), assume_unique=True).view(np.int64)
+                     for a, b in zip(batch.column("grams"), batch.column("centre_grams"))]
+            n = np.array([len(x) for x in apart], np.int64)
+            ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            score = (100 + percent) * n - (100 - percent) * batch.column("size").to_numpy()
+            yield pa.record_batch(
+                [*(batch.column(c) for c in RING), pa.array(n), pa.array(score),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *apart])))],
+                names=[*RING, "n", "score", "apart"])
 
-def _occur_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["root", "slot", "item", "need", "grams"])
+    return make
 
 
-def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The elements of whole components, each once a task, dealt to the component's slots."""
-    held: dict[tuple[int, int], list[np.ndarray]] = {}
-    size = 0
+def _meet(percent: int):
+    """Of rows sorted by cell, its members before those that ask: links that join groups, found by merging the lists of the members' differences."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, lists, alias = None, [], None, {}
 
-    def sent() -> pa.RecordBatch:
-        return _occur_batch([(root, slot, None, None, np.unique(np.concatenate(parts)).tobytes()) for (root, slot), parts in held.items()])
+        def group_of(group: int) -> int:
+            while group in alias:
+                group = alias[group]
+            return group
 
-    for batch in batches:
-        for root, slots, blob in zip(batch.column("root").to_pylist(), batch.column("slots").to_pylist(), batch.column("grams")):
-            grams = np.frombuffer(blob.as_buffer(), "<u8")
-            of = _slots_of(grams, slots)
-            for slot in np.unique(of):
-                held.setdefault((root, int(slot)), []).append(grams[of == slot])
-            size += len(grams)
-            if size >= HOLD_ROWS:
-                yield sent()
-                held, size = {}, 0
-    if held:
-        yield sent()
+        for batch in batches:
+            ends, grams = batch.column("apart").offsets.to_numpy(), batch.column("apart").values.to_numpy()
+            cells = zip(*(batch.column(c).to_pylist() for c in CELL))
+            found: list[tuple[int, int]] = []
+            for k, (cell, asks, item, group, score) in enumerate(zip(cells, *(batch.column(c).to_pylist() for c in ("asks", "item", "group", "score")))):
+                if cell != at:
+                    at, held, lists, alias = cell, [], None, {}
+                apart = grams[ends[k] : ends[k + 1]]
+                if not asks:
+                    held.append((item, group, score, apart.copy()))
+                    continue
+                if not held:
+                    continue
+                if lists is None:
+                    items, groups, scores = (np.array([h[c] for h in held], np.int64) for c in range(3))
+                    values, owner = np.concatenate([h[3] for h in held]), np.repeat(np.arange(len(held)), [len(h[3]) for h in held])
+                    order = np.argsort(values, kind="stable")
+                    lists = values[order], owner[order]
+                first = np.searchsorted(lists[0], apart)
+                lengths = np.searchsorted(lists[0], apart, side="right") - first
+                common = np.bincount(lists[1][_take_heads(np.append(first, 0), lengths)], minlength=len(items))
+                own = group_of(group)
+                links = (2 * (100 + percent) * common >= scores + score) & (groups != own)
+                others, one = np.unique(groups[links], return_index=True)
+                if len(others):
+                    found += [(item, b) for b in items[links][one].tolist()]
+                    alias.update((other, own) for other in others.tolist())
+                    groups[np.isin(groups, others)] = own
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.record_batch([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["a", "b"])
 
+    return make
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The elements of an item that asks a component, dealt to that component's slots."""
-    for batch in batches:
-        rows = []
-        for root, slots, item, need, blob in zip(*(batch.column(c).to_pylist() for c in ("root", "slots", "item", "need")), batch.column("grams")):
-            grams = np.frombuffer(blob.as_buffer(), "<u8")
-            of = _slots_of(grams, slots)
-            rows += [(root, int(slot), item, need, grams[of == slot].tobytes()) for slot in np.unique(of)]
-        yield _occur_batch(rows)
 
+def open_links(entries: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) that connect what the items of different components have in common, if any two of them link.
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by root, slot and item, with the component's elements (no item) first: how many of an item's elements the component has."""
-    at, parts, known = None, [], None
-    for batch in batches:
-        out: list[tuple] = []
-        for root, slot, item, need, blob in zip(*(batch.column(c).to_pylist() for c in ("root", "slot", "item", "need")), batch.column("grams")):
-            if (root, slot) != at:
-                at, parts, known = (root, slot), [], None
-            grams = np.frombuffer(blob.as_buffer(), "<u8")
-            if item is None:
-                parts.append(grams.copy())
-                continue
-            if known is None:
-                known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-            if len(known):
-                place = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                out.append((item, root, need, int((known[place] == grams).sum())))
-        kinds = [pa.array([r[k] for r in out], pa.int64()) for k in range(4)]
-        yield pa.record_batch(kinds, names=["item", "root", "need", "times"])
-
-
-def open_pairs(entries: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
-    """Pairs (a, b) of items of different components that may link.
-
-    Lists give pairs of components.  An item of the smaller one asks the other as a
-    whole: a member shares T elements with it, so T of its elements at least
-    must stand in the lists of that component's members.  Lists are merged into the component's
-    elements, each once, and the item's are counted in them; only where the count reaches T does the item meet
-    the members.  A component's elements are dealt to slots, so a large one is no hot key.
+    Two items of a list are compared by their differences from the list's centre: with
+    n and m of these, r of them common, they differ in n + m - 2 r elements, and link if
+    (100 + percent) times that is at most (100 - percent) times the sum of their sizes.
+    For r = 0 this is a sum of two scores, so whoever links with anyone in this way
+    links with the item of the least score, and meets that one only.  The others are far:
+    they count their differences in the merged lists of the ring's, in cells of at most
+    about CELL_ITEMS of each, and of the links only those that join groups leave a cell.
     """
     blob = "bucket int, kind string, data binary"
-    lists = entries.mapInArrow(_send_lists(percent, width, None), blob).repartitionById(width, "bucket")
-    met = lists.mapInArrow(_root_pairs(percent, width), blob).repartitionById(width, "bucket")
-    pairs = through_table(met.mapInArrow(_distinct_pairs, "a long, b long"), "open-components")
-    members = entries.select("item", "size", "root")
-    whole = through_table(members.groupBy("root").agg(
-        F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most"), F.sum("size").alias("total")), "components")
-    side = lambda c: whole.select(F.col("root").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "least", "most", "total")])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    swap = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") > F.col("b")))
-    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    asks = both.select(pick("a", "b").alias("asking"), pick("b", "a").alias("root"), pick("least_b", "least_a").alias("least"),
-                       F.greatest(F.lit(1), F.ceil(pick("total_b", "total_a") / SLOT_GRAMS)).cast("long").alias("slots"))
-    asks = through_table(asks, "asking")
-    # A partner has at least percent of the item's size, and of its component's least.
-    partner = F.greatest(F.col("least"), F.expr(f"(size * {percent} + 99) div 100"))
-    need = F.expr(f"(({percent} * (size + partner)) + {99 + percent}) div {100 + percent}")
-    queries = asks.join(members.withColumnRenamed("root", "asking"), "asking").withColumn("partner", partner).withColumn("need", need)
-    asked = queries.select("item", "root", "slots", "need").join(sets, "item").mapInArrow(_asked, _OCCUR)
-    targets = asks.select("root", "slots").distinct().join(members.select("item", "root"), "root").join(sets, "item")
-    united = targets.select("root", "slots", "grams").mapInArrow(_united, _OCCUR)
-    dealt = united.unionAll(asked).repartition(width, "root", "slot").sortWithinPartitions("root", "slot", F.col("item").asc_nulls_first())
-    counted = dealt.mapInArrow(_occurrences, "item long, root long, need long, times long")
-    reached = counted.groupBy("item", "root").agg(F.sum("times").alias("times"), F.max("need").alias("need")).filter("times >= need")
-    reached = through_table(reached.select(F.col("item").alias("a"), "root"), "reached")
-    found = reached.join(members, "root").join(members.select(F.col("item").alias("a"), F.col("size").alias("size_a")), "a")
-    fits = (F.col("size") * percent <= F.col("size_a") * 100) & (F.col("size_a") * percent <= F.col("size") * 100)
-    return found.filter(fits).select(F.least("a", "item").alias("a"), F.greatest("a", "item").alias("b")).distinct()
+    lists = entries.mapInArrow(_send_lists(percent, width, None, MEMBER), blob).repartitionById(width, "bucket")
+    rings = lists.mapInArrow(_rings(percent), ", ".join(f"{c} long" for c in RING)).distinct()
+    grams = sets.dropDuplicates(["item"])
+    both = rings.join(grams, "item").join(grams.select(F.col("item").alias("centre"), F.col("grams").alias("centre_grams")), "centre")
+    members = through_table(both.mapInArrow(
+        _differences(percent), ", ".join(f"{c} long" for c in (*RING, "n", "score")) + ", apart array<long>"), "differences")
+
+    ring, cells = ["centre", "class"], lambda items: F.ceil(F.count("*") / CELL_ITEMS).cast("int").alias(items)
+    nearest = through_table(members.groupBy(*ring).agg(F.min(F.struct("score", "item", "root")).alias("nearest"), cells("parts")), "nearest")
+    far = F.col("score") + F.col("nearest.score") > 0
+    scored = members.join(nearest, ring).withColumn("asks", far).withColumn("group", F.when(far, F.col("root")).otherwise(F.col("nearest.root")))
+    near = scored.filter(~F.col("asks") & (F.col("root") != F.col("nearest.root"))).select(
+        F.least("item", "nearest.item").alias("a"), F.greatest("item", "nearest.item").alias("b"))
+    # Any of the ring's items may link with one that is far, if it has differences enough.
+    least = through_table(scored.filter("asks").groupBy(*ring).agg(F.min("score").alias("least"), cells("turns")), "far")
+    mixed = scored.join(least, ring)
+    one, all_of = lambda count: F.pmod(F.xxhash64("item"), F.col(count)).cast("int"), lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    kept = ("item", "group", "score", "apart")
+    partners = mixed.filter(f"score + least <= {2 * (100 + percent)} * n").select(
+        *ring, one("parts").alias("part"), all_of("turns").alias("turn"), F.lit(False).alias("asks"), *kept)
+    askers = mixed.filter("asks").select(*ring, all_of("parts").alias("part"), one("turns").alias("turn"), "asks", *kept)
+    dealt = partners.unionAll(askers).repartition(width, *CELL).sortWithinPartitions(*CELL, "asks")
+    return near.unionAll(dealt.mapInArrow(_meet(percent), "a long, b long")).distinct()
 
 
 def _probe(percent: int):
@@ -679,12 +683,14 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
         known = heads if roots is None else heads.join(roots, heads["item"] == roots["node"], "left")
         entries = known.select("item", "size", "head", F.coalesce(root, "item").alias("root"))
         if turn is None:
-            pairs = open_pairs(through_table(entries, "last-heads"), sets, percent, width)
+            ends = links.select(F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.count("*").alias("degree"))
+            ranked = entries.join(ends, "item", "left").select(*entries.columns, F.coalesce("degree", F.lit(0)).alias("degree"))
+            found = open_links(ranked, sets, percent, width)
         else:
             lists = entries.mapInArrow(_send_lists(percent, width, turn), blob).repartitionById(width, "bucket")
             met = lists.mapInArrow(_pivot_pairs(percent, turn, width), blob)
             pairs = met.repartitionById(width, "bucket").mapInArrow(_distinct_pairs, "a long, b long")
-        found = _linked(pairs, sets, percent)
+            found = _linked(pairs, sets, percent)
         links = through_table(found if links is None else found.unionAll(links), "links")
         roots = through_table(components(links), "roots")
     return roots

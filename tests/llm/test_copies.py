@@ -147,3 +147,38 @@ def test_a_family_just_under_the_threshold(spark):
     rng.shuffle(rows)
     got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
     assert {tuple(r) for r in got.collect()} == brute(rows)
+
+
+def test_a_family_and_its_outliers_write_no_pairs_of_all(spark, monkeypatch):
+    """Rows of the work tables grow with the items of a family, not with their square; a family without its centre loses no link."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(120)]
+
+    def variant(words, edits):
+        words = list(words)
+        for at in rng.sample(range(len(words)), edits):
+            words[at] = word()
+        return words
+
+    texts = [variant(base, edits) for edits, times in ((1, 20), (2, 200), (3, 200), (4, 100), (5, 50)) for _ in range(times)]
+    texts += [variant(rng.choice(texts[-150:]), rng.randint(1, 2)) for _ in range(40)]
+    rows = list(enumerate(" ".join(t) for t in texts))
+    rng.shuffle(rows)
+    wrote = []
+
+    def through_table(df, purpose, real=jaccard_join.through_table):
+        made = real(df, purpose)
+        wrote.append((made.count(), purpose))
+        return made
+
+    monkeypatch.setattr(jaccard_join, "through_table", through_table)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert {tuple(r) for r in got.collect()} == brute(rows)
+    assert max(wrote)[0] <= 16 * len(rows), max(wrote)
+
+
+def test_cells_of_a_large_ring_lose_no_link(spark, monkeypatch):
+    """Rings cut into many cells give the same components."""
+    monkeypatch.setattr(jaccard_join, "CELL_ITEMS", 300)
+    test_a_family_just_under_the_threshold(spark)
