@@ -279,3 +279,26 @@ def test_member_portions_are_bounded_by_count_and_bytes():
     assert [row for part in parts for row in part] == empty and max(map(len, parts)) <= 4096
     heavy = [(i, bytes(10), None) for i in range(7)] + [(7, None, "unread")]
     assert [len(part) for part in portions(iter(heavy), most_bytes=30)] == [3, 3, 2]
+
+
+def test_outcomes_of_repeat_contents_move_once_to_their_rows(spark, monkeypatch):
+    """The rows that wait for an outcome have their names with them, so outcomes are not moved by a second join."""
+    from leafmill.catalog.converter import line_converter
+    from leafmill.operators import converter
+
+    seen = []
+
+    def join(rows, *others, real=converter.join_many_to_one):
+        seen.append(set(rows.columns))
+        return real(rows, *others)
+
+    monkeypatch.setattr(converter, "join_many_to_one", join)
+    rows = [("r1", "a.pdf", b"one"), ("r2", "b.pdf", b"one"), ("r3", "c.pdf", b"two"), ("r4", "d.txt", b"three")]
+    documents = spark.createDataFrame(rows, "request_id string, filename string, content binary").select(
+        "request_id", "filename", F.regexp_extract("filename", r"\..*", 0).alias("suffix"), "content", F.lit("{}").alias("option_key"),
+        F.lit(None).cast("struct<error_code:string,error:string,missing_dependencies:array<string>>").alias("error"))
+    made = outcomes(documents, Limits(), factory=line_converter, families=["pdf"], tag="lines", once=True)
+    got = {r.request_id: (r.filename, r.markdown) for r in made.select("request_id", "result.metadata.filename", "result.markdown").collect()}
+    assert {k: v[0] for k, v in got.items()} == {"r1": "a.pdf", "r2": "b.pdf", "r3": "c.pdf", "r4": "d.txt"}
+    assert "one" in got["r1"][1] and "one" in got["r2"][1] and "two" in got["r3"][1] and got["r4"][1] == "three"
+    assert seen and all({"request_id", "name"} <= columns or "archive_id" in columns for columns in seen)
