@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import ids_and_text, shuffle_width
-from leafmill.session import through_table
+from leafmill.session import bound_batches, through_table
 
 KEY = ["sha256", "n_bytes", "check"]
 WAYS = 8
@@ -68,6 +68,7 @@ def merge_runs(digests: DataFrame, keep: str = "smallest", ways: int = WAYS, wid
     """One row a text: its key, ``keep_id`` (smallest or largest id) and ``group_size``."""
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep is smallest or largest, not {keep}")
+    bound_batches(digests.sparkSession)
     order = F.col("keep_id").asc_nulls_last() if keep == "smallest" else F.col("keep_id").desc_nulls_last()
     radices = digits_for(width or shuffle_width(digests.sparkSession), ways)
     slots = 1

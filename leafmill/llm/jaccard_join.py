@@ -49,13 +49,14 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import ids_and_text, shuffle_width
 from leafmill.llm.components import components
 from leafmill.llm.hashing import BASE, RangeHash, byte_table, mix, pieces, texts_as_bytes
-from leafmill.session import ship_package, through_table
+from leafmill.session import bound_batches, ship_package, through_table
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
-HOLD_ROWS = 1 << 21  # list entries a map task holds before it sends them
+HOLD_ROWS = 1 << 19  # list entries a map task holds before it sends them; sorting takes several times their 16 to 40 bytes
+PIECE_BYTES = 1 << 17  # of text whose shingles are made at a time
 MANY = 8  # local items from which an element counts as shared by many
 HOT = 16  # items an element of a short list has at most
 CELL_ITEMS = 4096  # of a ring that meet in one task
@@ -144,7 +145,7 @@ def _take_heads(bounds: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def _sizes(n: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most=PIECE_BYTES):
                 grams, bounds = gram_sets(*texts_as_bytes(piece.column("text")), n)
                 yield pa.record_batch([piece.column("doc_id"), pa.array(set_ids(grams, bounds)), pa.array(np.diff(bounds))],
                                       names=["doc_id", "item", "n_shingles"])
@@ -158,7 +159,7 @@ def _sets(n: int, marks):
         for batch in batches:
             place = batch.column("place").to_numpy()
             batch = batch.filter(pa.array((marks.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
-            for piece in pieces(batch):
+            for piece in pieces(batch, most=PIECE_BYTES):
                 grams, bounds = gram_sets(*texts_as_bytes(piece.column("text")), n)
                 filled = np.flatnonzero(np.diff(bounds))
                 blobs = pa.array([grams[bounds[i] : bounds[i + 1]].tobytes() for i in filled], pa.binary())
@@ -236,7 +237,7 @@ def _send_heads(n: int, percent: int, width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most=PIECE_BYTES):
                 grams, bounds = gram_sets(*texts_as_bytes(piece.column("text")), n)
                 sizes = np.diff(bounds)
                 lengths = _head(sizes, percent, extra_of(sizes))
@@ -270,7 +271,18 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _send_all(width: int):
     """All elements of the remaining sets, to count them; those hot within a task are known at once."""
+    def send(held: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = _unique_pairs(np.concatenate(held))
+        _, lengths = _runs(pairs["gram"])
+        hot = np.repeat(lengths > HOT, lengths)
+        known = np.unique(pairs["gram"][hot])
+        rows = list(_by_bucket(pairs[~hot], _bucket_of(pairs["gram"][~hot], width), "pairs"))
+        rows += _by_bucket(known, _bucket_of(known, width), "shared")
+        rows += _by_bucket(pairs[hot], _bucket_of(pairs["item"][hot].astype(np.uint64), width), "hot")
+        return _blob_batch(rows)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             sets = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column("grams")]
             if not sets:
@@ -278,14 +290,13 @@ def _send_all(width: int):
             pairs = np.empty(sum(map(len, sets)), PAIR)
             pairs["gram"] = np.concatenate(sets)
             pairs["item"] = np.repeat(batch.column("item").to_numpy(), [len(x) for x in sets])
-            pairs = _unique_pairs(pairs)
-            _, lengths = _runs(pairs["gram"])
-            hot = np.repeat(lengths > HOT, lengths)
-            known = np.unique(pairs["gram"][hot])
-            rows = list(_by_bucket(pairs[~hot], _bucket_of(pairs["gram"][~hot], width), "pairs"))
-            rows += _by_bucket(known, _bucket_of(known, width), "shared")
-            rows += _by_bucket(pairs[hot], _bucket_of(pairs["item"][hot].astype(np.uint64), width), "hot")
-            yield _blob_batch(rows)
+            held.append(pairs)
+            size += len(pairs)
+            if size >= HOLD_ROWS:
+                yield send(held)
+                held, size = [], 0
+        if held:
+            yield send(held)
 
     return make
 
@@ -698,6 +709,7 @@ def similar_sets(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id its links reach)."""
+    bound_batches(docs.sparkSession)
     ship_package(docs.sparkSession)
     rows = ids_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     sizes = through_table(rows.mapInArrow(_sizes(n), "doc_id long, item long, n_shingles long"), "gram-counts")

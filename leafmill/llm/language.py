@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.hashing import mix, pieces
-from leafmill.session import ship_package
+from leafmill.session import bound_batches, ship_package
 
 UNKNOWN = "und"
 HASHES = 3
 SLOTS_A_GRAM = 16
-HOLD = 1 << 21  # trigrams that a task holds before it folds them
+HOLD = 1 << 19  # trigrams that a task holds before it folds them; sorting takes several times their 8 bytes
+PIECE_BYTES = 1 << 17  # of text whose trigrams are made at a time
 SPACE = np.uint64(32)
 
 
@@ -75,7 +76,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                names=["lang", "gram", "n"])
 
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, most=PIECE_BYTES):
             names = np.array(piece.column("lang").to_pylist(), dtype=object)
             grams, rows = trigrams(piece.column("text").to_pylist())
             for lang in set(names):
@@ -150,6 +151,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", l
 
     At most 1 / least_share trigrams of each language reach the driver.
     """
+    bound_batches(labelled.sparkSession)
     ship_package(labelled.sparkSession)
     rows = labelled.select(labelled[lang_col].cast("string").alias("lang"), labelled[text_col].cast("string").alias("text"))
     counts = rows.filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(_count, "lang string, gram long, n long")
@@ -168,7 +170,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", l
 def _predict(model):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most=PIECE_BYTES):
                 langs, score, total = model.value.decide(piece.column("text").to_pylist())
                 out = piece.drop_columns(["text"])
                 yield out.append_column("lang_pred", pa.array(langs, pa.string())).append_column(
@@ -179,6 +181,7 @@ def _predict(model):
 
 def identify(docs: DataFrame, model: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, lang_pred, score, n_grams."""
+    bound_batches(docs.sparkSession)
     ship_package(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -191,11 +194,12 @@ def keep_known(docs: DataFrame, model: Filters, id_col: str = "doc_id", text_col
     out = docs.filter(F.col(text_col).isNotNull())
     fields = [c for c in out.columns if c != text_col]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    bound_batches(docs.sparkSession)
     ship_package(docs.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text_col):
+            for piece in pieces(batch, text_col, PIECE_BYTES):
                 langs, _, _ = shared.value.decide(piece.column(text_col).to_pylist())
                 yield piece.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
 

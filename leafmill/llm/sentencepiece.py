@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from leafmill.llm.common import extended
 from leafmill.llm.hashing import pieces
-from leafmill.session import ship_package
+from leafmill.session import bound_batches, ship_package
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -274,6 +274,7 @@ def _encode(model, text_col: str):
 def encode(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows with a column ``ids`` (array of int) behind; a column of that name is replaced."""
     spark = docs.sparkSession
+    bound_batches(spark)
     ship_package(spark)
     rows = docs.drop("ids").withColumn(text_col, docs[text_col].cast("string"))
     return rows.mapInArrow(_encode(spark.sparkContext.broadcast(model), text_col), extended(rows, "ids array<int>"))
@@ -282,6 +283,7 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def decode(docs: DataFrame, model: Model, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """The rows with a text column ``to`` behind, read back from the ids; null ids give null."""
     spark = docs.sparkSession
+    bound_batches(spark)
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
     rows = docs.drop(to)

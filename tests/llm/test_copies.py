@@ -6,9 +6,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from leafmill.llm import exact_dedup, jaccard_join
+from leafmill import session
+from leafmill.llm import exact_dedup, jaccard_join, language
 from leafmill.llm.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -182,3 +184,26 @@ def test_cells_of_a_large_ring_lose_no_link(spark, monkeypatch):
     """Rings cut into many cells give the same components."""
     monkeypatch.setattr(jaccard_join, "CELL_ITEMS", 300)
     test_a_family_just_under_the_threshold(spark)
+
+
+def test_rows_go_to_python_in_batches_of_few_bytes(spark):
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id AS doc_id", "repeat('abcd ', 2000) AS text")
+    exact_dedup.drop_copies(rows)
+    sizes = rows.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long")
+    assert max(r.n for r in sizes.collect()) < 2 * session.BATCH_BYTES
+    try:
+        spark.conf.set(session.BATCH_SETTING, "54321")
+        session.bound_batches(spark)
+        assert spark.conf.get(session.BATCH_SETTING) == "54321"
+    finally:
+        spark.conf.unset(session.BATCH_SETTING)
+
+
+def test_tasks_hold_little_before_they_send():
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(1200)) for _ in range(400)]
+    batch = pa.record_batch([pa.array(["x"] * 400), pa.array(texts)], names=["lang", "text"])
+    held = [b.column("n").to_numpy().sum() for b in language._count(iter([batch]))]
+    assert sum(held) == 400 * 1200 * 5 and max(held) < 1 << 20
+    sent = [sum(map(len, b.column("data").to_pylist())) for b in jaccard_join._send_heads(5, 50, 4)(iter([batch.select(["text"])] * 6))]
+    assert max(sent) < 1 << 24
